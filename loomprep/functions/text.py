@@ -18,6 +18,11 @@ def collapse_whitespace(text) -> Column:
     return F.trim(F.regexp_replace(_col(text), WHITESPACE_CLASS + "+", " "))
 
 
+def strip_whitespace(text) -> Column:
+    """``str.strip()``: remove leading and trailing Unicode whitespace."""
+    return F.regexp_replace(_col(text), f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
+
+
 def normalize_text(text, max_chars: int = MAX_TEXT_CHARS) -> Column:
     """Collapse whitespace, trim, then keep the first ``max_chars`` code points
     (``max_chars <= 0`` keeps everything).  No second trim after the cut."""

@@ -1,4 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from . import text_queries  # noqa: F401
+from . import message_queries, text_queries  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401

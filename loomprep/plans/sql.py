@@ -38,4 +38,9 @@ def hashed_id(expr: str, modulus: int) -> str:
 
 def words(expr: str) -> str:
     """Whitespace tokens as a list (empty strings removed)."""
-    return f"list_filter(string_split(coalesce({collapse(expr)}, ''), ' '), w -> w <> '')"
+    return f"list_filter(string_split(coalesce({collapse(expr)}, ''), ' '), lambda w: w <> '')"
+
+
+def strip(expr: str) -> str:
+    ws = WHITESPACE_CLASS
+    return f"regexp_replace({expr}, {q('^' + ws + '+|' + ws + '+$')}, '', 'g')"
