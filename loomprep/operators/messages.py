@@ -75,7 +75,7 @@ def lift_messages(col, kind: str) -> Column:
 # ---- P2, P3, P4 ----------------------------------------------------------
 
 def _first_text(content: Column) -> Column:
-    return F.try_element_at(F.filter(content, lambda i: i["type"] == "text"), F.lit(1))["text"]
+    return F.get(F.filter(content, lambda i: i["type"] == "text"), 0)["text"]
 
 
 def message_language(messages) -> Column:
@@ -83,7 +83,7 @@ def message_language(messages) -> Column:
     when there is none."""
     users = F.filter(_c(messages), lambda m: (m["role"] == "user")
                      & F.exists(m["content"], lambda i: i["type"] == "text"))
-    first = F.try_element_at(users, F.lit(1))
+    first = F.get(users, 0)
     return F.when(F.size(users) > 0,
                   language_tag(F.coalesce(_first_text(first["content"]), F.lit("")))).otherwise(F.lit("en"))
 
@@ -102,7 +102,7 @@ def with_system_message(messages, enabled: bool = True, override: str | None = N
     m = _c(messages)
     if not enabled:
         return m
-    first_role = F.try_element_at(m, F.lit(1))["role"]
+    first_role = F.get(m, 0)["role"]
     return F.when(F.coalesce(first_role == "system", F.lit(False)), m) \
         .otherwise(F.concat(F.array(system_message(message_language(m), override)), m))
 
@@ -184,7 +184,13 @@ def valid_image_sample(has_payload, caption, use_assistant: bool = False) -> Col
 
 
 def text_sample_messages(text, system: bool = True, system_override: str | None = None) -> Column:
-    return with_system_message(F.array(text_message("user", text)), system, system_override)
+    """``[system?, user(text)]``; the first message is a user one, so the
+    system message is always added when enabled."""
+    user = F.array(text_message("user", text))
+    if not system:
+        return user
+    lang = language_tag(F.coalesce(_c(text).cast("string"), F.lit("")))
+    return F.concat(F.array(system_message(lang, system_override)), user)
 
 
 def image_source() -> Column:

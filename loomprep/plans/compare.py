@@ -32,21 +32,32 @@ def duckdb_result(sql: str, sf_dir: str):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     rel = con.execute(sql)
     cols = [d[0] for d in rel.description]
+    types = [str(d[1]) for d in rel.description]
     rows = rel.fetchall()
     con.close()
-    return cols, rows
+    return cols, rows, types
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "tinyint": "TINYINT", "smallint": "SMALLINT",
+                 "binary": "BLOB"}
 
 
 def compare(spark_df, sql: str, sf_dir: str, digits: int = 6) -> dict:
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
-    d_cols, d_rows = duckdb_result(sql, sf_dir)
+    d_cols, d_rows, d_types = duckdb_result(sql, sf_dir)
     out = {"spark_rows": len(s_rows), "oracle_rows": len(d_rows),
            "columns_match": sorted(s_cols) == sorted(d_cols)}
     if not out["columns_match"]:
         out["spark_cols"], out["oracle_cols"] = s_cols, d_cols
         out["match"] = False
         return out
+    st = dict(spark_df.dtypes)
+    dt = dict(zip(d_cols, d_types))
+    mism = {c: (st[c], dt[c]) for c in s_cols if SPARK_TO_DUCK.get(st[c], st[c].upper()) != dt[c]}
+    if mism:
+        out["type_mismatch"] = mism
     order = sorted(s_cols)
     si = [s_cols.index(c) for c in order]
     di = [d_cols.index(c) for c in order]

@@ -18,7 +18,7 @@ def _flat(msgs_col: str = "messages"):
     m = F.col(msgs_col)
     return [F.size(m).alias("n_messages"),
             F.array_join(F.transform(m, lambda x: x["role"]), ",").alias("roles"),
-            F.try_element_at(m, F.lit(1))["content"][0]["text"].alias("first_text")]
+            F.get(m, 0)["content"][0]["text"].alias("first_text")]
 
 
 def _lst(items) -> str:
@@ -66,7 +66,7 @@ def scan_optional(spark, sf):
 
 
 @register("conversation_messages", """
-SELECT conv_id, count(*) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles,
+SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles,
        arg_min(text, turn) AS first_text
 FROM conversations GROUP BY conv_id""")
 def conversation_messages(spark, sf):
@@ -116,7 +116,7 @@ WITH {LANG_CTE.strip()},
 fr AS (SELECT conv_id, arg_min(role, turn) AS first_role, arg_min(text, turn) AS first_text0,
               count(*) AS n FROM conversations GROUP BY conv_id)
 SELECT fr.conv_id,
-       CASE WHEN first_role = 'system' THEN n ELSE n + 1 END AS n_messages,
+       CAST(CASE WHEN first_role = 'system' THEN n ELSE n + 1 END AS INTEGER) AS n_messages,
        CASE WHEN first_role = 'system' THEN first_text0 ELSE {SYS_BY_LANG} END AS first_text,
        first_role <> 'system' AS added
 FROM fr JOIN lg ON lg.conv_id = fr.conv_id""")
@@ -136,7 +136,7 @@ def generation_flag(spark, sf):
     return m.select("conv_id", M.generation_flag("messages").alias("add_generation_prompt"))
 
 
-@register("caption_pick", f"WITH {CAPTIONED_CTE.strip()} SELECT item_id, len(caps) AS n_captions, caption FROM cp")
+@register("caption_pick", f"WITH {CAPTIONED_CTE.strip()} SELECT item_id, CAST(len(caps) AS INTEGER) AS n_captions, caption FROM cp")
 def caption_pick(spark, sf):
     c = _captioned(spark, sf)
     return c.select("item_id", F.size(M.clean_captions("answer")).alias("n_captions"),
@@ -183,7 +183,7 @@ v AS (SELECT *, row_number() OVER (ORDER BY item_id) - 1 AS rk FROM cp WHERE has
 pr AS (SELECT *, {_lst(MIXED)}[rk % {len(MIXED)} + 1] AS prompt FROM v),
 m AS (SELECT *, {cjk('prompt')} = {cjk('caption')} AS with_assistant,
              CASE WHEN {cjk('prompt')} THEN 'zh' ELSE 'en' END AS lang FROM pr)
-SELECT item_id, CASE WHEN with_assistant THEN 3 ELSE 2 END AS n_messages,
+SELECT item_id, CAST(CASE WHEN with_assistant THEN 3 ELSE 2 END AS INTEGER) AS n_messages,
        CASE WHEN with_assistant THEN 'system,user,assistant' ELSE 'system,user' END AS roles,
        {SYS_BY_LANG} AS first_text, prompt,
        CASE WHEN with_assistant THEN caption END AS assistant_text
@@ -191,5 +191,5 @@ FROM m""")
 def build_messages(spark, sf):
     s = M.image_samples(_captioned(spark, sf), mode="mixed", use_assistant=True,
                         require_lang_match=True)
-    asst = F.try_element_at(F.filter("messages", lambda x: x["role"] == "assistant"), F.lit(1))
+    asst = F.get(F.filter("messages", lambda x: x["role"] == "assistant"), 0)
     return s.select("item_id", *_flat(), "prompt", asst["content"][0]["text"].alias("assistant_text"))

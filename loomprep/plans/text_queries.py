@@ -15,7 +15,7 @@ MIX_PATTERN = "en,fr,en"
 
 
 @register("normalize_text", f"""
-SELECT doc_id, lang, {norm('text')} AS text_norm, length({norm('text')}) AS norm_chars
+SELECT doc_id, lang, {norm('text')} AS text_norm, CAST(length({norm('text')}) AS INTEGER) AS norm_chars
 FROM documents""")
 def normalize_text(spark, sf):
     d = table(spark, sf, "documents")
@@ -31,7 +31,7 @@ def contains_cjk(spark, sf):
 
 
 @register("min_length_filter", f"""
-SELECT doc_id, lang, length({norm('text')}) AS norm_chars FROM documents
+SELECT doc_id, lang, CAST(length({norm('text')}) AS INTEGER) AS norm_chars FROM documents
 WHERE length({norm('text')}) >= {MIN_TEXT_CHARS}""")
 def min_length_filter(spark, sf):
     d = table(spark, sf, "documents")
@@ -55,10 +55,11 @@ def bottomk_sample(spark, sf):
     return S.bottomk_sample(d, NUM_TEXT_CALIB, "doc_id", seed=SEED)
 
 
-def _rr_sql(n: int) -> str:
+def rr_ctes(n: int) -> str:
+    """CTEs ending in ``kept`` (the round-robin mix keys, at most n rows)."""
     en_seed, other = TEXT_SEEDS["en"], SEED
     return f"""
-WITH d AS (
+d AS (
   SELECT doc_id, lang,
          md5(concat_ws(':', CASE WHEN lang = 'en' THEN '{en_seed}' ELSE '{other}' END,
                        CAST(doc_id AS VARCHAR))) AS k,
@@ -76,7 +77,11 @@ keyed AS (
   FROM r),
 kept AS (
   SELECT * FROM keyed, e WHERE mix_key < end_key AND len >= {MIN_TEXT_CHARS}
-  ORDER BY mix_key LIMIT {n})
+  ORDER BY mix_key LIMIT {n})"""
+
+
+def _rr_sql(n: int) -> str:
+    return f"""WITH {rr_ctes(n).strip()}
 SELECT CAST(row_number() OVER (ORDER BY mix_key) - 1 AS BIGINT) AS seq, kept.doc_id, kept.lang,
        'wikipedia_' || kept.lang AS source, mix_key, rk AS lang_rank, {norm('documents.text')} AS text
 FROM kept JOIN documents ON documents.doc_id = kept.doc_id"""
