@@ -1,4 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from . import message_queries, mix_queries, sequence_queries, text_queries  # noqa: F401
+from . import message_queries, mix_queries, select_queries, sequence_queries, text_queries  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
