@@ -1,5 +1,5 @@
 """Imports every query module so the registry is complete."""
 
 from . import (message_queries, mix_queries, select_queries, sequence_queries,  # noqa: F401
-               text_queries, vision_queries)
+               text_queries, vector_queries, vision_queries)
 from .registry import ORACLE, QUERIES  # noqa: F401
