@@ -81,5 +81,9 @@ WHITESPACE_CLASS = (
     r"[\t-\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# The same set as single characters (for translate()).
+WHITESPACE_CHARS = "".join(
+    chr(c) for c in [*range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680,
+                     *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 # CJK unified ideographs block only (kana, hangul and extensions excluded).
 CJK_CLASS = r"[\x{4e00}-\x{9fff}]"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import (MAX_TEXT_CHARS, MIN_TEXT_CHARS, NUM_CALIB, NUM_IMAGE_CALIB,
                                    NUM_TEXT_CALIB, SEED)
 from ..functions.hashing import seeded_key
+from ..session import materialize
 from . import messages as M
 from .sampling import bottomk_sample, quota_targets, ratio_interleave, round_robin_mix
 
@@ -56,12 +57,14 @@ def calibration_mix(docs: DataFrame, captioned: DataFrame, n: int = NUM_CALIB, *
     text_target, _ = quota_targets(n, text_quota, image_quota, F.lit(0))
     texts = text_samples(docs, pattern, text_target, seeds=seeds, seed=seed, min_chars=min_chars,
                          max_chars=max_chars, system=system, system_override=system_override)
+    texts = materialize(texts, "mix-texts")            # <= text_target rows
     got = texts.agg(F.count(F.lit(1))).scalar()
     _, image_target = quota_targets(n, text_quota, image_quota, got)
     images = sampled_images(captioned, image_target, n, seed=seed, mode=mode,
                             use_assistant=use_assistant, require_lang_match=require_lang_match,
                             system=system, system_override=system_override)
-    images = images.select("item_id", "source", "text", "messages", "shuffle_key")
+    images = materialize(images.select("item_id", "source", "text", "messages", "shuffle_key"),
+                         "mix-images")                  # <= n rows
     mixed = ratio_interleave(images, texts.select("item_id", "source", "text", "messages", "seq"), n,
                              image_order="shuffle_key", text_order="seq")
     return mixed.select("mix_seq", "source", "item_id", "text", "messages")

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import MAX_TEXT_CHARS, MIN_TEXT_CHARS, SEED, TEXT_SOURCE_PREFIX
 from ..functions.hashing import seeded_key
 from ..functions.text import normalize_text
+from ..session import materialize
+from ..sources.tables import spread
 from .ranking import bucketed_rank, hash_bucket
 
 
@@ -91,11 +92,13 @@ def round_robin_mix(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
 
     # Narrow projection: only the key, the language and the normalised length
     # travel through the shuffles; the text is joined back for the kept rows.
-    narrow = (docs.where(lang.isin(streamed))
+    narrow = (spread(docs.where(lang.isin(streamed)), id_col)
               .select(F.col(id_col).alias("_id"), lang.alias("_lang"),
                       F.md5(F.concat_ws(":", seed_expr, F.col(id_col).cast("string"))).alias("_key"),
-                      F.length(normalize_text(text_col, max_chars)).alias("_len"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+                      F.length(normalize_text(text_col, max_chars)).alias("_len")))
+    # written once: the ranks, the per-language counts and the stop key all
+    # scan it, and the text is normalised only in this one pass
+    narrow = materialize(narrow, "rr-keys")
 
     def key_of(rank: Column, l: str) -> Column:
         w = len(slots[l])
@@ -125,9 +128,10 @@ def round_robin_mix(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
                       F.col("mix_key"), F.col("_rank").alias("lang_rank"))
     if with_text:
         # kept has at most n rows (the quota): a bounded broadcast.
-        texts = docs.select(F.col(id_col), normalize_text(text_col, max_chars).alias("text"))
-        out = texts.join(F.broadcast(out), id_col, "inner")
-        out = out.select("seq", id_col, lang_col, "source", "mix_key", "lang_rank", "text")
+        raw = docs.select(F.col(id_col), F.col(text_col).alias("_raw"))
+        out = raw.join(F.broadcast(out), id_col, "inner")
+        out = out.select("seq", id_col, lang_col, "source", "mix_key", "lang_rank",
+                         normalize_text("_raw", max_chars).alias("text"))
     return out
 
 

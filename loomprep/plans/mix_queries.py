@@ -145,7 +145,7 @@ def encode_defaults(spark, sf):
 
 
 def _doc_samples(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread_small=True)
     msgs = M.text_sample_messages(F.col("text"))
     r = d.select("doc_id", msgs.alias("messages")) \
         .withColumn("enc", P.render_chat("messages", M.generation_flag("messages")))

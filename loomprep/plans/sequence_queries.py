@@ -53,7 +53,7 @@ tk AS (SELECT sample_id, CAST(generate_subscripts(ids, 1) - 1 AS INTEGER) AS pos
 
 
 def _mm(spark, sf):
-    conv = table(spark, sf, "conversations")
+    conv = table(spark, sf, "conversations", spread_small=True)
     seqs = K.mm_sequences(conv)
     ok = seqs.where(Q.capacity_reason(F.size("input_ids"), prefill_len=CONTEXT_LEN).isNull())
     return ok, K.vision_grids(conv)
@@ -209,7 +209,7 @@ SELECT sample_id, pos, token_id, {ESUM.format('e.embedding')} AS emb_sum,
        CASE WHEN e.vec_id IS NULL THEN 'unknown_id' END AS status
 FROM tt LEFT JOIN embeddings e ON e.vec_id = tt.token_id""")
 def embedding_gather(spark, sf):
-    toks = K.token_rows(K.text_sequences(table(spark, sf, "conversations")))
+    toks = K.token_rows(K.text_sequences(table(spark, sf, "conversations", spread_small=True)))
     g = Q.embedding_gather(toks, table(spark, sf, "embeddings"))
     return g.select("sample_id", "pos", "token_id", _esum(F.col("embedding")).alias("emb_sum"), "status")
 

@@ -18,7 +18,7 @@ MIX_PATTERN = "en,fr,en"
 SELECT doc_id, lang, {norm('text')} AS text_norm, CAST(length({norm('text')}) AS INTEGER) AS norm_chars
 FROM documents""")
 def normalize_text(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread_small=True)
     n = T.normalize_text("text")
     return d.select("doc_id", "lang", n.alias("text_norm"), F.length(n).alias("norm_chars"))
 
@@ -34,7 +34,7 @@ def contains_cjk(spark, sf):
 SELECT doc_id, lang, CAST(length({norm('text')}) AS INTEGER) AS norm_chars FROM documents
 WHERE length({norm('text')}) >= {MIN_TEXT_CHARS}""")
 def min_length_filter(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread_small=True)
     return (d.select("doc_id", "lang", F.length(T.normalize_text("text")).alias("norm_chars"))
             .where(F.col("norm_chars") >= MIN_TEXT_CHARS))
 

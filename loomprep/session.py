@@ -48,3 +48,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="loomprep-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df, label: str = "stage"):
+    """Compute ``df`` once, write it as parquet under the session's shared
+    checkpoint folder and read it back: the lineage is cut, later actions
+    reuse the files, and a lost executor does not force recomputation of the
+    upstream plan.  Used for bounded intermediates (sample quotas) and for
+    narrow key tables that several later steps scan."""
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/loomprep-{label}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

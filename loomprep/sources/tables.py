@@ -8,6 +8,23 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+# row key of each table, used to spread a scan that yields too few splits
+KEYS = {"documents": "doc_id", "conversations": "conv_id", "embeddings": "vec_id",
+        "events": "event_id", "pages": "page_id", "labels": "doc_id", "benchmark": "item_id"}
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+def spread(df: DataFrame, key: str | None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition by ``key`` only when the scan has fewer partitions
+    than the cluster's default parallelism (a file with one row group is one
+    task).  On large inputs the scan already has many splits and this is a
+    no-op, so no shuffle is added there."""
+    if key is None or key not in df.columns:
+        return df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want, key) if have < want else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, KEYS.get(name)) if spread_small else df
