@@ -60,6 +60,29 @@ def conversation_messages(conversations: DataFrame, key: str = "conv_id", order:
             .select(key, F.transform("_turns", lambda x: text_message(x["r"], x["t"])).alias("messages")))
 
 
+def conversation_sizes(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Rendered size of each conversation computed on the long form with a
+    partial aggregation (skew-safe): per turn ``3 + words`` (the stand-in
+    renderer's count) plus the generation prompt when no assistant turn."""
+    from ..functions.text import whitespace_tokens
+    return (conversations.groupBy(key)
+            .agg(F.sum(3 + F.size(whitespace_tokens("text"))).alias("_n"),
+                 F.count_if(F.col("role") == "assistant").alias("_a"))
+            .select(key, (F.col("_n") + F.when(F.col("_a") == 0, 2).otherwise(0)).cast("int").alias("n_tokens")))
+
+
+def assemble_conversations(conversations: DataFrame, max_tokens: int, key: str = "conv_id",
+                           order: str = "turn") -> tuple[DataFrame, DataFrame]:
+    """Message lists only for conversations that fit ``max_tokens``; the
+    others come back as ``long`` rejects without ever being collected into
+    one row.  This bounds every collected group by the admission limit."""
+    sizes = conversation_sizes(conversations, key)
+    ok = sizes.where(F.col("n_tokens") <= int(max_tokens)).select(key)
+    rejected = sizes.where(F.col("n_tokens") > int(max_tokens)).withColumn("skip_reason", F.lit("long"))
+    msgs = conversation_messages(conversations.join(ok, key, "left_semi"), key, order)
+    return msgs, rejected
+
+
 def lift_messages(col, kind: str) -> Column:
     """Canonical message list from the accepted input shapes: ``messages``
     (already a list), ``message`` (one message struct) or ``text`` (plain

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.constants import (EN_IMAGE_PROMPTS, SEED, SYSTEM_PROMPT_EN, SYSTEM_PROMPT_ZH,
-                                   ZH_IMAGE_PROMPTS)
+from ..functions.constants import (EN_IMAGE_PROMPTS, MAX_TOKENS, SEED, SYSTEM_PROMPT_EN,
+                                   SYSTEM_PROMPT_ZH, ZH_IMAGE_PROMPTS)
 from ..operators import messages as M
 from ..sources.captioned import ITEM_STRIDE, captioned_images, scan_optional_columns
 from ..sources.tables import table
 from .registry import register
-from .sql import cjk, collapse, q, strip
+from .sql import cjk, collapse, q, strip, words
 
 
 def _flat(msgs_col: str = "messages"):
@@ -55,6 +55,20 @@ cp AS (
   FROM cc)"""
 
 
+def _conv_messages(spark, sf):
+    """Message lists of the conversations that fit the token limit."""
+    msgs, _ = M.assemble_conversations(table(spark, sf, "conversations"), MAX_TOKENS)
+    return msgs
+
+
+# conversations that fit the token limit (stand-in rendered size)
+FITS = f"""
+fit AS (SELECT conv_id FROM (
+          SELECT conv_id, sum(3 + len({words('text')})) +
+                 CASE WHEN count(*) FILTER (WHERE role = 'assistant') = 0 THEN 2 ELSE 0 END AS n
+          FROM conversations GROUP BY conv_id) WHERE n <= {MAX_TOKENS})"""
+
+
 def _captioned(spark, sf):
     return captioned_images(table(spark, sf, "conversations"), table(spark, sf, "pages"))
 
@@ -65,18 +79,20 @@ def scan_optional(spark, sf):
                                  ("conv_id", "turn", "role", "text", "question", "answer", "image"))
 
 
-@register("conversation_messages", """
+@register("conversation_messages", f"""
+WITH {FITS.strip()}
 SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles,
        arg_min(text, turn) AS first_text
-FROM conversations GROUP BY conv_id""")
+FROM conversations WHERE conv_id IN (SELECT conv_id FROM fit) GROUP BY conv_id""")
 def conversation_messages(spark, sf):
-    m = M.conversation_messages(table(spark, sf, "conversations"))
-    return m.select("conv_id", *_flat())
+    return _conv_messages(spark, sf).select("conv_id", *_flat())
 
 
-@register("message_language", f"WITH {LANG_CTE.strip()} SELECT conv_id, lang FROM lg")
+@register("message_language", f"""
+WITH {LANG_CTE.strip()}, {FITS.strip()}
+SELECT conv_id, lang FROM lg WHERE conv_id IN (SELECT conv_id FROM fit)""")
 def message_language(spark, sf):
-    m = M.conversation_messages(table(spark, sf, "conversations"))
+    m = _conv_messages(spark, sf)
     return m.select("conv_id", M.message_language("messages").alias("lang"))
 
 
@@ -112,27 +128,29 @@ def language_match_rate(spark, sf):
 
 
 @register("with_system_message", f"""
-WITH {LANG_CTE.strip()},
+WITH {LANG_CTE.strip()}, {FITS.strip()},
 fr AS (SELECT conv_id, arg_min(role, turn) AS first_role, arg_min(text, turn) AS first_text0,
               count(*) AS n FROM conversations GROUP BY conv_id)
 SELECT fr.conv_id,
        CAST(CASE WHEN first_role = 'system' THEN n ELSE n + 1 END AS INTEGER) AS n_messages,
        CASE WHEN first_role = 'system' THEN first_text0 ELSE {SYS_BY_LANG} END AS first_text,
        first_role <> 'system' AS added
-FROM fr JOIN lg ON lg.conv_id = fr.conv_id""")
+FROM fr JOIN lg ON lg.conv_id = fr.conv_id
+WHERE fr.conv_id IN (SELECT conv_id FROM fit)""")
 def with_system_message(spark, sf):
-    m = M.conversation_messages(table(spark, sf, "conversations"))
+    m = _conv_messages(spark, sf)
     s = m.withColumn("sys", M.with_system_message("messages"))
     return s.select("conv_id", F.size("sys").alias("n_messages"),
                     F.col("sys")[0]["content"][0]["text"].alias("first_text"),
                     (F.size("sys") > F.size("messages")).alias("added"))
 
 
-@register("generation_flag", """
+@register("generation_flag", f"""
+WITH {FITS.strip()}
 SELECT conv_id, count(*) FILTER (WHERE role = 'assistant') = 0 AS add_generation_prompt
-FROM conversations GROUP BY conv_id""")
+FROM conversations WHERE conv_id IN (SELECT conv_id FROM fit) GROUP BY conv_id""")
 def generation_flag(spark, sf):
-    m = M.conversation_messages(table(spark, sf, "conversations"))
+    m = _conv_messages(spark, sf)
     return m.select("conv_id", M.generation_flag("messages").alias("add_generation_prompt"))
 
 

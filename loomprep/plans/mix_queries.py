@@ -106,7 +106,8 @@ def mix_counts(spark, sf):
 # ------------------------------------------------------------ render / admit
 
 def _rendered_conversations(spark, sf):
-    m = M.conversation_messages(table(spark, sf, "conversations"))
+    from .message_queries import _conv_messages
+    m = _conv_messages(spark, sf)
     r = m.withColumn("enc", P.render_chat("messages", M.generation_flag("messages")))
     return r.select("conv_id", "enc.input_ids", "enc.error")
 
@@ -122,7 +123,7 @@ conv AS (
 conv_tok AS (
   SELECT conv_id, CAST(n + CASE WHEN gen THEN 2 ELSE 0 END AS INTEGER) AS n_tokens,
          CAST(s + CASE WHEN gen THEN {P.MSG_START_ID} + {hashed_id("'assistant'", V)} ELSE 0 END AS BIGINT) AS id_sum
-  FROM conv)"""
+  FROM conv WHERE n + CASE WHEN gen THEN 2 ELSE 0 END <= {MAX_TOKENS})"""
 
 
 @register("render_chat", f"""

@@ -125,3 +125,17 @@ def test_visual_mask_padding(spark):
     df = spark.createDataFrame([([1, 151655, 151656, 2],)], "ids array<int>")
     m = one_row(df, Q.visual_mask("ids", chunk=3))
     assert m == [False, True, True, False, False, False]
+
+
+def test_assembly_gate_rejects_long_conversations(spark):
+    from conftest import SF01
+    conv = spark.read.parquet(f"{SF01}/conversations.parquet")
+    msgs, rej = M.assemble_conversations(conv, 300)
+    sizes = {r.conv_id: r.n_tokens for r in M.conversation_sizes(conv).collect()}
+    assert {r.conv_id for r in msgs.collect()} == {c for c, n in sizes.items() if n <= 300}
+    assert {r.conv_id for r in rej.collect()} == {c for c, n in sizes.items() if n > 300}
+    assert {r.skip_reason for r in rej.collect()} == {"long"}
+    # the size is the rendered length of the stand-in renderer
+    r = msgs.withColumn("enc", P.render_chat("messages", M.generation_flag("messages")))
+    for row in r.select("conv_id", F.size("enc.input_ids").alias("n")).collect():
+        assert row.n == sizes[row.conv_id]
