@@ -111,24 +111,26 @@ def sequence_positions(tokens: DataFrame, grids: DataFrame, merge: int = MERGE_S
     w = Window.partitionBy("sample_id").orderBy("pos")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     m = F.col("mask") == 1
-    t = t.withColumn("_i", F.sum(F.when(m, 1).otherwise(0)).over(run) - 1) \
-        .withColumn("_prev", F.lag(F.when(m, F.col("token_id"))).over(w))
+    # columns are added in a few batches (withColumns): each batch is one
+    # analysis of the plan instead of one per column
+    t = t.withColumns({"_i": F.sum(F.when(m, 1).otherwise(0)).over(run) - 1,
+                       "_prev": F.lag(F.when(m, F.col("token_id"))).over(w)})
     is_img = m & (F.col("_prev") == start_id) & (F.col("token_id") == image_id)
     is_vid = m & (F.col("_prev") == start_id) & (F.col("token_id") == video_id)
-    t = t.withColumn("_img_ord", F.sum(F.when(is_img, 1).otherwise(0)).over(run) - 1) \
-        .withColumn("_vid_ord", F.sum(F.when(is_vid, 1).otherwise(0)).over(run) - 1) \
-        .withColumn("_blk", is_img | is_vid)
-    grid = F.when(is_img, F.get(F.col("_img"), F.col("_img_ord"))) \
-        .when(is_vid, F.get(F.col("_vid"), F.col("_vid_ord")))
-    t = t.withColumn("_g", grid)
+    t = t.withColumns({"_img_ord": F.sum(F.when(is_img, 1).otherwise(0)).over(run) - 1,
+                       "_vid_ord": F.sum(F.when(is_vid, 1).otherwise(0)).over(run) - 1,
+                       "_is_img": is_img, "_blk": is_img | is_vid})
+    g = F.when(F.col("_is_img"), F.get(F.col("_img"), F.col("_img_ord"))) \
+        .when(F.col("_blk"), F.get(F.col("_vid"), F.col("_vid_ord")))
+    t = t.withColumn("_g", g)
     n_b = F.col("_g.t") * F.col("_g.h") * F.col("_g.w")
     a_b = F.greatest(F.col("_g.t"), F.col("_g.h"), F.col("_g.w"))
     t = t.withColumn("_info", F.when(F.col("_blk"), F.struct(
         F.col("_i").alias("s"), n_b.alias("n"), a_b.alias("a"), F.col("_g.h").alias("h"),
         F.col("_g.w").alias("w"), F.col("_g").isNull().alias("missing"),
-        F.when(is_img, F.lit(image_id)).otherwise(F.lit(video_id)).alias("pad"))))
-    t = t.withColumn("_shrink", F.sum(F.coalesce(F.col("_info.n") - F.col("_info.a"), F.lit(0))).over(run)) \
-        .withColumn("_last", F.last("_info", ignorenulls=True).over(run))
+        F.when(F.col("_is_img"), F.lit(image_id)).otherwise(F.lit(video_id)).alias("pad"))))
+    t = t.withColumns({"_shrink": F.sum(F.coalesce(F.col("_info.n") - F.col("_info.a"), F.lit(0))).over(run),
+                       "_last": F.last("_info", ignorenulls=True).over(run)})
     i = F.col("_i")
     s, n, a = F.col("_last.s"), F.col("_last.n"), F.col("_last.a")
     hh, ww = F.col("_last.h"), F.col("_last.w")
@@ -137,16 +139,18 @@ def sequence_positions(tokens: DataFrame, grids: DataFrame, merge: int = MERGE_S
     base = s - (F.col("_shrink") - (n - a))
     txt = i - F.col("_shrink")
     one = F.lit(1)
-    t = t.withColumn("pos_t", F.when(~m, one).when(in_blk, base + F.floor(j / (hh * ww))).otherwise(txt)) \
-        .withColumn("pos_h", F.when(~m, one).when(in_blk, base + F.pmod(F.floor(j / ww), hh)).otherwise(txt)) \
-        .withColumn("pos_w", F.when(~m, one).when(in_blk, base + F.pmod(j, ww)).otherwise(txt))
+    t = t.withColumns({
+        "pos_t": F.when(~m, one).when(in_blk, base + F.floor(j / (hh * ww))).otherwise(txt),
+        "pos_h": F.when(~m, one).when(in_blk, base + F.pmod(F.floor(j / ww), hh)).otherwise(txt),
+        "pos_w": F.when(~m, one).when(in_blk, base + F.pmod(j, ww)).otherwise(txt),
+        "_in_blk": in_blk})
     pad_tok = F.col("token_id").isin(image_id, video_id)
-    bad = (in_blk & (F.col("token_id") != F.col("_last.pad"))) | (m & pad_tok & ~in_blk)
+    bad = (F.col("_in_blk") & (F.col("token_id") != F.col("_last.pad"))) | (m & pad_tok & ~F.col("_in_blk"))
     ws = Window.partitionBy("sample_id")
-    t = t.withColumn("_mx", F.max(F.when(m, F.greatest("pos_t", "pos_h", "pos_w"))).over(ws)) \
-        .withColumn("_len", F.count(F.lit(1)).over(ws)) \
-        .withColumn("_missing", F.max(F.coalesce(F.col("_info.missing"), F.lit(False))).over(ws)) \
-        .withColumn("_bad", F.max(F.coalesce(bad, F.lit(False))).over(ws))
+    t = t.withColumns({"_mx": F.max(F.when(m, F.greatest("pos_t", "pos_h", "pos_w"))).over(ws),
+                       "_len": F.count(F.lit(1)).over(ws),
+                       "_missing": F.max(F.coalesce(F.col("_info.missing"), F.lit(False))).over(ws),
+                       "_bad": F.max(F.coalesce(bad, F.lit(False))).over(ws)})
     status = F.when(F.col("_missing"), F.lit("missing_grid")).when(F.col("_bad"), F.lit("grid_mismatch"))
     cols = ["sample_id", "pos", "token_id"] + (["mask"] if has_mask else [])
     return t.select(*cols, F.col("pos_t").cast("bigint").alias("pos_t"),

@@ -38,15 +38,22 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; set a scratch one only if unset
     (tests and local runs).  On a cluster this is the shared folder the
-    cluster configuration names."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    cluster configuration names in ``spark.checkpoint.dir``."""
+    try:
+        sc = spark.sparkContext
+    except Exception:          # sessions without a JVM context (e.g. Connect)
+        sc = None
+    current = (sc.getCheckpointDir() if sc is not None else None) or \
+        spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="loomprep-ckpt-")
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
+    else:
+        spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 

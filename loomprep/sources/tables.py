@@ -20,8 +20,11 @@ def spread(df: DataFrame, key: str | None, min_partitions: int | None = None) ->
     no-op, so no shuffle is added there."""
     if key is None or key not in df.columns:
         return df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:          # no RDD view available: leave the plan as it is
+        return df
     return df.repartition(want, key) if have < want else df
 
 
