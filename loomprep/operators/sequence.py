@@ -261,6 +261,42 @@ def embedding_gather(tokens: DataFrame, vectors: DataFrame, id_col: str = "vec_i
     return j.withColumn("status", F.when(F.col("_vid").isNull(), F.lit("unknown_id"))).drop("_vid")
 
 
+def visual_ranks(tokens: DataFrame, out: str = "vis_idx", image_id: int = IMAGE_PAD_ID,
+                 video_id: int = VIDEO_PAD_ID) -> DataFrame:
+    """0-based rank of each visual position inside its sample (null for text
+    positions); computed on narrow token rows, per sample (bounded)."""
+    flag = F.col("token_id").isin(image_id, video_id)
+    w = Window.partitionBy("sample_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return tokens.withColumn(out, F.when(flag, F.sum(flag.cast("int")).over(w) - 1))
+
+
+def input_vectors(tokens: DataFrame, vectors: DataFrame, vision: DataFrame,
+                  sides: Sequence[DataFrame] = (), id_col: str = "vec_id", vec: str = "embedding",
+                  vis_rank: str = "vis_idx") -> DataFrame:
+    """J1 + J3 + J4 in one plan: the model input vector of every token row.
+
+    Visual positions take the vision vector of their rank plus the side
+    vectors (added in layer order); text positions gather from the vector
+    table.  Token rows are shuffled while narrow, the side layers are summed
+    on the (small) vision key before meeting the rows, and visual rows never
+    enter the gather join, so the pad id cannot become a hot join key.  A
+    visual row without a vision vector falls back to its token vector."""
+    r = tokens if vis_rank in tokens.columns else visual_ranks(tokens, vis_rank)
+    vt = vision.select("sample_id", vis_rank, F.col(vec).alias("_v"))
+    for i, sd in enumerate(sides):
+        sv = sd.select("sample_id", vis_rank, F.col(vec).alias(f"_s{i}"))
+        vt = vt.join(sv, ["sample_id", vis_rank], "left") \
+            .withColumn("_v", F.when(F.col(f"_s{i}").isNotNull(), F.zip_with("_v", f"_s{i}", lambda a, b: a + b))
+                        .otherwise(F.col("_v"))).drop(f"_s{i}")
+    vis = r.where(F.col(vis_rank).isNotNull()).join(vt, ["sample_id", vis_rank], "left")
+    got = vis.where(F.col("_v").isNotNull()).withColumnRenamed("_v", vec) \
+        .withColumn("status", F.lit(None).cast("string")).withColumn("from_vision", F.lit(True))
+    rest = vis.where(F.col("_v").isNull()).drop("_v") \
+        .unionByName(r.where(F.col(vis_rank).isNull()))
+    gathered = embedding_gather(rest, vectors, id_col, vec).withColumn("from_vision", F.lit(False))
+    return got.unionByName(gathered)
+
+
 def masked_replace(rows: DataFrame, vision: DataFrame, vis_rank: str = "vis_idx",
                    vec: str = "embedding", is_visual: Column | None = None) -> DataFrame:
     """Visual rows (by the visual mask) take the vision vectors in order:

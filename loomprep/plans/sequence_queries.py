@@ -241,8 +241,7 @@ SELECT sample_id, pos, token_id, vis_vec IS NOT NULL AS from_vision,
 FROM ve""")
 def masked_replace(spark, sf):
     seqs, _ = _mm(spark, sf)
-    g = Q.embedding_gather(K.token_rows(seqs), table(spark, sf, "embeddings"))
-    r = Q.masked_replace(g, _vision_vectors(spark, sf, seqs, 0))
+    r = Q.input_vectors(K.token_rows(seqs), table(spark, sf, "embeddings"), _vision_vectors(spark, sf, seqs, 0))
     return r.select("sample_id", "pos", "token_id", "from_vision", _esum(F.col("embedding")).alias("emb_sum"))
 
 
@@ -260,9 +259,8 @@ vv AS (SELECT *, CASE WHEN vis THEN
 SELECT sample_id, pos, token_id, {ESUM.format('vec')} AS emb_sum FROM vv""")
 def masked_add(spark, sf):
     seqs, _ = _mm(spark, sf)
-    g = Q.embedding_gather(K.token_rows(seqs), table(spark, sf, "embeddings"))
-    r = Q.masked_replace(g, _vision_vectors(spark, sf, seqs, 0))
-    a = Q.masked_add(r, [_vision_vectors(spark, sf, seqs, i) for i in (1, 2, 3)])
+    a = Q.input_vectors(K.token_rows(seqs), table(spark, sf, "embeddings"), _vision_vectors(spark, sf, seqs, 0),
+                        [_vision_vectors(spark, sf, seqs, i) for i in (1, 2, 3)])
     return a.select("sample_id", "pos", "token_id", _esum(F.col("embedding")).alias("emb_sum"))
 
 
