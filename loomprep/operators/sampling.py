@@ -20,14 +20,24 @@ from .ranking import bucketed_rank, hash_bucket
 
 
 def bottomk_sample(df: DataFrame, n: int, id_cols: Sequence[str] | str, seed=SEED,
-                   key_col: str = "sample_key") -> DataFrame:
+                   key_col: str = "sample_key", method: str = "take_ordered",
+                   digits: int = 4) -> DataFrame:
     """Uniform sample of ``n`` rows without replacement (all rows if fewer):
-    the ``n`` smallest ``md5(seed:id)``.  Plans as ``TakeOrderedAndProject``:
-    every partition keeps its own bottom-n, so only partitions x n rows meet
-    in the final merge, and bottom-k samples of parts merge exactly."""
+    the ``n`` smallest ``md5(seed:id)``; bottom-k samples of parts merge
+    exactly, so the result does not depend on partitioning.
+
+    ``take_ordered`` plans ``TakeOrderedAndProject``: every task keeps its
+    own bottom-n, and partitions x n rows meet in one final merge (a bounded
+    priority queue).  ``ranked`` is for inputs with very many partitions: the
+    key's leading hex digits bucket the rows, a bucketed rank is computed
+    everywhere and ``rank < n`` kept -- no single task sees more than one
+    bucket."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    return (df.withColumn(key_col, seeded_key(seed, *ids))
-            .orderBy(key_col, *ids).limit(int(n)))
+    keyed = df.withColumn(key_col, seeded_key(seed, *ids))
+    if method == "ranked":
+        r = bucketed_rank(keyed, [key_col, *ids], hash_bucket(key_col, digits), out="_bk_rank")
+        return r.where(F.col("_bk_rank") < int(n)).drop("_bk_rank")
+    return keyed.orderBy(key_col, *ids).limit(int(n))
 
 
 def seeded_shuffle(df: DataFrame, id_cols: Sequence[str] | str, seed=SEED,
