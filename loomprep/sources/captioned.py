@@ -40,18 +40,20 @@ def captioned_images(conversations: DataFrame, pages: DataFrame, stride: int = I
     return rows.join(img, "item_id", "left")
 
 
-def image_payload(image: str = "image", by_path: DataFrame | None = None,
-                  df: DataFrame | None = None):
-    """Payload of an image struct: non-empty ``bytes``, else the decoded file
-    found at ``path`` in ``by_path(path, data)`` (a left join; decoding of
-    files is Spark's image source), else null."""
+def inline_payload(image: str = "image") -> Column:
+    """Non-empty inline ``bytes`` of an image struct, else null."""
     b = F.col(f"{image}.bytes")
-    inline = F.when(F.length(b) > 0, b)
-    if by_path is None or df is None:
-        return inline
-    files = by_path.select(F.col("path").alias("_p"), F.col("data").alias("_data"))
-    return (df.join(files, F.col(f"{image}.path") == F.col("_p"), "left")
-            .withColumn("payload", F.coalesce(inline, F.col("_data"))).drop("_p", "_data"))
+    return F.when(F.length(b) > 0, b)
+
+
+def with_payload(df: DataFrame, files: DataFrame, image: str = "image", out: str = "payload") -> DataFrame:
+    """Payload of each row: non-empty inline ``bytes``, else the file found
+    at ``image.path`` in ``files(path, data)`` (for example Spark's image or
+    binaryFile source), else null.  A left join on the path; rows without a
+    payload stay (validity is decided later)."""
+    f = files.select(F.col("path").alias("_p"), F.col("data").alias("_data"))
+    return (df.join(f, F.col(f"{image}.path") == F.col("_p"), "left")
+            .withColumn(out, F.coalesce(inline_payload(image), F.col("_data"))).drop("_p", "_data"))
 
 
 def has_payload(image: str = "image") -> Column:

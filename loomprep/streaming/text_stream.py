@@ -10,7 +10,6 @@ arrived; ST4 reports running counts through ``observe``.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,46 +41,52 @@ def text_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: i
 
 
 def _work_dir(spark: SparkSession, name: str) -> str:
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, name)
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/" + name
+
+
+def _batches_before(spark: SparkSession, root: str, batch_id: int):
+    """Largest committed batch id below ``batch_id`` in the state dataset
+    (found through Spark, so any shared file system works)."""
+    try:
+        d = spark.read.parquet(root)
+    except Exception:              # nothing written yet
+        return None
+    r = d.where(F.col("batch") < batch_id).agg(F.max("batch").alias("b")).first()
+    return None if r is None else r.b
 
 
 def running_sample(spark: SparkSession, stream: DataFrame, k: int, id_col: str, seed=SEED,
                    name: str | None = None, trigger_available_now: bool = True):
     """Start a query that maintains the bottom-k sample by ``md5(seed:id)``.
 
-    Returns ``(query, read_sample)``: ``read_sample()`` gives the latest
-    sample.  State lives in the shared checkpoint folder of the session."""
+    State is one parquet dataset partitioned by ``batch`` in the session's
+    shared checkpoint folder; batch ``b`` holds the sample after micro-batch
+    ``b`` and is written with dynamic partition overwrite, so a replayed
+    batch rewrites exactly its own partition.  Returns ``(query,
+    read_sample)``; ``read_sample()`` gives the latest sample."""
     name = name or f"sample-{uuid.uuid4().hex[:8]}"
-    root = _work_dir(spark, name)
-    ckpt = os.path.join(root, "_checkpoint")
-
-    def latest_before(batch_id: int):
-        if not os.path.isdir(root):
-            return None
-        ids = sorted(int(d.split("=")[1]) for d in os.listdir(root)
-                     if d.startswith("batch=") and int(d.split("=")[1]) < batch_id
-                     and os.path.exists(os.path.join(root, d, "_SUCCESS")))
-        return ids[-1] if ids else None
+    root = _work_dir(spark, name) + "/state"
+    ckpt = _work_dir(spark, name) + "/_checkpoint"
 
     def merge(batch: DataFrame, batch_id: int):
-        cur = batch.withColumn("sample_key", seeded_key(seed, id_col))
-        prev_id = latest_before(batch_id)
+        sess = batch.sparkSession
+        cur = batch.select(id_col, *[c for c in batch.columns if c != id_col]) \
+            .withColumn("sample_key", seeded_key(seed, id_col))
+        prev_id = _batches_before(sess, root, batch_id)
         if prev_id is not None:
-            prev = batch.sparkSession.read.parquet(os.path.join(root, f"batch={prev_id}"))
+            prev = sess.read.parquet(root).where(F.col("batch") == prev_id).drop("batch")
             cur = prev.unionByName(cur.select(*prev.columns))
-        top = cur.orderBy("sample_key", id_col).limit(int(k))
-        top.write.mode("overwrite").parquet(os.path.join(root, f"batch={batch_id}"))
+        top = cur.orderBy("sample_key", id_col).limit(int(k)).withColumn("batch", F.lit(int(batch_id)))
+        (top.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(root))
 
     w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if trigger_available_now else w
     q = w.start()
 
     def read_sample():
-        last = latest_before(10 ** 18)
-        return None if last is None else spark.read.parquet(os.path.join(root, f"batch={last}"))
+        last = _batches_before(spark, root, 1 << 62)
+        return None if last is None else spark.read.parquet(root).where(F.col("batch") == last).drop("batch")
     return q, read_sample
 
 
@@ -103,13 +108,14 @@ def collect_until_quota(spark: SparkSession, stream: DataFrame, quota: int, id_c
         ranked = bucketed_rank(keyed, ["_k", id_col], hash_bucket("_k", 2), out="_r")
         offset = state["count"]
         out = ranked.withColumn("arrival", F.col("_r") + offset).drop("_k", "_r")
-        out.write.mode("overwrite").parquet(os.path.join(root, f"batch={batch_id}"))
-        n = spark.read.parquet(os.path.join(root, f"batch={batch_id}")).count()
+        path = f"{root}/batch={batch_id}"
+        out.write.mode("overwrite").parquet(path)
+        n = spark.read.parquet(path).count()
         state["count"] += n
         state["batches"].append({"batch": batch_id, "rows": n})
 
     q = (stream.writeStream.foreachBatch(append)
-         .option("checkpointLocation", os.path.join(root, "_checkpoint")).start())
+         .option("checkpointLocation", f"{root}/_checkpoint").start())
     try:
         while q.isActive and state["count"] < quota:
             q.processAllAvailable()
@@ -117,7 +123,7 @@ def collect_until_quota(spark: SparkSession, stream: DataFrame, quota: int, id_c
                 break
     finally:
         q.stop()
-    rows = spark.read.parquet(os.path.join(root, "batch=*")) if state["batches"] else None
+    rows = spark.read.parquet(f"{root}/batch=*") if state["batches"] else None
     if rows is not None:
         rows = rows.where(F.col("arrival") < quota)
     return rows, state

@@ -71,3 +71,15 @@ def test_patch_sink_fails_if_exists(spark):
 def test_safe_source_reports(spark):
     df, st = FS.safe_source(lambda: spark.read.parquet("/nonexistent/x.parquet"), "a long", spark, "wiki")
     assert df.count() == 0 and st["ok"] is False and "wiki" == st["source"]
+
+
+def test_payload_choice(spark):
+    from loomprep.sources.captioned import with_payload
+    rows = [(1, bytearray(b"abc"), "/x/a.png"), (2, bytearray(b""), "/x/b.png"), (3, None, "/x/missing.png"), (4, None, None)]
+    df = spark.createDataFrame(rows, "item_id long, b binary, p string") \
+        .selectExpr("item_id", "named_struct('bytes', b, 'path', p) AS image")
+    files = spark.createDataFrame([("/x/a.png", bytearray(b"FILE-A")), ("/x/b.png", bytearray(b"FILE-B"))],
+                                  "path string, data binary")
+    got = {r.item_id: (bytes(r.payload) if r.payload is not None else None)
+           for r in with_payload(df, files).collect()}
+    assert got == {1: b"abc", 2: b"FILE-B", 3: None, 4: None}

@@ -61,3 +61,19 @@ def test_progress_observation(spark):
     df, obs = with_progress(d.select("doc_id"), "docs")
     df.collect()
     assert obs.get["rows"] == d.count()
+
+
+def test_running_sample_replay_is_idempotent(spark):
+    """Running the same micro-batch id twice leaves the same sample."""
+    d, src = split_documents(spark)
+    s = ST.text_stream(spark, src, d.schema, max_files_per_trigger=2).select("doc_id", "lang")
+    q, read = ST.running_sample(spark, s, 40, "doc_id", seed=3, name="replay-test")
+    q.awaitTermination()
+    first = sorted(r.doc_id for r in read().collect())
+    # restart from the same checkpoint: no new data, nothing changes
+    q2, read2 = ST.running_sample(spark, ST.text_stream(spark, src, d.schema).select("doc_id", "lang"),
+                                  40, "doc_id", seed=3, name="replay-test")
+    q2.awaitTermination()
+    assert sorted(r.doc_id for r in read2().collect()) == first
+    want = sorted(r.doc_id for r in bottomk_sample(d.select("doc_id"), 40, "doc_id", seed=3).collect())
+    assert first == want
