@@ -241,7 +241,7 @@ def cjk_flag(text) -> Column:
 
 def image_samples(captioned: DataFrame, *, mode: str = "mixed", use_assistant: bool = False,
                   require_lang_match: bool = True, seed=SEED, system: bool = True,
-                  system_override: str | None = None, rank_width: int = 4096) -> DataFrame:
+                  system_override: str | None = None) -> DataFrame:
     """Captioned rows -> valid image samples with their rank among valid rows
     (input order = ``item_id``), prompt, caption and message list."""
     from ..sources.captioned import has_payload
@@ -249,7 +249,7 @@ def image_samples(captioned: DataFrame, *, mode: str = "mixed", use_assistant: b
     d = (captioned.withColumn("caption", pick_caption("answer", "item_id", seed=seed))
          .withColumn("has_image", has_payload("image")))
     v = valid_rank(d, valid_image_sample("has_image", "caption", use_assistant), "item_id",
-                   out="valid_rank", width=rank_width)
+                   out="valid_rank")
     v = v.withColumn("prompt", caption_prompt("question", "valid_rank", mode))
     return v.withColumn("messages", image_messages("prompt", "caption",
                                                    F.concat(F.lit("item:"), F.col("item_id").cast("string")),

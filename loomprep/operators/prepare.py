@@ -111,18 +111,28 @@ def encode_defaults(df: DataFrame, keep: Sequence[str] = (), keys: Sequence[str]
 
 
 def sort_by_length(df: DataFrame, order: str = "desc", length: str = "n_tokens", seq: str = "seq",
-                   out: str = "sort_rank", seed: int = 42, width: int = 4096) -> DataFrame:
+                   out: str = "sort_rank", seed: int = 42, seq_buckets: int = 256,
+                   max_rows: int | None = None) -> DataFrame:
     """Stable order by length (``asc``/``desc``), seeded ``shuffle`` or as is.
-    Adds a 0-based ``out``; computed with bucketed ranks, so one popular
-    length does not land in one task (ties split by ``seq`` buckets)."""
+    Adds a 0-based ``out``; computed with bucketed ranks on ``(length, seq
+    range)`` buckets, so one popular length does not land in one task; the
+    bucket table is bounded by distinct lengths x ``seq_buckets``.
+
+    ``max_rows``: the caller guarantees the input has at most this many rows
+    (a quota-capped mix); then one window ranks them directly."""
+    from pyspark.sql import Window
+    from .ranking import range_bucket
+    if max_rows is not None and order in ("asc", "desc"):
+        key = F.col(length).asc() if order == "asc" else F.col(length).desc()
+        return df.withColumn(out, (F.row_number().over(Window.orderBy(key, F.col(seq))) - 1).cast("bigint"))
     if order == "shuffle":
         from .sampling import seeded_shuffle
         return seeded_shuffle(df, seq, seed=seed, out=out)
     if order not in ("asc", "desc"):
-        return bucketed_rank(df, [seq], F.floor(F.col(seq) / width), out=out)
+        return bucketed_rank(df, [seq], range_bucket(df, seq), out=out)
     ln = F.col(length) if order == "asc" else -F.col(length)
     d = df.withColumn("_ord_len", ln)
-    bucket = F.struct(F.col("_ord_len").alias("l"), F.floor(F.col(seq) / width).alias("s"))
+    bucket = F.struct(F.col("_ord_len").alias("l"), range_bucket(d, seq, seq_buckets).alias("s"))
     return bucketed_rank(d, ["_ord_len", seq], bucket, out=out).drop("_ord_len")
 
 

@@ -50,14 +50,24 @@ def hash_bucket(hash_col: str, digits: int = 3) -> Column:
     return F.substring(F.col(hash_col), 1, digits)
 
 
-def id_bucket(id_col: str, width: int = 4096) -> Column:
-    """Ordered bucket for a numeric key."""
-    return F.floor(F.col(id_col) / F.lit(width))
+def range_bucket(df: DataFrame, id_col: str, buckets: int = 65536) -> Column:
+    """Ordered bucket for a numeric key: ``buckets`` equal ranges between
+    the key's min and max over ``df`` (one scalar subquery).  Any ``df``
+    whose key range encloses the ranked rows works (e.g. the input before a
+    filter), which keeps the bound query cheap.  The bucket count, and with
+    it the broadcast offset table, stays fixed however large the input
+    grows."""
+    b = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))
+    lo = b.select("lo").scalar()
+    hi = b.select("hi").scalar()
+    width = F.greatest(F.lit(1), F.ceil((hi - lo + 1) / F.lit(int(buckets))))
+    return F.floor((F.col(id_col) - lo) / width)
 
 
 def valid_rank(df: DataFrame, valid: Column | str, order_col: str, out: str = "valid_rank",
-               width: int = 4096) -> DataFrame:
+               buckets: int = 65536) -> DataFrame:
     """Rank among valid rows in input order (``valid_seen`` before the row).
     Invalid rows are dropped; ``order_col`` is the numeric input order."""
     v = F.col(valid) if isinstance(valid, str) else valid
-    return bucketed_rank(df.where(v), [order_col], id_bucket(order_col, width), out=out)
+    bounds = df.select(order_col)
+    return bucketed_rank(df.where(v), [order_col], range_bucket(bounds, order_col, buckets), out=out)

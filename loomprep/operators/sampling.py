@@ -41,7 +41,7 @@ def bottomk_sample(df: DataFrame, n: int, id_cols: Sequence[str] | str, seed=SEE
 
 
 def seeded_shuffle(df: DataFrame, id_cols: Sequence[str] | str, seed=SEED,
-                   out: str = "shuffle_rank", digits: int = 3,
+                   out: str = "shuffle_rank", digits: int = 4,
                    partition_by: Sequence[str] = ()) -> DataFrame:
     """Seeded permutation: 0-based rank ``out`` by ``(md5(seed:id), id)``,
     computed with bucketed ranks (no single-partition window)."""

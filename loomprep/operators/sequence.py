@@ -220,11 +220,11 @@ def capacity_reason(n_tokens, prefill_len: int = PREFILL_LEN, context_len: int =
 # ---- P19: batch padding -----------------------------------------------------
 
 def pad_batches(samples: DataFrame, batch_size: int, order: str = "sample_id", ids: str = "input_ids",
-                pad_id: int = 0, side: str = "left", width: int = 4096) -> DataFrame:
+                pad_id: int = 0, side: str = "left") -> DataFrame:
     """Batch = rank div size (bucketed rank, no single partition), padded to
     the longest sequence of its batch, with an attention mask."""
-    from .ranking import bucketed_rank, id_bucket
-    r = bucketed_rank(samples, [order], id_bucket(order, width), out="_rk")
+    from .ranking import bucketed_rank, range_bucket
+    r = bucketed_rank(samples, [order], range_bucket(samples, order), out="_rk")
     r = r.withColumn("batch_id", F.floor(F.col("_rk") / batch_size).cast("bigint")).drop("_rk")
     lens = r.groupBy("batch_id").agg(F.max(F.size(ids)).alias("padded_len"))
     r = r.join(lens, "batch_id")

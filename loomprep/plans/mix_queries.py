@@ -12,6 +12,7 @@ from ..operators import calibration as C
 from ..operators import messages as M
 from ..operators import prepare as P
 from ..operators.sampling import bottomk_sample, ratio_interleave
+from ..session import materialize
 from ..sources.tables import table
 from .message_queries import CAPTIONED_CTE, _captioned, _lst
 from .registry import register
@@ -185,8 +186,8 @@ SELECT doc_id, n_tokens, row_number() OVER (ORDER BY n_tokens DESC, doc_id) - 1
 FROM adm WHERE skip_reason IS NULL""")
 def sort_by_length(spark, sf):
     ok, _ = P.length_admission(_doc_samples(spark, sf))
-    return P.sort_by_length(ok.select("doc_id", "n_tokens"), "desc", seq="doc_id") \
-        .select("doc_id", "n_tokens", "sort_rank")
+    admitted = materialize(ok.select("doc_id", "n_tokens"), "admitted")   # rendered once
+    return P.sort_by_length(admitted, "desc", seq="doc_id").select("doc_id", "n_tokens", "sort_rank")
 
 
 # ------------------------------------------------------------- prepare
@@ -198,7 +199,7 @@ def _prepared(spark, sf):
     ok, _ = P.length_admission(r)
     e = P.encode_defaults(ok, keep=["mix_seq", "source", "n_tokens"])
     e = e.withColumn("has_image", F.col("source") == "coco_caption")
-    return P.sort_by_length(e, "desc", seq="mix_seq")
+    return P.sort_by_length(e, "desc", seq="mix_seq", max_rows=NUM_CALIB)   # the mix is capped at n
 
 
 def _n_en(p: str) -> int:
