@@ -149,14 +149,19 @@ def ratio_interleave(images: DataFrame, texts: DataFrame, n: int, *,
                      image_order: str = "seq", text_order: str = "seq") -> DataFrame:
     """Interleave ``k = max(1, round_half_even(I/T))`` images per text, then
     stop at ``n`` rows.  No images -> first n texts; no texts -> first n
-    images.  Both inputs are already bounded by the quota (<= n rows), so the
-    ranks here run over at most 2n rows."""
-    wi = Window.orderBy(image_order)
-    wt = Window.orderBy(text_order)
-    img = images.withColumn("_i", F.row_number().over(wi) - 1)
-    txt = texts.withColumn("_j", F.row_number().over(wt) - 1)
+    images.
+
+    ``k`` uses the full input counts (two aggregates); only the first ``n``
+    rows of either input can reach the first ``n`` of the mix, so each side
+    is first cut to its ``n`` first rows by a bounded ``TakeOrderedAndProject``
+    and the ranks below run over at most ``2n`` rows, whatever the inputs'
+    size."""
     n_img = images.agg(F.count(F.lit(1))).scalar()
     n_txt = texts.agg(F.count(F.lit(1))).scalar()
+    img = images.orderBy(image_order).limit(int(n))
+    txt = texts.orderBy(text_order).limit(int(n))
+    img = img.withColumn("_i", F.row_number().over(Window.orderBy(image_order)) - 1)
+    txt = txt.withColumn("_j", F.row_number().over(Window.orderBy(text_order)) - 1)
     k = F.greatest(F.lit(1), F.bround(n_img / F.greatest(F.lit(1), n_txt)).cast("bigint"))
     img = (img.withColumn("_round", F.floor(F.col("_i") / k)).withColumn("_slot", F.pmod(F.col("_i"), k))
            .drop("_i"))
