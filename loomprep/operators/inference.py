@@ -11,6 +11,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import types as T
@@ -67,3 +68,24 @@ def batch_predict(col: Column | str, make_predict_fn: Callable[[], Callable], re
     udf = predict_batch_udf(make_predict_fn, return_type=return_type, batch_size=batch_size,
                             input_tensor_shapes=shapes)
     return udf(col)
+
+
+def decode_bytes(col: Column | str, decode: Callable[[bytes], dict | None], return_type: T.StructType) -> Column:
+    """Apply a caller-supplied decoder (bytes -> dict of the struct's fields,
+    or None for an invalid payload) to a binary column, in Arrow batches on
+    the workers.  A decoder error yields a null row, never a failed task."""
+    from pyspark.sql.functions import pandas_udf
+
+    names = [f.name for f in return_type.fields]
+
+    @pandas_udf(return_type)
+    def _decode(s: pd.Series) -> pd.DataFrame:
+        out = []
+        for b in s:
+            try:
+                v = decode(bytes(b)) if b is not None else None
+            except Exception:
+                v = None
+            out.append(v if v is not None else {n: None for n in names})
+        return pd.DataFrame(out, columns=names)
+    return _decode(col)

@@ -83,3 +83,20 @@ def test_payload_choice(spark):
     got = {r.item_id: (bytes(r.payload) if r.payload is not None else None)
            for r in with_payload(df, files).collect()}
     assert got == {1: b"abc", 2: b"FILE-B", 3: None, 4: None}
+
+
+def test_decode_bytes_with_caller_decoder(spark):
+    from pyspark.sql import types as T
+    from loomprep.operators.inference import decode_bytes
+
+    def png_size(b):
+        if b[:8] != b"\x89PNG\r\n\x1a\n":
+            return None
+        w, h = struct.unpack(">II", b[16:24])
+        return {"width": w, "height": h}
+
+    rt = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())])
+    df = spark.createDataFrame([(1, bytearray(png(3, 2, [0] * 18))), (2, bytearray(b"junk")), (3, None)],
+                               "id long, b binary")
+    got = {r.id: (r.d.width, r.d.height) for r in df.select("id", decode_bytes("b", png_size, rt).alias("d")).collect()}
+    assert got == {1: (3, 2), 2: (None, None), 3: (None, None)}
