@@ -246,8 +246,9 @@ def image_samples(captioned: DataFrame, *, mode: str = "mixed", use_assistant: b
     (input order = ``item_id``), prompt, caption and message list."""
     from ..sources.captioned import has_payload
     from .ranking import valid_rank
-    d = (captioned.withColumn("caption", pick_caption("answer", "item_id", seed=seed))
-         .withColumn("has_image", has_payload("image")))
+    d = captioned.withColumn("caption", pick_caption("answer", "item_id", seed=seed))
+    if "has_image" not in d.columns:
+        d = d.withColumn("has_image", has_payload("image"))
     v = valid_rank(d, valid_image_sample("has_image", "caption", use_assistant), "item_id",
                    out="valid_rank")
     v = v.withColumn("prompt", caption_prompt("question", "valid_rank", mode))

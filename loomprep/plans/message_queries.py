@@ -166,8 +166,7 @@ WITH {CAPTIONED_CTE.strip()}
 SELECT item_id, has_image, caption, has_image AND caption <> '' AS valid FROM cp""")
 def valid_samples(spark, sf):
     c = _captioned(spark, sf)
-    d = c.select("item_id", M.pick_caption("answer", "item_id", seed=SEED).alias("caption"),
-                 M.has_payload_col("image").alias("has_image"))
+    d = c.select("item_id", M.pick_caption("answer", "item_id", seed=SEED).alias("caption"), "has_image")
     return d.select("item_id", "has_image", "caption",
                     M.valid_image_sample("has_image", "caption", use_assistant=True).alias("valid"))
 

@@ -34,10 +34,14 @@ def captioned_images(conversations: DataFrame, pages: DataFrame, stride: int = I
             .select(item_id.alias("item_id"), "conv_id", "turn",
                     F.when(F.col("prev_role") == "user", F.col("prev_text")).alias("question"),
                     F.split(F.col("text"), "\n").alias("answer")))
+    # the payload flag is computed before the join, so when only the flag is
+    # used the payload itself is pruned and never crosses the shuffle
     img = pages.select(F.col("page_id").alias("item_id"),
                        F.struct(F.encode(F.col("html"), "UTF-8").alias("bytes"),
-                                F.col("url").alias("path")).alias("image"))
-    return rows.join(img, "item_id", "left")
+                                F.col("url").alias("path")).alias("image"),
+                       F.coalesce(F.length(F.col("html")) > 0, F.lit(False)).alias("_has"))
+    out = rows.join(img, "item_id", "left")
+    return out.withColumn("has_image", F.coalesce(F.col("_has"), F.lit(False))).drop("_has")
 
 
 def inline_payload(image: str = "image") -> Column:
