@@ -90,40 +90,56 @@ def running_sample(spark: SparkSession, stream: DataFrame, k: int, id_col: str,
     return q, read_sample
 
 
+def _rows_before(spark: SparkSession, root: str, batch_id: int) -> int:
+    try:
+        d = spark.read.parquet(root)
+    except Exception:
+        return 0
+    return d.where(F.col("batch") < batch_id).count()
+
+
 def collect_until_quota(spark: SparkSession, stream: DataFrame, quota: int, id_col: str, seed=SEED,
-                        block: int = 10000, name: str | None = None):
-    """Append clean rows in buffer-shuffled order (blocks of ``block`` rows
-    in arrival order, hashed order inside) until ``quota`` rows have
-    arrived; the driver stops the query then.  Returns ``(rows, progress)``:
-    the first ``quota`` rows by arrival index and the per-batch counts."""
+                        name: str | None = None, digits: int = 2):
+    """Append clean rows in shuffled order until ``quota`` rows have
+    arrived; the driver stops the query then.
+
+    Each micro-batch is the shuffle buffer: its rows are ordered by
+    ``md5(seed:id)`` (bucketed rank) after the rows of earlier batches.  A
+    batch's arrival offset is the number of rows committed by earlier batches
+    (read from the output itself), and each batch overwrites only its own
+    partition, so a replayed batch or a restarted driver produces the same
+    rows.  Returns ``(rows, progress)``: the first ``quota`` rows by arrival
+    index and the per-batch counts."""
+    from ..operators.ranking import bucketed_rank, hash_bucket
     name = name or f"quota-{uuid.uuid4().hex[:8]}"
-    root = _work_dir(spark, name)
-    state = {"count": 0, "batches": []}
+    root = _work_dir(spark, name) + "/rows"
+    state = {"batches": []}
 
     def append(batch: DataFrame, batch_id: int):
-        if state["count"] >= quota:
+        sess = batch.sparkSession
+        offset = _rows_before(sess, root, batch_id)
+        if offset >= quota:
             return
-        from ..operators.ranking import bucketed_rank, hash_bucket
         keyed = batch.withColumn("_k", seeded_key(seed, id_col))
-        ranked = bucketed_rank(keyed, ["_k", id_col], hash_bucket("_k", 2), out="_r")
-        offset = state["count"]
-        out = ranked.withColumn("arrival", F.col("_r") + offset).drop("_k", "_r")
-        path = f"{root}/batch={batch_id}"
-        out.write.mode("overwrite").parquet(path)
-        n = spark.read.parquet(path).count()
-        state["count"] += n
-        state["batches"].append({"batch": batch_id, "rows": n})
+        ranked = bucketed_rank(keyed, ["_k", id_col], hash_bucket("_k", digits), out="_r")
+        out = ranked.withColumn("arrival", F.col("_r") + F.lit(offset)).drop("_k", "_r") \
+            .withColumn("batch", F.lit(int(batch_id)))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch").parquet(root))
+        state["batches"].append({"batch": batch_id, "rows_before": offset})
 
     q = (stream.writeStream.foreachBatch(append)
-         .option("checkpointLocation", f"{root}/_checkpoint").start())
+         .option("checkpointLocation", _work_dir(spark, name) + "/_checkpoint").start())
     try:
-        while q.isActive and state["count"] < quota:
+        while q.isActive:
             q.processAllAvailable()
-            if state["count"] >= quota or not q.status.get("isDataAvailable", False):
+            if _rows_before(spark, root, 1 << 62) >= quota or not q.status.get("isDataAvailable", False):
                 break
     finally:
         q.stop()
-    rows = spark.read.parquet(f"{root}/batch=*") if state["batches"] else None
-    if rows is not None:
-        rows = rows.where(F.col("arrival") < quota)
+    try:
+        rows = spark.read.parquet(root).where(F.col("arrival") < quota).drop("batch")
+    except Exception:
+        rows = None
+    state["count"] = _rows_before(spark, root, 1 << 62)
     return rows, state
