@@ -70,7 +70,7 @@ def round_robin_mix(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
                     seeds: Mapping[str, int] | None = None, seed: int = SEED,
                     languages: Sequence[str] | None = None,
                     min_chars: int = MIN_TEXT_CHARS, max_chars: int = MAX_TEXT_CHARS,
-                    source_prefix: str = TEXT_SOURCE_PREFIX, digits: int = 3,
+                    source_prefix: str = TEXT_SOURCE_PREFIX, digits: int = 4,
                     with_text: bool = True) -> DataFrame:
     """Weighted round-robin over per-language streams.
 
