@@ -230,13 +230,6 @@ def first_user_language(conversations: DataFrame, key: str = "conv_id") -> DataF
                     .otherwise(language_tag(F.coalesce(F.col("_f.text"), F.lit("")))).alias("lang")))
 
 
-def has_payload_col(image: str = "image") -> Column:
-    from ..sources.captioned import has_payload
-    return has_payload(image)
-
-
-def cjk_flag(text) -> Column:
-    return contains_cjk(text)
 
 
 def image_samples(captioned: DataFrame, *, mode: str = "mixed", use_assistant: bool = False,

@@ -139,3 +139,48 @@ def test_assembly_gate_rejects_long_conversations(spark):
     r = msgs.withColumn("enc", P.render_chat("messages", M.generation_flag("messages")))
     for row in r.select("conv_id", F.size("enc.input_ids").alias("n")).collect():
         assert row.n == sizes[row.conv_id]
+
+
+def test_lift_messages_shapes(spark):
+    df = spark.createDataFrame([("hello",)], "t string")
+    m = df.select(M.lift_messages(F.col("t"), "text").alias("m")).first().m
+    assert [(x.role, x.content[0].type, x.content[0].text) for x in m] == [("user", "text", "hello")]
+    one_msg = df.select(M.lift_messages(M.text_message("assistant", F.col("t")), "message").alias("m")).first().m
+    assert [x.role for x in one_msg] == ["assistant"]
+
+
+def test_long_form_language_equals_array_form(spark):
+    from conftest import SF01
+    conv = spark.read.parquet(f"{SF01}/conversations.parquet")
+    a = {r.conv_id: r.lang for r in M.first_user_language(conv).collect()}
+    b = {r.conv_id: r.lang for r in M.conversation_messages(conv)
+         .select("conv_id", M.message_language("messages").alias("lang")).collect()}
+    assert a == b
+    zh = spark.createDataFrame([(1, 0, "system", "x"), (1, 1, "user", "描述"), (2, 0, "assistant", "y")],
+                               "conv_id long, turn long, role string, text string")
+    assert {r.conv_id: r.lang for r in M.first_user_language(zh).collect()} == {1: "zh", 2: "en"}
+
+
+def test_block_shuffle_order(spark):
+    from loomprep.operators.sampling import block_shuffle_order
+    from loomprep.functions.hashing import seeded_key
+    df = spark.range(0, 50).withColumn("k", seeded_key(1, "id"))
+    got = [r.id for r in df.orderBy(*block_shuffle_order("id", "k", 10)).collect()]
+    assert sorted(got[:10]) == list(range(10)) and sorted(got[40:]) == list(range(40, 50))
+    assert got[:10] != list(range(10))
+
+
+def test_next_positions(spark):
+    ids = [11, 151652, 151655, 151655, 151655, 151655, 12]
+    t = spark.createDataFrame([(0, p, x) for p, x in enumerate(ids)], "sample_id long, pos int, token_id int")
+    g = spark.createDataFrame([(0, "image", 0, 1, 4, 4)], "sample_id long, modality string, ordinal int, t int, h int, w int")
+    r = Q.next_positions(Q.sequence_positions(t, g)).first()
+    assert (r.next_pos, r.delta) == (5, -2)
+
+
+def test_patch_vectors(spark):
+    rows = [(0, 0, y, x, 0, y * 4 + x) for y in range(4) for x in range(4)]
+    df = spark.createDataFrame(rows, "item long, frame int, y int, x int, c int, v int")
+    p = Z.patch_vectors(Z.patchify(df, "item", 4, patch=2, merge=1, temporal=1), "item")
+    got = {r.token: r.values for r in p.collect()}
+    assert got[0] == [0, 1, 4, 5] and got[3] == [10, 11, 14, 15]
