@@ -38,8 +38,8 @@ WITH {CAPTIONED_CTE.strip()},
 iv AS (SELECT item_id, {md5key(SEED, 'item_id')} AS k FROM cp WHERE has_image),
 ib AS (SELECT * FROM iv ORDER BY k, item_id LIMIT {NUM_IMAGE_CALIB}),
 ish AS (SELECT item_id, row_number() OVER (ORDER BY k, item_id) - 1 AS i FROM ib),
-tb AS (SELECT doc_id, {md5key(SEED, 'doc_id')} AS k FROM documents WHERE lang = 'es'
-       ORDER BY k, doc_id LIMIT 16),
+tb AS (SELECT doc_id, {md5key(SEED, 'doc_id')} AS k FROM documents
+       ORDER BY k, doc_id LIMIT {NUM_TEXT_CALIB}),
 tx AS (SELECT doc_id AS item_id, row_number() OVER (ORDER BY k, doc_id) - 1 AS j FROM tb),
 kk AS (SELECT greatest(1, CAST(round_even((SELECT count(*) FROM ish) /
                                 greatest(1, (SELECT count(*) FROM tx)), 0) AS BIGINT)) AS kq),
@@ -50,9 +50,9 @@ SELECT row_number() OVER (ORDER BY rnd, slot) - 1 AS mix_seq, source, item_id FR
 def ratio_interleave_q(spark, sf):
     imgs = M.image_samples(_captioned(spark, sf)).select("item_id", "source")
     imgs = bottomk_sample(imgs, NUM_IMAGE_CALIB, "item_id", seed=SEED)
-    docs = table(spark, sf, "documents").where(F.col("lang") == "es")
+    docs = table(spark, sf, "documents")
     txt = bottomk_sample(docs.select(F.col("doc_id").alias("item_id"), F.lit("text").alias("source")),
-                         16, "item_id", seed=SEED)
+                         NUM_TEXT_CALIB, "item_id", seed=SEED)
     out = ratio_interleave(imgs, txt, NUM_CALIB, image_order="sample_key", text_order="sample_key")
     return out.select(F.col("mix_seq").cast("bigint").alias("mix_seq"), "source", "item_id")
 
