@@ -27,7 +27,7 @@ BASE = f"""
 tw AS (SELECT CAST(conv_id * {S} + turn AS BIGINT) AS sample_id, conv_id, turn, role,
               {words('text')} AS ws FROM conversations),
 base AS (SELECT *, CAST(1 + len(ws) % 3 AS INTEGER) AS hh, CAST(1 + turn % 2 AS INTEGER) AS ww,
-                role = 'user' AS has_img, role = 'user' AND conv_id % 2 = 1 AS has_vid,
+                role = 'user' AS has_img, role = 'user' AND turn >= 2 AS has_vid,
                 list_transform(ws, lambda x: {hashed_id('x', V)}) AS wid FROM tw)"""
 
 EMPTY = "CAST([] AS INTEGER[])"

@@ -4,7 +4,7 @@ A sample is one conversation turn: ``sample_id = conv_id * 16 + turn``.  Its
 text tokens are the whitespace words of the turn, id = md5 hash mod ``vocab``
 (``vocab`` = the number of vectors in ``embeddings``, 500 by default, so every
 id has a vector).  User turns carry vision blocks whose grids are derived
-from the row: an image before the text and, in odd conversations, a video
+from the row: an image before the text and, from the third turn on, a video
 after it.  Everything is row-level (``posexplode``); nothing is grouped.
 """
 
@@ -44,16 +44,16 @@ def token_rows(sequences: DataFrame, ids: str = "input_ids", mask: str | None =
 
 def vision_grids(conversations: DataFrame) -> DataFrame:
     """Grid rows ``(sample_id, modality, ordinal, t, h, w)`` in patch units:
-    user turns get an image ``(1, h, w)``; in odd conversations also a video
-    ``(2, h, w)``; ``h = 2*(1 + words mod 3)``, ``w = 2*(1 + turn mod 2)``."""
+    user turns get an image ``(1, h, w)``; user turns from the third turn on
+    also a video ``(2, h, w)``; ``h = 2*(1 + words mod 3)``, ``w = 2*(1 + turn mod 2)``."""
     u = conversations.where(F.col("role") == "user")
     n_words = F.size(whitespace_tokens("text"))
-    base = u.select(sample_id().alias("sample_id"), F.col("conv_id"),
+    base = u.select(sample_id().alias("sample_id"), F.col("conv_id"), F.col("turn"),
                     (2 * (1 + F.pmod(n_words, F.lit(3)))).cast("int").alias("h"),
                     (2 * (1 + F.pmod(F.col("turn"), F.lit(2)))).cast("int").alias("w"))
     img = base.select("sample_id", F.lit("image").alias("modality"), F.lit(0).alias("ordinal"),
                       F.lit(1).alias("t"), "h", "w")
-    vid = base.where(F.pmod(F.col("conv_id"), F.lit(2)) == 1).select(
+    vid = base.where(F.col("turn") >= 2).select(
         "sample_id", F.lit("video").alias("modality"), F.lit(0).alias("ordinal"), F.lit(2).alias("t"), "h", "w")
     return img.unionByName(vid)
 
@@ -71,7 +71,7 @@ def mm_sequences(conversations: DataFrame, vocab: int = VOCAB, fps: float = 2.0)
     from ..operators.sequence import media_tokens
     h, w = _grid_hw()
     user = F.col("role") == "user"
-    video = user & (F.pmod(F.col("conv_id"), F.lit(2)) == 1)
+    video = user & (F.col("turn") >= 2)
     empty = F.array().cast("array<int>")
     ids = F.concat(F.when(user, media_tokens(F.lit("image"), F.lit(1), h, w, vocab=vocab)).otherwise(empty),
                    word_ids("text", vocab),
