@@ -34,13 +34,14 @@ def sampled_images(captioned: DataFrame, target, bound: int, *, seed: int = SEED
     scalar-subquery Column, ``bound`` is its static upper bound), then a
     seeded shuffle of the sample.  Only keys and prompts reach the bounded
     merge; payloads are joined back by the caller if needed."""
-    s = M.image_samples(captioned, mode=mode, use_assistant=use_assistant,
-                        require_lang_match=require_lang_match, seed=seed, system=system,
-                        system_override=system_override)
-    s = s.select("item_id", "source", F.col("prompt").alias("text"), "messages")
-    top = bottomk_sample(s, bound, "item_id", seed=seed)
+    r = M.ranked_valid_images(captioned, use_assistant=use_assistant, seed=seed)
+    top = bottomk_sample(r, bound, "item_id", seed=seed)        # narrow rows through the merge
     top = top.withColumn("_r", F.row_number().over(Window.orderBy("sample_key", "item_id")) - 1) \
         .where(F.col("_r") < target).drop("_r")
+    top = M.with_image_messages(top, mode=mode, use_assistant=use_assistant,
+                                require_lang_match=require_lang_match, system=system,
+                                system_override=system_override)
+    top = top.select("item_id", "source", F.col("prompt").alias("text"), "messages", "sample_key")
     sseed = seed + 1 if shuffle_seed is None else shuffle_seed
     return top.withColumn("shuffle_key", seeded_key(sseed, "item_id"))
 

@@ -232,21 +232,37 @@ def first_user_language(conversations: DataFrame, key: str = "conv_id") -> DataF
 
 
 
-def image_samples(captioned: DataFrame, *, mode: str = "mixed", use_assistant: bool = False,
-                  require_lang_match: bool = True, seed=SEED, system: bool = True,
-                  system_override: str | None = None) -> DataFrame:
-    """Captioned rows -> valid image samples with their rank among valid rows
-    (input order = ``item_id``), prompt, caption and message list."""
+def ranked_valid_images(captioned: DataFrame, *, use_assistant: bool = False, seed=SEED) -> DataFrame:
+    """Narrow rows ``(item_id, question, caption, valid_rank)`` of the valid
+    captioned images; the rank is among valid rows in input order."""
     from ..sources.captioned import has_payload
     from .ranking import valid_rank
     d = captioned.withColumn("caption", pick_caption("answer", "item_id", seed=seed))
     if "has_image" not in d.columns:
         d = d.withColumn("has_image", has_payload("image"))
-    v = valid_rank(d, valid_image_sample("has_image", "caption", use_assistant), "item_id",
-                   out="valid_rank")
-    v = v.withColumn("prompt", caption_prompt("question", "valid_rank", mode))
-    return v.withColumn("messages", image_messages("prompt", "caption",
-                                                   F.concat(F.lit("item:"), F.col("item_id").cast("string")),
-                                                   use_assistant, require_lang_match, system,
-                                                   system_override)) \
-        .withColumn("source", image_source())
+    d = d.select("item_id", "question", "caption", "has_image")
+    return valid_rank(d, valid_image_sample("has_image", "caption", use_assistant), "item_id",
+                      out="valid_rank").drop("has_image")
+
+
+def with_image_messages(ranked: DataFrame, *, mode: str = "mixed", use_assistant: bool = False,
+                        require_lang_match: bool = True, system: bool = True,
+                        system_override: str | None = None) -> DataFrame:
+    """Prompt, message list and source for ranked image rows (run it after
+    sampling, so only kept rows build arrays)."""
+    v = ranked.withColumn("prompt", caption_prompt("question", "valid_rank", mode))
+    ref = F.concat(F.lit("item:"), F.col("item_id").cast("string"))
+    return v.withColumns({"messages": image_messages("prompt", "caption", ref, use_assistant,
+                                                     require_lang_match, system, system_override),
+                          "source": image_source()})
+
+
+def image_samples(captioned: DataFrame, *, mode: str = "mixed", use_assistant: bool = False,
+                  require_lang_match: bool = True, seed=SEED, system: bool = True,
+                  system_override: str | None = None) -> DataFrame:
+    """Captioned rows -> valid image samples with their rank among valid rows
+    (input order = ``item_id``), prompt, caption and message list."""
+    r = ranked_valid_images(captioned, use_assistant=use_assistant, seed=seed)
+    return with_image_messages(r, mode=mode, use_assistant=use_assistant,
+                               require_lang_match=require_lang_match, system=system,
+                               system_override=system_override)

@@ -70,6 +70,20 @@ def render_chat(messages, add_generation, vocab: int = DEFAULT_VOCAB,
     return F.struct(F.when(~bad, ids).alias("input_ids"), err.alias("error"))
 
 
+def render_length(messages, add_generation, image_tokens: int = IMAGE_TOKENS) -> Column:
+    """Length of :func:`render_chat`'s ids without building or hashing them:
+    per message 3 + content (words of text items; ``image_tokens + 2`` per
+    media item), plus 2 for a generation prompt.  Admission needs only this,
+    so rejected (long) samples are never tokenised."""
+    def item_len(i):
+        return (F.when(i["type"] == "text", F.size(whitespace_tokens(i["text"])))
+                .when(i["type"].isin("image", "video"), F.lit(image_tokens + 2)).otherwise(F.lit(0)))
+    per_msg = F.transform(_c(messages), lambda x: 3 + F.aggregate(F.transform(x["content"], item_len),
+                                                                  F.lit(0), lambda a, b: a + b))
+    total = F.aggregate(per_msg, F.lit(0), lambda a, b: a + b)
+    return (total + F.when(_c(add_generation), F.lit(2)).otherwise(F.lit(0))).cast("int")
+
+
 def skip_reason(n_tokens, error, min_tokens: int = MIN_TOKENS, max_tokens: int = MAX_TOKENS,
                 prefill_len: int | None = None, context_len: int | None = None) -> Column:
     """Admission with a reason, checked in order: ``error``; ``short`` when

@@ -147,11 +147,20 @@ def encode_defaults(spark, sf):
 
 
 def _doc_samples(spark, sf):
+    """Documents as text samples with their rendered length; ids are not
+    built here (admission needs the length only)."""
     d = table(spark, sf, "documents", spread_small=True)
     msgs = M.text_sample_messages(F.col("text"))
-    r = d.select("doc_id", msgs.alias("messages")) \
-        .withColumn("enc", P.render_chat("messages", M.generation_flag("messages")))
-    return r.select("doc_id", "enc.input_ids", "enc.error")
+    r = d.select("doc_id", msgs.alias("messages"))
+    n = P.render_length("messages", M.generation_flag("messages"))
+    err = F.when(F.exists("messages", lambda m: F.exists(m["content"], lambda i: (i["type"] == "text")
+                                                          & i["text"].isNull())), F.lit("render_failed"))
+    return r.select("doc_id", n.alias("n_tokens"), err.alias("error"))
+
+
+def _admit(df):
+    d = df.withColumn("skip_reason", P.skip_reason("n_tokens", F.col("error")))
+    return d.where(F.col("skip_reason").isNull()), d.where(F.col("skip_reason").isNotNull())
 
 
 DOC_TOKENS = f"""
@@ -168,7 +177,7 @@ adm AS (
 
 @register("length_admission", f"WITH {DOC_TOKENS.strip()} SELECT doc_id, n_tokens, skip_reason FROM adm")
 def length_admission(spark, sf):
-    ok, rej = P.length_admission(_doc_samples(spark, sf))
+    ok, rej = _admit(_doc_samples(spark, sf))
     return ok.unionByName(rej).select("doc_id", "n_tokens", "skip_reason")
 
 
@@ -176,7 +185,7 @@ def length_admission(spark, sf):
 WITH {DOC_TOKENS.strip()}
 SELECT skip_reason, count(*) AS n FROM adm WHERE skip_reason IS NOT NULL GROUP BY skip_reason""")
 def skip_counts(spark, sf):
-    _, rej = P.length_admission(_doc_samples(spark, sf))
+    _, rej = _admit(_doc_samples(spark, sf))
     return P.skip_counts(rej)
 
 
@@ -185,7 +194,7 @@ WITH {DOC_TOKENS.strip()}
 SELECT doc_id, n_tokens, row_number() OVER (ORDER BY n_tokens DESC, doc_id) - 1 AS sort_rank
 FROM adm WHERE skip_reason IS NULL""")
 def sort_by_length(spark, sf):
-    ok, _ = P.length_admission(_doc_samples(spark, sf))
+    ok, _ = _admit(_doc_samples(spark, sf))
     admitted = materialize(ok.select("doc_id", "n_tokens"), "admitted")   # rendered once
     return P.sort_by_length(admitted, "desc", seq="doc_id").select("doc_id", "n_tokens", "sort_rank")
 

@@ -184,3 +184,16 @@ def test_patch_vectors(spark):
     p = Z.patch_vectors(Z.patchify(df, "item", 4, patch=2, merge=1, temporal=1), "item")
     got = {r.token: r.values for r in p.collect()}
     assert got[0] == [0, 1, 4, 5] and got[3] == [10, 11, 14, 15]
+
+
+def test_render_length_equals_rendered_size(spark):
+    from conftest import SF01
+    conv = spark.read.parquet(f"{SF01}/conversations.parquet")
+    m = M.conversation_messages(conv)
+    m = m.withColumn("messages", F.when(F.col("conv_id") < 5, F.concat(
+        F.array(M.message("user", M.media_item("image", F.lit("x")), M.text_item(F.lit("a b")))),
+        F.col("messages"))).otherwise(F.col("messages")))
+    gen = M.generation_flag("messages")
+    r = m.select(F.size(P.render_chat("messages", gen)["input_ids"]).alias("a"),
+                 P.render_length("messages", gen).alias("b")).collect()
+    assert all(x.a == x.b for x in r) and len(r) > 0
