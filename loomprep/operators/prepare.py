@@ -130,7 +130,8 @@ def sort_by_length(df: DataFrame, order: str = "desc", length: str = "n_tokens",
     """Stable order by length (``asc``/``desc``), seeded ``shuffle`` or as is.
     Adds a 0-based ``out``; computed with bucketed ranks on ``(length, seq
     range)`` buckets, so one popular length does not land in one task; the
-    bucket table is bounded by distinct lengths x ``seq_buckets``.
+    bucket table has at most distinct lengths x ``seq_buckets`` rows and
+    is joined without a forced broadcast.
 
     ``max_rows``: the caller guarantees the input has at most this many rows
     (a quota-capped mix); then one window ranks them directly."""
@@ -147,7 +148,10 @@ def sort_by_length(df: DataFrame, order: str = "desc", length: str = "n_tokens",
     ln = F.col(length) if order == "asc" else -F.col(length)
     d = df.withColumn("_ord_len", ln)
     bucket = F.struct(F.col("_ord_len").alias("l"), range_bucket(d, seq, seq_buckets).alias("s"))
-    return bucketed_rank(d, ["_ord_len", seq], bucket, out=out).drop("_ord_len")
+    # the offset table has one row per non-empty (length, seq range): no
+    # fixed bound, so the join is left to Spark's size check (AQE)
+    return bucketed_rank(d, ["_ord_len", seq], bucket, out=out,
+                         broadcast_offsets=False).drop("_ord_len")
 
 
 def token_totals(prepared: DataFrame, mask_col: str = "attention_mask",

@@ -37,7 +37,7 @@ def bucketed_rank(df: DataFrame, order_cols: Sequence[str], bucket: Column,
                             F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
     if broadcast_offsets is None:
         broadcast_offsets = not part
-    if broadcast_offsets:
+    if broadcast_offsets:       # callers pass True only for bounded bucket tables
         offsets = F.broadcast(offsets)
     joined = d.join(offsets, [*part, "_bkt"], "inner")
     wr = Window.partitionBy(*part, "_bkt").orderBy(*order_cols)
