@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.constants import (EN_IMAGE_PROMPTS, MAX_TOKENS, MIN_TOKENS, NUM_CALIB,
+from ..functions.constants import (EN_IMAGE_PROMPTS, IMAGE_SOURCE, MAX_TOKENS, MIN_TOKENS, NUM_CALIB,
                                    NUM_IMAGE_CALIB, NUM_TEXT_CALIB, SEED, SYSTEM_PROMPT_EN,
-                                   SYSTEM_PROMPT_ZH, TEXT_SEEDS, ZH_IMAGE_PROMPTS)
+                                   SYSTEM_PROMPT_ZH, TEXT_SEEDS, TEXT_SOURCE_PREFIX, ZH_IMAGE_PROMPTS)
 from ..operators import calibration as C
 from ..operators import messages as M
 from ..operators import prepare as P
@@ -43,7 +43,7 @@ tb AS (SELECT doc_id, {md5key(SEED, 'doc_id')} AS k FROM documents
 tx AS (SELECT doc_id AS item_id, row_number() OVER (ORDER BY k, doc_id) - 1 AS j FROM tb),
 kk AS (SELECT greatest(1, CAST(round_even((SELECT count(*) FROM ish) /
                                 greatest(1, (SELECT count(*) FROM tx)), 0) AS BIGINT)) AS kq),
-u AS (SELECT i // kq AS rnd, i % kq AS slot, 'coco_caption' AS source, item_id FROM ish, kk
+u AS (SELECT i // kq AS rnd, i % kq AS slot, '{IMAGE_SOURCE}' AS source, item_id FROM ish, kk
       UNION ALL SELECT j AS rnd, kq AS slot, 'text' AS source, item_id FROM tx, kk),
 top AS (SELECT * FROM u ORDER BY rnd, slot LIMIT {NUM_CALIB})
 SELECT row_number() OVER (ORDER BY rnd, slot) - 1 AS mix_seq, source, item_id FROM top""")
@@ -63,7 +63,7 @@ def mix_ctes() -> str:
     """CTEs ending in ``mix(mix_seq, source, item_id, text, lang)``."""
     return f"""{rr_ctes(NUM_TEXT_CALIB).strip()},
 tx AS (SELECT row_number() OVER (ORDER BY mix_key) - 1 AS seq, kept.doc_id AS item_id,
-              'wikipedia_' || kept.lang AS source, {norm('documents.text')} AS text
+              '{TEXT_SOURCE_PREFIX}' || kept.lang AS source, {norm('documents.text')} AS text
        FROM kept JOIN documents ON documents.doc_id = kept.doc_id),
 it AS (SELECT least({NUM_CALIB} - g, {NUM_IMAGE_CALIB + NUM_TEXT_CALIB} - g) AS image_target
        FROM (SELECT count(*) AS g FROM tx)),
@@ -75,7 +75,7 @@ isel AS (SELECT ib.* FROM ib, it WHERE r < image_target),
 ish AS (SELECT *, row_number() OVER (ORDER BY {md5key(SEED + 1, 'item_id')}, item_id) - 1 AS i FROM isel),
 kk AS (SELECT greatest(1, CAST(round_even((SELECT count(*) FROM ish) /
                                 greatest(1, (SELECT count(*) FROM tx)), 0) AS BIGINT)) AS kq),
-u AS (SELECT i // kq AS rnd, i % kq AS slot, 'coco_caption' AS source, item_id, prompt AS text FROM ish, kk
+u AS (SELECT i // kq AS rnd, i % kq AS slot, '{IMAGE_SOURCE}' AS source, item_id, prompt AS text FROM ish, kk
       UNION ALL SELECT seq AS rnd, kq AS slot, source, item_id, text FROM tx, kk),
 top AS (SELECT * FROM u ORDER BY rnd, slot LIMIT {NUM_CALIB}),
 mix AS (SELECT row_number() OVER (ORDER BY rnd, slot) - 1 AS mix_seq, source, item_id, text,
@@ -207,7 +207,7 @@ def _prepared(spark, sf):
     r = r.select("mix_seq", "source", "enc.input_ids", "enc.error")
     ok, _ = P.length_admission(r)
     e = P.encode_defaults(ok, keep=["mix_seq", "source", "n_tokens"])
-    e = e.withColumn("has_image", F.col("source") == "coco_caption")
+    e = e.withColumn("has_image", F.col("source") == IMAGE_SOURCE)
     return P.sort_by_length(e, "desc", seq="mix_seq", max_rows=NUM_CALIB)   # the mix is capped at n
 
 
@@ -219,7 +219,7 @@ PREP_CTE = f"""
 tok AS (
   SELECT mix_seq, source,
          CAST(3 + CASE WHEN lang = 'zh' THEN {N_SYS_ZH} ELSE {N_SYS_EN} END + 3 + len({words('text')}) + 2
-              + CASE WHEN source = 'coco_caption' THEN {IMG_RUN} ELSE 0 END AS INTEGER) AS n_tokens
+              + CASE WHEN source = '{IMAGE_SOURCE}' THEN {IMG_RUN} ELSE 0 END AS INTEGER) AS n_tokens
   FROM mix),
 prep AS (
   SELECT *, row_number() OVER (ORDER BY n_tokens DESC, mix_seq) - 1 AS sort_rank FROM tok
@@ -239,7 +239,7 @@ def prepare_batches(spark, sf):
 WITH {mix_ctes()},
 {PREP_CTE.strip()}
 SELECT CAST(sum(n_tokens) AS BIGINT) AS total_tokens, count(*) AS batches,
-       count(*) FILTER (WHERE source = 'coco_caption') AS image_batches FROM prep""")
+       count(*) FILTER (WHERE source = '{IMAGE_SOURCE}') AS image_batches FROM prep""")
 def token_totals(spark, sf):
     return P.token_totals(_prepared(spark, sf))
 

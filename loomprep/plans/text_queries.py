@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.constants import MIN_TEXT_CHARS, NUM_CALIB, NUM_TEXT_CALIB, SEED, TEXT_SEEDS
+from ..functions.constants import (MIN_TEXT_CHARS, NUM_CALIB, NUM_TEXT_CALIB, SEED, TEXT_SEEDS,
+                                   TEXT_SOURCE_PREFIX)
 from ..operators import sampling as S
 from ..sources.tables import table
 from .registry import register
@@ -83,7 +84,7 @@ kept AS (
 def _rr_sql(n: int) -> str:
     return f"""WITH {rr_ctes(n).strip()}
 SELECT CAST(row_number() OVER (ORDER BY mix_key) - 1 AS BIGINT) AS seq, kept.doc_id, kept.lang,
-       'wikipedia_' || kept.lang AS source, mix_key, rk AS lang_rank, {norm('documents.text')} AS text
+       '{TEXT_SOURCE_PREFIX}' || kept.lang AS source, mix_key, rk AS lang_rank, {norm('documents.text')} AS text
 FROM kept JOIN documents ON documents.doc_id = kept.doc_id"""
 
 
