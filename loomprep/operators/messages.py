@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 from ..functions.constants import (EN_IMAGE_PROMPTS, IMAGE_SOURCE, SEED, SYSTEM_PROMPT_EN,
                                    SYSTEM_PROMPT_ZH, ZH_IMAGE_PROMPTS)
 from ..functions.hashing import seeded_key
-from ..functions.text import (collapse_whitespace, contains_cjk, language_tag, same_language,
-                              strip_whitespace)
+from ..functions.text import collapse_whitespace, language_tag, same_language, strip_whitespace
 
 ITEM = T.StructType([T.StructField("type", T.StringType()), T.StructField("text", T.StringType()),
                      T.StructField("image_ref", T.StringType())])
