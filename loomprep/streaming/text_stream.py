@@ -143,3 +143,46 @@ def collect_until_quota(spark: SparkSession, stream: DataFrame, quota: int, id_c
         rows = None
     state["count"] = _rows_before(spark, root, 1 << 62)
     return rows, state
+
+
+def observed(stream: DataFrame, name: str = "progress", reason: str | None = None) -> DataFrame:
+    """Running counts of a stream without per-row printing: rows per
+    micro-batch (and per reject reason), reported in each batch's
+    ``observedMetrics``."""
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    if reason:
+        for r in ("error", "short", "long"):
+            aggs.append(F.count_if(F.col(reason) == r).alias(r))
+    return stream.observe(name, *aggs)
+
+
+class ProgressCounter:
+    """A ``StreamingQueryListener`` that sums the observed metrics of every
+    micro-batch (``counter.totals``) -- the streaming counterpart of the
+    progress prints of a sequential loop."""
+
+    def __new__(cls, name: str = "progress"):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        class _Listener(StreamingQueryListener):
+            def __init__(self):
+                self.totals: dict[str, int] = {}
+                self.batches = 0
+
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                m = event.progress.observedMetrics.get(name)
+                if m is None:
+                    return
+                self.batches += 1
+                for k, v in m.asDict().items():
+                    self.totals[k] = self.totals.get(k, 0) + int(v or 0)
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+        return _Listener()

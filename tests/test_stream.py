@@ -77,3 +77,23 @@ def test_running_sample_replay_is_idempotent(spark):
     assert sorted(r.doc_id for r in read2().collect()) == first
     want = sorted(r.doc_id for r in bottomk_sample(d.select("doc_id"), 40, "doc_id", seed=3).collect())
     assert first == want
+
+
+def test_streaming_progress_listener(spark):
+    import time
+    d, src = split_documents(spark)
+    s = ST.clean_texts(ST.text_stream(spark, src, d.schema, max_files_per_trigger=1)).select("doc_id")
+    counter = ST.ProgressCounter("clean")
+    spark.streams.addListener(counter)
+    try:
+        q = ST.observed(s, "clean").writeStream.format("noop") \
+            .option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start()
+        q.awaitTermination()
+        for _ in range(50):                       # listener events arrive asynchronously
+            if counter.totals.get("rows") == ST.clean_texts(d).count():
+                break
+            time.sleep(0.2)
+        assert counter.totals.get("rows") == ST.clean_texts(d).count()
+        assert counter.batches >= 2
+    finally:
+        spark.streams.removeListener(counter)
