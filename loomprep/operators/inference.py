@@ -89,3 +89,39 @@ def decode_bytes(col: Column | str, decode: Callable[[bytes], dict | None], retu
             out.append(v if v is not None else {n: None for n in names})
         return pd.DataFrame(out, columns=names)
     return _decode(col)
+
+
+TOKENIZED = T.StructType([T.StructField("input_ids", T.ArrayType(T.IntegerType())),
+                          T.StructField("error", T.StringType())])
+
+
+def apply_tokenizer(messages: Column | str, add_generation: Column | str,
+                    tokenize: Callable[[list, bool], list]) -> Column:
+    """Caller-supplied chat template + tokenizer, applied in Arrow batches:
+    ``tokenize(messages, add_generation_prompt) -> list[int]`` where
+    ``messages`` is a list of ``{role, content: [{type, text, image_ref}]}``
+    dicts.  Returns ``struct<input_ids, error>`` like the SQL stand-in; an
+    exception becomes the row's ``error`` (the row is kept, as a reject)."""
+    from pyspark.sql.functions import pandas_udf
+
+    def plain(v):
+        if hasattr(v, "tolist"):
+            v = v.tolist()
+        if isinstance(v, dict):
+            return {k: plain(x) for k, x in v.items()}
+        if isinstance(v, (list, tuple)):
+            return [plain(x) for x in v]
+        return v
+
+    @pandas_udf(TOKENIZED)
+    def _tok(msgs: pd.Series, gen: pd.Series) -> pd.DataFrame:
+        ids, errs = [], []
+        for m, g in zip(msgs, gen):
+            try:
+                ids.append([int(x) for x in tokenize(plain(m) if m is not None else [], bool(g))])
+                errs.append(None)
+            except Exception as exc:
+                ids.append(None)
+                errs.append(f"{type(exc).__name__}: {exc}"[:200])
+        return pd.DataFrame({"input_ids": ids, "error": errs})
+    return _tok(messages, add_generation)

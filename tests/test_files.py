@@ -100,3 +100,41 @@ def test_decode_bytes_with_caller_decoder(spark):
                                "id long, b binary")
     got = {r.id: (r.d.width, r.d.height) for r in df.select("id", decode_bytes("b", png_size, rt).alias("d")).collect()}
     assert got == {1: (3, 2), 2: (None, None), 3: (None, None)}
+
+
+def test_apply_tokenizer_matches_stand_in_and_captures_errors(spark):
+    import hashlib
+    from conftest import SF01
+    from pyspark.sql import functions as F
+    from loomprep.operators import messages as M, prepare as P
+    from loomprep.operators.inference import apply_tokenizer
+
+    import sys
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])     # workers do not import tests
+    vocab, start, end = P.DEFAULT_VOCAB, P.MSG_START_ID, P.MSG_END_ID
+
+    def hid(w):
+        return int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % vocab
+
+    def tokenize(msgs, gen):
+        out = []
+        for m in msgs:
+            if m["role"] == "boom":
+                raise ValueError("bad role")
+            out += [start, hid(m["role"])]
+            for it in m["content"]:
+                out += [hid(w) for w in (it["text"] or "").split()]
+            out.append(end)
+        return out + ([start, hid("assistant")] if gen else [])
+
+    conv = spark.read.parquet(f"{SF01}/conversations.parquet").where(F.col("conv_id") < 20)
+    m = M.conversation_messages(conv)
+    gen = M.generation_flag("messages")
+    r = m.select("conv_id", P.render_chat("messages", gen)["input_ids"].alias("a"),
+                 apply_tokenizer("messages", gen, tokenize).alias("b")).collect()
+    assert all(x.a == x.b.input_ids and x.b.error is None for x in r)
+    bad = spark.createDataFrame([(1,)], "k int").select(
+        F.array(M.text_message(F.lit("boom"), F.lit("x"))).alias("messages"))
+    e = bad.select(apply_tokenizer("messages", F.lit(False), tokenize).alias("t")).first().t
+    assert e.input_ids is None and "bad role" in e.error
