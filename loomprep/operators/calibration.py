@@ -34,10 +34,14 @@ def sampled_images(captioned: DataFrame, target, bound: int, *, seed: int = SEED
     scalar-subquery Column, ``bound`` is its static upper bound), then a
     seeded shuffle of the sample.  Only keys and prompts reach the bounded
     merge; payloads are joined back by the caller if needed."""
-    r = M.ranked_valid_images(captioned, use_assistant=use_assistant, seed=seed)
-    top = bottomk_sample(r, bound, "item_id", seed=seed)        # narrow rows through the merge
+    keys = M.valid_image_keys(captioned, use_assistant=use_assistant, seed=seed)
+    top = bottomk_sample(keys, bound, "item_id", seed=seed)     # keys only through the merge
     top = top.withColumn("_r", F.row_number().over(Window.orderBy("sample_key", "item_id")) - 1) \
         .where(F.col("_r") < target).drop("_r")
+    # question and answer are joined back for the kept (<= bound) items only
+    payload = captioned.select("item_id", "question", "answer")
+    top = payload.join(F.broadcast(top), "item_id", "inner") \
+        .withColumn("caption", M.pick_caption("answer", "item_id", seed=seed)).drop("answer")
     top = M.with_image_messages(top, mode=mode, use_assistant=use_assistant,
                                 require_lang_match=require_lang_match, system=system,
                                 system_override=system_override)

@@ -244,6 +244,17 @@ def ranked_valid_images(captioned: DataFrame, *, use_assistant: bool = False, se
                       out="valid_rank").drop("has_image")
 
 
+def valid_image_keys(captioned: DataFrame, *, use_assistant: bool = False, seed=SEED) -> DataFrame:
+    """Keys only, ``(item_id, valid_rank)``: validity is evaluated on the
+    scan side and no text travels through the rank shuffle."""
+    from ..sources.captioned import has_payload
+    from .ranking import valid_rank
+    has = F.col("has_image") if "has_image" in captioned.columns else has_payload("image")
+    ok = valid_image_sample(has, pick_caption("answer", "item_id", seed=seed), use_assistant)
+    d = captioned.select("item_id", ok.alias("_ok"))
+    return valid_rank(d, "_ok", "item_id", out="valid_rank").drop("_ok")
+
+
 def with_image_messages(ranked: DataFrame, *, mode: str = "mixed", use_assistant: bool = False,
                         require_lang_match: bool = True, system: bool = True,
                         system_override: str | None = None) -> DataFrame:
