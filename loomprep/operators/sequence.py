@@ -242,18 +242,45 @@ def pad_batches(samples: DataFrame, batch_size: int, order: str = "sample_id", i
 
 # ---- J1-J5: gathers and joins ----------------------------------------------
 
+def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Keys holding at least ``fraction`` of all rows (partial aggregation;
+    at most ``1/fraction`` keys, so the result has a proven size bound)."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.where(F.col("_n") >= total * float(fraction)).select(key)
+
+
 def embedding_gather(tokens: DataFrame, vectors: DataFrame, id_col: str = "vec_id",
-                     vec_col: str = "embedding", salt: int = 1) -> DataFrame:
+                     vec_col: str = "embedding", salt: int = 1,
+                     hot_fraction: float | None = None) -> DataFrame:
     """``take(vectors, token_ids)``: equi-join on ``token_id = vec_id`` (a
     left join; unknown ids get ``status = 'unknown_id'`` instead of failing).
     Spark picks the join: broadcast only when the vector table is under the
     broadcast threshold by its size statistics, a shuffle join otherwise; AQE
-    splits skewed (hot) ids.  ``salt > 1`` additionally spreads every id over
-    ``salt`` partitions by replicating vectors."""
+    splits skewed partitions.
+
+    ``salt > 1`` spreads ids over ``salt`` partitions by replicating vectors:
+    every id when ``hot_fraction`` is None, otherwise only the ids holding at
+    least ``hot_fraction`` of the token rows (found by a partial aggregation;
+    at most ``1/hot_fraction`` ids, broadcast), so only hot vectors are
+    replicated."""
     v = vectors.select(F.col(id_col).alias("_vid"), F.col(vec_col).alias("embedding"))
     if salt > 1:
-        v = v.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        t = tokens.withColumn("_salt", F.pmod(F.col("pos"), F.lit(salt)))
+        ways = F.sequence(F.lit(0), F.lit(salt - 1))
+        t = tokens
+        if hot_fraction is None:
+            t = t.withColumn("_salt", F.pmod(F.hash("sample_id", "pos"), F.lit(salt)))
+            v = v.withColumn("_salt", F.explode(ways))
+        else:
+            hot = F.broadcast(hot_keys(tokens, "token_id", hot_fraction)
+                              .select(F.col("token_id").alias("_hot"), F.lit(True).alias("_is_hot")))
+            t = t.join(hot, t["token_id"] == hot["_hot"], "left").drop("_hot")
+            t = t.withColumn("_salt", F.when(F.col("_is_hot"), F.pmod(F.hash("sample_id", "pos"), F.lit(salt)))
+                             .otherwise(F.lit(0))).drop("_is_hot")
+            hv = F.broadcast(hot_keys(tokens, "token_id", hot_fraction).select(F.col("token_id").alias("_h")))
+            v = v.join(hv, v["_vid"] == hv["_h"], "left") \
+                .withColumn("_salt", F.explode(F.when(F.col("_h").isNotNull(), ways).otherwise(F.array(F.lit(0))))) \
+                .drop("_h")
         j = t.join(v, (t["token_id"] == v["_vid"]) & (t["_salt"] == v["_salt"]), "left") \
             .drop(t["_salt"]).drop(v["_salt"])
     else:
