@@ -197,3 +197,18 @@ def test_render_length_equals_rendered_size(spark):
     r = m.select(F.size(P.render_chat("messages", gen)["input_ids"]).alias("a"),
                  P.render_length("messages", gen).alias("b")).collect()
     assert all(x.a == x.b for x in r) and len(r) > 0
+
+
+def test_normalize_matches_python_on_random_unicode(spark):
+    import random
+    from loomprep.functions.constants import WHITESPACE_CHARS
+    rng = random.Random(11)
+    alphabet = list(WHITESPACE_CHARS) + list("abc xyz") + ["​", "一", "鿿", "あ", "\U0001F600",
+                                                            "é", "é", "﻿", "\x00", "⁠"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r.i: (r.n, r.l) for r in df.select("i", T.normalize_text("t", 17).alias("n"),
+                                              F.length(T.normalize_text("t", 17)).alias("l")).collect()}
+    for i, t in enumerate(texts):
+        want = " ".join(t.split())[:17]
+        assert got[i] == (want, len(want)), (t, got[i])
