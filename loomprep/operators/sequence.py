@@ -17,6 +17,7 @@ from ..functions.constants import (CHUNK_LEN, CONTEXT_LEN, IMAGE_PAD_ID, MERGE_S
                                    PREFILL_LEN, TEMPORAL_PATCH, VIDEO_PAD_ID, VISION_END_ID,
                                    VISION_START_ID)
 from ..functions.hashing import hashed_id
+from ..session import materialize
 
 
 def _c(x) -> Column:
@@ -309,6 +310,9 @@ def input_vectors(tokens: DataFrame, vectors: DataFrame, vision: DataFrame,
     enter the gather join, so the pad id cannot become a hot join key.  A
     visual row without a vision vector falls back to its token vector."""
     r = tokens if vis_rank in tokens.columns else visual_ranks(tokens, vis_rank)
+    # three branches read the ranked rows: write the narrow rows once instead
+    # of recomputing the per-sample window for each branch
+    r = materialize(r, "ranked-tokens")
     vt = vision.select("sample_id", vis_rank, F.col(vec).alias("_v"))
     for i, sd in enumerate(sides):
         sv = sd.select("sample_id", vis_rank, F.col(vec).alias(f"_s{i}"))
