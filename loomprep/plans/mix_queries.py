@@ -177,8 +177,8 @@ adm AS (
 
 @register("length_admission", f"WITH {DOC_TOKENS.strip()} SELECT doc_id, n_tokens, skip_reason FROM adm")
 def length_admission(spark, sf):
-    ok, rej = _admit(_doc_samples(spark, sf))
-    return ok.unionByName(rej).select("doc_id", "n_tokens", "skip_reason")
+    d = _doc_samples(spark, sf)              # every row once, with its reason (null = admitted)
+    return d.select("doc_id", "n_tokens", P.skip_reason("n_tokens", F.col("error")).alias("skip_reason"))
 
 
 @register("skip_counts", f"""
