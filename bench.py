@@ -41,12 +41,24 @@ def main() -> None:
             dt = time.perf_counter() - t0
             best = dt if best is None else min(best, dt)
         times[n] = round(best, 3)
+    # input sizes for rates (counted once, outside the timed runs)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    rates = {}
+    if "normalize_text" in times:
+        rates["normalize_text_docs_per_s"] = round(docs / times["normalize_text"], 1)
+    if "embedding_gather" in times or "sequence_positions" in times:
+        from loomprep.sources import tokens as K
+        conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+        if "embedding_gather" in times:
+            n = K.token_rows(K.text_sequences(conv)).count()
+            rates["embedding_gather_tokens_per_s"] = round(n / times["embedding_gather"], 1)
+        if "sequence_positions" in times:
+            n = K.token_rows(K.mm_sequences(conv)).count()
+            rates["sequence_positions_tokens_per_s"] = round(n / times["sequence_positions"], 1)
     sf = os.path.basename(sf_dir).replace("sf", "")
     out = {"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-           "cpus": cpus, "documents_rows_per_sec_normalize":
-               round(docs / times["normalize_text"], 1) if times.get("normalize_text") else None}
+           "cpus": cpus, "rates": rates}
     print(json.dumps(out))
     spark.stop()
 
