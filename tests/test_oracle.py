@@ -31,3 +31,21 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("name", ["seeded_shuffle", "round_robin_mix", "calibration_mix", "weighted_draw",
+                                  "bottomk_sample", "sequence_positions"])
+def test_results_do_not_depend_on_partitioning(spark, name):
+    """Hash-seeded choices and bucketed ranks give the same rows whatever the
+    number of shuffle partitions (and so after any task retry)."""
+    def rows():
+        return sorted(tuple(r) for r in catalog.QUERIES[name](spark, SF01).collect())
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        a = rows()
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        b = rows()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert a == b and len(a) > 0

@@ -97,3 +97,12 @@ def test_streaming_progress_listener(spark):
         assert counter.batches >= 2
     finally:
         spark.streams.removeListener(counter)
+
+
+def test_quota_restart_gives_same_rows(spark):
+    d, src = split_documents(spark)
+    mk = lambda: ST.clean_texts(ST.text_stream(spark, src, d.schema, max_files_per_trigger=1)).select("doc_id")
+    rows1, _ = ST.collect_until_quota(spark, mk(), 250, "doc_id", name="quota-restart")
+    first = sorted((r.doc_id, r.arrival) for r in rows1.collect())
+    rows2, _ = ST.collect_until_quota(spark, mk(), 250, "doc_id", name="quota-restart")
+    assert sorted((r.doc_id, r.arrival) for r in rows2.collect()) == first and len(first) == 250
