@@ -20,6 +20,8 @@ def text_samples(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
                  seeds: Mapping[str, int] | None = None, seed: int = SEED,
                  min_chars: int = MIN_TEXT_CHARS, max_chars: int = MAX_TEXT_CHARS,
                  system: bool = True, system_override: str | None = None) -> DataFrame:
+    """Text samples of the round-robin mix: ``(seq, item_id, source, text,
+    messages)`` with ``source = <prefix><lang>`` and an optional system turn."""
     t = round_robin_mix(docs, pattern, n, seeds=seeds, seed=seed, min_chars=min_chars,
                         max_chars=max_chars)
     return t.select("seq", F.col("doc_id").alias("item_id"), "source", "text",
@@ -32,8 +34,10 @@ def sampled_images(captioned: DataFrame, target, bound: int, *, seed: int = SEED
                    system: bool = True, system_override: str | None = None) -> DataFrame:
     """Uniform sample of ``target`` valid image samples (``target`` may be a
     scalar-subquery Column, ``bound`` is its static upper bound), then a
-    seeded shuffle of the sample.  Only keys and prompts reach the bounded
-    merge; payloads are joined back by the caller if needed."""
+    seeded shuffle key.  Ranks and the bottom-k run on keys only; question and
+    answer are joined back for the kept items (a broadcast of at most
+    ``bound`` keys); image payloads never move -- messages refer to images by
+    ``item:<id>``."""
     keys = M.valid_image_keys(captioned, use_assistant=use_assistant, seed=seed)
     top = bottomk_sample(keys, bound, "item_id", seed=seed)     # keys only through the merge
     top = top.withColumn("_r", F.row_number().over(Window.orderBy("sample_key", "item_id")) - 1) \
