@@ -2,8 +2,9 @@
 J1-J5).
 
 Sequences are rows ``(sample_id, pos, token_id[, mask])``.  Per-sample
-windows are used only after capacity admission, which bounds a sample by the
-model context, so no window group can grow with the data.
+windows only ever see one sample's tokens, which come from one input row
+(and capacity admission bounds them by the model context), so no window group
+grows with the data.
 """
 
 from __future__ import annotations
@@ -273,12 +274,12 @@ def embedding_gather(tokens: DataFrame, vectors: DataFrame, id_col: str = "vec_i
             t = t.withColumn("_salt", F.pmod(F.hash("sample_id", "pos"), F.lit(salt)))
             v = v.withColumn("_salt", F.explode(ways))
         else:
-            hot = F.broadcast(hot_keys(tokens, "token_id", hot_fraction)
-                              .select(F.col("token_id").alias("_hot"), F.lit(True).alias("_is_hot")))
+            hk = hot_keys(tokens, "token_id", hot_fraction)     # <= 1/hot_fraction rows
+            hot = F.broadcast(hk.select(F.col("token_id").alias("_hot"), F.lit(True).alias("_is_hot")))
             t = t.join(hot, t["token_id"] == hot["_hot"], "left").drop("_hot")
             t = t.withColumn("_salt", F.when(F.col("_is_hot"), F.pmod(F.hash("sample_id", "pos"), F.lit(salt)))
                              .otherwise(F.lit(0))).drop("_is_hot")
-            hv = F.broadcast(hot_keys(tokens, "token_id", hot_fraction).select(F.col("token_id").alias("_h")))
+            hv = F.broadcast(hk.select(F.col("token_id").alias("_h")))
             v = v.join(hv, v["_vid"] == hv["_h"], "left") \
                 .withColumn("_salt", F.explode(F.when(F.col("_h").isNotNull(), ways).otherwise(F.array(F.lit(0))))) \
                 .drop("_h")
