@@ -212,3 +212,14 @@ def test_normalize_matches_python_on_random_unicode(spark):
     for i, t in enumerate(texts):
         want = " ".join(t.split())[:17]
         assert got[i] == (want, len(want)), (t, got[i])
+
+
+def test_render_error_becomes_error_reject(spark):
+    df = spark.createDataFrame([(1, "a b c d e f g h i j k l"), (2, None), (3, "x")], "id long, t string")
+    msgs = F.array(M.text_message("user", F.col("t")))
+    enc = df.select("id", P.render_chat(msgs, F.lit(False)).alias("e")).select("id", "e.input_ids", "e.error")
+    ok, rej = P.length_admission(enc)
+    assert [r.id for r in ok.collect()] == [1]
+    assert {r.id: r.skip_reason for r in rej.collect()} == {2: "error", 3: "short"}
+    empty = spark.createDataFrame([(1,)], "k int").select(F.array().cast(M.MESSAGES).alias("m"))
+    assert empty.select(P.render_chat("m", F.lit(False))["error"].alias("e")).first().e == "render_failed"
