@@ -62,3 +62,47 @@ def with_payload(df: DataFrame, files: DataFrame, image: str = "image", out: str
 
 def has_payload(image: str = "image") -> Column:
     return F.coalesce(F.length(F.col(f"{image}.bytes")) > 0, F.lit(False))
+
+
+ROW_BITS = 40          # item_id = spec position << 40 | row index in the file
+
+
+def normalize_captioned(df: DataFrame) -> DataFrame:
+    """Canonical captioned rows from whatever of ``question, answer, image``
+    exists: missing columns become nulls, a plain-string ``answer`` is lifted
+    to a one-element array, ``has_image`` is derived from the payload."""
+    from pyspark.sql import types as T
+    cols = {f.name: f.dataType for f in df.schema.fields}
+    q = F.col("question").cast("string") if "question" in cols else F.lit(None).cast("string")
+    if "answer" not in cols:
+        a = F.lit(None).cast("array<string>")
+    elif isinstance(cols["answer"], T.ArrayType):
+        a = F.col("answer").cast("array<string>")
+    else:
+        a = F.when(F.col("answer").isNotNull(), F.array(F.col("answer").cast("string")))
+    img_t = "struct<bytes:binary,path:string>"
+    img = F.col("image") if "image" in cols else F.lit(None).cast(img_t)
+    keep = [c for c in df.columns if c not in ("question", "answer", "image")]
+    out = df.select(*keep, q.alias("question"), a.alias("answer"), img.alias("image"))
+    return out.withColumn("has_image", has_payload("image"))
+
+
+def read_captioned(spark, spec, base_dir: str | None = None) -> DataFrame:
+    """Captioned rows of a file spec in reading order.
+
+    Files are resolved like the spec says (order kept, repeats kept) and
+    read once each with only the wanted columns; ``item_id`` is the spec
+    position of the file and the row's index inside it, so ranks by
+    ``item_id`` follow the order in which a sequential reader meets the rows.
+    A file listed twice yields its rows twice (one copy per position)."""
+    from .files import resolve_data_files
+    paths = resolve_data_files(spec, base_dir)
+    occ = spark.createDataFrame([(p, i) for i, p in enumerate(paths)], "path string, file_idx long")
+    df = spark.read.parquet(*dict.fromkeys(paths))
+    d = df.select(*[c for c in WANTED if c in df.columns],
+                  F.regexp_replace(F.col("_metadata.file_path"), "^file:(//)?", "").alias("_path"),
+                  F.col("_metadata.row_index").alias("_row"))
+    d = d.join(F.broadcast(occ), d["_path"] == occ["path"], "inner")   # one row per spec entry
+    d = d.withColumn("item_id", F.shiftleft(F.col("file_idx"), ROW_BITS) + F.col("_row")) \
+        .drop("_path", "path", "_row")
+    return normalize_captioned(d)

@@ -138,3 +138,20 @@ def test_apply_tokenizer_matches_stand_in_and_captures_errors(spark):
         F.array(M.text_message(F.lit("boom"), F.lit("x"))).alias("messages"))
     e = bad.select(apply_tokenizer("messages", F.lit(False), tokenize).alias("t")).first().t
     assert e.input_ids is None and "bad role" in e.error
+
+
+def test_read_captioned_order_repeats_and_scalar_answers(spark):
+    from pyspark.sql import functions as F
+    from loomprep.sources.captioned import read_captioned
+    d = tempfile.mkdtemp()
+    a = spark.createDataFrame([("q1", " cap a "), ("q2", None)], "question string, answer string")
+    a.coalesce(1).write.parquet(os.path.join(d, "a"))
+    b = spark.createDataFrame([("q3", " cap b ")], "question string, answer string")
+    b.coalesce(1).write.parquet(os.path.join(d, "b"))
+    fa = [f for f in os.listdir(os.path.join(d, "a")) if f.endswith(".parquet")][0]
+    fb = [f for f in os.listdir(os.path.join(d, "b")) if f.endswith(".parquet")][0]
+    spec = f"{d}/b/{fb}, {d}/a/*.parquet, {d}/b/{fb}"
+    rows = read_captioned(spark, spec).orderBy("item_id").collect()
+    assert [r.question for r in rows] == ["q3", "q1", "q2", "q3"]
+    assert rows[1].answer == [" cap a "] and rows[2].answer is None
+    assert all(r.image is None and r.has_image is False for r in rows)
