@@ -59,6 +59,33 @@ def conversation_messages(conversations: DataFrame, key: str = "conv_id", order:
             .select(key, F.transform("_turns", lambda x: text_message(x["r"], x["t"])).alias("messages")))
 
 
+def canonical_messages(df: DataFrame, col: str = "messages") -> Column:
+    """The message-list column in canonical form, whatever its input shape
+    (read from the schema): a plain string becomes one user message; a single
+    message struct becomes a one-element list; a message whose ``content`` is
+    a string gets one text item; item structs get any missing field as null."""
+    from pyspark.sql import types as T
+    dt = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(dt, T.StringType):
+        return lift_messages(c, "text")
+    if isinstance(dt, T.StructType):
+        c, dt = F.array(c), T.ArrayType(dt)
+    msg_t = dt.elementType
+    content_t = msg_t["content"].dataType
+
+    def fix(m):
+        if isinstance(content_t, T.StringType):
+            items = F.array(text_item(m["content"]))
+        else:
+            names = set(content_t.elementType.fieldNames())
+            items = F.transform(m["content"], lambda i: F.struct(
+                *[(i[f] if f in names else F.lit(None)).cast("string").alias(f)
+                  for f in ("type", "text", "image_ref")]))
+        return F.struct(m["role"].cast("string").alias("role"), items.alias("content"))
+    return F.transform(c, fix)
+
+
 def conversation_sizes(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
     """Rendered size of each conversation computed on the long form with a
     partial aggregation (skew-safe): per turn ``3 + words`` (the stand-in

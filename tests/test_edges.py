@@ -223,3 +223,17 @@ def test_render_error_becomes_error_reject(spark):
     assert {r.id: r.skip_reason for r in rej.collect()} == {2: "error", 3: "short"}
     empty = spark.createDataFrame([(1,)], "k int").select(F.array().cast(M.MESSAGES).alias("m"))
     assert empty.select(P.render_chat("m", F.lit(False))["error"].alias("e")).first().e == "render_failed"
+
+
+def test_canonical_messages_shapes(spark):
+    a = spark.createDataFrame([([("user", "描述")],)], "messages array<struct<role:string,content:string>>")
+    m = a.select(M.canonical_messages(a).alias("m")).first().m
+    assert m[0].content[0].type == "text" and m[0].content[0].text == "描述"
+    assert a.select(M.message_language(M.canonical_messages(a)).alias("l")).first().l == "zh"
+    b = spark.createDataFrame([(("assistant", [("text", "hi")]),)],
+                              "messages struct<role:string,content:array<struct<type:string,text:string>>>")
+    mb = b.select(M.canonical_messages(b).alias("m")).first().m
+    assert [(x.role, x.content[0].text, x.content[0].image_ref) for x in mb] == [("assistant", "hi", None)]
+    c = spark.createDataFrame([("plain text",)], "messages string")
+    mc = c.select(M.canonical_messages(c).alias("m")).first().m
+    assert [(x.role, x.content[0].text) for x in mc] == [("user", "plain text")]
