@@ -39,7 +39,9 @@ def sampled_images(captioned: DataFrame, target, bound: int, *, seed: int = SEED
     ``bound`` keys); image payloads never move -- messages refer to images by
     ``item:<id>``."""
     keys = M.valid_image_keys(captioned, use_assistant=use_assistant, seed=seed)
-    top = bottomk_sample(keys, bound, "item_id", seed=seed)     # keys only through the merge
+    # keys only.  The keys come out of the rank's shuffle, so the ordered take
+    # merges (shuffle partitions x bound) rows at most, whatever the input size
+    top = bottomk_sample(keys, bound, "item_id", seed=seed)
     top = top.withColumn("_r", F.row_number().over(Window.orderBy("sample_key", "item_id")) - 1) \
         .where(F.col("_r") < target).drop("_r")
     # question and answer are joined back for the kept (<= bound) items only

@@ -26,17 +26,30 @@ def bottomk_sample(df: DataFrame, n: int, id_cols: Sequence[str] | str, seed=SEE
     the ``n`` smallest ``md5(seed:id)``; bottom-k samples of parts merge
     exactly, so the result does not depend on partitioning.
 
-    ``take_ordered`` plans ``TakeOrderedAndProject``: every task keeps its
-    own bottom-n, and partitions x n rows meet in one final merge (a bounded
-    priority queue).  ``ranked`` is for inputs with very many partitions: the
-    key's leading hex digits bucket the rows, a bucketed rank is computed
-    everywhere and ``rank < n`` kept -- no single task sees more than one
-    bucket."""
+    ``take_ordered``: ``TakeOrderedAndProject`` -- every task keeps its own
+    bottom-n and partitions x n rows meet in one final merge.
+    ``threshold``: rows are counted per ordered key bucket (leading hex
+    digits; a partial aggregation of at most ``16**digits`` groups), the
+    bucket where the running count reaches ``n`` is found on that small
+    table, and only rows up to it go through the ordered take: the final
+    merge sees about ``n + N/16**digits`` rows whatever the partition count,
+    with no shuffle of the input.
+    ``ranked``: a bucketed rank everywhere and ``rank < n``.
+    Use ``threshold`` for inputs with very many partitions (large tables)."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     keyed = df.withColumn(key_col, seeded_key(seed, *ids))
     if method == "ranked":
         r = bucketed_rank(keyed, [key_col, *ids], hash_bucket(key_col, digits), out="_bk_rank")
         return r.where(F.col("_bk_rank") < int(n)).drop("_bk_rank")
+    if method == "threshold":
+        b = hash_bucket(key_col, digits)
+        counts = keyed.groupBy(b.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        cum = counts.withColumn("_c", F.sum("_n").over(
+            Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
+        # first bucket whose running count reaches n (all buckets if fewer rows)
+        last = cum.agg(F.coalesce(F.min(F.when(F.col("_c") >= int(n), F.col("_b"))),
+                                  F.max("_b")).alias("_last")).scalar()
+        keyed = keyed.where(b <= last)
     return keyed.orderBy(key_col, *ids).limit(int(n))
 
 
