@@ -19,11 +19,12 @@ from .sampling import bottomk_sample, quota_targets, ratio_interleave, round_rob
 def text_samples(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
                  seeds: Mapping[str, int] | None = None, seed: int = SEED,
                  min_chars: int = MIN_TEXT_CHARS, max_chars: int = MAX_TEXT_CHARS,
-                 system: bool = True, system_override: str | None = None) -> DataFrame:
+                 system: bool = True, system_override: str | None = None,
+                 spread_rows: bool = False) -> DataFrame:
     """Text samples of the round-robin mix: ``(seq, item_id, source, text,
     messages)`` with ``source = <prefix><lang>`` and an optional system turn."""
     t = round_robin_mix(docs, pattern, n, seeds=seeds, seed=seed, min_chars=min_chars,
-                        max_chars=max_chars)
+                        max_chars=max_chars, spread_rows=spread_rows)
     return t.select("seq", F.col("doc_id").alias("item_id"), "source", "text",
                     M.text_sample_messages("text", system, system_override).alias("messages"))
 
@@ -62,12 +63,14 @@ def calibration_mix(docs: DataFrame, captioned: DataFrame, n: int = NUM_CALIB, *
                     seed: int = SEED, mode: str = "mixed", use_assistant: bool = False,
                     require_lang_match: bool = True, system: bool = True,
                     system_override: str | None = None,
-                    min_chars: int = MIN_TEXT_CHARS, max_chars: int = MAX_TEXT_CHARS) -> DataFrame:
+                    min_chars: int = MIN_TEXT_CHARS, max_chars: int = MAX_TEXT_CHARS,
+                    spread_rows: bool = False) -> DataFrame:
     """Texts first (the image target depends on how many arrived); images
     make up for missing texts; then ``k`` images per text up to ``n``."""
     text_target, _ = quota_targets(n, text_quota, image_quota, F.lit(0))
     texts = text_samples(docs, pattern, text_target, seeds=seeds, seed=seed, min_chars=min_chars,
-                         max_chars=max_chars, system=system, system_override=system_override)
+                         max_chars=max_chars, system=system, system_override=system_override,
+                         spread_rows=spread_rows)
     texts = materialize(texts, "mix-texts")            # <= text_target rows
     got = texts.agg(F.count(F.lit(1))).scalar()
     _, image_target = quota_targets(n, text_quota, image_quota, got)

@@ -84,13 +84,15 @@ def round_robin_mix(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
                     languages: Sequence[str] | None = None,
                     min_chars: int = MIN_TEXT_CHARS, max_chars: int = MAX_TEXT_CHARS,
                     source_prefix: str = TEXT_SOURCE_PREFIX, digits: int = 4,
-                    with_text: bool = True) -> DataFrame:
+                    with_text: bool = True, spread_rows: bool = False) -> DataFrame:
     """Weighted round-robin over per-language streams.
 
     Each language stream is the rows of that language in seeded-shuffle order.
     The pattern is cycled; every turn pulls the next row of its language; a
     row shorter than ``min_chars`` after normalisation uses up its turn; the
     first exhausted language ends the mix; at most ``n`` rows are kept.
+    ``spread_rows``: ``docs`` is a scan; spread it before the regex pass when
+    it has fewer splits than the cluster has cores.
 
     Closed form: row of 0-based rank ``r`` in language ``l`` (weight ``w_l``,
     pattern slots ``s_l``) has key ``(r div w_l)*L + s_l[r mod w_l]``; the
@@ -115,7 +117,10 @@ def round_robin_mix(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
 
     # Narrow projection: only the key, the language and the normalised length
     # travel through the shuffles; the text is joined back for the kept rows.
-    narrow = (spread(docs.where(lang.isin(streamed)), id_col)
+    src = docs.where(lang.isin(streamed))
+    if spread_rows:                     # docs is a scan with too few splits (see spread())
+        src = spread(src, id_col)
+    narrow = (src
               .select(F.col(id_col).alias("_id"), lang.alias("_lang"),
                       F.md5(F.concat_ws(":", seed_expr, F.col(id_col).cast("string"))).alias("_key"),
                       F.length(normalize_text(text_col, max_chars)).alias("_len")))

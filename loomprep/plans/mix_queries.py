@@ -85,7 +85,8 @@ mix AS (SELECT row_number() OVER (ORDER BY rnd, slot) - 1 AS mix_seq, source, it
 def _mix(spark, sf):
     return C.calibration_mix(table(spark, sf, "documents"), _captioned(spark, sf), NUM_CALIB,
                              text_quota=NUM_TEXT_CALIB, image_quota=NUM_IMAGE_CALIB,
-                             pattern=MIX_PATTERN, seeds={"en": TEXT_SEEDS["en"]}, seed=SEED)
+                             pattern=MIX_PATTERN, seeds={"en": TEXT_SEEDS["en"]}, seed=SEED,
+                             spread_rows=True)
 
 
 @register("calibration_mix", f"""

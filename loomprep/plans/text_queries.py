@@ -93,4 +93,5 @@ FROM kept JOIN documents ON documents.doc_id = kept.doc_id"""
 @register("round_robin_mix", _rr_sql(NUM_CALIB))
 def round_robin_mix(spark, sf):
     d = table(spark, sf, "documents")
-    return S.round_robin_mix(d, MIX_PATTERN, NUM_CALIB, seeds={"en": TEXT_SEEDS["en"]}, seed=SEED)
+    return S.round_robin_mix(d, MIX_PATTERN, NUM_CALIB, seeds={"en": TEXT_SEEDS["en"]}, seed=SEED,
+                             spread_rows=True)

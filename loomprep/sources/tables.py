@@ -17,7 +17,8 @@ def spread(df: DataFrame, key: str | None, min_partitions: int | None = None) ->
     """Hash-repartition by ``key`` only when the scan has fewer partitions
     than the cluster's default parallelism (a file with one row group is one
     task).  On large inputs the scan already has many splits and this is a
-    no-op, so no shuffle is added there."""
+    no-op, so no shuffle is added there.  Call it on scans only: probing the
+    partition count of a plan that contains a shuffle runs that shuffle."""
     if key is None or key not in df.columns:
         return df
     try:
