@@ -52,7 +52,11 @@ def text_message(role, text) -> Column:
 
 def conversation_messages(conversations: DataFrame, key: str = "conv_id", order: str = "turn",
                           role: str = "role", text: str = "text") -> DataFrame:
-    """Long-form turns -> one message list per conversation, in turn order."""
+    """Long-form turns -> one message list per conversation, in turn order.
+
+    This collects every turn of a conversation into one row; on inputs whose
+    conversations are not known to be bounded use
+    :func:`assemble_conversations`, which admits by size first."""
     return (conversations.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(role).alias("r"),
                                                       F.col(text).alias("t")))).alias("_turns"))
