@@ -2,7 +2,7 @@
 /root/testdata/sf0.1) on ``local[$BENCH_CPUS]`` and prints one JSON line.
 
 Each query is forced in full with the ``noop`` sink (no driver collect);
-the time is the better of two runs after one warm-up query.
+the time is the best of three runs after one warm-up query.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def main() -> None:
     times, rows = {}, {}
     for n in names:
         best = None
-        for _ in range(2):
+        for _ in range(3):
             t0 = time.perf_counter()
             run(catalog.QUERIES[n](spark, sf_dir))
             dt = time.perf_counter() - t0
