@@ -59,15 +59,16 @@ def normalize_pixels(px, mean: float = PIXEL_MEAN, std: float = PIXEL_STD) -> Co
 
 
 def rgb_channel(c, n_channels) -> Column:
-    """Channel index in RGB order from Spark's BGR(A) order; grey stays 0."""
+    """Channel index in RGB order from Spark's BGR(A) order (grey: 0)."""
     c, n = _c(c), _c(n_channels)
     return F.when(n >= 3, F.when(c < 3, 2 - c).otherwise(c)).otherwise(c)
 
 
 def pixel_rows(df: DataFrame, key: str, data: str, height, width, n_channels,
                rgb: bool = True, frame: str | None = None) -> DataFrame:
-    """Flat pixel arrays -> rows ``(key[, frame], y, x, c, v)``; alpha is
-    dropped and BGR reordered to RGB when ``rgb``; grey stays one channel."""
+    """Flat pixel arrays -> rows ``(key[, frame], y, x, c, v)``.  With
+    ``rgb`` (conversion to RGB): BGR(A) is reordered to RGB, alpha dropped,
+    and a grey value replicated to the three channels."""
     cols = [key] + ([frame] if frame else [])
     d = df.select(*cols, F.posexplode(data).alias("_idx", "v"), _c(height).alias("_h"),
                   _c(width).alias("_w"), _c(n_channels).alias("_nc"))
@@ -78,6 +79,9 @@ def pixel_rows(df: DataFrame, key: str, data: str, height, width, n_channels,
                    (rgb_channel(c, F.col("_nc")) if rgb else c).cast("int").alias("c"), "v", "_nc")
     if rgb:
         out = out.where(~((F.col("_nc") == 4) & (F.col("c") == 3)))
+        grey = F.col("_nc") == 1
+        out = out.withColumn("c", F.explode(F.when(grey, F.array(F.lit(0), F.lit(1), F.lit(2)))
+                                            .otherwise(F.array(F.col("c")))))
     return out.drop("_nc")
 
 

@@ -77,7 +77,7 @@ SELECT vec_id, 0 AS t,
 FROM kk""")
 def patchify(spark, sf):
     p = vector_pixels(table(spark, sf, "embeddings"))
-    rows = Z.pixel_rows(p, "vec_id", "pixels", F.lit(SIDE), F.lit(SIDE), F.lit(1))
+    rows = Z.pixel_rows(p, "vec_id", "pixels", F.lit(SIDE), F.lit(SIDE), F.lit(1), rgb=False)
     return Z.patchify(rows, "vec_id", SIDE, patch=2, merge=2, temporal=2)
 
 

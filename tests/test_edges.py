@@ -237,3 +237,13 @@ def test_canonical_messages_shapes(spark):
     c = spark.createDataFrame([("plain text",)], "messages string")
     mc = c.select(M.canonical_messages(c).alias("m")).first().m
     assert [(x.role, x.content[0].text) for x in mc] == [("user", "plain text")]
+
+
+def test_pixel_rows_channels(spark):
+    df = spark.createDataFrame([(1, bytearray([10, 20, 30, 255]), 4), (2, bytearray([7]), 1),
+                                (3, bytearray([1, 2, 3]), 3)], "k long, d binary, nc int")
+    px = df.select("k", F.transform(F.expr("transform(sequence(0, length(d) - 1), i -> ascii(substr(d, i + 1, 1)))"),
+                                    lambda x: x).alias("p"), "nc")
+    rows = Z.pixel_rows(px, "k", "p", F.lit(1), F.lit(1), F.col("nc")).collect()
+    got = sorted((r.k, r.c, r.v) for r in rows)
+    assert got == [(1, 0, 30), (1, 1, 20), (1, 2, 10), (2, 0, 7), (2, 1, 7), (2, 2, 7), (3, 0, 3), (3, 1, 2), (3, 2, 1)]
