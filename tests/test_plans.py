@@ -55,3 +55,41 @@ def test_no_python_in_expression_queries(spark):
 def test_pruned_scan(spark):
     p = formatted(catalog.QUERIES["contains_cjk"](spark, SF01))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
+
+
+def shuffle_inputs(df):
+    """Input columns of every shuffle (non-broadcast) exchange of the plan."""
+    import re
+    out = []
+    for block in formatted(df).split("\n\n"):
+        head = block.split("\n")[0]
+        if block.startswith("(") and re.search(r"\) Exchange\b", head):
+            m = re.search(r"Input \[\d+\]: \[([^\]]*)\]", block)
+            cols = [re.sub(r"#\d+L?$", "", c.strip()) for c in m.group(1).split(",")] if m else []
+            out.append(cols)
+    return out
+
+
+PAYLOAD = {"text", "html", "image", "question", "answer", "prompt", "messages", "embedding"}
+
+
+def test_image_sampling_shuffles_keys_only(spark):
+    from pyspark.sql import functions as F
+    from loomprep.operators import calibration as C
+    from loomprep.plans.message_queries import _captioned
+    s = C.sampled_images(_captioned(spark, SF01), F.lit(10), 1024)
+    ex = shuffle_inputs(s)
+    assert ex, "expected shuffles"
+    for cols in ex:
+        assert not PAYLOAD & set(cols), cols
+
+
+def test_round_robin_rank_shuffles_no_text(spark):
+    for cols in shuffle_inputs(catalog.QUERIES["round_robin_mix"](spark, SF01)):
+        assert not PAYLOAD & set(cols), cols
+
+
+def test_positions_shuffle_carries_no_vectors(spark):
+    ex = shuffle_inputs(catalog.QUERIES["sequence_positions"](spark, SF01))
+    rows = [c for c in ex if "token_id" in c]
+    assert rows and all("embedding" not in c and "text" not in c for c in rows)
