@@ -380,3 +380,25 @@ def trim_output(inp, out, end_id: int, max_new: int, skip_ids: Sequence[int] = (
     if skip_ids:
         gen = F.filter(gen, lambda x: ~x.isin(*skip_ids))
     return gen
+
+
+def prefill_inputs(tokens: DataFrame, grids: DataFrame, vectors: DataFrame, vision: DataFrame,
+                   sides: Sequence[DataFrame] = (), chunk: int = CHUNK_LEN,
+                   prefill_len: int = PREFILL_LEN, context_len: int = CONTEXT_LEN
+                   ) -> tuple[DataFrame, DataFrame]:
+    """The data side of a chunked prefill, per token of every admitted
+    sample: 3-axis positions and delta, the model input vector, the chunk
+    and the number of visible keys.  Samples over the prefill or context
+    capacity come back as rejects ``(sample_id, n_tokens, skip_reason)``
+    (sizes by a partial aggregation) and are never windowed or gathered."""
+    sizes = tokens.groupBy("sample_id").agg(F.count(F.lit(1)).cast("int").alias("n_tokens")) \
+        .withColumn("skip_reason", capacity_reason("n_tokens", prefill_len, context_len))
+    ok = tokens.join(sizes.where(F.col("skip_reason").isNull()).select("sample_id"), "sample_id", "left_semi")
+    pos = sequence_positions(ok, grids)
+    vec = input_vectors(ok, vectors, vision, sides).select("sample_id", "pos", "embedding", "from_vision",
+                                                            F.col("status").alias("vec_status"))
+    out = pos.join(vec, ["sample_id", "pos"], "inner") \
+        .withColumns({"chunk": F.floor(F.col("pos") / chunk).cast("int"),
+                      "kv_visible": (F.col("pos") + 1).cast("int"),
+                      "visual": F.col("token_id").isin(IMAGE_PAD_ID, VIDEO_PAD_ID)})
+    return out, sizes.where(F.col("skip_reason").isNotNull())
