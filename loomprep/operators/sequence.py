@@ -402,3 +402,16 @@ def prefill_inputs(tokens: DataFrame, grids: DataFrame, vectors: DataFrame, visi
                       "kv_visible": (F.col("pos") + 1).cast("int"),
                       "visual": F.col("token_id").isin(IMAGE_PAD_ID, VIDEO_PAD_ID)})
     return out, sizes.where(F.col("skip_reason").isNotNull())
+
+
+def decode_generated(df: DataFrame, inp: str, out: str, vocab: DataFrame, end_id: int, max_new: int,
+                     skip_ids: Sequence[int] = (), key: str = "sample_id") -> DataFrame:
+    """Generated text of each row: the output ids after the prompt, up to the
+    first end id and at most ``max_new``, special ids removed, decoded
+    through the ``(token_id, word)`` vocabulary.  Rows that generated
+    nothing get an empty string."""
+    gen = df.select(key, trim_output(F.col(inp), F.col(out), end_id, max_new, skip_ids).alias("_gen"))
+    rows = gen.select(F.col(key).alias("sample_id"), F.posexplode("_gen").alias("pos", "token_id"))
+    text = decode_join(rows, vocab)
+    return gen.select(key).join(text.withColumnRenamed("sample_id", key), key, "left") \
+        .select(key, F.coalesce("text", F.lit("")).alias("text"))
