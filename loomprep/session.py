@@ -57,6 +57,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder of this application's written intermediates:
+    ``<checkpoint dir>/loomprep/<application id>`` (remove it after the job)."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:
+        app = spark.conf.get("spark.app.id", "app")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/loomprep/{app}"
+
+
 def materialize(df, label: str = "stage"):
     """Compute ``df`` once, write it as parquet under the session's shared
     checkpoint folder and read it back: the lineage is cut, later actions
@@ -65,7 +75,6 @@ def materialize(df, label: str = "stage"):
     narrow key tables that several later steps scan."""
     import uuid
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/loomprep-{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
