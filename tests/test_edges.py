@@ -247,3 +247,27 @@ def test_pixel_rows_channels(spark):
     rows = Z.pixel_rows(px, "k", "p", F.lit(1), F.lit(1), F.col("nc")).collect()
     got = sorted((r.k, r.c, r.v) for r in rows)
     assert got == [(1, 0, 30), (1, 1, 20), (1, 2, 10), (2, 0, 7), (2, 1, 7), (2, 2, 7), (3, 0, 3), (3, 1, 2), (3, 2, 1)]
+
+
+def test_vector_candidates_first_hit_wins(spark):
+    from loomprep.operators.vectors import vector_export
+    df = spark.createDataFrame([(1, None, [1.0, 2.0]), (2, [3.0, 4.0], [5.0, 6.0])],
+                               "vec_id long, `llm.model.embed_tokens.weight` array<float>, `embed_tokens.weight` array<float>")
+    got = {r.vec_id: r.vector for r in vector_export(df, bf16=False).collect()}
+    assert got == {1: [1.0, 2.0], 2: [3.0, 4.0]}
+    import pytest
+    with pytest.raises(KeyError):
+        vector_export(spark.range(1).withColumnRenamed("id", "vec_id"))
+
+
+def test_image_message_flags(spark):
+    df = spark.createDataFrame([("请描述", "a cat")], "p string, c string")
+    m = df.select(M.image_messages("p", "c", F.lit("item:1"), use_assistant=True,
+                                   require_lang_match=False, system=False).alias("m")).first().m
+    assert [x.role for x in m] == ["user", "assistant"]
+    assert [i.type for i in m[0].content] == ["image", "text"] and m[1].content[0].text == "a cat"
+    m2 = df.select(M.image_messages("p", "c", F.lit("item:1"), use_assistant=True).alias("m")).first().m
+    assert [x.role for x in m2] == ["system", "user"]          # languages differ: no assistant turn
+    assert "中文" in m2[0].content[0].text
+    m3 = df.select(M.image_messages("p", "c", F.lit("item:1"), system_override="Be brief.").alias("m")).first().m
+    assert m3[0].content[0].text == "Be brief."
