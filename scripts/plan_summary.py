@@ -18,8 +18,17 @@ KEEP = ("Exchange", "BroadcastExchange", "Join", "Window", "WindowGroupLimit", "
         "BatchEvalPython", "Sort ", "Union")
 
 
+def physical_plan(df) -> str:
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="extended")
+    return buf.getvalue().split("== Physical Plan ==", 1)[1]
+
+
 def summarize(df) -> list[str]:
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = physical_plan(df)
     out = []
     for line in plan.splitlines():
         if not any(k in line for k in KEEP):

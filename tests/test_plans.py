@@ -4,19 +4,24 @@ from conftest import SF01
 from loomprep.plans import catalog
 
 
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def formatted(df):
-    import io
+def _explain(df, mode):
     import contextlib
+    import io
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
+        df.explain(mode=mode)
     return buf.getvalue()
 
 
+def plan(df):
+    """Physical plan tree (public ``explain`` output)."""
+    return _explain(df, "extended").split("== Physical Plan ==", 1)[1]
+
+
+def formatted(df):
+    return _explain(df, "formatted")
+
+
 def test_topk_has_partial_window_group_limit(spark):
     p = formatted(catalog.QUERIES["topk_per_group"](spark, SF01))
     assert p.count("WindowGroupLimit") >= 2
