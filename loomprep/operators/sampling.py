@@ -35,7 +35,9 @@ def bottomk_sample(df: DataFrame, n: int, id_cols: Sequence[str] | str, seed=SEE
     merge sees about ``n + N/16**digits`` rows whatever the partition count,
     with no shuffle of the input.
     ``ranked``: a bucketed rank everywhere and ``rank < n``.
-    Use ``threshold`` for inputs with very many partitions (large tables)."""
+    Use ``threshold`` for inputs with very many partitions (large tables),
+    and ``ranked`` when ``n`` itself is large: the ordered-take methods keep
+    up to ``n`` rows per task."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     keyed = df.withColumn(key_col, seeded_key(seed, *ids))
     if method == "ranked":
