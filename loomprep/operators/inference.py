@@ -30,6 +30,7 @@ def linear_weights(dim: int, outputs: int = 1, layer: int = 0):
 
 
 def linear_scorer(dim: int) -> Callable[[], Callable]:
+    """A deterministic linear model (one score per row) for tests and the bench."""
     def make_predict_fn():
         import numpy as np
         w = linear_weights(dim, 1)[:, 0]
@@ -57,12 +58,14 @@ def linear_encoder(dim: int, outputs: int = 4, layers: int = 4) -> Callable[[],
 
 
 def encoder_return_type(outputs: int = 4, layers: int = 4) -> T.StructType:
+    """Struct type of :func:`linear_encoder`'s outputs (final + side outputs)."""
     names = ["final"] + [f"side{i}" for i in range(1, layers)]
     return T.StructType([T.StructField(n, T.ArrayType(T.DoubleType())) for n in names])
 
 
 def batch_predict(col: Column | str, make_predict_fn: Callable[[], Callable], return_type,
                   batch_size: int = 256, input_shape: list[int] | None = None) -> Column:
+    """Apply a model factory to a column in Arrow batches (``predict_batch_udf``)."""
     from pyspark.ml.functions import predict_batch_udf
     shapes = [input_shape] if input_shape else None
     udf = predict_batch_udf(make_predict_fn, return_type=return_type, batch_size=batch_size,

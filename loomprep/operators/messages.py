@@ -29,16 +29,19 @@ def _c(x) -> Column:
 
 
 def text_item(text) -> Column:
+    """A content item of type ``text``."""
     return F.struct(F.lit("text").alias("type"), _c(text).cast("string").alias("text"),
                     F.lit(None).cast("string").alias("image_ref"))
 
 
 def media_item(kind: str, ref) -> Column:
+    """A content item of type ``image`` or ``video`` referring to media by id."""
     return F.struct(F.lit(kind).alias("type"), F.lit(None).cast("string").alias("text"),
                     _c(ref).cast("string").alias("image_ref"))
 
 
 def message(role, *items: Column) -> Column:
+    """A message struct ``{role, content}`` from content items."""
     r = F.lit(role) if isinstance(role, str) and role in ("user", "assistant", "system") else _c(role)
     return F.struct(r.alias("role"), F.array(*items).alias("content"))
 
@@ -142,6 +145,7 @@ def message_language(messages) -> Column:
 
 
 def system_message(lang, override: str | None = None) -> Column:
+    """The system message: the override text if given, else the text for ``lang``."""
     if override:
         txt = F.lit(override)
     else:
@@ -161,6 +165,7 @@ def with_system_message(messages, enabled: bool = True, override: str | None = N
 
 
 def has_assistant(messages) -> Column:
+    """True when any message of the list has the assistant role."""
     return F.exists(_c(messages), lambda m: m["role"] == "assistant")
 
 
@@ -177,6 +182,7 @@ PROMPT_MODES = ("source", "original", "mixed", "en", "zh")
 
 
 def prompt_list(mode: str) -> tuple[str, ...]:
+    """The caption prompts of a prompt mode (``mixed``: Chinese then English)."""
     mode = mode.lower()
     if mode == "mixed":
         return ZH_IMAGE_PROMPTS + EN_IMAGE_PROMPTS
@@ -247,6 +253,7 @@ def text_sample_messages(text, system: bool = True, system_override: str | None
 
 
 def image_source() -> Column:
+    """The source label of image samples."""
     return F.lit(IMAGE_SOURCE)
 
 

@@ -164,10 +164,12 @@ def token_totals(prepared: DataFrame, mask_col: str = "attention_mask",
 
 
 def mix_counts(mix: DataFrame, source: str = "source") -> DataFrame:
+    """Samples per source (partial aggregation)."""
     return mix.groupBy(source).agg(F.count(F.lit(1)).alias("n"))
 
 
 def skip_counts(rejected: DataFrame) -> DataFrame:
+    """Rejected samples per reason (partial aggregation)."""
     return rejected.groupBy("skip_reason").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -40,6 +40,7 @@ def visual_tokens(t, h, w, merge: int = MERGE_SIZE) -> Column:
 
 
 def chunk_count(length, chunk: int = CHUNK_LEN) -> Column:
+    """Number of fixed-length chunks: ``ceil(length / chunk)``."""
     return F.ceil(_c(length) / F.lit(chunk)).cast("int")
 
 
@@ -215,6 +216,7 @@ def sequence_chunks(tokens: DataFrame, chunk: int = CHUNK_LEN) -> DataFrame:
 # ---- P16: capacity ----------------------------------------------------------
 
 def capacity_reason(n_tokens, prefill_len: int = PREFILL_LEN, context_len: int = CONTEXT_LEN) -> Column:
+    """``over_context`` / ``over_prefill`` for sequences that do not fit, else null."""
     n = _c(n_tokens)
     return F.when(n > context_len, F.lit("over_context")).when(n > prefill_len, F.lit("over_prefill"))
 

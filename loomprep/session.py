@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 def build_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "loomprep") -> SparkSession:
+    """A local session for tests, the bench and scripts (UI off, AQE on)."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)

@@ -26,6 +26,7 @@ def scan_optional_columns(df: DataFrame, wanted: Sequence[str] = WANTED) -> Data
 
 
 def captioned_images(conversations: DataFrame, pages: DataFrame, stride: int = ITEM_STRIDE) -> DataFrame:
+    """Captioned-image rows derived from ``conversations`` and ``pages`` (see module doc)."""
     a = conversations.where(F.col("role") == "assistant").select("conv_id", "turn", "text")
     prev = conversations.select("conv_id", (F.col("turn") + 1).alias("turn"),
                                 F.col("role").alias("prev_role"), F.col("text").alias("prev_text"))
@@ -61,6 +62,7 @@ def with_payload(df: DataFrame, files: DataFrame, image: str = "image", out: str
 
 
 def has_payload(image: str = "image") -> Column:
+    """True when the image struct carries non-empty inline bytes."""
     return F.coalesce(F.length(F.col(f"{image}.bytes")) > 0, F.lit(False))
 
 

@@ -30,5 +30,6 @@ def spread(df: DataFrame, key: str | None, min_partitions: int | None = None) ->
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = False) -> DataFrame:
+    """One input table by name; ``spread_small`` spreads a scan with too few splits."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df, KEYS.get(name)) if spread_small else df

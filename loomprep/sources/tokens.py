@@ -21,10 +21,12 @@ VOCAB = 500
 
 
 def sample_id() -> Column:
+    """Sample key of a conversation turn: ``conv_id * 16 + turn``."""
     return (F.col("conv_id") * SAMPLE_STRIDE + F.col("turn")).cast("bigint")
 
 
 def word_ids(text, vocab: int = VOCAB) -> Column:
+    """Hashed ids of the whitespace words of a text."""
     return F.transform(whitespace_tokens(text), lambda w: hashed_id(w, vocab))
 
 

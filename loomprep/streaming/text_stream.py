@@ -34,6 +34,7 @@ def clean_texts(df: DataFrame, text: str = "text", lang: str = "lang", min_chars
 
 
 def text_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A parquet ``readStream`` with a fixed schema (optionally files per trigger)."""
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
