@@ -49,3 +49,10 @@ def test_results_do_not_depend_on_partitioning(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b and len(a) > 0
+
+
+def test_readme_lists_every_query():
+    import os
+    readme = open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "README.md")).read()
+    missing = [n for n in catalog.QUERIES if f"`{n}`" not in readme]
+    assert missing == [], missing
