@@ -32,15 +32,18 @@ def main() -> None:
                           app_name="loomprep-bench")
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in catalog.QUERIES]
     run(catalog.QUERIES["normalize_text"](spark, sf_dir))          # warm-up
-    times, rows = {}, {}
+    times, errors = {}, {}
     for n in names:
         best = None
-        for _ in range(3):
-            t0 = time.perf_counter()
-            run(catalog.QUERIES[n](spark, sf_dir))
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[n] = round(best, 3)
+        try:
+            for _ in range(3):
+                t0 = time.perf_counter()
+                run(catalog.QUERIES[n](spark, sf_dir))
+                dt = time.perf_counter() - t0
+                best = dt if best is None else min(best, dt)
+            times[n] = round(best, 3)
+        except Exception as exc:       # keep measuring the others; report the failure
+            errors[n] = repr(exc)[:300]
     # input sizes for rates (counted once, outside the timed runs)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     rates = {}
@@ -59,6 +62,8 @@ def main() -> None:
     out = {"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
            "cpus": cpus, "rates": rates}
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
