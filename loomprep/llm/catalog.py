@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import substring_dedup, suffix_array_dedup
+from . import mixing, substring_dedup, suffix_array_dedup, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op4_mixing": mixing.op4_mixing,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_suffix_array_dedup": suffix_array_dedup.op6_suffix_array_dedup,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_mixing": mixing.OP4_SQL}
