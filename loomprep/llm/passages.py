@@ -299,28 +299,25 @@ def _apply(scheme: Scheme, buckets: int, finish):
         at: dict = {b: 0 for b in payload}
         width = np.dtype(scheme.answer).itemsize
         for p in order:                    # as they were sent
-            b, n = p[0] % buckets, scheme.windows(p[1])
-            values[p] = np.frombuffer(payload[b], scheme.answer, n, at[b])
-            at[b] += n * width
+            b = p[0] % buckets
+            end = at[b] + scheme.windows(p[1]) * width
+            values[p] = payload[b][at[b]:end]
+            at[b] = end
         out = []
         for a, b, part, pieces in parts:
-            units = int(part.text_first[-1])
-            edge = np.zeros(units + 1, np.int32)
-            for route, d, first, _, text in pieces:
-                value = values[(route, text)]
+            edge = np.zeros(int(part.text_first[-1]) + 1, np.int32)
+            if pieces:
+                value = np.frombuffer(b"".join([values[p[0], p[4]] for p in pieces]), scheme.answer)
+                doc, first, count = np.array([p[1:4] for p in pieces], np.int64).T
+                window = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count)
+                window += np.arange(len(window))
                 if scheme.by_doc:
-                    if not given[a + d]:
-                        continue
-                    hit = value < ids[a + d]
+                    doc = np.repeat(doc, count) + a
+                    window = window[(value < ids[doc]) & given[doc]]
                 else:
-                    hit = value > 1
-                where = np.flatnonzero(hit)
-                if len(where):             # windows of one piece overlap: one range each run
-                    runs = np.flatnonzero(np.diff(where) > 1)
-                    lo = where[np.concatenate(([0], runs + 1))] + first
-                    hi = where[np.concatenate((runs, [len(where) - 1]))] + first
-                    np.add.at(edge, lo, 1)
-                    np.add.at(edge, hi + scheme.window, -1)
+                    window = window[value > 1]
+                edge[:-1] = np.bincount(window, minlength=len(edge) - 1)
+                np.subtract.at(edge, window + scheme.window, 1)
             gone = np.cumsum(edge[:-1]) > 0
             for d in range(b - a):
                 lo, hi = int(part.text_first[d]), int(part.text_first[d + 1])

@@ -62,23 +62,24 @@ class SuffixAutomaton:
 
     def add(self, words: list, doc: int) -> None:
         nxt, link, length, first = self.next, self.link, self.length, self.first
-        last = 0
+        none, last = first[0], 0
         for c in words:
             q = nxt[last].get(c)
+            size = length[last] + 1
             if q is not None:
-                if length[q] != length[last] + 1:
-                    q = self._split(last, c, q)
-                last = q
+                last = q if length[q] == size else self._split(last, c, q)
             else:
-                cur = self._state(length[last] + 1, {}, 0)
-                p = last
-                while p >= 0 and c not in nxt[p]:
-                    nxt[p][c] = cur
+                p, last = last, len(link)
+                nxt.append({})
+                link.append(0)
+                length.append(size)
+                first.append(none)
+                while p >= 0 and q is None:
+                    nxt[p][c] = last
                     p = link[p]
+                    q = nxt[p].get(c) if p >= 0 else None
                 if p >= 0:
-                    q = nxt[p][c]
-                    link[cur] = q if length[q] == length[p] + 1 else self._split(p, c, q)
-                last = cur
+                    link[last] = q if length[q] == length[p] + 1 else self._split(p, c, q)
             if doc < first[last]:
                 first[last] = doc
 
@@ -95,16 +96,17 @@ class SuffixAutomaton:
         state, matched, out = 0, 0, []
         none = np.iinfo(np.int64).max
         for n, c in enumerate(words, 1):
-            while state and c not in nxt[state]:
+            q = nxt[state].get(c)
+            while q is None and state:
                 state = link[state]
                 matched = length[state]
-            q = nxt[state].get(c)
+                q = nxt[state].get(c)
             if q is not None:
                 state, matched = q, matched + 1
-            while matched > window and length[link[state]] >= window:
-                state = link[state]
-                matched = length[state]
             if n >= window:
+                while matched > window and length[link[state]] >= window:
+                    state = link[state]
+                    matched = length[state]
                 out.append(first[state] if matched >= window else none)
         return out
 
