@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import mixing, substring_dedup, suffix_array_dedup, toxicity
+from . import mixing, secret_scan, substring_dedup, suffix_array_dedup, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op4_mixing": mixing.op4_mixing,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_suffix_array_dedup": suffix_array_dedup.op6_suffix_array_dedup,
+    "op8_secret_scan": secret_scan.op8_secret_scan,
 }
 ORACLE: dict[str, str] = {"op4_mixing": mixing.OP4_SQL}
