@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, secret_scan, substring_dedup, suffix_array_dedup, toxicity
+from . import embedding_dedup, mixing, secret_scan, substring_dedup, suffix_array_dedup, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -10,5 +10,6 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_suffix_array_dedup": suffix_array_dedup.op6_suffix_array_dedup,
     "op8_secret_scan": secret_scan.op8_secret_scan,
+    "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
 }
 ORACLE: dict[str, str] = {"op4_mixing": mixing.OP4_SQL}
