@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, jaccard_join, mixing, secret_scan, substring_dedup, suffix_array_dedup, toxicity
+from . import embedding_dedup, jaccard_join, mixing, secret_scan, substring_dedup, suffix_array_dedup, toxicity, vector_search
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -12,5 +12,6 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
+    "op3_vector_search": vector_search.op3_vector_search,
 }
 ORACLE: dict[str, str] = {"op4_mixing": mixing.OP4_SQL}
