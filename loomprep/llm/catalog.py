@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, jaccard_join, mixing, secret_scan, substring_dedup, suffix_array_dedup, toxicity, vector_search
+from . import (embedding_dedup, jaccard_join, mixing, packing, secret_scan, substring_dedup,
+               suffix_array_dedup, toxicity, vector_search)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -10,6 +11,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_suffix_array_dedup": suffix_array_dedup.op6_suffix_array_dedup,
     "op8_secret_scan": secret_scan.op8_secret_scan,
+    "op9_packing": packing.op9_packing,
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op3_vector_search": vector_search.op3_vector_search,
