@@ -191,26 +191,50 @@ def knapsack(price: np.ndarray, size: np.ndarray, capacity: int) -> tuple[float,
     return float(best[capacity]), numbers
 
 
-def cutting_stock(demand: np.ndarray, size: np.ndarray, capacity: int,
-                  rounds: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+def first_patterns(demand: np.ndarray, size: np.ndarray, capacity: int) -> np.ndarray:
+    """A starting basis: from the largest class down, a pattern that uses up what
+    is left of the class and fills its room with smaller classes of which enough
+    is left.  Its columns are triangular, so the matrix has an inverse, and the
+    numbers of uses are not negative."""
+    m = len(size)
+    basis, left = np.zeros((m, m)), demand.astype(float)
+    for c in np.argsort(-size, kind="stable"):
+        basis[c, c] = capacity // size[c]
+        if left[c] <= 0:
+            continue
+        uses = left[c] / basis[c, c]
+        room = capacity - int(basis[c, c]) * size[c]
+        left[c] = 0
+        for j in np.argsort(-size, kind="stable"):
+            if size[j] < size[c] and size[j] <= room:
+                n = min(room // size[j], int(left[j] // uses))
+                basis[j, c] = n
+                left[j] -= n * uses
+                room -= n * size[j]
+    return basis
+
+
+def cutting_stock(demand: np.ndarray, size: np.ndarray, capacity: int, gap: float = 0.002,
+                  rounds: int = 1000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows) and how often each is used so that the demand is met
-    exactly: the rounded-down linear program, then largest first."""
+    exactly: the rounded-down linear program, then largest first.  Columns are
+    added until the program is within ``gap`` of its bound."""
     m = len(size)
     if not m:
         return np.zeros((0, 0), np.int64), np.zeros(0, np.int64)
-    basis = np.diag(capacity // size).astype(float)          # columns are patterns
-    inverse = np.diag(1.0 / np.diag(basis))
-    used = inverse @ demand
+    basis = first_patterns(demand, size, capacity)           # columns are patterns
+    inverse = np.linalg.inv(basis)
+    used = np.maximum(inverse @ demand, 0.0)
     for step in range(rounds):
         value, pattern = knapsack(inverse.sum(0), size, capacity)
-        if value <= 1 + 1e-7:
+        if value <= 1 + gap:                                 # the best price bounds the optimum
             break
         direction = inverse @ pattern
         can = direction > 1e-9
         ratio = np.where(can, used / np.where(can, direction, 1.0), np.inf)
         out = int(ratio.argmin())
         basis[:, out] = pattern
-        if step % 200 == 199:                                # limits rounding errors
+        if step % 100 == 99:                                 # limits rounding errors
             inverse = np.linalg.inv(basis)
             used = np.maximum(inverse @ demand, 0.0)
             continue
