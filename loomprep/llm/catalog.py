@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import (embedding_dedup, jaccard_join, mixing, packing, secret_scan, substring_dedup,
-               suffix_array_dedup, toxicity, vector_search)
+from . import (embedding_dedup, html_extract, jaccard_join, mixing, packing, secret_scan,
+               substring_dedup, suffix_array_dedup, toxicity, vector_search)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op2_html_extract": html_extract.op2_html_extract,
     "op4_mixing": mixing.op4_mixing,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_suffix_array_dedup": suffix_array_dedup.op6_suffix_array_dedup,
