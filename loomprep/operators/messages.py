@@ -267,6 +267,28 @@ def first_user_language(conversations: DataFrame, key: str = "conv_id") -> DataF
                     .otherwise(language_tag(F.coalesce(F.col("_f.text"), F.lit("")))).alias("lang")))
 
 
+def generation_flags(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
+    """P12 on long-form turns: partial aggregation, skew-safe."""
+    return conversations.groupBy(key).agg(
+        (F.count_if(F.col("role") == "assistant") == 0).alias("add_generation_prompt"))
+
+
+def system_message_heads(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
+    """P4 on long-form turns: the number of messages and the first text with the
+    system message, and whether it was added.  Partial aggregation, so the
+    turns of a long conversation are never gathered."""
+    user = F.min(F.when(F.col("role") == "user", F.struct("turn", "text")))
+    heads = conversations.groupBy(key).agg(
+        F.count("*").alias("_n"), F.min(F.struct("turn", "role", "text")).alias("_head"),
+        user.alias("_user"))
+    lang = F.when(F.col("_user").isNull(), F.lit("en")).otherwise(
+        language_tag(F.coalesce(F.col("_user.text"), F.lit(""))))
+    added = F.coalesce(F.col("_head.role") != "system", F.lit(True))
+    text = system_message(lang)["content"][0]["text"]
+    return heads.select(key, (F.col("_n") + added.cast("int")).cast("int").alias("n_messages"),
+                        F.when(added, text).otherwise(F.col("_head.text")).alias("first_text"),
+                        added.alias("added"))
+
 
 
 def ranked_valid_images(captioned: DataFrame, *, use_assistant: bool = False, seed=SEED) -> DataFrame:

@@ -213,6 +213,20 @@ def sequence_chunks(tokens: DataFrame, chunk: int = CHUNK_LEN) -> DataFrame:
                 F.transform("_pt", lambda x: (x["pos"] + 1).cast("int")).alias("kv_visible"))
 
 
+def array_chunks(sequences: DataFrame, ids: str = "input_ids", chunk: int = CHUNK_LEN) -> DataFrame:
+    """:func:`sequence_chunks` for sequences that arrive as arrays, one row each:
+    every chunk is a slice of its own row, so nothing is shuffled."""
+    each = sequences.where(F.size(ids) > 0).select("sample_id", ids, F.explode(
+        F.sequence(F.lit(0), chunk_count(F.size(ids), chunk) - 1)).alias("chunk"))
+    first = F.col("chunk") * chunk
+    cut = F.slice(ids, first + 1, F.lit(chunk))
+    return each.select("sample_id", "chunk", F.size(cut).cast("int").alias("n_tokens"),
+                       first.cast("int").alias("first_pos"),
+                       ((F.col("chunk") + 1) * chunk).cast("int").alias("kv_len"),
+                       cut.alias("token_ids"),
+                       F.transform(cut, lambda _, i: (i + first + 1).cast("int")).alias("kv_visible"))
+
+
 # ---- P16: capacity ----------------------------------------------------------
 
 def capacity_reason(n_tokens, prefill_len: int = PREFILL_LEN, context_len: int = CONTEXT_LEN) -> Column:
@@ -228,10 +242,12 @@ def pad_batches(samples: DataFrame, batch_size: int, order: str = "sample_id", i
     """Batch = rank div size (bucketed rank, no single partition), padded to
     the longest sequence of its batch, with an attention mask."""
     from .ranking import bucketed_rank, range_bucket
-    r = bucketed_rank(samples, [order], range_bucket(samples, order), out="_rk")
-    r = r.withColumn("batch_id", F.floor(F.col("_rk") / batch_size).cast("bigint")).drop("_rk")
-    lens = r.groupBy("batch_id").agg(F.max(F.size(ids)).alias("padded_len"))
-    r = r.join(lens, "batch_id")
+    # keys and lengths are ranked; the arrays meet their batch's length once
+    keys = samples.select(order, F.size(ids).alias("_n"))
+    r = bucketed_rank(keys, [order], range_bucket(keys, order), out="_rk")
+    r = r.select(order, "_n", F.floor(F.col("_rk") / batch_size).cast("bigint").alias("batch_id"))
+    lens = r.groupBy("batch_id").agg(F.max("_n").alias("padded_len"))
+    r = samples.join(r.join(lens, "batch_id").drop("_n"), order)
     n_pad = (F.col("padded_len") - F.size(ids)).cast("int")
     pad = F.array_repeat(F.lit(pad_id), n_pad)
     zeros = F.array_repeat(F.lit(0).cast("tinyint"), n_pad)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.constants import (EN_IMAGE_PROMPTS, MAX_TOKENS, SEED, SYSTEM_PROMPT_EN,
+from ..functions.constants import (EN_IMAGE_PROMPTS, SEED, SYSTEM_PROMPT_EN,
                                    SYSTEM_PROMPT_ZH, ZH_IMAGE_PROMPTS)
 from ..operators import messages as M
-from ..sources.captioned import ITEM_STRIDE, captioned_images, scan_optional_columns
+from ..sources.captioned import ITEM_STRIDE, PAGE_STRIDE, captioned_images, scan_optional_columns
 from ..sources.tables import table
 from .registry import register
 from .sql import cjk, collapse, q, strip, words
@@ -43,7 +43,7 @@ ci AS (
          CASE WHEN p.prev_role = 'user' THEN p.prev_text END AS question,
          string_split(a.text, chr(10)) AS answer, pg.html AS html
   FROM a LEFT JOIN p ON p.conv_id = a.conv_id AND p.turn = a.turn
-         LEFT JOIN pages pg ON pg.page_id = a.conv_id * {ITEM_STRIDE} + a.turn),
+         LEFT JOIN pages pg ON pg.page_id = a.conv_id * {PAGE_STRIDE} + a.turn),
 cc AS (
   SELECT *, list_filter(list_transform(answer, lambda x: coalesce({strip('x')}, '')), lambda x: x <> '') AS caps,
          coalesce(length(html) > 0, false) AS has_image
@@ -56,17 +56,8 @@ cp AS (
 
 
 def _conv_messages(spark, sf):
-    """Message lists of the conversations that fit the token limit."""
-    msgs, _ = M.assemble_conversations(table(spark, sf, "conversations"), MAX_TOKENS)
-    return msgs
-
-
-# conversations that fit the token limit (stand-in rendered size)
-FITS = f"""
-fit AS (SELECT conv_id FROM (
-          SELECT conv_id, sum(3 + len({words('text')})) +
-                 CASE WHEN count(*) FILTER (WHERE role = 'assistant') = 0 THEN 2 ELSE 0 END AS n
-          FROM conversations GROUP BY conv_id) WHERE n <= {MAX_TOKENS})"""
+    """Message lists of all conversations (the list is the operator's output)."""
+    return M.conversation_messages(table(spark, sf, "conversations"))
 
 
 def _captioned(spark, sf):
@@ -80,20 +71,21 @@ def scan_optional(spark, sf):
 
 
 @register("conversation_messages", f"""
-WITH {FITS.strip()}
+
 SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles,
-       arg_min(text, turn) AS first_text
-FROM conversations WHERE conv_id IN (SELECT conv_id FROM fit) GROUP BY conv_id""")
+       arg_min(text, turn) AS first_text, md5(string_agg(coalesce(text, ''), chr(31) ORDER BY turn)) AS texts_md5
+FROM conversations GROUP BY conv_id""")
 def conversation_messages(spark, sf):
-    return _conv_messages(spark, sf).select("conv_id", *_flat())
+    texts = F.transform("messages", lambda m: F.coalesce(m["content"][0]["text"], F.lit("")))
+    return _conv_messages(spark, sf).select(
+        "conv_id", *_flat(), F.md5(F.array_join(texts, "\x1f")).alias("texts_md5"))
 
 
 @register("message_language", f"""
-WITH {LANG_CTE.strip()}, {FITS.strip()}
-SELECT conv_id, lang FROM lg WHERE conv_id IN (SELECT conv_id FROM fit)""")
+WITH {LANG_CTE.strip()}
+SELECT conv_id, lang FROM lg""")
 def message_language(spark, sf):
-    m = _conv_messages(spark, sf)
-    return m.select("conv_id", M.message_language("messages").alias("lang"))
+    return M.first_user_language(table(spark, sf, "conversations"))
 
 
 @register("same_language", f"""
@@ -101,9 +93,11 @@ SELECT c.conv_id, c.turn, {cjk('p.text')} = {cjk('c.text')} AS same_lang
 FROM conversations c JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1""")
 def same_language(spark, sf):
     c = table(spark, sf, "conversations")
-    p = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prev_text"))
-    return (c.join(p, ["conv_id", "turn"])
-            .select("conv_id", "turn", T.same_language("prev_text", "text").alias("same_lang")))
+    # only a flag of each text is shuffled
+    flags = c.select("conv_id", "turn", T.contains_cjk("text").alias("cjk"))
+    p = flags.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("cjk").alias("prev_cjk"))
+    return (flags.join(p, ["conv_id", "turn"])
+            .select("conv_id", "turn", (F.col("cjk") == F.col("prev_cjk")).alias("same_lang")))
 
 
 @register("language_match_rate", f"""
@@ -117,41 +111,37 @@ SELECT lang, count(*) AS pairs, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGI
 FROM pairs GROUP BY lang""")
 def language_match_rate(spark, sf):
     c = table(spark, sf, "conversations")
-    a = c.where(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("a_text"))
+    flag = T.contains_cjk("text")
+    a = c.where(F.col("role") == "assistant").select("conv_id", "turn", flag.alias("a_cjk"))
     u = c.where(F.col("role") == "user").select("conv_id", (F.col("turn") + 1).alias("turn"),
-                                                F.col("text").alias("u_text"))
+                                                flag.alias("u_cjk"))
     pairs = a.join(u, ["conv_id", "turn"]).select(
-        T.language_tag("u_text").alias("lang"), T.same_language("u_text", "a_text").alias("ok"))
+        F.when(F.col("u_cjk"), F.lit("zh")).otherwise(F.lit("en")).alias("lang"),
+        (F.col("u_cjk") == F.col("a_cjk")).alias("ok"))
     return (pairs.groupBy("lang")
             .agg(F.count(F.lit(1)).alias("pairs"), F.sum(F.col("ok").cast("bigint")).alias("matched"))
             .withColumn("match_rate", F.round(F.col("matched") / F.col("pairs"), 6)))
 
 
 @register("with_system_message", f"""
-WITH {LANG_CTE.strip()}, {FITS.strip()},
+WITH {LANG_CTE.strip()},
 fr AS (SELECT conv_id, arg_min(role, turn) AS first_role, arg_min(text, turn) AS first_text0,
               count(*) AS n FROM conversations GROUP BY conv_id)
 SELECT fr.conv_id,
        CAST(CASE WHEN first_role = 'system' THEN n ELSE n + 1 END AS INTEGER) AS n_messages,
        CASE WHEN first_role = 'system' THEN first_text0 ELSE {SYS_BY_LANG} END AS first_text,
        first_role <> 'system' AS added
-FROM fr JOIN lg ON lg.conv_id = fr.conv_id
-WHERE fr.conv_id IN (SELECT conv_id FROM fit)""")
+FROM fr JOIN lg ON lg.conv_id = fr.conv_id""")
 def with_system_message(spark, sf):
-    m = _conv_messages(spark, sf)
-    s = m.withColumn("sys", M.with_system_message("messages"))
-    return s.select("conv_id", F.size("sys").alias("n_messages"),
-                    F.col("sys")[0]["content"][0]["text"].alias("first_text"),
-                    (F.size("sys") > F.size("messages")).alias("added"))
+    return M.system_message_heads(table(spark, sf, "conversations"))
 
 
 @register("generation_flag", f"""
-WITH {FITS.strip()}
+
 SELECT conv_id, count(*) FILTER (WHERE role = 'assistant') = 0 AS add_generation_prompt
-FROM conversations WHERE conv_id IN (SELECT conv_id FROM fit) GROUP BY conv_id""")
+FROM conversations GROUP BY conv_id""")
 def generation_flag(spark, sf):
-    m = _conv_messages(spark, sf)
-    return m.select("conv_id", M.generation_flag("messages").alias("add_generation_prompt"))
+    return M.generation_flags(table(spark, sf, "conversations"))
 
 
 @register("caption_pick", f"WITH {CAPTIONED_CTE.strip()} SELECT item_id, CAST(len(caps) AS INTEGER) AS n_captions, caption FROM cp")

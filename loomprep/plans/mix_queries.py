@@ -16,7 +16,8 @@ from ..session import materialize
 from ..sources.tables import table
 from .message_queries import CAPTIONED_CTE, _captioned, _lst
 from .registry import register
-from .sql import cjk, hashed_id, md5key, norm, words
+from .sequence_queries import ids_md5
+from .sql import cjk, hashed_id, md5key, norm, q, words
 from .text_queries import MIX_PATTERN, rr_ctes
 
 MIXED = ZH_IMAGE_PROMPTS + EN_IMAGE_PROMPTS
@@ -26,11 +27,6 @@ N_SYS_ZH = len(SYSTEM_PROMPT_ZH.split())
 IMG_RUN = P.IMAGE_TOKENS + 2
 
 
-def _hw(expr: str) -> str:
-    """sum of hashed word ids of a text"""
-    return f"coalesce(list_sum(list_transform({words(expr)}, lambda w: {hashed_id('w', V)})), 0)"
-
-
 # ---------------------------------------------------------------- interleave
 
 @register("ratio_interleave", f"""
@@ -91,11 +87,14 @@ def _mix(spark, sf):
 
 @register("calibration_mix", f"""
 WITH {mix_ctes()}
-SELECT mix_seq, source, item_id, text, CAST(2 AS INTEGER) AS n_messages FROM mix""")
+SELECT mix_seq, source, item_id, text, CAST(2 AS INTEGER) AS n_messages,
+       CASE WHEN lang = 'zh' THEN {q(SYSTEM_PROMPT_ZH)} ELSE {q(SYSTEM_PROMPT_EN)} END AS system_text
+FROM mix""")
 def calibration_mix(spark, sf):
     m = _mix(spark, sf)
     return m.select(F.col("mix_seq").cast("bigint").alias("mix_seq"), "source", "item_id", "text",
-                    F.size("messages").alias("n_messages"))
+                    F.size("messages").alias("n_messages"),
+                    F.col("messages")[0]["content"][0]["text"].alias("system_text"))
 
 
 @register("mix_counts", f"""
@@ -116,35 +115,36 @@ def _rendered_conversations(spark, sf):
 
 CONV_TOKENS = f"""
 per_turn AS (
-  SELECT conv_id, role, 3 + len({words('text')}) AS n,
-         {P.MSG_START_ID} + {hashed_id('role', V)} + {_hw('text')} + {P.MSG_END_ID} AS s
+  SELECT conv_id, turn, role, list_concat([{P.MSG_START_ID}, {hashed_id('role', V)}],
+           list_transform({words('text')}, lambda w: {hashed_id('w', V)}), [{P.MSG_END_ID}]) AS ids
   FROM conversations),
 conv AS (
-  SELECT conv_id, sum(n) AS n, sum(s) AS s, count(*) FILTER (WHERE role = 'assistant') = 0 AS gen
+  SELECT conv_id, list_concat(flatten(list(ids ORDER BY turn)),
+           CASE WHEN count(*) FILTER (WHERE role = 'assistant') = 0
+                THEN [{P.MSG_START_ID}, {hashed_id("'assistant'", V)}] ELSE CAST([] AS INTEGER[]) END) AS ids
   FROM per_turn GROUP BY conv_id),
 conv_tok AS (
-  SELECT conv_id, CAST(n + CASE WHEN gen THEN 2 ELSE 0 END AS INTEGER) AS n_tokens,
-         CAST(s + CASE WHEN gen THEN {P.MSG_START_ID} + {hashed_id("'assistant'", V)} ELSE 0 END AS BIGINT) AS id_sum
-  FROM conv WHERE n + CASE WHEN gen THEN 2 ELSE 0 END <= {MAX_TOKENS})"""
+  SELECT conv_id, CAST(len(ids) AS INTEGER) AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5
+  FROM conv)"""
 
 
 @register("render_chat", f"""
 WITH {CONV_TOKENS.strip()}
-SELECT conv_id, n_tokens, id_sum, CAST(NULL AS VARCHAR) AS error FROM conv_tok""")
+SELECT conv_id, n_tokens, ids_md5, CAST(NULL AS VARCHAR) AS error FROM conv_tok""")
 def render_chat(spark, sf):
     r = _rendered_conversations(spark, sf)
-    s = F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return r.select("conv_id", F.size("input_ids").alias("n_tokens"), s.alias("id_sum"), "error")
+    return r.select("conv_id", F.size("input_ids").alias("n_tokens"), ids_md5("input_ids"), "error")
 
 
 @register("encode_defaults", f"""
 WITH {CONV_TOKENS.strip()}
-SELECT conv_id, n_tokens, CAST(n_tokens AS BIGINT) AS mask_sum FROM conv_tok""")
+SELECT conv_id, n_tokens, ids_md5, CAST(n_tokens AS BIGINT) AS mask_sum FROM conv_tok""")
 def encode_defaults(spark, sf):
     r = _rendered_conversations(spark, sf)
     e = P.encode_defaults(r, keep=["conv_id"])
     s = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint"))
-    return e.select("conv_id", F.size("input_ids").alias("n_tokens"), s.alias("mask_sum"))
+    return e.select("conv_id", F.size("input_ids").alias("n_tokens"), ids_md5("input_ids"),
+                    s.alias("mask_sum"))
 
 
 def _doc_samples(spark, sf):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.constants import (CHUNK_LEN, CONTEXT_LEN, IMAGE_PAD_ID, VIDEO_PAD_ID,
+from ..functions.constants import (CHUNK_LEN, CONTEXT_LEN, IMAGE_PAD_ID, PREFILL_LEN, VIDEO_PAD_ID,
                                    VISION_END_ID, VISION_START_ID)
 from ..operators import prepare as P
 from ..operators import sequence as Q
@@ -13,8 +13,9 @@ from ..sources.tables import table
 from .registry import register
 from .sql import hashed_id, words
 
-V = K.VOCAB
 S = K.SAMPLE_STRIDE
+V = "v"                                  # column of nv: the number of vectors
+NV = "nv AS (SELECT greatest(1, count(*)) AS v FROM embeddings)"
 END = P.MSG_END_ID
 
 
@@ -22,10 +23,20 @@ def _marker(ms: int) -> str:
     return hashed_id(f"'<{ms}ms>'", V)
 
 
+def ids_md5(ids: str):
+    """Digest of an id array in order."""
+    return F.md5(F.array_join(F.col(ids).cast("array<string>"), ",")).alias("ids_md5")
+
+
+def _vocab(spark, sf) -> int:
+    return K.vocab_size(table(spark, sf, "embeddings"))
+
+
 # words and derived grid per conversation turn
 BASE = f"""
+{NV},
 tw AS (SELECT CAST(conv_id * {S} + turn AS BIGINT) AS sample_id, conv_id, turn, role,
-              {words('text')} AS ws FROM conversations),
+              {words('text')} AS ws, v FROM conversations, nv),
 base AS (SELECT *, CAST(1 + len(ws) % 3 AS INTEGER) AS hh, CAST(1 + turn % 2 AS INTEGER) AS ww,
                 role = 'user' AS has_img, role = 'user' AND turn >= 2 AS has_vid,
                 list_transform(ws, lambda x: {hashed_id('x', V)}) AS wid FROM tw)"""
@@ -39,7 +50,7 @@ def _rep(n: str, v: int) -> str:
 
 SEQS = f"""{BASE.strip()},
 seqs AS (
-  SELECT sample_id, conv_id, turn, role, hh, ww, has_img, has_vid, list_concat(
+  SELECT sample_id, conv_id, turn, role, hh, ww, has_img, has_vid, v, list_concat(
     CASE WHEN has_img THEN list_concat([{VISION_START_ID}], {_rep('hh * ww', IMAGE_PAD_ID)}, [{VISION_END_ID}])
          ELSE {EMPTY} END,
     wid,
@@ -49,14 +60,13 @@ seqs AS (
          ELSE {EMPTY} END) AS ids
   FROM base),
 tk AS (SELECT sample_id, CAST(generate_subscripts(ids, 1) - 1 AS INTEGER) AS pos, unnest(ids) AS token_id
-       FROM seqs WHERE len(ids) <= {CONTEXT_LEN})"""
+       FROM seqs)"""
 
 
 def _mm(spark, sf):
+    """All samples as id arrays, and their grids."""
     conv = table(spark, sf, "conversations", spread_small=True)
-    seqs = K.mm_sequences(conv)
-    ok = seqs.where(Q.capacity_reason(F.size("input_ids"), prefill_len=CONTEXT_LEN).isNull())
-    return ok, K.vision_grids(conv)
+    return K.mm_sequences(conv, _vocab(spark, sf)), K.vision_grids(conv)
 
 
 @register("sequence_positions", f"""
@@ -98,43 +108,61 @@ def sequence_positions(spark, sf):
 @register("visual_mask", f"""
 WITH {SEQS}
 SELECT sample_id, CAST(ceil(len(ids) / {CHUNK_LEN}) * {CHUNK_LEN} AS INTEGER) AS mask_len,
-       CAST(len(list_filter(ids, lambda x: x IN ({IMAGE_PAD_ID}, {VIDEO_PAD_ID}))) AS INTEGER) AS n_visual
-FROM seqs WHERE len(ids) <= {CONTEXT_LEN}""")
+       CAST(len(list_filter(ids, lambda x: x IN ({IMAGE_PAD_ID}, {VIDEO_PAD_ID}))) AS INTEGER) AS n_visual,
+       array_to_string(list_filter(list_transform(ids, lambda x, i:
+         CASE WHEN x IN ({IMAGE_PAD_ID}, {VIDEO_PAD_ID}) THEN i - 1 ELSE -1 END), lambda y: y >= 0), ',') AS slots
+FROM seqs""")
 def visual_mask(spark, sf):
     seqs, _ = _mm(spark, sf)
     m = seqs.select("sample_id", Q.visual_mask("input_ids").alias("m"))
+    slots = F.filter(F.transform("m", lambda x, i: F.when(x, i).otherwise(-1)), lambda y: y >= 0)
     return m.select("sample_id", F.size("m").alias("mask_len"),
-                    F.size(F.filter("m", lambda x: x)).alias("n_visual"))
+                    F.size(F.filter("m", lambda x: x)).alias("n_visual"),
+                    F.array_join(slots.cast("array<string>"), ",").alias("slots"))
+
+
+@register("capacity_reasons", f"""
+WITH {SEQS}
+SELECT sample_id, CAST(len(ids) AS INTEGER) AS n_tokens,
+       CASE WHEN len(ids) > {CONTEXT_LEN} THEN 'over_context' WHEN len(ids) > {PREFILL_LEN} THEN 'over_prefill' END
+         AS skip_reason
+FROM seqs""")
+def capacity_reasons(spark, sf):
+    seqs, _ = _mm(spark, sf)             # every sample once, with its reason (null = it fits)
+    n = F.size("input_ids")
+    return seqs.select("sample_id", n.alias("n_tokens"), Q.capacity_reason(n).alias("skip_reason"))
 
 
 @register("sequence_chunks", f"""
 WITH {SEQS}
 SELECT sample_id, CAST(pos // {CHUNK_LEN} AS INTEGER) AS chunk, CAST(count(*) AS INTEGER) AS n_tokens,
        min(pos) AS first_pos, CAST((pos // {CHUNK_LEN} + 1) * {CHUNK_LEN} AS INTEGER) AS kv_len,
-       CAST(sum(token_id) AS BIGINT) AS id_sum, CAST(sum(pos + 1) AS BIGINT) AS kv_visible_sum
+       md5(string_agg(CAST(token_id AS VARCHAR), ',' ORDER BY pos)) AS ids_md5,
+       CAST(sum(pos + 1) AS BIGINT) AS kv_visible_sum
 FROM tk GROUP BY sample_id, pos // {CHUNK_LEN}""")
 def sequence_chunks(spark, sf):
     seqs, _ = _mm(spark, sf)
-    c = Q.sequence_chunks(K.token_rows(seqs))
-    total = lambda col: F.aggregate(col, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return c.select("sample_id", "chunk", "n_tokens", "first_pos", "kv_len",
-                    total("token_ids").alias("id_sum"), total("kv_visible").alias("kv_visible_sum"))
+    c = Q.array_chunks(seqs)
+    total = F.aggregate("kv_visible", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return c.select("sample_id", "chunk", "n_tokens", "first_pos", "kv_len", ids_md5("token_ids"),
+                    total.alias("kv_visible_sum"))
 
 
 @register("expand_placeholders", f"""
 WITH {BASE.strip()}
 SELECT sample_id, 'image' AS modality, CAST(hh * ww + 2 AS INTEGER) AS n_tokens,
-       CAST({VISION_START_ID} + hh * ww * {IMAGE_PAD_ID} + {VISION_END_ID} AS BIGINT) AS id_sum
+       array_to_string(list_concat([{VISION_START_ID}], {_rep('hh * ww', IMAGE_PAD_ID)}, [{VISION_END_ID}]), ',') AS ids
 FROM base WHERE has_img
 UNION ALL
 SELECT sample_id, 'video', CAST(2 * (hh * ww + 3) AS INTEGER),
-       CAST({_marker(250)} + {_marker(1250)} + 2 * ({VISION_START_ID} + hh * ww * {VIDEO_PAD_ID} + {VISION_END_ID}) AS BIGINT)
+       array_to_string(list_concat([{_marker(250)}, {VISION_START_ID}], {_rep('hh * ww', VIDEO_PAD_ID)},
+         [{VISION_END_ID}, {_marker(1250)}, {VISION_START_ID}], {_rep('hh * ww', VIDEO_PAD_ID)}, [{VISION_END_ID}]), ',')
 FROM base WHERE has_vid""")
 def expand_placeholders(spark, sf):
     g = K.vision_grids(table(spark, sf, "conversations"))
-    ids = Q.media_tokens("modality", "t", "h", "w", F.lit(2.0), vocab=V)
-    total = F.aggregate(ids, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return g.select("sample_id", "modality", F.size(ids).alias("n_tokens"), total.alias("id_sum"))
+    ids = Q.media_tokens("modality", "t", "h", "w", F.lit(2.0), vocab=_vocab(spark, sf))
+    return g.select("sample_id", "modality", F.size(ids).alias("n_tokens"),
+                    F.array_join(ids.cast("array<string>"), ",").alias("ids"))
 
 
 @register("visual_token_count", f"""
@@ -160,20 +188,25 @@ def visual_token_count(spark, sf):
 # ------------------------------------------------------------ padding / masks
 
 PADDED = f"""
-tw AS (SELECT CAST(conv_id * {S} + turn AS BIGINT) AS sample_id, {words('text')} AS ws FROM conversations),
-bt AS (SELECT sample_id, len(ws) AS n, (row_number() OVER (ORDER BY sample_id) - 1) // 4 AS batch_id FROM tw),
+{NV},
+tw AS (SELECT CAST(conv_id * {S} + turn AS BIGINT) AS sample_id, {words('text')} AS ws, v FROM conversations, nv),
+bt AS (SELECT sample_id, len(ws) AS n, list_transform(ws, lambda x: {hashed_id('x', V)}) AS ids, (row_number() OVER (ORDER BY sample_id) - 1) // 4 AS batch_id FROM tw),
 pb AS (SELECT *, max(n) OVER (PARTITION BY batch_id) AS padded_len FROM bt)"""
 
 
 @register("pad_batches", f"""
 WITH {PADDED.strip()}
 SELECT sample_id, CAST(batch_id AS BIGINT) AS batch_id, CAST(padded_len AS INTEGER) AS padded_len,
-       CAST(padded_len - n AS INTEGER) AS n_pad, CAST(n AS BIGINT) AS mask_sum FROM pb""")
+       CAST(padded_len - n AS INTEGER) AS n_pad, CAST(n AS BIGINT) AS mask_sum,
+       md5(array_to_string(list_concat({_rep('padded_len - n', 0)}, ids), ',')) AS ids_md5,
+       array_to_string(list_concat({_rep('padded_len - n', 0)}, {_rep('n', 1)}), '') AS mask FROM pb""")
 def pad_batches(spark, sf):
-    p = Q.pad_batches(K.text_sequences(table(spark, sf, "conversations")), 4)
+    p = Q.pad_batches(K.text_sequences(table(spark, sf, "conversations"), _vocab(spark, sf)), 4)
     ms = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint"))
     return p.select("sample_id", "batch_id", F.size("input_ids").alias("padded_len"),
-                    (F.size("input_ids") - ms).cast("int").alias("n_pad"), ms.alias("mask_sum"))
+                    (F.size("input_ids") - ms).cast("int").alias("n_pad"), ms.alias("mask_sum"),
+                    ids_md5("input_ids"),
+                    F.array_join(F.col("attention_mask").cast("array<string>"), "").alias("mask"))
 
 
 @register("mask_positions", f"""
@@ -184,7 +217,7 @@ p AS (SELECT sample_id, CAST(pos AS INTEGER) AS pos, CAST(CASE WHEN pos < n_pad
 SELECT sample_id, pos, position, CAST(max(position) OVER (PARTITION BY sample_id) + 1 - padded_len AS BIGINT) AS delta
 FROM p""")
 def mask_positions(spark, sf):
-    p = Q.pad_batches(K.text_sequences(table(spark, sf, "conversations")), 4)
+    p = Q.pad_batches(K.text_sequences(table(spark, sf, "conversations"), _vocab(spark, sf)), 4)
     rows = K.token_rows(p, mask="attention_mask")
     return Q.mask_positions(rows).select("sample_id", "pos", "position", "delta")
 
@@ -192,13 +225,16 @@ def mask_positions(spark, sf):
 # ---------------------------------------------------------------- gathers
 
 def _esum(col):
-    return F.round(F.aggregate(col, F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double")), 4)
+    """Sum of the components, each times its place, so that their order counts."""
+    placed = F.transform(col, lambda x, i: x.cast("double") * (i + 1))
+    return F.round(F.aggregate(placed, F.lit(0.0).cast("double"), lambda a, x: a + x), 4)
 
 
-ESUM = "round(list_sum(list_transform({0}, lambda x: CAST(x AS DOUBLE))), 4)"
+ESUM = "round(list_sum(list_transform({0}, lambda x, i: CAST(x AS DOUBLE) * i)), 4)"
 
 TEXT_TOK = f"""
-tw AS (SELECT CAST(conv_id * {S} + turn AS BIGINT) AS sample_id, {words('text')} AS ws FROM conversations),
+{NV},
+tw AS (SELECT CAST(conv_id * {S} + turn AS BIGINT) AS sample_id, {words('text')} AS ws, v FROM conversations, nv),
 tt AS (SELECT sample_id, CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS pos,
               {hashed_id('unnest(ws)', V)} AS token_id FROM tw)"""
 
@@ -209,17 +245,19 @@ SELECT sample_id, pos, token_id, {ESUM.format('e.embedding')} AS emb_sum,
        CASE WHEN e.vec_id IS NULL THEN 'unknown_id' END AS status
 FROM tt LEFT JOIN embeddings e ON e.vec_id = tt.token_id""")
 def embedding_gather(spark, sf):
-    toks = K.token_rows(K.text_sequences(table(spark, sf, "conversations", spread_small=True)))
+    toks = K.token_rows(K.text_sequences(table(spark, sf, "conversations", spread_small=True),
+                                          _vocab(spark, sf)))
     g = Q.embedding_gather(toks, table(spark, sf, "embeddings"))
     return g.select("sample_id", "pos", "token_id", _esum(F.col("embedding")).alias("emb_sum"), "status")
 
 
 def _vision_vectors(spark, sf, seqs, layer: int):
     """Vision rows (sample_id, vis_idx, embedding) derived from embeddings:
-    the k-th visual slot of a sample takes vector ``(7*sample + k + 100*layer) mod 500``."""
+    the k-th visual slot of a sample takes vector ``(7*sample + k + 100*layer)
+    mod`` the number of vectors."""
     n_vis = F.size(F.filter("input_ids", lambda x: x.isin(IMAGE_PAD_ID, VIDEO_PAD_ID)))
     slots = seqs.where(n_vis > 0).select("sample_id", F.explode(F.sequence(F.lit(0), n_vis - 1)).alias("vis_idx"))
-    slots = slots.withColumn("vec_id", F.pmod(F.col("sample_id") * 7 + F.col("vis_idx") + 100 * layer, F.lit(V)))
+    slots = slots.withColumn("vec_id", F.pmod(F.col("sample_id") * 7 + F.col("vis_idx") + 100 * layer, F.lit(_vocab(spark, sf))))
     e = table(spark, sf, "embeddings").select("vec_id", "embedding")
     return slots.join(e, "vec_id").select("sample_id", "vis_idx", "embedding")
 
@@ -229,8 +267,9 @@ vt AS (SELECT tk.*, (token_id IN ({IMAGE_PAD_ID}, {VIDEO_PAD_ID})) AS vis FROM t
 vk AS (SELECT *, CASE WHEN vis THEN sum(CAST(vis AS INTEGER)) OVER (PARTITION BY sample_id ORDER BY pos
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 END AS k FROM vt),
 ve AS (SELECT vk.*, e.embedding AS tok_vec, v0.embedding AS vis_vec
-       FROM vk LEFT JOIN embeddings e ON e.vec_id = vk.token_id
-               LEFT JOIN embeddings v0 ON vk.vis AND v0.vec_id = (vk.sample_id * 7 + vk.k) % {V})"""
+       FROM (SELECT vt_k.*, nv.v FROM vk AS vt_k, nv) AS vk
+       LEFT JOIN embeddings e ON e.vec_id = vk.token_id
+       LEFT JOIN embeddings v0 ON vk.vis AND v0.vec_id = (vk.sample_id * 7 + vk.k) % vk.v)"""
 
 
 @register("masked_replace", f"""
@@ -249,9 +288,9 @@ def masked_replace(spark, sf):
 WITH {SEQS},
 {VIS.strip()},
 va AS (SELECT ve.*, s1.embedding AS a1, s2.embedding AS a2, s3.embedding AS a3 FROM ve
-       LEFT JOIN embeddings s1 ON ve.vis AND s1.vec_id = (ve.sample_id * 7 + ve.k + 100) % {V}
-       LEFT JOIN embeddings s2 ON ve.vis AND s2.vec_id = (ve.sample_id * 7 + ve.k + 200) % {V}
-       LEFT JOIN embeddings s3 ON ve.vis AND s3.vec_id = (ve.sample_id * 7 + ve.k + 300) % {V}),
+       LEFT JOIN embeddings s1 ON ve.vis AND s1.vec_id = (ve.sample_id * 7 + ve.k + 100) % ve.v
+       LEFT JOIN embeddings s2 ON ve.vis AND s2.vec_id = (ve.sample_id * 7 + ve.k + 200) % ve.v
+       LEFT JOIN embeddings s3 ON ve.vis AND s3.vec_id = (ve.sample_id * 7 + ve.k + 300) % ve.v),
 vv AS (SELECT *, CASE WHEN vis THEN
          list_transform(list_zip(list_transform(list_zip(list_transform(list_zip(vis_vec, a1), lambda z: CAST(z[1] + z[2] AS FLOAT)), a2),
                                                 lambda z: CAST(z[1] + z[2] AS FLOAT)), a3), lambda z: CAST(z[1] + z[2] AS FLOAT))
@@ -266,35 +305,37 @@ def masked_add(spark, sf):
 
 @register("decode_join", f"""
 WITH {TEXT_TOK.strip()},
-tw2 AS (SELECT unnest({words('text')}) AS word FROM conversations),
+tw2 AS (SELECT unnest({words('text')}) AS word, v FROM conversations, nv),
 vocab AS (SELECT {hashed_id('word', V)} AS token_id, min(word) AS word FROM tw2 GROUP BY 1)
 SELECT sample_id, string_agg(coalesce(vocab.word, '<unk>'), ' ' ORDER BY pos) AS text
 FROM tt LEFT JOIN vocab ON vocab.token_id = tt.token_id GROUP BY sample_id""")
 def decode_join(spark, sf):
     conv = table(spark, sf, "conversations")
-    toks = K.token_rows(K.text_sequences(conv))
+    size = _vocab(spark, sf)
+    toks = K.token_rows(K.text_sequences(conv, size))
     from ..functions.text import whitespace_tokens
     from ..functions.hashing import hashed_id as hid
     vocab = conv.select(F.explode(whitespace_tokens("text")).alias("word")) \
-        .groupBy(hid(F.col("word"), V).alias("token_id")).agg(F.min("word").alias("word"))
+        .groupBy(hid(F.col("word"), size).alias("token_id")).agg(F.min("word").alias("word"))
     return Q.decode_join(toks, vocab, skip_ids=(VISION_START_ID, VISION_END_ID, IMAGE_PAD_ID, VIDEO_PAD_ID))
 
 
 @register("trim_output", f"""
-WITH tw AS (SELECT conv_id, turn, role, list_transform({words('text')}, lambda x: {hashed_id('x', V)}) AS ids
-            FROM conversations)
+WITH {NV},
+tw AS (SELECT conv_id, turn, role, list_transform({words('text')}, lambda x: {hashed_id('x', V)}) AS ids
+       FROM conversations, nv)
 SELECT CAST(u.conv_id * {S} + u.turn AS BIGINT) AS sample_id, CAST(least(len(a.ids), 128) AS INTEGER) AS n_new,
-       CAST(coalesce(list_sum(a.ids[1:128]), 0) AS BIGINT) AS id_sum
+       md5(array_to_string(a.ids[1:128], ',')) AS ids_md5
 FROM tw u JOIN tw a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
 WHERE u.role = 'user' AND a.role = 'assistant'""")
 def trim_output(spark, sf):
     conv = table(spark, sf, "conversations")
-    ids = K.word_ids("text")
+    ids = K.word_ids("text", _vocab(spark, sf))
     u = conv.where(F.col("role") == "user").select("conv_id", "turn", ids.alias("inp"))
     a = conv.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"),
                                                         ids.alias("ans"))
     j = u.join(a, ["conv_id", "turn"])
     out = F.concat("inp", "ans", F.array(F.lit(END)), "inp")
     gen = Q.trim_output(F.col("inp"), out, END, 128, skip_ids=(VISION_START_ID, VISION_END_ID))
-    return j.select(K.sample_id().alias("sample_id"), F.size(gen).alias("n_new"),
-                    F.aggregate(gen, F.lit(0).cast("bigint"), lambda acc, x: acc + x).alias("id_sum"))
+    return j.select(K.sample_id().alias("sample_id"), gen.alias("gen")).select(
+        "sample_id", F.size("gen").alias("n_new"), ids_md5("gen"))

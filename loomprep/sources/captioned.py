@@ -4,8 +4,9 @@ struct<bytes, path>)`` and the choice of an image payload (S1, S5).
 The test tables hold no images; a captioned row is derived from every
 assistant turn of ``conversations``: question = the user turn right before it,
 answer = the lines of the assistant text, image = the page of ``pages`` whose
-``page_id`` equals ``item_id = conv_id * stride + turn`` (so some rows have no
-image, as in real data).  Adjacent turns are matched by an equi-join on
+``page_id`` equals ``conv_id * 16 + turn`` (so some rows have no image, as in
+real data, and two rows may show one page).  ``item_id`` is the pair
+``(conv_id, turn)`` packed into one long, turn in the lower 32 bits.  Adjacent turns are matched by an equi-join on
 ``(conv_id, turn)`` so a very long conversation is spread by both keys.
 """
 
@@ -16,7 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ITEM_STRIDE = 16
+ITEM_STRIDE = 1 << 32
+PAGE_STRIDE = 16
 WANTED = ("question", "answer", "image")
 
 
@@ -25,24 +27,25 @@ def scan_optional_columns(df: DataFrame, wanted: Sequence[str] = WANTED) -> Data
     return df.select(*[c for c in wanted if c in df.columns])
 
 
-def captioned_images(conversations: DataFrame, pages: DataFrame, stride: int = ITEM_STRIDE) -> DataFrame:
+def captioned_images(conversations: DataFrame, pages: DataFrame) -> DataFrame:
     """Captioned-image rows derived from ``conversations`` and ``pages`` (see module doc)."""
     a = conversations.where(F.col("role") == "assistant").select("conv_id", "turn", "text")
     prev = conversations.select("conv_id", (F.col("turn") + 1).alias("turn"),
                                 F.col("role").alias("prev_role"), F.col("text").alias("prev_text"))
-    item_id = (F.col("conv_id") * stride + F.col("turn")).cast("bigint")
+    item_id = (F.col("conv_id") * F.lit(ITEM_STRIDE) + F.col("turn")).cast("bigint")
+    page_id = (F.col("conv_id") * PAGE_STRIDE + F.col("turn")).cast("bigint")
     rows = (a.join(prev, ["conv_id", "turn"], "left")
-            .select(item_id.alias("item_id"), "conv_id", "turn",
+            .select(item_id.alias("item_id"), page_id.alias("_page"), "conv_id", "turn",
                     F.when(F.col("prev_role") == "user", F.col("prev_text")).alias("question"),
                     F.split(F.col("text"), "\n").alias("answer")))
     # the payload flag is computed before the join, so when only the flag is
     # used the payload itself is pruned and never crosses the shuffle
-    img = pages.select(F.col("page_id").alias("item_id"),
+    img = pages.select(F.col("page_id").alias("_page"),
                        F.struct(F.encode(F.col("html"), "UTF-8").alias("bytes"),
                                 F.col("url").alias("path")).alias("image"),
                        F.coalesce(F.length(F.col("html")) > 0, F.lit(False)).alias("_has"))
-    out = rows.join(img, "item_id", "left")
-    return out.withColumn("has_image", F.coalesce(F.col("_has"), F.lit(False))).drop("_has")
+    out = rows.join(img, "_page", "left")
+    return out.withColumn("has_image", F.coalesce(F.col("_has"), F.lit(False))).drop("_has", "_page")
 
 
 def inline_payload(image: str = "image") -> Column:

@@ -1,9 +1,11 @@
 """Token rows derived from the input tables.
 
-A sample is one conversation turn: ``sample_id = conv_id * 16 + turn``.  Its
+A sample is one conversation turn.  ``sample_id`` is the pair ``(conv_id,
+turn)`` packed into one long (turn in the lower 32 bits), so no two turns share
+an id; ids beyond that range raise an overflow instead of colliding.  Its
 text tokens are the whitespace words of the turn, id = md5 hash mod ``vocab``
-(``vocab`` = the number of vectors in ``embeddings``, 500 by default, so every
-id has a vector).  User turns carry vision blocks whose grids are derived
+(the queries pass the number of vectors in ``embeddings``, so every id has a
+vector).  User turns carry vision blocks whose grids are derived
 from the row: an image before the text and, from the third turn on, a video
 after it.  Everything is row-level (``posexplode``); nothing is grouped.
 """
@@ -16,13 +18,18 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hashed_id
 from ..functions.text import whitespace_tokens
 
-SAMPLE_STRIDE = 16
-VOCAB = 500
+SAMPLE_STRIDE = 1 << 32
+VOCAB = 500          # hash range where the caller names none
 
 
 def sample_id() -> Column:
-    """Sample key of a conversation turn: ``conv_id * 16 + turn``."""
-    return (F.col("conv_id") * SAMPLE_STRIDE + F.col("turn")).cast("bigint")
+    """Sample key of a conversation turn: ``conv_id * 2**32 + turn``."""
+    return (F.col("conv_id") * F.lit(SAMPLE_STRIDE) + F.col("turn")).cast("bigint")
+
+
+def vocab_size(embeddings: DataFrame) -> int:
+    """Number of vectors (from the file footers), at least 1."""
+    return max(1, embeddings.count())
 
 
 def word_ids(text, vocab: int = VOCAB) -> Column:
