@@ -12,6 +12,7 @@ from ..functions.constants import (MAX_TEXT_CHARS, MIN_TEXT_CHARS, NUM_CALIB, NU
                                    NUM_TEXT_CALIB, SEED)
 from ..functions.hashing import seeded_key
 from ..session import materialize
+from ..sources.captioned import with_found_images
 from . import messages as M
 from .sampling import bottomk_sample, quota_targets, ratio_interleave, round_robin_mix
 
@@ -64,8 +65,9 @@ def calibration_mix(docs: DataFrame, captioned: DataFrame, n: int = NUM_CALIB, *
                     require_lang_match: bool = True, system: bool = True,
                     system_override: str | None = None,
                     min_chars: int = MIN_TEXT_CHARS, max_chars: int = MAX_TEXT_CHARS,
-                    spread_rows: bool = False) -> DataFrame:
-    """Texts first (the image target depends on how many arrived); images
+                    spread_rows: bool = False, image_files: DataFrame | None = None) -> DataFrame:
+    """``image_files``: paths at which images given by path only are found.
+    Texts first (the image target depends on how many arrived); images
     make up for missing texts; then ``k`` images per text up to ``n``."""
     text_target, _ = quota_targets(n, text_quota, image_quota, F.lit(0))
     texts = text_samples(docs, pattern, text_target, seeds=seeds, seed=seed, min_chars=min_chars,
@@ -74,6 +76,8 @@ def calibration_mix(docs: DataFrame, captioned: DataFrame, n: int = NUM_CALIB, *
     texts = materialize(texts, "mix-texts")            # <= text_target rows
     got = texts.agg(F.count(F.lit(1))).scalar()
     _, image_target = quota_targets(n, text_quota, image_quota, got)
+    if image_files is not None:
+        captioned = with_found_images(captioned, image_files)
     images = sampled_images(captioned, image_target, n, seed=seed, mode=mode,
                             use_assistant=use_assistant, require_lang_match=require_lang_match,
                             system=system, system_override=system_override)

@@ -125,12 +125,12 @@ def encode_defaults(df: DataFrame, keep: Sequence[str] = (), keys: Sequence[str]
 
 
 def sort_by_length(df: DataFrame, order: str = "desc", length: str = "n_tokens", seq: str = "seq",
-                   out: str = "sort_rank", seed: int = 42, seq_buckets: int = 256,
+                   out: str = "sort_rank", seed: int = 42, seq_side: int = 16,
                    max_rows: int | None = None) -> DataFrame:
     """Stable order by length (``asc``/``desc``), seeded ``shuffle`` or as is.
     Adds a 0-based ``out``; computed with bucketed ranks on ``(length, seq
     range)`` buckets, so one popular length does not land in one task; the
-    bucket table has at most distinct lengths x ``seq_buckets`` rows and
+    bucket table has at most distinct lengths x ``seq_side ** 2`` rows and
     is joined without a forced broadcast.
 
     ``max_rows``: the caller guarantees the input has at most this many rows
@@ -147,7 +147,7 @@ def sort_by_length(df: DataFrame, order: str = "desc", length: str = "n_tokens",
         return bucketed_rank(df, [seq], range_bucket(df, seq), out=out)
     ln = F.col(length) if order == "asc" else -F.col(length)
     d = df.withColumn("_ord_len", ln)
-    bucket = F.struct(F.col("_ord_len").alias("l"), range_bucket(d, seq, seq_buckets).alias("s"))
+    bucket = F.struct(F.col("_ord_len").alias("l"), range_bucket(d, seq, seq_side).alias("s"))
     # the offset table has one row per non-empty (length, seq range): no
     # fixed bound, so the join is left to Spark's size check (AQE)
     return bucketed_rank(d, ["_ord_len", seq], bucket, out=out,

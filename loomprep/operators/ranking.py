@@ -2,7 +2,7 @@
 
 A window ``row_number() OVER (ORDER BY k)`` with no partition moves every row
 into one task.  Instead rows are split into ordered buckets (a prefix of the
-md5 order key, or ``id div K`` for numeric keys), the per-bucket counts are
+md5 order key, or quantile ranges for numeric keys), the per-bucket counts are
 prefix-summed on the small count table, and each bucket is ranked on its own
 and shifted by its offset.  A hot group (one language holding a third of the
 rows) is spread over ``16**digits`` buckets, and every step recomputes the
@@ -37,9 +37,12 @@ def bucketed_rank(df: DataFrame, order_cols: Sequence[str], bucket: Column,
                             F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
     if broadcast_offsets is None:
         broadcast_offsets = not part
+    keys = [*part, "_bkt"]
+    offsets = offsets.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(keys)], "_off")
     if broadcast_offsets:       # callers pass True only for bounded bucket tables
         offsets = F.broadcast(offsets)
-    joined = d.join(offsets, [*part, "_bkt"], "inner")
+    same = [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(keys)]     # null keys count
+    joined = d.join(offsets, same, "inner").drop(*[f"_o{i}" for i in range(len(keys))])
     wr = Window.partitionBy(*part, "_bkt").orderBy(*order_cols)
     return (joined.withColumn(out, F.col("_off") + F.row_number().over(wr) - 1)
             .drop("_bkt", "_off"))
@@ -50,24 +53,29 @@ def hash_bucket(hash_col: str, digits: int = 3) -> Column:
     return F.substring(F.col(hash_col), 1, digits)
 
 
-def range_bucket(df: DataFrame, id_col: str, buckets: int = 65536) -> Column:
-    """Ordered bucket for a numeric key: ``buckets`` equal ranges between
-    the key's min and max over ``df`` (one scalar subquery).  Any ``df``
-    whose key range encloses the ranked rows works (e.g. the input before a
-    filter), which keeps the bound query cheap.  The bucket count, and with
-    it the broadcast offset table, stays fixed however large the input
-    grows."""
-    b = df.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi"))
-    lo = b.select("lo").scalar()
-    hi = b.select("hi").scalar()
-    width = F.greatest(F.lit(1), F.ceil((hi - lo + 1) / F.lit(int(buckets))))
-    return F.floor((F.col(id_col) - lo) / width)
+SIDE = 40               # range_bucket uses SIDE * SIDE quantile ranges
 
 
-def valid_rank(df: DataFrame, valid: Column | str, order_col: str, out: str = "valid_rank",
-               buckets: int = 65536) -> DataFrame:
+def range_bucket(df: DataFrame, id_col: str, side: int = SIDE) -> Column:
+    """Ordered bucket for a numeric key: ``side * side`` ranges between the
+    key's approximate quantiles over ``df`` (one scalar subquery), so outlying
+    or clustered keys fill the buckets evenly.  Any ``df`` that is distributed
+    like the ranked rows works (e.g. the input before a filter).  The number of
+    buckets, and with it the offset table, stays fixed however large the input
+    grows.  A null key has the bucket null."""
+    n = side * side
+    points = df.agg(F.percentile_approx(id_col, [k / n for k in range(1, n)], 20 * n).alias("p")).scalar()
+    k = F.col(id_col)
+    # two steps of ``side`` comparisons instead of one of ``side * side``
+    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(side - 1)),
+                                         lambda i: F.get(points, i * side - 1)), lambda p: p <= k))
+    fine = F.size(F.filter(F.slice(points, coarse * side + 1, F.lit(side - 1)), lambda p: p <= k))
+    return F.when(k.isNotNull(), coarse * side + fine)
+
+
+def valid_rank(df: DataFrame, valid: Column | str, order_col: str, out: str = "valid_rank") -> DataFrame:
     """Rank among valid rows in input order (``valid_seen`` before the row).
     Invalid rows are dropped; ``order_col`` is the numeric input order."""
     v = F.col(valid) if isinstance(valid, str) else valid
     bounds = df.select(order_col)
-    return bucketed_rank(df.where(v), [order_col], range_bucket(bounds, order_col, buckets), out=out)
+    return bucketed_rank(df.where(v), [order_col], range_bucket(bounds, order_col), out=out)

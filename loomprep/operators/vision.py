@@ -24,9 +24,9 @@ def pixel_cap_dims(width, height, max_pixels: int = IMAGE_MAX_PIXELS) -> Column:
     """Unchanged if ``max_pixels <= 0`` or the area fits; else every side
     ``max(1, round_half_even(side * sqrt(cap / area)))`` (may end slightly
     above the cap)."""
-    w, h = _c(width), _c(height)
+    w, h = _c(width).cast("bigint"), _c(height).cast("bigint")
     if max_pixels <= 0:
-        return F.struct(w.alias("width"), h.alias("height"))
+        return F.struct(w.cast("int").alias("width"), h.cast("int").alias("height"))
     ratio = F.sqrt(F.lit(float(max_pixels)) / (w * h).cast("double"))
     fit = (w * h) <= max_pixels
     nw = F.when(fit, w).otherwise(F.greatest(F.lit(1), F.bround(w * ratio).cast("int")))
@@ -65,11 +65,12 @@ def rgb_channel(c, n_channels) -> Column:
 
 
 def pixel_rows(df: DataFrame, key: str, data: str, height, width, n_channels,
-               rgb: bool = True, frame: str | None = None) -> DataFrame:
+               rgb: bool = True, frame: str | None = None, carry: tuple = ()) -> DataFrame:
     """Flat pixel arrays -> rows ``(key[, frame], y, x, c, v)``.  With
     ``rgb`` (conversion to RGB): BGR(A) is reordered to RGB, alpha dropped,
-    and a grey value replicated to the three channels."""
-    cols = [key] + ([frame] if frame else [])
+    and a grey value replicated to the three channels.  ``carry``: columns
+    kept on every row (e.g. the width, for :func:`patchify`)."""
+    cols = [key] + ([frame] if frame else []) + list(carry)
     d = df.select(*cols, F.posexplode(data).alias("_idx", "v"), _c(height).alias("_h"),
                   _c(width).alias("_w"), _c(n_channels).alias("_nc"))
     c = F.pmod(F.col("_idx"), F.col("_nc"))
@@ -85,7 +86,7 @@ def pixel_rows(df: DataFrame, key: str, data: str, height, width, n_channels,
     return out.drop("_nc")
 
 
-def patchify(pixels: DataFrame, key: str, width: int, patch: int = PATCH_SIZE, merge: int = MERGE_SIZE,
+def patchify(pixels: DataFrame, key: str, width: int | str | Column, patch: int = PATCH_SIZE, merge: int = MERGE_SIZE,
              temporal: int = TEMPORAL_PATCH, frame: str = "frame", n_frames: Column | None = None) -> DataFrame:
     """Patch layout of ``(t, hblock, wblock, mh, mw, tp, py, px, c)``:
     pixel ``(frame, y, x, c)`` goes to temporal group ``t = frame div tp``,
@@ -93,8 +94,10 @@ def patchify(pixels: DataFrame, key: str, width: int, patch: int = PATCH_SIZE, m
     (x div ps) mod m`` and element ``(k*ps + y mod ps)*ps + x mod ps`` with
     ``k = frame mod tp``, channel last.  Frames are padded to a multiple of
     ``tp`` by repeating the last frame (``n_frames`` per item; 1 when no
-    frame column).  Output rows ``(key, t, token, elem, c, v)``."""
-    WB = width // (patch * merge)
+    frame column).  ``width``: a number, or a column if the images differ in
+    size.  Output rows ``(key, t, token, elem, c, v)``."""
+    wide = F.lit(width) if isinstance(width, int) else _c(width)
+    WB = F.floor(wide / (patch * merge))
     p = pixels if frame in pixels.columns else pixels.withColumn(frame, F.lit(0))
     nf = F.lit(1) if n_frames is None else n_frames
     p = p.withColumn("_nf", nf)
@@ -127,8 +130,8 @@ def temporal_groups(frames: DataFrame, video: str, order: list[str], temporal: i
     very long video is ranked by many tasks."""
     b = bucket if bucket is not None else F.date_trunc("hour", F.col(order[0]))
     r = bucketed_rank(frames, order, b, partition_by=[video], out="frame_idx")
-    counts = frames.groupBy(video).agg(F.count(F.lit(1)).alias("_n"))
-    r = r.join(counts, video)
+    counts = frames.groupBy(F.col(video).alias("_video")).agg(F.count(F.lit(1)).alias("_n"))
+    r = r.join(counts, F.col(video).eqNullSafe(F.col("_video"))).drop("_video")
     pad = F.pmod(-F.col("_n"), F.lit(temporal))
     copies = F.when(F.col("frame_idx") == F.col("_n") - 1, F.sequence(F.lit(0), pad)).otherwise(F.array(F.lit(0)))
     r = r.withColumn("_j", F.explode(copies))
@@ -145,11 +148,16 @@ def minmax_ranges(values: DataFrame, channel: str = "c", value: str = "v", bits:
 
 
 def frame_index_by_path(images: DataFrame, video: Column, path: str = "origin",
-                        prefix_len: int = 0) -> DataFrame:
+                        prefix_len: int | None = None) -> DataFrame:
     """Frames listed in path order (lexicographic: ``10`` sorts before
     ``2``) -> ``frame_idx`` per video, with bucketed ranks; a fixed-length
-    path prefix (``prefix_len`` characters) is the bucket, which keeps the
-    order and splits a video with very many frames."""
+    path prefix is the bucket, which keeps the order and splits a video with
+    very many frames.  The default length leaves the last six characters of the
+    longest path out: a folder of ``frame_000123.png`` is cut every hundred."""
     d = images.withColumn("video_id", video)
-    return bucketed_rank(d, [path], F.substring(F.col(path), 1, prefix_len), partition_by=["video_id"],
+    if prefix_len is None:
+        length = images.agg(F.greatest(F.lit(0), F.max(F.length(path)) - 6)).scalar()
+    else:
+        length = F.lit(prefix_len)
+    return bucketed_rank(d, [path], F.col(path).substr(F.lit(1), length), partition_by=["video_id"],
                          out="frame_idx", broadcast_offsets=None)

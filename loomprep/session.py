@@ -50,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="loomprep-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(path)
@@ -68,6 +71,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/loomprep/{app}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's written intermediates (call it after the job;
+    frames that still read them can no longer be computed)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df, label: str = "stage"):
     """Compute ``df`` once, write it as parquet under the session's shared
     checkpoint folder and read it back: the lineage is cut, later actions

@@ -100,14 +100,23 @@ def read_captioned(spark, spec, base_dir: str | None = None) -> DataFrame:
     position of the file and the row's index inside it, so ranks by
     ``item_id`` follow the order in which a sequential reader meets the rows.
     A file listed twice yields its rows twice (one copy per position)."""
-    from .files import resolve_data_files
-    paths = resolve_data_files(spec, base_dir)
-    occ = spark.createDataFrame([(p, i) for i, p in enumerate(paths)], "path string, file_idx long")
-    df = spark.read.parquet(*dict.fromkeys(paths))
+    from .files import files_of, spec_sources
+    sources = spec_sources(spec, base_dir)
+    files = {s: files_of(spark, s) for s in dict.fromkeys(sources)}
+    listed = [f for s in sources for f in files[s]]          # file names only
+    occ = spark.createDataFrame(list(zip(listed, range(len(listed)))), "_file string, file_idx long")
+    df = spark.read.parquet(*files)
     d = df.select(*[c for c in WANTED if c in df.columns],
-                  F.regexp_replace(F.col("_metadata.file_path"), "^file:(//)?", "").alias("_path"),
-                  F.col("_metadata.row_index").alias("_row"))
-    d = d.join(F.broadcast(occ), d["_path"] == occ["path"], "inner")   # one row per spec entry
+                  F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+    d = d.join(occ, F.col("_path") == F.col("_file"))        # one row per spec entry
     d = d.withColumn("item_id", F.shiftleft(F.col("file_idx"), ROW_BITS) + F.col("_row")) \
-        .drop("_path", "path", "_row")
+        .drop("_path", "_file", "_row")
     return normalize_captioned(d)
+
+
+def with_found_images(df: DataFrame, files: DataFrame, image: str = "image") -> DataFrame:
+    """``has_image`` is also true for rows without inline bytes whose
+    ``image.path`` is among ``files`` (column ``path``; only paths travel)."""
+    found = files.select(F.col("path").alias("_found")).distinct()
+    return (df.join(found, F.col(f"{image}.path") == F.col("_found"), "left")
+            .withColumn("has_image", has_payload(image) | F.col("_found").isNotNull()).drop("_found"))

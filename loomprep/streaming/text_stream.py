@@ -10,8 +10,10 @@ arrived; ST4 reports running counts through ``observe``.
 
 from __future__ import annotations
 
+import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,12 +47,27 @@ def _work_dir(spark: SparkSession, name: str) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/" + name
 
 
+def _written(spark: SparkSession, root: str) -> DataFrame | None:
+    """The dataset at ``root``; None if nothing has been written there yet.  Any
+    other failure to read it is raised."""
+    try:
+        return spark.read.parquet(root)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _batches_before(spark: SparkSession, root: str, batch_id: int):
     """Largest committed batch id below ``batch_id`` in the state dataset
     (found through Spark, so any shared file system works)."""
-    try:
-        d = spark.read.parquet(root)
-    except Exception:              # nothing written yet
+    d = _written(spark, root)
+    if d is None:
         return None
     r = d.where(F.col("batch") < batch_id).agg(F.max("batch").alias("b")).first()
     return None if r is None else r.b
@@ -80,6 +97,9 @@ def running_sample(spark: SparkSession, stream: DataFrame, k: int, id_col: str,
         top = cur.orderBy("sample_key", id_col).limit(int(k)).withColumn("batch", F.lit(int(batch_id)))
         (top.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch").parquet(root))
+        # the last two versions are enough: a replay needs the one before
+        if batch_id >= 2:
+            _remove(sess, f"{root}/batch={batch_id - 2}")
 
     w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if trigger_available_now else w
@@ -92,17 +112,15 @@ def running_sample(spark: SparkSession, stream: DataFrame, k: int, id_col: str,
 
 
 def _rows_before(spark: SparkSession, root: str, batch_id: int) -> int:
-    try:
-        d = spark.read.parquet(root)
-    except Exception:
-        return 0
-    return d.where(F.col("batch") < batch_id).count()
+    d = _written(spark, root)
+    return 0 if d is None else d.where(F.col("batch") < batch_id).count()
 
 
 def collect_until_quota(spark: SparkSession, stream: DataFrame, quota: int, id_col: str, seed=SEED,
-                        name: str | None = None, digits: int = 2):
+                        name: str | None = None, digits: int = 2, timeout: float = 60.0):
     """Append clean rows in shuffled order until ``quota`` rows have
-    arrived; the driver stops the query then.
+    arrived; the driver stops the query then, or after ``timeout`` seconds in
+    which no new rows came (``progress["complete"]`` tells which).
 
     Each micro-batch is the shuffle buffer: its rows are ordered by
     ``md5(seed:id)`` (bucketed rank) after the rows of earlier batches.  A
@@ -131,18 +149,25 @@ def collect_until_quota(spark: SparkSession, stream: DataFrame, quota: int, id_c
 
     q = (stream.writeStream.foreachBatch(append)
          .option("checkpointLocation", _work_dir(spark, name) + "/_checkpoint").start())
+    have, waited_since = -1, time.monotonic()
     try:
         while q.isActive:
-            q.processAllAvailable()
-            if _rows_before(spark, root, 1 << 62) >= quota or not q.status.get("isDataAvailable", False):
+            q.awaitTermination(0.5)
+            now = _rows_before(spark, root, 1 << 62)
+            if now != have:
+                have, waited_since = now, time.monotonic()
+            if have >= quota or time.monotonic() - waited_since > timeout:
                 break
     finally:
+        failure = q.exception()
         q.stop()
-    try:
-        rows = spark.read.parquet(root).where(F.col("arrival") < quota).drop("batch")
-    except Exception:
-        rows = None
+    if failure is not None:
+        raise failure
+    rows = _written(spark, root)
+    if rows is not None:
+        rows = rows.where(F.col("arrival") < quota).drop("batch")
     state["count"] = _rows_before(spark, root, 1 << 62)
+    state["complete"] = state["count"] >= quota
     return rows, state
 
 
