@@ -155,11 +155,16 @@ def sort_by_length(df: DataFrame, order: str = "desc", length: str = "n_tokens",
 
 
 def token_totals(prepared: DataFrame, mask_col: str = "attention_mask",
-                 image_flag: str = "has_image") -> DataFrame:
-    """Totals: non-padded tokens, batches, batches with images (one row)."""
+                 image_flag: str = "has_image", require: bool = True) -> DataFrame:
+    """Totals: non-padded tokens, batches, batches with images (one row).  An
+    empty set is an error (``no usable batches``) unless ``require`` is off."""
     ones = F.aggregate(F.col(mask_col), F.lit(0).cast("bigint"), lambda acc, x: acc + x.cast("bigint"))
+    batches = F.count(F.lit(1))
+    if require:
+        batches = F.when(batches > 0, batches).otherwise(
+            F.raise_error(F.lit("no usable batches")).cast("bigint"))
     return prepared.agg(F.coalesce(F.sum(ones), F.lit(0)).cast("bigint").alias("total_tokens"),
-                        F.count(F.lit(1)).alias("batches"),
+                        batches.alias("batches"),
                         F.count_if(F.col(image_flag)).alias("image_batches"))
 
 

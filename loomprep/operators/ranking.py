@@ -58,18 +58,21 @@ SIDE = 40               # range_bucket uses SIDE * SIDE quantile ranges
 
 def range_bucket(df: DataFrame, id_col: str, side: int = SIDE) -> Column:
     """Ordered bucket for a numeric key: ``side * side`` ranges between the
-    key's approximate quantiles over ``df`` (one scalar subquery), so outlying
-    or clustered keys fill the buckets evenly.  Any ``df`` that is distributed
-    like the ranked rows works (e.g. the input before a filter).  The number of
-    buckets, and with it the offset table, stays fixed however large the input
-    grows.  A null key has the bucket null."""
+    key's approximate quantiles over ``df``, so outlying or clustered keys fill
+    the buckets evenly.  Any ``df`` that is distributed like the ranked rows
+    works (e.g. the input before a filter).  The quantiles are one aggregate
+    over the keys, run when the query is built; their number, and with it the
+    offset table, stays fixed however large the input grows.  A null key has
+    the bucket null."""
     n = side * side
-    points = df.agg(F.percentile_approx(id_col, [k / n for k in range(1, n)], 20 * n).alias("p")).scalar()
+    points = df.agg(F.percentile_approx(id_col, [k / n for k in range(1, n)], 20 * n)).first()[0]
     k = F.col(id_col)
+    if not points:
+        return F.when(k.isNotNull(), F.lit(0))
     # two steps of ``side`` comparisons instead of one of ``side * side``
-    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(side - 1)),
-                                         lambda i: F.get(points, i * side - 1)), lambda p: p <= k))
-    fine = F.size(F.filter(F.slice(points, coarse * side + 1, F.lit(side - 1)), lambda p: p <= k))
+    coarse = F.size(F.filter(F.array(*map(F.lit, points[side - 1::side])), lambda p: p <= k))
+    fine = F.size(F.filter(F.slice(F.array(*map(F.lit, points)), coarse * side + 1, F.lit(side - 1)),
+                           lambda p: p <= k))
     return F.when(k.isNotNull(), coarse * side + fine)
 
 
