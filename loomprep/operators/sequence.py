@@ -18,7 +18,6 @@ from ..functions.constants import (CHUNK_LEN, CONTEXT_LEN, IMAGE_PAD_ID, MERGE_S
                                    PREFILL_LEN, TEMPORAL_PATCH, VIDEO_PAD_ID, VISION_END_ID,
                                    VISION_START_ID)
 from ..functions.hashing import hashed_id
-from ..session import materialize
 
 
 def _c(x) -> Column:
@@ -319,7 +318,8 @@ def visual_ranks(tokens: DataFrame, out: str = "vis_idx", image_id: int = IMAGE_
 
 def input_vectors(tokens: DataFrame, vectors: DataFrame, vision: DataFrame,
                   sides: Sequence[DataFrame] = (), id_col: str = "vec_id", vec: str = "embedding",
-                  vis_rank: str = "vis_idx") -> DataFrame:
+                  vis_rank: str = "vis_idx", salt: int = 1,
+                  hot_fraction: float | None = None) -> DataFrame:
     """J1 + J3 + J4 in one plan: the model input vector of every token row.
 
     Visual positions take the vision vector of their rank plus the side
@@ -329,22 +329,21 @@ def input_vectors(tokens: DataFrame, vectors: DataFrame, vision: DataFrame,
     enter the gather join, so the pad id cannot become a hot join key.  A
     visual row without a vision vector falls back to its token vector."""
     r = tokens if vis_rank in tokens.columns else visual_ranks(tokens, vis_rank)
-    # three branches read the ranked rows: write the narrow rows once instead
-    # of recomputing the per-sample window for each branch
-    r = materialize(r, "ranked-tokens")
     vt = vision.select("sample_id", vis_rank, F.col(vec).alias("_v"))
     for i, sd in enumerate(sides):
         sv = sd.select("sample_id", vis_rank, F.col(vec).alias(f"_s{i}"))
         vt = vt.join(sv, ["sample_id", vis_rank], "left") \
             .withColumn("_v", F.when(F.col(f"_s{i}").isNotNull(), F.zip_with("_v", f"_s{i}", lambda a, b: a + b))
                         .otherwise(F.col("_v"))).drop(f"_s{i}")
-    vis = r.where(F.col(vis_rank).isNotNull()).join(vt, ["sample_id", vis_rank], "left")
-    got = vis.where(F.col("_v").isNotNull()).withColumnRenamed("_v", vec) \
-        .withColumn("status", F.lit(None).cast("string")).withColumn("from_vision", F.lit(True))
-    rest = vis.where(F.col("_v").isNull()).drop("_v") \
-        .unionByName(r.where(F.col(vis_rank).isNull()))
-    gathered = embedding_gather(rest, vectors, id_col, vec).withColumn("from_vision", F.lit(False))
-    return got.unionByName(gathered)
+    seen = r.join(vt, ["sample_id", vis_rank], "left")
+    # rows that have their vector ask for ids that no vector has, spread by place
+    has = F.col("_v").isNotNull()
+    asked = F.when(has, -1 - F.pmod(F.hash("sample_id", "pos"), F.lit(1 << 20))).otherwise(F.col("token_id"))
+    g = embedding_gather(seen.withColumn("_token", F.col("token_id")).withColumn("token_id", asked),
+                         vectors, id_col, vec, salt, hot_fraction)
+    return g.withColumns({vec: F.coalesce("_v", "embedding"), "from_vision": has,
+                          "status": F.when(~has, F.col("status")),
+                          "token_id": F.col("_token")}).drop("_v", "_token")
 
 
 def masked_replace(rows: DataFrame, vision: DataFrame, vis_rank: str = "vis_idx",

@@ -49,6 +49,8 @@ def ratio_interleave_q(spark, sf):
     docs = table(spark, sf, "documents")
     txt = bottomk_sample(docs.select(F.col("doc_id").alias("item_id"), F.lit("text").alias("source")),
                          NUM_TEXT_CALIB, "item_id", seed=SEED)
+    # both sides hold at most their quota: written once, counted and read from there
+    imgs, txt = materialize(imgs, "interleave-images"), materialize(txt, "interleave-texts")
     out = ratio_interleave(imgs, txt, NUM_CALIB, image_order="sample_key", text_order="sample_key")
     return out.select(F.col("mix_seq").cast("bigint").alias("mix_seq"), "source", "item_id")
 
