@@ -8,8 +8,10 @@ nearest centre.  A query scans the vectors of its nearest lists in blocks of
 columns; after each block a hypothesis test gives up on candidates whose
 partial distance is too large for the query's 20th distance at that many
 dimensions (false alarms are ruled by ``EPSILON``).  The first bound for each
-query is its k-th distance within the fitting sample, which is a subset of the
-candidates.  Survivors are scored on the original vectors.
+query is its k-th distance among the fitting sample's vectors in the lists it
+probes, which are candidates.  Survivors are scored on the original vectors.
+A query that still finds fewer than it should is scanned again over all lists
+without a bound.
 
 Only the fit (centres, first bounds, number of probed lists) uses a bounded
 sample of ``SAMPLE`` vectors, those with the smallest hash; every vector is
@@ -67,6 +69,7 @@ class Index:
         self.sample = self.rotate(sample, False)
         lists = max(1, min(1024, int(math.sqrt(total) / 4), len(sample) // 8))
         self.centres = self._centres(lists, rng)
+        self.sample_list = distances(self.sample, self.centres).argmin(1)
         self.probes = self._probes(sample, rng)
 
     def rotate(self, x: np.ndarray, query: bool) -> np.ndarray:
@@ -95,19 +98,22 @@ class Index:
         if k < 1:
             return len(self.centres)
         near = np.argpartition(far, k - 1, axis=1)[:, :k]
-        own = distances(self.sample, self.centres).argmin(1)
+        own = self.sample_list
         place = np.argsort(np.argsort(distances(q, self.centres), axis=1), axis=1)
         needed = np.sort(np.take_along_axis(place, own[near], 1).ravel())
         return int(needed[min(len(needed) - 1, math.ceil(RECALL * len(needed)))]) + 1
 
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """k-th distance of each (rotated) query in the sample, its own place not counted."""
+    def bounds(self, queries: np.ndarray, lists: np.ndarray) -> np.ndarray:
+        """k-th distance of each (rotated) query to the sample in its probed lists."""
         k = self.top + 1                                    # the query may be in the sample
         if len(self.sample) < k:
             return np.full(len(queries), np.inf)
         out = np.empty(len(queries))
         for a in range(0, len(queries), 256):
             far = distances(queries[a:a + 256], self.sample)
+            probed = np.zeros((len(far), len(self.centres)), bool)
+            np.put_along_axis(probed, lists[a:a + 256], True, axis=1)
+            far[~probed[:, self.sample_list]] = np.inf
             out[a:a + 256] = np.partition(far, k - 1, axis=1)[:, k - 1]
         return out
 
@@ -124,7 +130,7 @@ def adaptive_scan(queries: np.ndarray, bounds: np.ndarray, candidates: np.ndarra
     far = distances(queries[:, :columns], candidates[:, :columns])
     seen = min(columns, n)
     limit = bounds * (seen / n) * (1 + epsilon / math.sqrt(seen)) ** 2 if seen < n else bounds
-    q, c = np.nonzero(far <= limit[:, None] + 1e-9)
+    q, c = np.nonzero(far <= limit[:, None] * (1 + 1e-9) + 1e-9)
     far = far[q, c]
     while seen < n:
         block = slice(seen, min(seen + columns, n))
@@ -141,8 +147,9 @@ def _matrix(column) -> np.ndarray:
                       else column.flatten(), np.float64).reshape(len(column), -1)
 
 
-def _assign(model, as_queries: bool):
-    """List numbers of candidates (one) or queries (the probed ones), and first bounds."""
+def _assign(model, as_queries: bool, everything: bool = False):
+    """List numbers of candidates (one) or queries (the probed ones), and first
+    bounds; ``everything``: all lists and no bound."""
     def run(batches):
         index = model.value
         for batch in batches:
@@ -152,10 +159,13 @@ def _assign(model, as_queries: bool):
                 part = batch.slice(at, 2048)
                 x = index.rotate(_matrix(part.column("embedding")), as_queries)
                 far = distances(x, index.centres)
-                if as_queries:
+                if everything:
+                    lists = np.tile(np.arange(far.shape[1]), (len(x), 1))
+                    bound = np.full(len(x), np.inf)
+                elif as_queries:
                     lists = np.argpartition(far, index.probes - 1, axis=1)[:, :index.probes] \
                         if index.probes < far.shape[1] else np.tile(np.arange(far.shape[1]), (len(x), 1))
-                    bound = index.bounds(x)
+                    bound = index.bounds(x, lists)
                 else:
                     lists, bound = far.argmin(1)[:, None], np.zeros(len(x))
                 yield pa.RecordBatch.from_arrays(
@@ -208,10 +218,25 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
     assigned = "vec_id long, embedding array<double>, lists array<int>, bound double"
     listed = materialize(same.mapInArrow(_assign(model, False), assigned).select(
         "vec_id", "embedding", F.col("lists")[0].alias("list")), "listed")
-    asked = same.where(F.pmod("vec_id", F.lit(every)) == 0).mapInArrow(
-        _assign(model, True), assigned).select(
-        "vec_id", "embedding", "bound", F.explode("lists").alias("list"))
-    asked = materialize(asked, "asked")
+    queries = same.where(F.pmod("vec_id", F.lit(every)) == 0)
+    found = materialize(_found(model, listed, queries.mapInArrow(_assign(model, True), assigned), top),
+                        "found")
+    least = min(top, max(0, same.select("vec_id").distinct().count() - 1))
+    done = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).where(F.col("n") >= least)
+    short = materialize(queries.join(done, F.col("vec_id") == F.col("query_id"), "left_anti"), "short")
+    if least and not short.isEmpty():
+        again = short.mapInArrow(_assign(model, True, True), assigned)
+        found = found.unionByName(_found(model, listed, again, top))
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return best.withColumn("rank", F.row_number().over(order).cast("int")).where(
+        F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+
+
+def _found(model, listed: DataFrame, assigned: DataFrame, top: int) -> DataFrame:
+    """query_id, vec_id, score: the best of every block of every probed list."""
+    asked = materialize(assigned.select("vec_id", "embedding", "bound", F.explode("lists").alias("list")),
+                        "asked")
     # a row for each list: at most a thousand
     blocks = listed.groupBy("list").agg(F.ceil(F.count("*") / LIST_ROWS).cast("int").alias("x")).join(
         asked.groupBy("list").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("q")), "list")
@@ -225,12 +250,8 @@ def search(vectors: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("x") - 1)).alias("block"), mine.alias("part"))
     keys = ["list", "block", "part"]
     scan = _scan(model, top)
-    found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(
+    return queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(
         lambda key, a, b: scan(key, a, b), "query_id long, vec_id long, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order).cast("int")).where(
-        F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 
 def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:

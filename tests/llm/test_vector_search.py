@@ -32,6 +32,7 @@ def check(got, want, least):
         assert [r.rank for r in own] == list(range(1, len(own) + 1))
         assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
         scores = dict(best)
+        assert len(own) == len(best)
         hit += sum(r.vec_id in scores for r in own)
         total += len(best)
         assert all(abs(r.score - scores[r.vec_id]) < 1e-12 for r in own if r.vec_id in scores)
@@ -61,6 +62,17 @@ def test_unequal_norms_ties_and_odd_rows(spark, monkeypatch):
     check(V.search(df).collect(), brute(rows), 0.95)
 
 
+def test_every_query_gets_its_number(spark, monkeypatch):
+    """Lists smaller than the result, of which one is probed: the rest is found again."""
+    centres = V.Index._centres
+    monkeypatch.setattr(V.Index, "_centres", lambda self, lists, rng: centres(self, 60, rng))
+    monkeypatch.setattr(V.Index, "_probes", lambda self, sample, rng: 1)
+    rng = np.random.default_rng(6)
+    rows = [(k, [float(np.float32(x)) for x in rng.normal(size=12)]) for k in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    check(V.search(df).collect(), brute(rows), 0.5)
+
+
 def test_few_and_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     assert V.search(spark.createDataFrame([], schema)).count() == 0
