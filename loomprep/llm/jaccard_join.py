@@ -233,7 +233,8 @@ def jaccard_join(docs: DataFrame, n: int = SHINGLE, threshold: float = THRESHOLD
     wanted = member.join(volume, "group").select(
         F.col("rep").alias("doc_id"), "key", "rep", "n", "group",
         F.ceil(F.col("volume") / BLOCK).cast("int").alias("blocks"))
-    sets = known.join(wanted, "doc_id").mapInArrow(
+    # the members grow with the corpus: a shuffled join at every size
+    sets = known.join(wanted.hint("merge"), "doc_id").mapInArrow(
         _member_sets(n), "rep long, n long, group long, blocks int, shingles binary")
     dealt = sets.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
