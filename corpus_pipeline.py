@@ -26,7 +26,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     joined = jaccard_join.jaccard_join(docs)
     gone = joined.where(F.col("class_id") != F.col("doc_id")).select(
         F.col("doc_id").alias("gone_id")).distinct()
-    rest = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    # the copies grow with the corpus: a shuffled join at every size
+    rest = docs.join(gone.hint("merge"), F.col("doc_id") == F.col("gone_id"), "left_anti")
     # rows that repeat a kept document: few, so their texts are not looked at again
     again = materialize(joined.where((F.col("class_id") == F.col("doc_id")) & (F.col("n_links") > 0)
                                      ).groupBy(F.col("doc_id").alias("again_id")).agg(
