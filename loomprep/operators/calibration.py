@@ -37,8 +37,8 @@ def sampled_images(captioned: DataFrame, target, bound: int, *, seed: int = SEED
     """Uniform sample of ``target`` valid image samples (``target`` may be a
     scalar-subquery Column, ``bound`` is its static upper bound), then a
     seeded shuffle key.  Ranks and the bottom-k run on keys only; question and
-    answer are joined back for the kept items (a broadcast of at most
-    ``bound`` keys); image payloads never move -- messages refer to images by
+    answer are joined back for the kept items (at most ``bound`` keys, whose
+    size Spark checks); image payloads never move -- messages refer to images by
     ``item:<id>``."""
     keys = M.valid_image_keys(captioned, use_assistant=use_assistant, seed=seed)
     # keys only.  The keys come out of the rank's shuffle, so the ordered take
@@ -48,7 +48,7 @@ def sampled_images(captioned: DataFrame, target, bound: int, *, seed: int = SEED
         .where(F.col("_r") < target).drop("_r")
     # question and answer are joined back for the kept (<= bound) items only
     payload = captioned.select("item_id", "question", "answer")
-    top = payload.join(F.broadcast(top), "item_id", "inner") \
+    top = payload.join(top, "item_id", "inner") \
         .withColumn("caption", M.pick_caption("answer", "item_id", seed=seed)).drop("answer")
     top = M.with_image_messages(top, mode=mode, use_assistant=use_assistant,
                                 require_lang_match=require_lang_match, system=system,

@@ -135,8 +135,17 @@ def round_robin_mix(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
         return ((F.floor(rank / w) * L).cast("bigint")
                 + F.element_at(F.array(*[F.lit(s) for s in slots[l]]), (F.pmod(rank, F.lit(w)) + 1).cast("int")))
 
-    ranked = bucketed_rank(narrow, ["_key", "_id"], hash_bucket("_key", digits),
-                           partition_by=["_lang"], out="_rank", broadcast_offsets=True)
+    # a language gives at most n rows: buckets behind its n-th passing row are
+    # not ranked (one count by language and bucket; a row for each language)
+    bucket = hash_bucket("_key", digits)
+    passing = narrow.groupBy("_lang", bucket.alias("_b")).agg(
+        F.count_if(F.col("_len") >= int(min_chars)).alias("_p"))
+    before = Window.partitionBy("_lang").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    last = passing.withColumn("_before", F.coalesce(F.sum("_p").over(before), F.lit(0))).where(
+        F.col("_before") < int(n)).groupBy(F.col("_lang").alias("_l")).agg(F.max("_b").alias("_last"))
+    needed = narrow.join(last, F.col("_lang") == F.col("_l")).where(bucket <= F.col("_last")).drop(
+        "_l", "_last")
+    ranked = bucketed_rank(needed, ["_key", "_id"], bucket, partition_by=["_lang"], out="_rank")
     mix_key = None
     for l in streamed:
         e = key_of(F.col("_rank"), l)
@@ -157,9 +166,9 @@ def round_robin_mix(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
                       F.concat(F.lit(source_prefix), F.col("_lang")).alias("source"),
                       F.col("mix_key"), F.col("_rank").alias("lang_rank"))
     if with_text:
-        # kept has at most n rows (the quota): a bounded broadcast.
+        # kept has at most n rows (the quota); Spark checks whether it is broadcast
         raw = docs.select(F.col(id_col), F.col(text_col).alias("_raw"))
-        out = raw.join(F.broadcast(out), id_col, "inner")
+        out = raw.join(out, id_col, "inner")
         out = out.select("seq", id_col, lang_col, "source", "mix_key", "lang_rank",
                          normalize_text("_raw", max_chars).alias("text"))
     return out
