@@ -15,7 +15,7 @@ hash bucket), so a class that holds a third of all pieces is ranked in many
 tasks.  Sequences hold at most ``length`` tokens, and offsets are summed
 within a sequence.  Nothing but counts and patterns passes the driver.
 
-Words are tokenised once for each distinct word of a few MB of text and looked
+Words are tokenised once for each distinct word of a chunk of text and looked
 up; this equals the tokenizer on the whole text, as it splits at white space.
 
 Defined cases: null and empty texts have the end id only; a text with
@@ -26,6 +26,7 @@ carried along; other columns are ignored; an empty table gives no sequence.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from .hashing import BYTE_VALUE, Words, chunks, mix, prefix_sums, range_hash
 
 LENGTH, STEP, END_ID = 4096, 16, 2
 BUCKET_PIECES = 50_000   # pieces of a class ranked in one bucket, about
-CACHE_WORDS = 400_000    # distinct words a worker remembers
+CACHE_WORDS = 200_000    # distinct words a worker remembers
 VOCABULARY = "word_bpe_49k.json"
 
 _PUNCTUATION = b".,;:!?"
@@ -69,13 +70,14 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict = {}
         self.fixed = [self._encode([chr(c)])[0] for c in _PUNCTUATION] + [
-            np.array([end_id], np.uint32)]
+            end_id.to_bytes(4, "little")]
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32)
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as little-endian bytes."""
+        return [array("I", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _ids(self, words: list[bytes]) -> list[np.ndarray]:
+    def _ids(self, words: list[bytes]) -> list[bytes]:
         known = self.known
         missing = list(dict.fromkeys(w for w in words if w not in known))
         if missing:
@@ -113,8 +115,8 @@ class WordTokenizer:
         else:
             which, distinct = np.zeros(0, np.int64), []
         table = self._ids(distinct) + self.fixed
-        sizes = np.fromiter(map(len, table), np.int64, len(table))
-        flat = np.concatenate(table)
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        flat = np.frombuffer(b"".join(table), "<u4")
         place = np.concatenate(([0], np.cumsum(sizes)[:-1]))
 
         # units in order: a word, its punctuation, and the end id after each text

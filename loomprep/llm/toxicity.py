@@ -31,7 +31,7 @@ from .hashing import Words, chunks, mix
 
 DIM_BITS = 20
 MAX_ROWS = 20_000
-SHARD_ROWS = 10_000
+SHARD_ROWS = 5_000
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 1.5, 1.0, 6.0, 0.0
 THRESHOLD = 0.7
