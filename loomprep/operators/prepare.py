@@ -133,13 +133,15 @@ def sort_by_length(df: DataFrame, order: str = "desc", length: str = "n_tokens",
     bucket table has at most distinct lengths x ``seq_side ** 2`` rows and
     is joined without a forced broadcast.
 
-    ``max_rows``: the caller guarantees the input has at most this many rows
-    (a quota-capped mix); then one window ranks them directly."""
+    ``max_rows``: the input has at most this many rows (a quota-capped mix);
+    then one window ranks them directly, and a row beyond it is an error."""
     from pyspark.sql import Window
     from .ranking import range_bucket
     if max_rows is not None and order in ("asc", "desc"):
         key = F.col(length).asc() if order == "asc" else F.col(length).desc()
-        return df.withColumn(out, (F.row_number().over(Window.orderBy(key, F.col(seq))) - 1).cast("bigint"))
+        rank = F.row_number().over(Window.orderBy(key, F.col(seq))).cast("bigint")
+        too_many = F.raise_error(F.lit(f"more than {int(max_rows)} rows to sort")).cast("bigint")
+        return df.withColumn(out, F.when(rank <= int(max_rows), rank - 1).otherwise(too_many))
     if order == "shuffle":
         from .sampling import seeded_shuffle
         return seeded_shuffle(df, seq, seed=seed, out=out)

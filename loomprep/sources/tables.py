@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -24,7 +25,7 @@ def spread(df: DataFrame, key: str | None, min_partitions: int | None = None) ->
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
-    except Exception:          # no RDD view available: leave the plan as it is
+    except (PySparkAttributeError, PySparkNotImplementedError):   # sessions without an RDD view
         return df
     return df.repartition(want, key) if have < want else df
 

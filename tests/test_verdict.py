@@ -167,3 +167,10 @@ def test_shared_folder_is_required_off_local_mode(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(Session())
+
+
+def test_sort_limit_is_checked(spark):
+    df = spark.createDataFrame([(k, k % 3) for k in range(5)], "seq long, n_tokens int")
+    assert P.sort_by_length(df, "desc", max_rows=5).count() == 5
+    with pytest.raises(Exception, match="more than 4 rows"):
+        P.sort_by_length(df, "desc", max_rows=4).collect()
