@@ -34,7 +34,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.tables import table
 
@@ -277,64 +276,68 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out)
 
 
+def all_spans(texts: list, limit: dict) -> list[list[tuple[int, int, int]]]:
+    """Spans of each text, in order: (start, kind number, end)."""
+    found, tokens, places = [], [], []
+    for d, text in enumerate(texts):
+        text = text or ""
+        found.append(base_spans(text))
+        if limit:
+            for m in _TOKEN.finditer(text):
+                if m.end() - m.start() >= MIN_LENGTH:
+                    tokens.append(m.group())
+                    places.append((d, m.start(), m.end()))
+    for numbers, name, natural, value, changes in _judge(tokens):
+        for k, b, ch in zip(numbers.tolist(), value.tolist(), changes.tolist()):
+            d, a, z = places[k]
+            if not natural and b <= limit.get((name, min(z - a, MAX_LENGTH), ch), -1) and not any(
+                    s <= a and z <= e for s, _, e in found[d]):
+                found[d].append((a, 3, z))
+    return [sorted(f) for f in found]
+
+
 def scan(docs: DataFrame, limit: dict) -> DataFrame:
     """``docs`` with ``secrets``: array of (kind, start, end) in code points."""
     accepted = docs.sparkSession.sparkContext.broadcast(limit)
 
     @F.arrow_udf("array<struct<kind: string, start: long, end: long>>")
     def find(column: pa.Array) -> pa.Array:
-        limit, found, tokens, places = accepted.value, [], [], []
-        for d, text in enumerate(column.to_pylist()):
-            text = text or ""
-            found.append(base_spans(text))
-            if limit:
-                for m in _TOKEN.finditer(text):
-                    if m.end() - m.start() >= MIN_LENGTH:
-                        tokens.append(m.group())
-                        places.append((d, m.start(), m.end()))
-        for numbers, name, natural, value, changes in _judge(tokens):
-            for k, b, ch in zip(numbers.tolist(), value.tolist(), changes.tolist()):
-                d, a, z = places[k]
-                if not natural and b <= limit.get((name, min(z - a, MAX_LENGTH), ch), -1) and not any(
-                        s <= a and z <= e for s, _, e in found[d]):
-                    found[d].append((a, 3, z))
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        return pa.array([[{"kind": KINDS[k], "start": a, "end": z} for a, k, z in sorted(f)]
-                         for f in found], kind)
+        return pa.array([[{"kind": KINDS[k], "start": a, "end": z} for a, k, z in spans]
+                         for spans in all_spans(column.to_pylist(), accepted.value)], kind)
 
     return docs.withColumn("secrets", find(F.col("text")))
 
 
-@F.arrow_udf(T.StringType())
-def _cut(texts: pa.Array, spans: pa.Array, mark: pa.Array) -> pa.Array:
-    out = []
-    for text, found, m in zip(texts.to_pylist(), spans.to_pylist(), mark.to_pylist()):
-        at, parts = 0, []
-        for s in found or []:
-            if s["start"] >= at:                 # else it overlaps the one before
-                parts += [text[at:s["start"]], m]
-            at = max(at, s["end"])
-        out.append("".join(parts) + text[at:] if parts else text)
-    return pa.array(out, pa.string())
-
-
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one);
     rows without spans are unchanged; n_chars, where there is such a column,
     follows the text."""
-    found = scan(docs.withColumn("redact_row", F.struct("*")), fit_limits(docs))
-    hit = F.size("secrets") > 0
-    text = F.when(hit, _cut("text", "secrets", F.lit(mark))).otherwise(F.col("text"))
-    found = found.select("redact_row", text.alias("redacted"), hit.alias("hit"))
-    columns = []
+    accepted = docs.sparkSession.sparkContext.broadcast(fit_limits(docs))
+
+    @F.arrow_udf("string")
+    def cut(column: pa.Array) -> pa.Array:
+        texts, out = column.to_pylist(), []
+        for text, spans in zip(texts, all_spans(texts, accepted.value)):
+            at, parts = 0, []
+            for a, _, z in spans:
+                if a >= at:                      # else it overlaps the one before
+                    parts += [text[at:a], mark]
+                at = max(at, z)
+            out.append("".join(parts) + text[at:] if parts else None)
+        return pa.array(out, pa.string())
+
+    # null where nothing was found
+    cleaned = docs.select(F.struct("*").alias("row"), cut(F.col("text")).alias("cleaned"))
+    hit, columns = F.col("cleaned").isNotNull(), []
     for c in docs.columns:
-        old = F.col("redact_row")[c]
+        old = F.col("row")[c]
         if c == "text":
-            old = F.col("redacted")
+            old = F.coalesce("cleaned", old)
         elif c == "n_chars":
-            old = F.when(F.col("hit"), F.length("redacted").cast("long")).otherwise(old)
+            old = F.when(hit, F.length("cleaned").cast("long")).otherwise(old)
         columns.append(old.alias(c))
-    return found.select(*columns)
+    return cleaned.select(*columns)
 
 
 def _joined(kinds=KINDS):
