@@ -99,8 +99,8 @@ def tables_needed(dimension: int, k: int, threshold: float, miss: float) -> int:
     return max(1, math.ceil(math.log(miss) / math.log(max(1 - shared, 1e-9))))
 
 
-def _vectors(column) -> list[np.ndarray]:
-    return [np.frombuffer(v, np.float64) for v in column.to_pylist()]
+def _vectors(column, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(v, kind).astype(np.float64) for v in column.to_pylist()]
 
 
 def _by_dimension(vectors: list[np.ndarray]):
@@ -110,10 +110,10 @@ def _by_dimension(vectors: list[np.ndarray]):
         yield idx, np.stack([vectors[i] for i in idx])
 
 
-def _hash(tables: int, k: int):
+def _hash(tables: int, k: int, kind: str):
     def run(batches):
         for batch in batches:
-            vectors = _vectors(batch.column("vector"))
+            vectors = _vectors(batch.column("vector"), kind)
             label = np.asarray(batch.column("label"), np.int64)
             for idx, x in _by_dimension(vectors):
                 at = buckets(x, label[idx], tables, k)
@@ -131,7 +131,7 @@ def _hash(tables: int, k: int):
     return run
 
 
-def _verify(tables: int, k: int, threshold: float):
+def _verify(tables: int, k: int, threshold: float, kind: str):
     def run(key, rows):
         rep = rows["rep"].to_numpy()
         nodes, node = np.unique(rep, return_inverse=True)
@@ -139,7 +139,7 @@ def _verify(tables: int, k: int, threshold: float):
         bucket, bi, bj, own = (rows[c].to_numpy() for c in ("bucket", "block_a", "block_b", "block"))
         links = np.zeros(len(nodes), np.int64)
         ends = []
-        vectors = _vectors(rows["vector"])
+        vectors = _vectors(rows["vector"], kind)
         for idx, x in _by_dimension(vectors):
             unit = x / np.linalg.norm(x, axis=1)[:, None]
             order = np.lexsort((bj[idx], bi[idx], bucket[idx]))
@@ -199,7 +199,9 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, miss: float =
     good = rows.where(F.col("key").isNotNull())
     classes = good.groupBy("label", "key").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
-    as_bytes = classes.select("label", "rep", "n", _packed(F.col("embedding")).alias("vector"))
+    # floats travel as floats: they are exactly the doubles they become
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
+    as_bytes = classes.select("label", "rep", "n", _packed(F.col("embedding"), kind).alias("vector"))
     facts = good.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")
                                       ).agg(F.max("n"), F.max("d"), F.sum("n")).first()
     most, dimension, total = (x or 1 for x in facts)
@@ -208,7 +210,7 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, miss: float =
     tables = tables_needed(dimension, k, threshold, miss)
 
     schema = "bucket long, label long, rep long, n long, vector binary"
-    put = as_bytes.mapInArrow(_hash(tables, k), schema)
+    put = as_bytes.mapInArrow(_hash(tables, k, kind), schema)
     crowd = put.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     shared = put.join(crowd, "bucket")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
@@ -220,7 +222,7 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, miss: float =
     groups = int(total * tables * 2 ** k // GROUP_ROWS) + 1
     shard = F.pmod(F.xxhash64("bucket", "block_a", "block_b"), F.lit(groups)).alias("shard")
     found = shared.withColumn("shard", shard).groupBy("shard").applyInArrow(
-        _verify(tables, k, threshold), "rep long, links long, root long")
+        _verify(tables, k, threshold, kind), "rep long, links long, root long")
     found = materialize(found, "vector-links")
     degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
     labels = components(found.where("rep <> root").select(F.col("rep").alias("a"),
@@ -236,14 +238,15 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, miss: float =
                       F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
 
 
-def _packed(embedding):
-    """An array of doubles as its bytes."""
+def _packed(embedding, kind: str):
+    """An array of doubles as the bytes of floats or doubles."""
     @F.arrow_udf("binary")
     def pack(column: pa.Array) -> pa.Array:
-        flat = np.asarray(column.flatten(), np.float64)
+        flat = np.asarray(column.flatten(), kind)
+        width = flat.itemsize
         at = np.concatenate(([0], np.cumsum(np.asarray(pa.compute.list_value_length(column)))))
         data = flat.tobytes()
-        return pa.array([data[8 * a:8 * b] for a, b in zip(at[:-1], at[1:])], pa.binary())
+        return pa.array([data[width * a:width * b] for a, b in zip(at[:-1], at[1:])], pa.binary())
     return pack(embedding)
 
 
