@@ -70,7 +70,7 @@ r AS (SELECT doc_id, row_number() OVER (ORDER BY {md5key(SEED, 'doc_id')}, doc_i
 SELECT doc_id, arrival FROM r WHERE arrival < {QUOTA}""")
 def stream_until_quota(spark, sf):
     rows, _ = ST.collect_until_quota(spark, ST.clean_texts(_stream(spark, sf)).select("doc_id"), QUOTA,
-                                     "doc_id", seed=SEED, timeout=10.0)
+                                     "doc_id", seed=SEED, trigger_available_now=True)
     return rows.select("doc_id", F.col("arrival").cast("bigint").alias("arrival"))
 
 

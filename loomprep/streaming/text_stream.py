@@ -117,10 +117,13 @@ def _rows_before(spark: SparkSession, root: str, batch_id: int) -> int:
 
 
 def collect_until_quota(spark: SparkSession, stream: DataFrame, quota: int, id_col: str, seed=SEED,
-                        name: str | None = None, digits: int = 2, timeout: float = 60.0):
+                        name: str | None = None, digits: int = 2, timeout: float = 60.0,
+                        trigger_available_now: bool = False):
     """Append clean rows in shuffled order until ``quota`` rows have
     arrived; the driver stops the query then, or after ``timeout`` seconds in
-    which no new rows came (``progress["complete"]`` tells which).
+    which no new rows came and no micro-batch was running
+    (``progress["complete"]`` tells which).  With ``trigger_available_now`` the
+    stream reads all that is there and ends by itself; there is no timeout.
 
     Each micro-batch is the shuffle buffer: its rows are ordered by
     ``md5(seed:id)`` (bucketed rank) after the rows of earlier batches.  A
@@ -147,16 +150,19 @@ def collect_until_quota(spark: SparkSession, stream: DataFrame, quota: int, id_c
          .partitionBy("batch").parquet(root))
         state["batches"].append({"batch": batch_id, "rows_before": offset})
 
-    q = (stream.writeStream.foreachBatch(append)
-         .option("checkpointLocation", _work_dir(spark, name) + "/_checkpoint").start())
+    w = stream.writeStream.foreachBatch(append) \
+        .option("checkpointLocation", _work_dir(spark, name) + "/_checkpoint")
+    q = (w.trigger(availableNow=True) if trigger_available_now else w).start()
     have, waited_since = -1, time.monotonic()
     try:
         while q.isActive:
             q.awaitTermination(0.5)
+            status = q.status
+            busy = status["isTriggerActive"] and status["isDataAvailable"]
             now = _rows_before(spark, root, 1 << 62)
-            if now != have:
+            if now != have or busy:
                 have, waited_since = now, time.monotonic()
-            if have >= quota or time.monotonic() - waited_since > timeout:
+            if have >= quota or not trigger_available_now and time.monotonic() - waited_since > timeout:
                 break
     finally:
         failure = q.exception()
@@ -164,7 +170,9 @@ def collect_until_quota(spark: SparkSession, stream: DataFrame, quota: int, id_c
     if failure is not None:
         raise failure
     rows = _written(spark, root)
-    if rows is not None:
+    if rows is None:
+        rows = spark.createDataFrame([], stream.schema).withColumn("arrival", F.lit(0).cast("bigint"))
+    else:
         rows = rows.where(F.col("arrival") < quota).drop("batch")
     state["count"] = _rows_before(spark, root, 1 << 62)
     state["complete"] = state["count"] >= quota

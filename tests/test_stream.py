@@ -106,3 +106,36 @@ def test_quota_restart_gives_same_rows(spark):
     first = sorted((r.doc_id, r.arrival) for r in rows1.collect())
     rows2, _ = ST.collect_until_quota(spark, mk(), 250, "doc_id", name="quota-restart")
     assert sorted((r.doc_id, r.arrival) for r in rows2.collect()) == first and len(first) == 250
+
+
+def slow(df, seconds):
+    """The rows after a wait in every task."""
+    def wait(batches):
+        import time
+        time.sleep(seconds)
+        yield from batches
+    return df.mapInArrow(wait, df.schema)
+
+
+def test_quota_waits_for_a_running_batch(spark):
+    d, src = split_documents(spark, parts=1)
+    s = ST.text_stream(spark, src, d.schema).select("doc_id")
+    rows, state = ST.collect_until_quota(spark, slow(s, 4), 40, "doc_id", timeout=1.0)
+    assert rows.count() == 40 and state["complete"] is True
+
+
+def test_quota_query_waits_for_its_batch(spark, monkeypatch):
+    from loomprep.plans import catalog  # noqa: F401
+    from loomprep.plans import stream_queries as SQ
+    clean = ST.clean_texts
+    monkeypatch.setattr(ST, "clean_texts", lambda df: slow(clean(df).select("doc_id"), 12))
+    assert SQ.stream_until_quota(spark, SF01).count() == SQ.QUOTA
+
+
+def test_quota_query_without_clean_rows(spark, tmp_path):
+    from loomprep.plans import catalog  # noqa: F401
+    from loomprep.plans import stream_queries as SQ
+    d = spark.read.parquet(f"{SF01}/documents.parquet")
+    d.withColumn("text", F.lit("")).write.parquet(str(tmp_path / "documents.parquet"))
+    got = SQ.stream_until_quota(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "arrival"] and got.count() == 0
