@@ -218,8 +218,8 @@ SELECT sample_id, pos, position, CAST(max(position) OVER (PARTITION BY sample_id
 FROM p""")
 def mask_positions(spark, sf):
     p = Q.pad_batches(K.text_sequences(table(spark, sf, "conversations"), _vocab(spark, sf)), 4)
-    rows = K.token_rows(p, mask="attention_mask")
-    return Q.mask_positions(rows).select("sample_id", "pos", "position", "delta")
+    rows = K.token_rows(p, mask="attention_mask", carry=("batch_id", "slot"))
+    return Q.mask_positions(rows, ("batch_id", "slot")).select("sample_id", "pos", "position", "delta")
 
 
 # ---------------------------------------------------------------- gathers

@@ -42,13 +42,14 @@ def text_sequences(conversations: DataFrame, vocab: int = VOCAB) -> DataFrame:
     return conversations.select(sample_id().alias("sample_id"), word_ids("text", vocab).alias("input_ids"))
 
 
-def token_rows(sequences: DataFrame, ids: str = "input_ids", mask: str | None = None) -> DataFrame:
-    """Long form ``(sample_id, pos, token_id[, mask])`` of array sequences."""
+def token_rows(sequences: DataFrame, ids: str = "input_ids", mask: str | None = None,
+               carry: tuple = ()) -> DataFrame:
+    """Long form ``(sample_id, [carry,] pos, token_id[, mask])`` of array sequences."""
     if mask is None:
-        return sequences.select("sample_id", F.posexplode(ids).alias("pos", "token_id"))
+        return sequences.select("sample_id", *carry, F.posexplode(ids).alias("pos", "token_id"))
     z = F.arrays_zip(F.col(ids).alias("t"), F.col(mask).alias("m"))
-    return (sequences.select("sample_id", F.posexplode(z).alias("pos", "tm"))
-            .select("sample_id", "pos", F.col("tm.t").alias("token_id"), F.col("tm.m").alias("mask")))
+    return (sequences.select("sample_id", *carry, F.posexplode(z).alias("pos", "tm"))
+            .select("sample_id", *carry, "pos", F.col("tm.t").alias("token_id"), F.col("tm.m").alias("mask")))
 
 
 def vision_grids(conversations: DataFrame) -> DataFrame:
