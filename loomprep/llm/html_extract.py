@@ -9,8 +9,9 @@ page differed: 0 if all pages show the same, 1 if none repeats.  Importance of
 a branch mixes its own entropy with that of the nodes below it.  Branches of
 low importance are removed from every page of the host; so are elements whose
 tag or names say that they are menus, footers, sidebars, notices, adverts,
-forms or comments.  If a page marks an article (or else a main part), only
-what stands there is kept.  Equal pages count once, so that copies of an
+forms or comments, but never by a name alone what holds the main part of the
+page.  If a page marks an article (or else a main part), only what stands
+there is kept.  Equal pages count once, so that copies of an
 article do not make it look like a template, and nodes seen on fewer than
 ``MIN_PAGES`` different pages of a host are not judged.
 
@@ -42,6 +43,7 @@ from ..session import materialize
 from ..sources.tables import table
 
 LOW, MIN_PAGES, OWN_SHARE = 0.3, 8, 0.5
+SMALL, MOST = 0.25, 0.5  # shares of a page's text
 
 #: Elements and name words by their role.
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd
@@ -60,6 +62,8 @@ DROP_NAMES = frozenset("""ad ads advert adverts advertisement advertising adsens
 DROP_ROLES = frozenset("""navigation banner contentinfo complementary search dialog alert
     alertdialog menu menubar form""".split())
 MAIN_NAMES = frozenset("article main content post entry story articlebody".split())
+#: Names that start so tell of something else than the element itself.
+ABOUT = frozenset("has no with without category tag".split())
 #: An opening tag on the left ends an open element on the right, up to the scope.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -77,7 +81,7 @@ _NAME = re.compile(r"[a-z]+")
 class Element:
     """An open element: its node in the style tree and what its names say."""
 
-    __slots__ = ("tag", "node", "drop", "main", "children")
+    __slots__ = ("tag", "node", "drop", "named", "main", "children")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         found = {}
@@ -85,7 +89,8 @@ class Element:
             for m in _ATTRIBUTE.finditer(attributes):
                 found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
         kind, name = found.get("class", ""), found.get("id", "")
-        words = _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{kind} {name}").lower())
+        names = [_NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", n).lower())
+                 for n in f"{kind} {name}".split()]
         role = found.get("role", "").lower()
         self.tag = tag
         self.main = parent.main if parent else 0
@@ -93,25 +98,31 @@ class Element:
             self.main = 3
         elif tag == "main" or role == "main":
             self.main = max(self.main, 2)
-        elif any(w in MAIN_NAMES for w in words):
+        elif any(w in MAIN_NAMES for n in names for w in n):
             self.main = max(self.main, 1)
         self.drop = (parent.drop if parent else False) or tag in DROP_TAGS or role in DROP_ROLES or (
-            "hidden" in found or tag == "header" and self.main < 2
-            or tag not in ("html", "body", "article", "main") and any(w in DROP_NAMES for w in words)
-            or tag in ("article", "main") and any(w in DROP_NAMES and w not in ("header", "related")
-                                                  for w in words))
+            "hidden" in found or tag == "header" and self.main < 2)
+        allowed = ("header", "related") if tag in ("article", "main") else ()
+        by_name = tag not in ("html", "body") and any(
+            w in DROP_NAMES and w not in allowed for n in names if n[:1] and not (
+                len(n) > 1 and n[0] in ABOUT) for w in n)
+        self.named = (parent.named if parent else ()) + ((self,) if by_name else ())
         # running numbers in names do not make another node
         kind, name = re.sub("[0-9]{3,}", "0", kind), re.sub("[0-9]+", "0", name)
         style = f"{parent.node if parent else 0}>{tag} {kind}#{name}"
         self.node = xxh3_64_intdigest(style) >> 1
         self.children: list[str] = []
 
+    @property
+    def apart(self) -> bool:
+        return self.drop or bool(self.named)
+
 
 class Page:
     """Text blocks in page order, and every element of a page."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, tuple, bool, int]] = []   # text, nodes, drop, main
+        self.blocks: list[tuple[str, tuple, bool, Element]] = []   # text, nodes, drop, element
         self.elements: list[tuple[int, int, list]] = []        # node, parent's node, child tags
         self.root = Element("#page", "", None)
         self.stack = [self.root]
@@ -119,6 +130,27 @@ class Page:
         self._read(source)
         while self.stack:
             self._close()
+        self._spare()
+
+    def _spare(self) -> None:
+        """Blocks under a dropping name go, unless what it names holds the main part."""
+        open_blocks = [b for b in self.blocks if not b[2]]
+        if any(b[3].named for b in open_blocks):
+            total = sum(len(b[0]) for b in open_blocks)
+            plain = [(b[3].main, len(b[0])) for b in open_blocks if b[3].main >= 2 and not b[3].named]
+            held: dict = {}                     # text in all, in an article or main further in
+            for text, _, _, at in open_blocks:
+                for e in at.named:
+                    n = held.setdefault(e, [0, 0])
+                    n[0] += len(text)
+                    n[1] += len(text) if at.main > max(e.main, 1) else 0
+            spared: set = set()
+            if sum(n for _, n in plain) < SMALL * total:
+                article = any(main == 3 for main, _ in plain)
+                spared = {e for e, (n, part) in held.items()
+                          if n > MOST * total and not article or part and part >= SMALL * total}
+            self.blocks = [(t, nodes, drop or any(e not in spared for e in at.named), at)
+                           for t, nodes, drop, at in self.blocks]
 
     def _flush(self) -> None:
         if self.text:
@@ -128,11 +160,11 @@ class Page:
                 own = self.stack
                 last = next(e for e in reversed(own) if e.tag not in INLINE)
                 nodes = tuple(e.node for e in own[:own.index(last) + 1])
-                self.blocks.append((block, nodes, own[-1].drop, own[-1].main))
+                self.blocks.append((block, nodes, own[-1].drop, own[-1]))
 
     def _close(self) -> None:
         top = self.stack[-1]
-        if top.tag not in INLINE or top.drop:
+        if top.tag not in INLINE or top.apart:
             self._flush()
         self.stack.pop()
         if top.tag not in INLINE:
@@ -154,7 +186,7 @@ class Page:
             self.text.append(" ")
             return
         element = Element(tag, attributes, self.stack[-1])
-        if tag not in INLINE or element.drop and not self.stack[-1].drop:
+        if tag not in INLINE or element.apart and not self.stack[-1].apart:
             self._flush()
             block = next(e for e in reversed(self.stack) if e.tag not in INLINE)
             block.children.append(tag)
@@ -184,15 +216,15 @@ class Page:
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(source, at)
                 at = end.end()
-                if tag == "textarea" and not self.stack[-1].drop:
+                if tag == "textarea" and not self.stack[-1].apart:
                     self._flush()
                 continue
             self._open(tag, m[3])
 
     def main_text(self, low=frozenset()) -> str:
-        kept = [(t, main) for t, nodes, drop, main in self.blocks
+        kept = [(t, at.main) for t, nodes, drop, at in self.blocks
                 if not drop and not any(n in low for n in nodes)]
-        best = max((main for _, _, drop, main in self.blocks if not drop), default=0)
+        best = max((at.main for _, _, drop, at in self.blocks if not drop), default=0)
         return "\n\n".join(t for t, main in kept if main >= best)
 
 

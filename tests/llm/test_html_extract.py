@@ -33,6 +33,28 @@ def test_page(source, want):
     assert text(source) == want
 
 
+LONG = "Many words of the body stand here, one after another, in a row."
+
+
+@pytest.mark.parametrize("source", [
+    "<div class='content has-sidebar'><p>{}</p><div class='sidebar'>s</div></div>",
+    "<div class='wrap no-sidebar'><p>{}</p></div>",
+    "<div class='with-header'><article><p>{}</p></article></div><p>" + "o" * 60 + "</p>",
+    "<div class='layout-rail'><article><p>{}</p></article><div class='rail'>r</div></div>",
+    "<div class='layout-rail'><main><p>{}</p></main></div><div class='comments'>" + "c" * 60 + "</div>",
+    "<main><div class='layout-rail'><p>{}</p></div></main>",
+    "<div class='header-wrap'><div class='layout-rail'><article><p>{}</p></article></div></div>",
+    "<article class='post category-social'><p>{}</p></article>",
+    "<article class='tag-legal tag-newsletter'><p>{}</p></article><p>o</p>"])
+def test_names_do_not_drop_the_main_part(source):
+    assert text(source.format(LONG)) == LONG
+
+
+def test_names_still_drop_what_is_beside():
+    assert text(f"<article><p>{LONG}</p></article><section class='comments'><article><p>{LONG} no"
+                "</p></article></section>") == LONG
+
+
 def site(n=30):
     rows = []
     for k in range(n):
