@@ -10,8 +10,8 @@ a branch mixes its own entropy with that of the nodes below it.  Branches of
 low importance are removed from every page of the host; so are elements whose
 tag or names say that they are menus, footers, sidebars, notices, adverts,
 forms or comments, but never by a name alone what holds the main part of the
-page.  If a page marks an article (or else a main part), only what stands
-there is kept.  Equal pages count once, so that copies of an
+page.  If a page marks an article (or else a main part) that is not a small
+share of what is left, only what stands there is kept.  Equal pages count once, so that copies of an
 article do not make it look like a template, and nodes seen on fewer than
 ``MIN_PAGES`` different pages of a host are not judged.
 
@@ -81,7 +81,7 @@ _NAME = re.compile(r"[a-z]+")
 class Element:
     """An open element: its node in the style tree and what its names say."""
 
-    __slots__ = ("tag", "node", "drop", "named", "main", "children")
+    __slots__ = ("tag", "node", "drop", "named", "main", "marked", "children")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         found = {}
@@ -98,8 +98,11 @@ class Element:
             self.main = 3
         elif tag == "main" or role == "main":
             self.main = max(self.main, 2)
-        elif any(w in MAIN_NAMES for n in names for w in n):
+        elif any(len(n) == 1 and n[0] in MAIN_NAMES or "".join(n) == "articlebody" for n in names):
             self.main = max(self.main, 1)
+        # part of a name marks the main part only where most of the text stands
+        self.marked = (parent.marked if parent else ()) + (
+            (self,) if any(w in MAIN_NAMES for n in names for w in n) else ())
         self.drop = (parent.drop if parent else False) or tag in DROP_TAGS or role in DROP_ROLES or (
             "hidden" in found or tag == "header" and self.main < 2)
         allowed = ("header", "related") if tag in ("article", "main") else ()
@@ -222,10 +225,19 @@ class Page:
             self._open(tag, m[3])
 
     def main_text(self, low=frozenset()) -> str:
-        kept = [(t, at.main) for t, nodes, drop, at in self.blocks
+        kept = [(t, at) for t, nodes, drop, at in self.blocks
                 if not drop and not any(n in low for n in nodes)]
-        best = max((at.main for _, _, drop, at in self.blocks if not drop), default=0)
-        return "\n\n".join(t for t, main in kept if main >= best)
+        total = sum(len(t) for t, _ in kept)
+        held: dict = {}
+        for t, at in kept:
+            for e in at.marked:
+                held[e] = held.get(e, 0) + len(t)
+        levels = [at.main or int(any(held[e] > MOST * total for e in at.marked)) for _, at in kept]
+        size = [sum(len(t) for (t, _), level in zip(kept, levels) if level >= k) for k in range(4)]
+        # articles that hold less than what else stands in a main part are cards in it
+        best = 3 if size[3] and size[3] >= max(SMALL * total, MOST * size[2]) else next(
+            (k for k in (2, 1) if size[k] and size[k] >= SMALL * total), 0)
+        return "\n\n".join(t for (t, _), level in zip(kept, levels) if level >= best)
 
 
 def _observe(batches):

@@ -36,6 +36,22 @@ def test_page(source, want):
 LONG = "Many words of the body stand here, one after another, in a row."
 
 
+@pytest.mark.parametrize("source", [
+    "<div class='post-title'>T</div><div class='body'><p>{}</p></div>",
+    "<div class='entry-meta'>by A</div><div class='body'><p>{}</p></div>",
+    "<main><p>{}</p><article class='card'><p>T</p></article></main>",
+    "<main><p>{}</p></main><article><p>T</p></article>"])
+def test_a_small_marked_part_does_not_take_the_body(source):
+    assert LONG in text(source.format(LONG))
+
+
+def test_a_low_mark_does_not_empty_the_page(spark):
+    rows = [(k, f"http://a.example.com/{k}", f"<div class='main'><h1>Site</h1></div>"
+             f"<div class='body'><p>{LONG} {k}</p></div>") for k in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in H.extract(df).collect()} == {k: f"{LONG} {k}" for k in range(12)}
+
+
 @pytest.mark.parametrize("source", [
     "<div class='content has-sidebar'><p>{}</p><div class='sidebar'>s</div></div>",
     "<div class='wrap no-sidebar'><p>{}</p></div>",
@@ -50,6 +66,10 @@ def test_names_do_not_drop_the_main_part(source):
     assert text(source.format(LONG)) == LONG
 
 
+def test_a_card_beside_does_not_drop_the_main_part():
+    assert LONG in text(f"<div class='layout-rail'><article><p>{LONG}</p></article></div><article>T</article>")
+
+
 def test_names_still_drop_what_is_beside():
     assert text(f"<article><p>{LONG}</p></article><section class='comments'><article><p>{LONG} no"
                 "</p></article></section>") == LONG
