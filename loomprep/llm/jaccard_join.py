@@ -10,9 +10,10 @@ the class representatives are shuffled; those that two or more share connect
 candidates into groups (each bucket as a star, so a bucket of m members costs
 m rows, not m * m).  The full shingle sets travel once to their group, where
 every pair is verified on the sets themselves by products of set-membership
-matrices.  A group with more than ``BLOCK`` shingles is cut into blocks and
-each pair of blocks is verified on its own; only numbers of links and local
-components leave a task, never pairs.  As all pairs of a candidate group are
+matrices.  A group with more than ``BLOCK`` shingles or ``DOCS`` members is cut
+into blocks and each pair of blocks is verified on its own; links are counted
+and merged row by row, so that memory follows the rows of a block and not their
+pairs, and only numbers of links and local components leave a task.  As all pairs of a candidate group are
 verified, not only those that share a band, fewer links are missed than the
 signature alone would give.
 
@@ -42,6 +43,8 @@ from .hashing import Words, chunks, grams, mix
 
 SHINGLE, THRESHOLD, MISS = 5, 0.8, 0.005
 BLOCK = 1 << 20          # shingles of a group that are verified in one block
+DOCS = 1 << 13           # members of a group that are verified in one block
+PENDING = 1 << 18        # links that are held before they are merged
 SEED = np.uint64(0x5DEECE66D)
 
 
@@ -138,7 +141,7 @@ def _member_sets(n: int):
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray], threshold: float):
-    """(a, b) of all pairs from left and right that reach the threshold."""
+    """For each row a of left that has any: a, the rows b of right that reach the threshold."""
     size_l = np.fromiter(map(len, left), np.int64, len(left))
     size_r = np.fromiter(map(len, right), np.int64, len(right))
     flat_r = np.concatenate(right)
@@ -147,7 +150,6 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray], threshold: float)
     order = np.argsort(where, kind="stable")
     begin = np.searchsorted(where[order], np.arange(len(words) + 1))
     holders = owner_r[order]
-    found_a, found_b = [], []
     for a, s in enumerate(left):
         at = np.searchsorted(words, s)
         at = at[at < len(words)]
@@ -158,11 +160,15 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray], threshold: float)
         idx = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
         both = np.bincount(holders[idx], minlength=len(right))
         b = np.flatnonzero(both >= threshold * (size_l[a] + size_r - both) - 1e-9)
-        found_a.append(np.full(len(b), a))
-        found_b.append(b)
-    if not found_a:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(found_a), np.concatenate(found_b)
+        if len(b):
+            yield a, b
+
+
+def _merged(root: np.ndarray, ends: list) -> np.ndarray:
+    """Roots of all nodes after the links between roots in ``ends``."""
+    if not ends:
+        return root
+    return local_roots(len(root), *np.concatenate(ends, 1))[root]
 
 
 def _verify(threshold: float):
@@ -176,7 +182,8 @@ def _verify(threshold: float):
         rows = rows.take(pa.array(once))
         sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"].to_pylist()]
         links = np.zeros(len(rep), np.int64)
-        ends = [np.zeros((2, 0), np.int64)]
+        nodes, node = np.unique(rep, return_inverse=True)
+        root, ends, held = np.arange(len(nodes)), [], 0
         order = np.lexsort(keys)
         cuts = np.flatnonzero((keys[:, order][:, 1:] != keys[:, order][:, :-1]).any(0)) + 1
         for group in np.split(order, cuts):
@@ -185,17 +192,19 @@ def _verify(threshold: float):
             left, right = (group, group) if same else (group[first], group[~first])
             if not len(left) or not len(right):
                 continue
-            a, b = _overlaps([sets[i] for i in left], [sets[i] for i in right], threshold)
-            if same:
-                a, b = a[a < b], b[a < b]
-            a, b = left[a], right[b]
-            np.add.at(links, a, size[b])
-            np.add.at(links, b, size[a])
-            ends.append(np.stack((a, b)))
-        nodes, node = np.unique(rep, return_inverse=True)
-        a, b = node[np.concatenate(ends, 1)]
+            for a, b in _overlaps([sets[i] for i in left], [sets[i] for i in right], threshold):
+                a, b = left[a], right[b[b > a] if same else b]
+                links[a] += size[b].sum()
+                links[b] += size[a]
+                # only links that join two components are held
+                apart = np.unique(root[node[b]])
+                apart = apart[apart != root[node[a]]]
+                ends.append(np.stack((np.full(len(apart), root[node[a]]), apart)))
+                held += len(apart) + 1
+                if held > PENDING:
+                    root, ends, held = _merged(root, ends), [], 0
         total = np.bincount(node, links, len(nodes)).astype(np.int64)
-        root = nodes[local_roots(len(nodes), a, b)]
+        root = nodes[_merged(root, ends)]
         keep = (total > 0) | (root != nodes)
         return pa.table({"rep": nodes[keep], "links": total[keep], "root": root[keep]})
     return run
@@ -227,12 +236,12 @@ def jaccard_join(docs: DataFrame, n: int = SHINGLE, threshold: float = THRESHOLD
     # a group's blocks are known before the sets are made; these are shuffled once
     member = materialize(groups.join(classes, F.col("vertex") == F.col("rep")).select(
         "key", "rep", "n", "m", "group"), "jaccard-members")
-    volume = member.groupBy("group").agg(F.sum("m").alias("volume"))
-    total = volume.agg(F.sum(F.col("volume") * F.ceil(F.col("volume") / BLOCK))).first()[0] or 0
-    shards = int(total // BLOCK) + 1
+    volume = member.groupBy("group").agg(F.sum("m").alias("volume"), F.count("*").alias("members"))
+    share = F.greatest(F.col("volume") / BLOCK, F.col("members") / DOCS)
+    shards = int(volume.agg(F.sum(share * F.ceil(share))).first()[0] or 0) + 1
     wanted = member.join(volume, "group").select(
         F.col("rep").alias("doc_id"), "key", "rep", "n", "group",
-        F.ceil(F.col("volume") / BLOCK).cast("int").alias("blocks"))
+        F.ceil(share).cast("int").alias("blocks"))
     # the members grow with the corpus: a shuffled join at every size
     sets = known.join(wanted.hint("merge"), "doc_id").mapInArrow(
         _member_sets(n), "rep long, n long, group long, blocks int, shingles binary")

@@ -66,6 +66,31 @@ def test_matches_brute_force(spark, monkeypatch, block):
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
 
 
+def test_blocks_by_members_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(J, "DOCS", 5)
+    monkeypatch.setattr(J, "PENDING", 3)
+    rows = corpus(seed=2, n=80)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, J.jaccard_join(df, miss=1e-5).collect()), key=repr) == brute(rows)
+
+
+def test_memory_follows_the_rows_of_a_block():
+    import tracemalloc
+
+    import pyarrow as pa
+    n = 2000
+    sets = [np.sort(np.array([*range(45), 1000 + k], np.uint64)).tobytes() for k in range(n)]
+    zero = [0] * n
+    rows = pa.table({"rep": list(range(n)), "n": [1] * n, "group": zero, "block": zero,
+                     "block_a": zero, "block_b": zero, "shingles": sets})
+    tracemalloc.start()
+    got = J._verify(0.8)(None, rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(got["links"].to_pylist()) == {n - 1} and set(got["root"].to_pylist()) == {0}
+    assert peak < 32 << 20
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert J.jaccard_join(df).count() == 0
