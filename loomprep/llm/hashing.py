@@ -9,6 +9,7 @@ themselves.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 
 CHUNK_BYTES = 1 << 20        # a chunk's arrays take about 80 bytes for each byte of text
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -78,6 +79,56 @@ def window_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def distinct_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """``(number of each byte range, one range for each number)``: ranges have one
+    number only if their bytes are equal.  Ranges up to 24 bytes are compared as
+    three 8-byte words, longer ones as Python bytes; nothing is left to a hash."""
+    size = end - start
+    number = np.zeros(len(start), np.int64)
+    short = np.flatnonzero(size <= 24)
+    rows = np.zeros(0, np.int64)
+    if len(short):
+        padded = np.concatenate((data, np.zeros(32, np.uint8)))
+        word_at = np.ndarray((len(padded) - 7,), "<u8", padded.data, strides=(1,))
+        keys = [size[short].astype(np.uint64)]
+        for k in range(0, 24, 8):
+            held = np.clip(size[short] - k, 0, 8)
+            keys.append(word_at[np.where(held > 0, start[short] + k, 0)] & _LOW_BYTES[held])
+        code = keys[0]
+        for key in keys[1:]:
+            code = mix(code ^ key) + _BASE
+        number[short] = pd.factorize(code)[0]
+        rows = _first_of(number[short], short)
+        if any((key != _spread(key, number[short])).any() for key in keys):   # one code, two ranges
+            order = np.lexsort(keys)
+            new = np.ones(len(short), bool)
+            new[1:] = np.any([key[order][1:] != key[order][:-1] for key in keys], axis=0)
+            number[short[order]] = np.cumsum(new) - 1
+            rows = _first_of(number[short], short)
+    long = np.flatnonzero(size > 24)
+    if len(long):
+        whole, known = data.tobytes(), {}
+        number[long] = [known.setdefault(whole[a:b], len(rows) + len(known))
+                        for a, b in zip(start[long].tolist(), end[long].tolist())]
+        rows = np.concatenate((rows, _first_of(number[long] - len(rows), long)))
+    return number, rows
+
+
+def _first_of(number: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The first entry of ``index`` for each number."""
+    out = np.zeros(int(number.max()) + 1, np.int64)
+    out[number[::-1]] = index[::-1]
+    return out
+
+
+def _spread(values: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Each entry's value replaced by that of the first entry with its number."""
+    return values[_first_of(number, np.arange(len(number)))][number]
+
+
 def chunks(texts: list, limit: int = CHUNK_BYTES):
     """``(first, last)`` index ranges of about ``limit`` bytes each."""
     first, size = 0, 0

@@ -15,8 +15,8 @@ hash bucket), so a class that holds a third of all pieces is ranked in many
 tasks.  Sequences hold at most ``length`` tokens, and offsets are summed
 within a sequence.  Nothing but counts and patterns passes the driver.
 
-Words are tokenised once for each distinct word of a chunk of text and looked
-up; this equals the tokenizer on the whole text, as it splits at white space.
+Token ids come from ``word_tokens`` (each distinct word is encoded once and
+looked up; equal to the tokenizer on the whole text).
 
 Defined cases: null and empty texts have the end id only; a text with
 white space only likewise; repeated rows are packed each; a null doc_id is
@@ -25,9 +25,6 @@ carried along; other columns are ignored; an empty table gives no sequence.
 
 from __future__ import annotations
 
-import zlib
-from array import array
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,137 +32,10 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from ..sources.tables import table
-from .hashing import BYTE_VALUE, Words, chunks, mix, prefix_sums, range_hash
+from .word_tokens import default_tokenizer, token_pieces
 
 LENGTH, STEP, END_ID = 4096, 16, 2
 BUCKET_PIECES = 50_000   # pieces of a class ranked in one bucket, about
-CACHE_WORDS = 200_000    # distinct words a worker remembers
-VOCABULARY = "word_bpe_49k.json"
-
-_PUNCTUATION = b".,;:!?"
-_LETTER = np.zeros(256, bool)
-_LETTER[65:91] = _LETTER[97:123] = True
-_TAIL = np.zeros(256, bool)
-_TAIL[list(_PUNCTUATION)] = True
-_OTHER_VALUE = mix(BYTE_VALUE + np.uint64(12345))
-_LOWER_CASE = np.arange(256, dtype=np.uint8)
-_LOWER_CASE[65:91] += 32
-
-
-def default_tokenizer() -> str:
-    import public_tokenizers
-    return public_tokenizers.path(VOCABULARY)
-
-
-class WordTokenizer:
-    """Token ids of texts, by distinct words.
-
-    The tokenizer must split at white space and lower its input's case; a
-    letter followed by one of ``. , ; : ! ?`` is a split as well."""
-
-    def __init__(self, path: str, end_id: int = END_ID):
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict = {}
-        self.fixed = [self._encode([chr(c)])[0] for c in _PUNCTUATION] + [
-            end_id.to_bytes(4, "little")]
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as little-endian bytes."""
-        return [array("I", e.ids).tobytes()
-                for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        known = self.known
-        missing = list(dict.fromkeys(w for w in words if w not in known))
-        if missing:
-            if len(known) + len(missing) > CACHE_WORDS:
-                known.clear()
-                missing = list(dict.fromkeys(words))
-            known.update(zip(missing, self._encode([w.decode() for w in missing])))
-        return [known[w] for w in words]
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each with the end id; where each text begins, and the total)."""
-        w = Words(texts)
-        data, start, end = w.data, w.start, w.end
-        tail = (end - start >= 2) & _TAIL[data[end - 1]] & _LETTER[data[end - 2]]
-        core_end = end - tail
-        other = np.concatenate(([0], np.cumsum(~_LETTER[data])))
-        plain = other[core_end] == other[start]
-        low = _LOWER_CASE[data]
-        buffers = w.buffer, low.tobytes()
-
-        def hashes(values):
-            return np.where(plain, range_hash(prefix_sums(values[low]), start, core_end),
-                            range_hash(prefix_sums(values[data]), start, core_end))
-
-        if len(w):
-            first_hash, second_hash = hashes(BYTE_VALUE), hashes(_OTHER_VALUE)
-            _, first, which = np.unique(first_hash, return_index=True, return_inverse=True)
-            if (second_hash[first][which] != second_hash).any():    # two words, one hash
-                words = [buffers[int(p)][a:b] for a, b, p in zip(start.tolist(), core_end.tolist(), plain)]
-                number = {x: k for k, x in enumerate(dict.fromkeys(words))}
-                which, distinct = np.array([number[x] for x in words]), list(number)
-            else:
-                distinct = [buffers[p][a:b] for a, b, p in zip(
-                    start[first].tolist(), core_end[first].tolist(), plain[first].astype(int).tolist())]
-        else:
-            which, distinct = np.zeros(0, np.int64), []
-        table = self._ids(distinct) + self.fixed
-        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        flat = np.frombuffer(b"".join(table), "<u4")
-        place = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-
-        # units in order: a word, its punctuation, and the end id after each text
-        at = np.arange(len(w)) + np.cumsum(tail) - tail + w.doc
-        ends = w.first[1:] + np.concatenate(([0], np.cumsum(tail)))[w.first[1:]] + np.arange(len(texts))
-        unit = np.full(len(w) + int(tail.sum()) + len(texts), len(table) - 1)
-        unit[at] = which
-        kind = np.zeros(256, np.int64)
-        kind[list(_PUNCTUATION)] = len(distinct) + np.arange(len(_PUNCTUATION))
-        unit[at[tail] + 1] = kind[data[end[tail] - 1]]
-        n = sizes[unit]
-        upto = np.cumsum(n)
-        ids = flat[np.repeat(place[unit] - upto + n, n) + np.arange(int(upto[-1]) if len(n) else 0)]
-        return ids, np.concatenate(([0], upto[ends]))
-
-
-_WORKER: dict = {}
-
-
-def _tokenizer(path: str, end_id: int) -> WordTokenizer:
-    if (path, end_id) not in _WORKER:
-        _WORKER[path, end_id] = WordTokenizer(path, end_id)
-    return _WORKER[path, end_id]
-
-
-def _pieces(path: str, length: int, end_id: int, with_ids: bool):
-    def run(batches):
-        tokenizer = _tokenizer(path, end_id)
-        for batch in batches:
-            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            for a, b in chunks(texts):
-                ids, begin = tokenizer.encode(texts[a:b])
-                n = np.diff(begin)
-                count = -(-n // length)
-                owner = np.repeat(np.arange(b - a), count)
-                start = (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)) * length
-                size = np.minimum(n[owner] - start, length)
-                lo = begin[owner] + start
-                cut = [ids[x:x + s].astype("<u4") for x, s in zip(lo.tolist(), size.tolist())]
-                columns = [batch.column("doc_id")[a:b].take(pa.array(owner)), pa.array(start),
-                           pa.array(size), pa.array([zlib.crc32(c) for c in cut], pa.int64()),
-                           pa.array(n[owner])]
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-                if with_ids:
-                    columns.append(pa.array(cut, pa.list_(pa.int32())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-    return run
-
 
 def knapsack(price: np.ndarray, size: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """Best value and numbers of items (any number of each) within the capacity."""
@@ -300,7 +170,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, st
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cut = materialize(texts.mapInArrow(
-        _pieces(path, length, end_id, with_ids), schema + (", ids array<int>" if with_ids else "")),
+        token_pieces(path, length, end_id, with_ids), schema + (", ids array<int>" if with_ids else "")),
         "pieces")
     size_class = F.ceil(F.col("length") / step).cast("int")
     counted = cut.groupBy(size_class.alias("size_class")).count().orderBy("size_class").collect()

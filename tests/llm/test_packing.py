@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from loomprep.llm import packing as P
+from loomprep.llm import word_tokens as W
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +34,7 @@ def odd_texts():
 def test_words_give_the_ids_of_the_whole_text(tokenizer, spark):
     texts = odd_texts() + [r.text for r in spark.read.parquet(
         "/root/testdata/sf0.001/documents.parquet").collect()]
-    own = P.WordTokenizer(P.default_tokenizer())
+    own = W.WordTokenizer(P.default_tokenizer(), 2)
     raw = [(t or "").encode() for t in texts]
     for lo in range(0, len(raw), 100):
         ids, begin = own.encode(raw[lo:lo + 100])
@@ -107,3 +108,41 @@ def test_knapsack_and_cutting_stock():
         assert (times @ patterns == demand).all() and (patterns @ size <= 40).all()
         # the linear program's bound, and at most one more for each class
         assert times.sum() <= demand @ size / 40 * 1.35 + len(size) + 1
+
+
+def test_parts_are_told_apart_by_their_bytes(tokenizer):
+    # words that polynomial hashes modulo 2**64 cannot tell apart
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    texts = [f"{a} {b}", f"{b} {a} {a}.", "éa ea Éa ÉA", "x1y22 ab--cd ab- -", "a×b a÷b ÀÖØÞ ßÿ", "|| a|b <|x|>"]
+    ids, begin = W.WordTokenizer(P.default_tokenizer(), 2).encode([t.encode() for t in texts])
+    for k, t in enumerate(texts):
+        assert ids[begin[k]:begin[k + 1]].tolist() == whole(tokenizer, t)
+
+
+def test_both_generations_of_parts(tokenizer, monkeypatch):
+    monkeypatch.setattr(W, "CACHE_PARTS", 10)
+    own = W.WordTokenizer(P.default_tokenizer(), 2)
+    rng = random.Random(4)
+    for _ in range(40):
+        texts = [" ".join(f"w{rng.choice('abcdef')}{rng.choice('xyz')}" for _ in range(12)) for _ in range(3)]
+        ids, begin = own.encode([t.encode() for t in texts])
+        for k, t in enumerate(texts):
+            assert ids[begin[k]:begin[k + 1]].tolist() == whole(tokenizer, t)
+    assert len(own.known) < 60
+
+
+def test_distinct_ranges_without_a_hash(monkeypatch):
+    from loomprep.llm import hashing as H
+    rng = np.random.default_rng(5)
+    data = rng.integers(97, 100, 5000).astype(np.uint8)
+    start = rng.integers(0, 4900, 3000)
+    end = start + rng.integers(1, 40, 3000)
+    for code in (H.mix, lambda x: x * np.uint64(0)):         # also if all codes are equal
+        monkeypatch.setattr(H, "mix", code)
+        number, rows = H.distinct_ranges(data, start, end)
+        raw = data.tobytes()
+        words = [raw[a:b] for a, b in zip(start, end)]
+        assert len(set(words)) == len(rows)
+        assert all(words[rows[n]] == w for n, w in zip(number, words))
