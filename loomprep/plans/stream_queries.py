@@ -19,11 +19,13 @@ from ..session import scratch_dir
 from ..sources.files import write_patches
 from ..sources.pixels import SIDE, vector_pixels
 from ..sources.tables import table
+from ..streaming import shuffle_buffer as SB
 from ..streaming import text_stream as ST
 from .registry import ORACLE, register
 from .sql import cjk, md5key, norm
 
 K, QUOTA = 50, 150
+BUFFER, LANGUAGES = 64, ("en", "fr", "de", "es")
 
 
 def _stream(spark, sf):
@@ -74,6 +76,24 @@ def stream_until_quota(spark, sf):
     return rows.select("doc_id", F.col("arrival").cast("bigint").alias("arrival"))
 
 
+@register("stream_shuffle_buffer", f"""
+WITH {CLEAN.strip()},
+idx AS (SELECT doc_id, lang, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // {BUFFER} AS block
+        FROM ok),
+r AS (SELECT doc_id, lang, row_number() OVER (
+        PARTITION BY lang ORDER BY block, {md5key(SEED, 'doc_id')}, doc_id) - 1 AS arrival_index FROM idx)
+SELECT doc_id, lang, arrival_index FROM r WHERE arrival_index < {QUOTA}""")
+def stream_shuffle_buffer(spark, sf):
+    """Each language's first QUOTA clean texts in the order of its shuffle buffer;
+    files are read one at a time until every language has them."""
+    schema = table(spark, sf, "documents").schema
+    docs = ST.text_stream(spark, f"{sf.rstrip('/')}/documents.parque[t]", schema, max_files_per_trigger=1)
+    rows, _ = SB.shuffled_until_quota(
+        spark, ST.clean_texts(docs).select("doc_id", "lang"), "lang", "doc_id", arrival=["doc_id"],
+        buffer=BUFFER, quota=QUOTA, keys=LANGUAGES)
+    return rows
+
+
 @register("stream_counts", f"WITH {CLEAN.strip()} SELECT count(*) AS rows FROM ok")
 def stream_counts(spark, sf):
     watched = ST.observed(ST.clean_texts(_stream(spark, sf)).select("doc_id"), "clean")
