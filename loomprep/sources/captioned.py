@@ -100,14 +100,13 @@ def read_captioned(spark, spec, base_dir: str | None = None) -> DataFrame:
     position of the file and the row's index inside it, so ranks by
     ``item_id`` follow the order in which a sequential reader meets the rows.
     A file listed twice yields its rows twice (one copy per position)."""
-    from .files import files_of, spec_sources
-    sources = spec_sources(spec, base_dir)
-    files = {s: files_of(spark, s) for s in dict.fromkeys(sources)}
-    listed = [f for s in sources for f in files[s]]          # file names only
-    occ = spark.createDataFrame(list(zip(listed, range(len(listed)))), "_file string, file_idx long")
-    df = spark.read.parquet(*files)
+    from .listing import list_data_files, literal_path, metadata_path, source_path
+    listed = list_data_files(spark, spec, base_dir)          # file names only
+    occ = spark.createDataFrame([(metadata_path(spark, f), k) for k, f in enumerate(listed)],
+                                "_file string, file_idx long")
+    df = spark.read.parquet(*map(literal_path, dict.fromkeys(listed)))
     d = df.select(*[c for c in WANTED if c in df.columns],
-                  F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+                  source_path().alias("_path"), F.col("_metadata.row_index").alias("_row"))
     d = d.join(occ, F.col("_path") == F.col("_file"))        # one row per spec entry
     d = d.withColumn("item_id", F.shiftleft(F.col("file_idx"), ROW_BITS) + F.col("_row")) \
         .drop("_path", "_file", "_row")

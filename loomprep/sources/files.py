@@ -1,23 +1,22 @@
 """File sources and sinks.
 
-Listing happens on the driver and touches metadata only; reading is Spark's
-own (parquet with column pruning, the ``image`` source for frames).  Paths
-with a URI scheme (``hdfs://``, ``s3a://`` ...) are handed to Spark as they
-are, whose Hadoop globbing expands them.
+Listing touches names only (``listing``: any file system; ``resolve_data_files``:
+the driver's own disk); reading is Spark's own (parquet with column pruning, the
+``image`` source for frames).  ``rejects`` reads files that may be damaged,
+``file_sink`` writes raw files.
 """
 
 from __future__ import annotations
 
 import glob as _glob
 import os
-import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GLOB_CHARS = "*?[]"
+from .listing import GLOB_CHARS, list_data_files, literal_path
 
 
 def _has_scheme(p: str) -> bool:
@@ -63,42 +62,11 @@ def resolve_data_files(spec: str | Sequence[str], base_dir: str | None = None) -
     return out
 
 
-def literal_path(path: str) -> str:
-    """A local path in which Spark expands nothing."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
-def spec_sources(spec: str | Sequence[str], base_dir: str | None = None) -> list[str]:
-    """What to hand to Spark for each part of a file spec, in order: URIs as
-    they are (Spark expands them), local files one by one as literal paths."""
-    items = spec.split(",") if isinstance(spec, str) else list(spec)
-    out: list[str] = []
-    for item in (i.strip() for i in items):
-        if _has_scheme(item):
-            out.append(item)
-        elif item:
-            out += [literal_path(p) for p in resolve_data_files([item], base_dir)]
-    if not out:
-        raise ValueError("the file spec names no file")
-    return out
-
-
-def files_of(spark: SparkSession, source: str) -> list[str]:
-    """The files Spark reads for one source, in order, as ``_metadata.file_path``
-    spells them; ``FileNotFoundError`` if there is none."""
-    from pyspark.errors import AnalysisException
-    try:
-        df = spark.read.parquet(source)
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"data file not found: {source}") from exc
-    return sorted(r[0] for r in df.select("_metadata.file_path").distinct().collect())
-
-
 def read_parquet_files(spark: SparkSession, spec: str | Sequence[str], wanted: Sequence[str] | None = None,
                        base_dir: str | None = None, provenance: bool = True) -> DataFrame:
     """Parquet files of a spec; only the wanted columns that exist; the
     source file as ``source_file`` (from the hidden ``_metadata`` column)."""
-    df = spark.read.parquet(*spec_sources(spec, base_dir))
+    df = spark.read.parquet(*[literal_path(p) for p in list_data_files(spark, spec, base_dir)])
     cols = [c for c in (wanted or df.columns) if c in df.columns]
     extra = [F.col("_metadata.file_path").alias("source_file")] if provenance else []
     return df.select(*cols, *extra)
