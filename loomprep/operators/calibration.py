@@ -12,7 +12,7 @@ from ..functions.constants import (MAX_TEXT_CHARS, MIN_TEXT_CHARS, NUM_CALIB, NU
                                    NUM_TEXT_CALIB, SEED)
 from ..functions.hashing import seeded_key
 from ..session import materialize
-from ..sources.captioned import with_found_images
+from ..sources.captioned import has_payload, with_found_images
 from . import messages as M
 from .sampling import bottomk_sample, quota_targets, ratio_interleave, round_robin_mix
 
@@ -33,23 +33,35 @@ def text_samples(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
 def sampled_images(captioned: DataFrame, target, bound: int, *, seed: int = SEED,
                    shuffle_seed: int | None = None, mode: str = "mixed",
                    use_assistant: bool = False, require_lang_match: bool = True,
-                   system: bool = True, system_override: str | None = None) -> DataFrame:
+                   system: bool = True, system_override: str | None = None,
+                   bounds: DataFrame | None = None) -> DataFrame:
     """Uniform sample of ``target`` valid image samples (``target`` may be a
     scalar-subquery Column, ``bound`` is its static upper bound), then a
     seeded shuffle key.  Ranks and the bottom-k run on keys only; question and
     answer are joined back for the kept items (at most ``bound`` keys, whose
     size Spark checks); image payloads never move -- messages refer to images by
     ``item:<id>``."""
-    keys = M.valid_image_keys(captioned, use_assistant=use_assistant, seed=seed)
+    keys = M.valid_image_keys(captioned, use_assistant=use_assistant, seed=seed, bounds=bounds)
     # keys only.  The keys come out of the rank's shuffle, so the ordered take
     # merges (shuffle partitions x bound) rows at most, whatever the input size
     top = bottomk_sample(keys, bound, "item_id", seed=seed)
     top = top.withColumn("_r", F.row_number().over(Window.orderBy("sample_key", "item_id")) - 1) \
         .where(F.col("_r") < target).drop("_r")
-    # question and answer are joined back for the kept (<= bound) items only
-    payload = captioned.select("item_id", "question", "answer")
-    top = payload.join(top, "item_id", "inner") \
-        .withColumn("caption", M.pick_caption("answer", "item_id", seed=seed)).drop("answer")
+    # question and answer are joined back for the kept (<= bound) items only.  Rows
+    # that share an item_id (or have none) meet by their place among them, so each
+    # key takes one row
+    nth = lambda by: F.row_number().over(Window.partitionBy("item_id").orderBy(by))
+    top = top.withColumn("_nth", nth("valid_rank"))
+    has = F.col("has_image") if "has_image" in captioned.columns else has_payload("image")
+    payload = captioned.select(F.col("item_id").alias("_item"), "question", "answer", has.alias("has_image"))
+    payload = payload.join(top.select(F.col("item_id").alias("_kept")).distinct(),
+                           F.col("_item").eqNullSafe(F.col("_kept")), "left_semi")
+    payload = payload.where(M.valid_image_sample("has_image", M.pick_caption("answer", "_item", seed=seed),
+                                                 use_assistant))
+    payload = payload.withColumn("_row", F.row_number().over(Window.partitionBy("_item").orderBy(
+        F.xxhash64("question", "answer"), "question", "answer"))).drop("has_image")
+    top = top.join(payload, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("_nth") == F.col("_row"))) \
+        .drop("_item", "_nth", "_row").withColumn("caption", M.pick_caption("answer", "item_id", seed=seed)).drop("answer")
     top = M.with_image_messages(top, mode=mode, use_assistant=use_assistant,
                                 require_lang_match=require_lang_match, system=system,
                                 system_override=system_override)
@@ -65,8 +77,10 @@ def calibration_mix(docs: DataFrame, captioned: DataFrame, n: int = NUM_CALIB, *
                     require_lang_match: bool = True, system: bool = True,
                     system_override: str | None = None,
                     min_chars: int = MIN_TEXT_CHARS, max_chars: int = MAX_TEXT_CHARS,
-                    spread_rows: bool = False, image_files: DataFrame | None = None) -> DataFrame:
-    """``image_files``: paths at which images given by path only are found.
+                    spread_rows: bool = False, image_files: DataFrame | None = None,
+                    image_bounds: DataFrame | None = None) -> DataFrame:
+    """``image_files``: paths at which images given by path only are found;
+    ``image_bounds``: a cheaper frame whose ``item_id`` is distributed alike.
     Texts first (the image target depends on how many arrived); images
     make up for missing texts; then ``k`` images per text up to ``n``."""
     text_target, _ = quota_targets(n, text_quota, image_quota, F.lit(0))
@@ -80,7 +94,7 @@ def calibration_mix(docs: DataFrame, captioned: DataFrame, n: int = NUM_CALIB, *
         captioned = with_found_images(captioned, image_files)
     images = sampled_images(captioned, image_target, n, seed=seed, mode=mode,
                             use_assistant=use_assistant, require_lang_match=require_lang_match,
-                            system=system, system_override=system_override)
+                            system=system, system_override=system_override, bounds=image_bounds)
     images = materialize(images.select("item_id", "source", "text", "messages", "shuffle_key"),
                          "mix-images")                  # <= n rows
     mixed = ratio_interleave(images, texts.select("item_id", "source", "text", "messages", "seq"), n,

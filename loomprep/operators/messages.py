@@ -291,9 +291,11 @@ def system_message_heads(conversations: DataFrame, key: str = "conv_id") -> Data
 
 
 
-def ranked_valid_images(captioned: DataFrame, *, use_assistant: bool = False, seed=SEED) -> DataFrame:
+def ranked_valid_images(captioned: DataFrame, *, use_assistant: bool = False, seed=SEED,
+                        bounds: DataFrame | None = None) -> DataFrame:
     """Narrow rows ``(item_id, question, caption, valid_rank)`` of the valid
-    captioned images; the rank is among valid rows in input order."""
+    captioned images; the rank is among valid rows in input order (``bounds``: a
+    cheaper frame of the same ``item_id``, for the rank's buckets)."""
     from ..sources.captioned import has_payload
     from .ranking import valid_rank
     d = captioned.withColumn("caption", pick_caption("answer", "item_id", seed=seed))
@@ -301,10 +303,11 @@ def ranked_valid_images(captioned: DataFrame, *, use_assistant: bool = False, se
         d = d.withColumn("has_image", has_payload("image"))
     d = d.select("item_id", "question", "caption", "has_image")
     return valid_rank(d, valid_image_sample("has_image", "caption", use_assistant), "item_id",
-                      out="valid_rank").drop("has_image")
+                      out="valid_rank", bounds=bounds).drop("has_image")
 
 
-def valid_image_keys(captioned: DataFrame, *, use_assistant: bool = False, seed=SEED) -> DataFrame:
+def valid_image_keys(captioned: DataFrame, *, use_assistant: bool = False, seed=SEED,
+                     bounds: DataFrame | None = None) -> DataFrame:
     """Keys only, ``(item_id, valid_rank)``: validity is evaluated on the
     scan side and no text travels through the rank shuffle."""
     from ..sources.captioned import has_payload
@@ -312,7 +315,7 @@ def valid_image_keys(captioned: DataFrame, *, use_assistant: bool = False, seed=
     has = F.col("has_image") if "has_image" in captioned.columns else has_payload("image")
     ok = valid_image_sample(has, pick_caption("answer", "item_id", seed=seed), use_assistant)
     d = captioned.select("item_id", ok.alias("_ok"))
-    return valid_rank(d, "_ok", "item_id", out="valid_rank").drop("_ok")
+    return valid_rank(d, "_ok", "item_id", out="valid_rank", bounds=bounds).drop("_ok")
 
 
 def with_image_messages(ranked: DataFrame, *, mode: str = "mixed", use_assistant: bool = False,
@@ -329,10 +332,10 @@ def with_image_messages(ranked: DataFrame, *, mode: str = "mixed", use_assistant
 
 def image_samples(captioned: DataFrame, *, mode: str = "mixed", use_assistant: bool = False,
                   require_lang_match: bool = True, seed=SEED, system: bool = True,
-                  system_override: str | None = None) -> DataFrame:
+                  system_override: str | None = None, bounds: DataFrame | None = None) -> DataFrame:
     """Captioned rows -> valid image samples with their rank among valid rows
     (input order = ``item_id``), prompt, caption and message list."""
-    r = ranked_valid_images(captioned, use_assistant=use_assistant, seed=seed)
+    r = ranked_valid_images(captioned, use_assistant=use_assistant, seed=seed, bounds=bounds)
     return with_image_messages(r, mode=mode, use_assistant=use_assistant,
                                require_lang_match=require_lang_match, system=system,
                                system_override=system_override)

@@ -60,25 +60,34 @@ def range_bucket(df: DataFrame, id_col: str, side: int = SIDE) -> Column:
     """Ordered bucket for a numeric key: ``side * side`` ranges between the
     key's approximate quantiles over ``df``, so outlying or clustered keys fill
     the buckets evenly.  Any ``df`` that is distributed like the ranked rows
-    works (e.g. the input before a filter).  The quantiles are one aggregate
-    over the keys, run when the query is built; their number, and with it the
-    offset table, stays fixed however large the input grows.  A null key has
-    the bucket null."""
+    works (best the scan before joins and filters).  The quantiles are one
+    aggregate over the keys, run when the query is built, and become one array
+    literal that each row searches by halving; their number, and with it the
+    offset table, stays fixed however large the input grows.  A null key has the
+    bucket null."""
     n = side * side
-    points = df.agg(F.percentile_approx(id_col, [k / n for k in range(1, n)], 20 * n)).first()[0]
+    fractions = ",".join(f"{k / n!r}D" for k in range(1, n))
+    points = df.agg(F.expr(f"percentile_approx(`{id_col}`, array({fractions}), {5 * n})")).first()[0]
     k = F.col(id_col)
     if not points:
         return F.when(k.isNotNull(), F.lit(0))
-    # two steps of ``side`` comparisons instead of one of ``side * side``
-    coarse = F.size(F.filter(F.array(*map(F.lit, points[side - 1::side])), lambda p: p <= k))
-    fine = F.size(F.filter(F.slice(F.array(*map(F.lit, points)), coarse * side + 1, F.lit(side - 1)),
-                           lambda p: p <= k))
-    return F.when(k.isNotNull(), coarse * side + fine)
+    if isinstance(points[0], (int, float)):                 # one parsed expression instead of n literals
+        known = F.expr("array(" + ",".join(f"{p}L" if isinstance(p, int) else f"double('{p}')"
+                                           for p in points) + ")")
+    else:
+        known = F.array(*map(F.lit, points))
+    steps = F.expr("array(" + ",".join(str(1 << e) for e in reversed(range(n.bit_length()))) + ")")
 
+    def forward(at: Column, step: Column) -> Column:        # ``at`` points are known to be <= k
+        return at + F.when(F.coalesce(F.get(known, at + step - 1) <= k, F.lit(False)), step).otherwise(0)
+    return F.when(k.isNotNull(), F.aggregate(steps, F.lit(0), forward))
 
-def valid_rank(df: DataFrame, valid: Column | str, order_col: str, out: str = "valid_rank") -> DataFrame:
+
+def valid_rank(df: DataFrame, valid: Column | str, order_col: str, out: str = "valid_rank",
+               bounds: DataFrame | None = None) -> DataFrame:
     """Rank among valid rows in input order (``valid_seen`` before the row).
-    Invalid rows are dropped; ``order_col`` is the numeric input order."""
+    Invalid rows are dropped; ``order_col`` is the numeric input order.
+    ``bounds``: a cheaper frame whose ``order_col`` is distributed alike."""
     v = F.col(valid) if isinstance(valid, str) else valid
-    bounds = df.select(order_col)
+    bounds = df.select(order_col) if bounds is None else bounds
     return bucketed_rank(df.where(v), [order_col], range_bucket(bounds, order_col), out=out)

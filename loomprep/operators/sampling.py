@@ -117,61 +117,69 @@ def round_robin_mix(docs: DataFrame, pattern: Sequence[str] | str, n: int, *,
         if l in seeds:
             seed_expr = F.when(lang == l, F.lit(str(seeds[l]))).otherwise(seed_expr)
 
-    # Narrow projection: only the key, the language and the normalised length
-    # travel through the shuffles; the text is joined back for the kept rows.
+    # Narrow projection: only the key, the language, the normalised length and the
+    # text's digest travel through the shuffles; the text is joined back for the
+    # kept rows.  Rows that share an id are told apart by the digest.
     src = docs.where(lang.isin(streamed))
     if spread_rows:                     # docs is a scan with too few splits (see spread())
         src = spread(src, id_col)
+    digest = F.coalesce(F.md5(F.col(text_col)), F.lit(""))
     narrow = (src
-              .select(F.col(id_col).alias("_id"), lang.alias("_lang"),
+              .select(F.col(id_col).alias("_id"), lang.alias("_lang"), digest.alias("_digest"),
                       F.md5(F.concat_ws(":", seed_expr, F.col(id_col).cast("string"))).alias("_key"),
                       F.length(normalize_text(text_col, max_chars)).alias("_len")))
     # written once: the ranks, the per-language counts and the stop key all
     # scan it, and the text is normalised only in this one pass
-    narrow = materialize(narrow, "rr-keys")
+    narrow = materialize(narrow, "rr-keys").withColumn("_b", hash_bucket("_key", digits))
 
     def key_of(rank: Column, l: str) -> Column:
         w = len(slots[l])
         return ((F.floor(rank / w) * L).cast("bigint")
                 + F.element_at(F.array(*[F.lit(s) for s in slots[l]]), (F.pmod(rank, F.lit(w)) + 1).cast("int")))
 
-    # a language gives at most n rows: buckets behind its n-th passing row are
-    # not ranked (one count by language and bucket; a row for each language)
-    bucket = hash_bucket("_key", digits)
-    passing = narrow.groupBy("_lang", bucket.alias("_b")).agg(
-        F.count_if(F.col("_len") >= int(min_chars)).alias("_p"))
+    # one count by language and bucket (bounded) gives the buckets' offsets, the
+    # stop key, and the cut: a language gives at most n rows, so buckets behind its
+    # n-th passing row are not ranked
+    held = narrow.groupBy("_lang", "_b").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_len") >= int(min_chars)).alias("_p"))
     before = Window.partitionBy("_lang").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    last = passing.withColumn("_before", F.coalesce(F.sum("_p").over(before), F.lit(0))).where(
-        F.col("_before") < int(n)).groupBy(F.col("_lang").alias("_l")).agg(F.max("_b").alias("_last"))
-    needed = narrow.join(last, F.col("_lang") == F.col("_l")).where(bucket <= F.col("_last")).drop(
-        "_l", "_last")
-    ranked = bucketed_rank(needed, ["_key", "_id"], bucket, partition_by=["_lang"], out="_rank")
+    offsets = held.select(F.col("_lang").alias("_l"), F.col("_b").alias("_bucket"),
+                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                          F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_passed")
+                          ).where(F.col("_passed") < int(n))
+    in_bucket = Window.partitionBy("_lang", "_b").orderBy("_key", "_id", "_digest")
+    ranked = narrow.join(offsets, (F.col("_lang") == F.col("_l")) & (F.col("_b") == F.col("_bucket"))) \
+        .withColumn("_rank", F.col("_off") + F.row_number().over(in_bucket) - 1)
     mix_key = None
     for l in streamed:
         e = key_of(F.col("_rank"), l)
         mix_key = F.when(F.col("_lang") == l, e) if mix_key is None else mix_key.when(F.col("_lang") == l, e)
 
-    counts = narrow.agg(*[F.coalesce(F.sum(F.when(F.col("_lang") == l, 1)), F.lit(0)).cast("bigint")
-                          .alias(f"_c_{i}") for i, l in enumerate(streamed)])
+    counts = held.agg(*[F.coalesce(F.sum(F.when(F.col("_lang") == l, F.col("_n"))), F.lit(0)).cast("bigint")
+                        .alias(f"_c_{i}") for i, l in enumerate(streamed)])
     end_key = counts.select(F.least(*[key_of(F.col(f"_c_{i}"), l) for i, l in enumerate(streamed)])
                             if len(streamed) > 1 else key_of(F.col("_c_0"), streamed[0])).scalar()
 
     kept = (ranked.withColumn("mix_key", mix_key)
             .where((F.col("mix_key") < end_key) & (F.col("_len") >= int(min_chars)))
-            .select("_id", "_lang", "_rank", "mix_key")
+            .select("_id", "_lang", "_digest", "_rank", "mix_key")
             .orderBy("mix_key").limit(int(n)))
     kept = kept.withColumn("seq", F.row_number().over(Window.orderBy("mix_key")) - 1)
     out = kept.select(F.col("seq").cast("bigint").alias("seq"), F.col("_id").alias(id_col),
                       F.col("_lang").alias(lang_col),
                       F.concat(F.lit(source_prefix), F.col("_lang")).alias("source"),
-                      F.col("mix_key"), F.col("_rank").alias("lang_rank"))
-    if with_text:
-        # kept has at most n rows (the quota); Spark checks whether it is broadcast
-        raw = docs.select(F.col(id_col), F.col(text_col).alias("_raw"))
-        out = raw.join(out, id_col, "inner")
-        out = out.select("seq", id_col, lang_col, "source", "mix_key", "lang_rank",
-                         normalize_text("_raw", max_chars).alias("text"))
-    return out
+                      F.col("mix_key"), F.col("_rank").alias("lang_rank"), "_digest")
+    if not with_text:
+        return out.drop("_digest")
+    # kept has at most n rows (the quota); Spark checks whether it is broadcast.
+    # Rows with the same id and text are one text, whichever of them is kept
+    wanted = out.select(F.col(id_col).alias("_id"), F.col("_digest").alias("_d")).distinct()
+    raw = docs.select(F.col(id_col).alias("_rid"), F.col(text_col).alias("_raw"), digest.alias("_rd"))
+    texts = raw.join(wanted, F.col("_rid").eqNullSafe(F.col("_id")) & (F.col("_rd") == F.col("_d"))) \
+        .groupBy("_rid", "_rd").agg(F.first("_raw").alias("_raw"))
+    out = out.join(texts, F.col(id_col).eqNullSafe(F.col("_rid")) & (F.col("_digest") == F.col("_rd")))
+    return out.select("seq", id_col, lang_col, "source", "mix_key", "lang_rank",
+                      normalize_text("_raw", max_chars).alias("text"))
 
 
 def ratio_interleave(images: DataFrame, texts: DataFrame, n: int, *,

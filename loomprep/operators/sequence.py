@@ -116,7 +116,8 @@ def sequence_positions(tokens: DataFrame, grids: DataFrame, merge: int = MERGE_S
     # columns are added in a few batches (withColumns): each batch is one
     # analysis of the plan instead of one per column
     t = t.withColumns({"_i": F.sum(F.when(m, 1).otherwise(0)).over(run) - 1,
-                       "_prev": F.lag(F.when(m, F.col("token_id"))).over(w)})
+                       "_prev": F.last(F.when(m, F.col("token_id")), ignorenulls=True).over(
+                           w.rowsBetween(Window.unboundedPreceding, -1))})
     is_img = m & (F.col("_prev") == start_id) & (F.col("token_id") == image_id)
     is_vid = m & (F.col("_prev") == start_id) & (F.col("token_id") == video_id)
     t = t.withColumns({"_img_ord": F.sum(F.when(is_img, 1).otherwise(0)).over(run) - 1,

@@ -8,7 +8,8 @@ from ..functions import text as T
 from ..functions.constants import (EN_IMAGE_PROMPTS, SEED, SYSTEM_PROMPT_EN,
                                    SYSTEM_PROMPT_ZH, ZH_IMAGE_PROMPTS)
 from ..operators import messages as M
-from ..sources.captioned import ITEM_STRIDE, PAGE_STRIDE, captioned_images, scan_optional_columns
+from ..sources.captioned import (ITEM_STRIDE, PAGE_STRIDE, captioned_images, item_key,
+                                 scan_optional_columns)
 from ..sources.tables import table
 from .registry import register
 from .sql import cjk, collapse, q, strip, words
@@ -60,6 +61,12 @@ def _conv_messages(spark, sf):
     return M.conversation_messages(table(spark, sf, "conversations"))
 
 
+def _item_bounds(spark, sf):
+    """The item_id of every captioned row, straight from the scan (for rank buckets)."""
+    turns = table(spark, sf, "conversations").where(F.col("role") == "assistant")
+    return turns.select(item_key().alias("item_id"))
+
+
 def _captioned(spark, sf):
     return captioned_images(table(spark, sf, "conversations"), table(spark, sf, "pages"))
 
@@ -166,7 +173,7 @@ WITH {CAPTIONED_CTE.strip()}
 SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS valid_rank FROM cp
 WHERE has_image AND caption <> ''""")
 def valid_rank(spark, sf):
-    s = M.image_samples(_captioned(spark, sf), use_assistant=True)
+    s = M.image_samples(_captioned(spark, sf), bounds=_item_bounds(spark, sf), use_assistant=True)
     return s.select("item_id", "valid_rank")
 
 
@@ -177,7 +184,7 @@ SELECT item_id, CASE WHEN coalesce({collapse('question')}, '') <> '' THEN {colla
                      ELSE {_lst(ZH_IMAGE_PROMPTS)}[rk % {len(ZH_IMAGE_PROMPTS)} + 1] END AS prompt
 FROM v""")
 def prompt_assign(spark, sf):
-    s = M.image_samples(_captioned(spark, sf), mode="source", use_assistant=False)
+    s = M.image_samples(_captioned(spark, sf), bounds=_item_bounds(spark, sf), mode="source", use_assistant=False)
     return s.select("item_id", "prompt")
 
 
@@ -196,7 +203,7 @@ SELECT item_id, CAST(CASE WHEN with_assistant THEN 3 ELSE 2 END AS INTEGER) AS n
        CASE WHEN with_assistant THEN caption END AS assistant_text
 FROM m""")
 def build_messages(spark, sf):
-    s = M.image_samples(_captioned(spark, sf), mode="mixed", use_assistant=True,
+    s = M.image_samples(_captioned(spark, sf), bounds=_item_bounds(spark, sf), mode="mixed", use_assistant=True,
                         require_lang_match=True)
     asst = F.get(F.filter("messages", lambda x: x["role"] == "assistant"), 0)
     return s.select("item_id", *_flat(), "prompt", asst["content"][0]["text"].alias("assistant_text"))

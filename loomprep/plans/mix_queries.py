@@ -14,7 +14,7 @@ from ..operators import prepare as P
 from ..operators.sampling import bottomk_sample, ratio_interleave
 from ..session import materialize
 from ..sources.tables import table
-from .message_queries import CAPTIONED_CTE, _captioned, _lst
+from .message_queries import CAPTIONED_CTE, _captioned, _item_bounds, _lst
 from .registry import register
 from .sequence_queries import ids_md5
 from .sql import cjk, hashed_id, md5key, norm, q, words
@@ -61,8 +61,7 @@ def mix_ctes() -> str:
     """CTEs ending in ``mix(mix_seq, source, item_id, text, lang)``."""
     return f"""{rr_ctes(NUM_TEXT_CALIB).strip()},
 tx AS (SELECT row_number() OVER (ORDER BY mix_key) - 1 AS seq, kept.doc_id AS item_id,
-              '{TEXT_SOURCE_PREFIX}' || kept.lang AS source, {norm('documents.text')} AS text
-       FROM kept JOIN documents ON documents.doc_id = kept.doc_id),
+              '{TEXT_SOURCE_PREFIX}' || kept.lang AS source, {norm('raw')} AS text FROM kept),
 it AS (SELECT least({NUM_CALIB} - g, {NUM_IMAGE_CALIB + NUM_TEXT_CALIB} - g) AS image_target
        FROM (SELECT count(*) AS g FROM tx)),
 {CAPTIONED_CTE.strip()},
@@ -84,7 +83,7 @@ def _mix(spark, sf):
     return C.calibration_mix(table(spark, sf, "documents"), _captioned(spark, sf), NUM_CALIB,
                              text_quota=NUM_TEXT_CALIB, image_quota=NUM_IMAGE_CALIB,
                              pattern=MIX_PATTERN, seeds={"en": TEXT_SEEDS["en"]}, seed=SEED,
-                             spread_rows=True)
+                             spread_rows=True, image_bounds=_item_bounds(spark, sf))
 
 
 @register("calibration_mix", f"""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import (CHUNK_LEN, CONTEXT_LEN, IMAGE_PAD_ID, PREFILL_LEN, VIDEO_PAD_ID,
                                    VISION_END_ID, VISION_START_ID)
 from ..operators import prepare as P
+from ..operators import row_positions as R
 from ..operators import sequence as Q
 from ..sources import tokens as K
 from ..sources.tables import table
@@ -69,7 +71,7 @@ def _mm(spark, sf):
     return K.mm_sequences(conv, _vocab(spark, sf)), K.vision_grids(conv)
 
 
-@register("sequence_positions", f"""
+POSITIONS = f"""
 WITH {SEQS},
 lg AS (SELECT *, lag(token_id) OVER (PARTITION BY sample_id ORDER BY pos) AS prev FROM tk),
 bl AS (SELECT *, coalesce(prev = {VISION_START_ID} AND token_id = {IMAGE_PAD_ID}, false) AS is_img,
@@ -99,10 +101,66 @@ SELECT sample_id, pos, token_id, pos_t, pos_h, pos_w,
        CAST(max(greatest(pos_t, pos_h, pos_w)) OVER (PARTITION BY sample_id) + 1
             - count(*) OVER (PARTITION BY sample_id) AS BIGINT) AS delta,
        CAST(NULL AS VARCHAR) AS status
-FROM p""")
+FROM p"""
+
+
+def _position_rows(d):
+    return R.position_rows(d).select("sample_id", "pos", "token_id", *R.AXES, "delta", "status")
+
+
+@register("sequence_positions", POSITIONS)
 def sequence_positions(spark, sf):
-    seqs, grids = _mm(spark, sf)
-    return Q.sequence_positions(K.token_rows(seqs), grids)
+    """The sequences arrive as arrays with their grids: positions of the row, no shuffle."""
+    conv = table(spark, sf, "conversations", spread_small=True)
+    return _position_rows(R.positions_on_rows(K.mm_rows(conv, _vocab(spark, sf))))
+
+
+BATCH_TURNS = 8
+BATCH = f"{{0}} // {S} AS c, {{0}} % {S} // {BATCH_TURNS} AS b"
+ONE_BATCH = f"PARTITION BY sample_id // {S}, sample_id % {S} // {BATCH_TURNS}"
+
+
+@register("batch_grid_positions", POSITIONS
+          .replace("PARTITION BY sample_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),",
+                   f"{ONE_BATCH} ORDER BY sample_id, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),")
+          .replace("SELECT sample_id, 'image' AS modality, 0 AS ordinal, 1 AS t, hh, ww FROM base WHERE has_img",
+                   f"SELECT {BATCH.format('sample_id')}, 'image' AS modality, row_number() OVER ({ONE_BATCH} "
+                   "ORDER BY sample_id) - 1 AS ordinal, 1 AS t, hh, ww FROM base WHERE has_img")
+          .replace("SELECT sample_id, 'video', 0, 1, hh, ww FROM base WHERE has_vid\n      UNION ALL "
+                   "SELECT sample_id, 'video', 1, 1, hh, ww FROM base WHERE has_vid",
+                   f"SELECT {BATCH.format('sample_id')}, 'video', row_number() OVER ({ONE_BATCH} "
+                   "ORDER BY sample_id, part) - 1, 1, hh, ww "
+                   "FROM base, (SELECT unnest([0, 1]) AS part) WHERE has_vid")
+          .replace("g.sample_id = bo.sample_id", f"g.c = bo.sample_id // {S} AND g.b = bo.sample_id % {S} // {BATCH_TURNS}"))
+def batch_grid_positions(spark, sf):
+    """Eight turns of a conversation are a batch whose grids come as two flat lists, without
+    the sample they belong to: each sample takes its own by the counts before it."""
+    rows = K.mm_rows(table(spark, sf, "conversations", spread_small=True), _vocab(spark, sf))
+    batch = (F.col("conv_id") * F.lit(S) + F.floor(F.col("turn") / BATCH_TURNS)).alias("batch_id")
+
+    def flat(column):
+        g = rows.where(F.col(column).isNotNull()).select(batch, "turn", F.explode(column).alias("g"))
+        nth = F.row_number().over(Window.partitionBy("batch_id").orderBy("turn")) - 1
+        return g.select("batch_id", nth.alias("ordinal"), "g.*")
+    samples = rows.select(batch, F.col("turn").alias("slot"), "sample_id", "input_ids")
+    dealt, _ = R.batch_grids(samples, flat("image_grids"), flat("video_grids"))
+    return _position_rows(R.positions_on_rows(dealt))
+
+
+@register("row_mask_positions", f"""
+WITH {BASE.strip()},
+r AS (SELECT sample_id, CAST(len(ws) % 5 AS INTEGER) AS n_pad, CAST(len(ws) AS INTEGER) AS n FROM base),
+u AS (SELECT *, CAST(unnest(range(n_pad + n)) AS INTEGER) AS pos FROM r)
+SELECT sample_id, pos, CAST(CASE WHEN pos < n_pad THEN 1 ELSE pos - n_pad END AS BIGINT) AS position,
+       CAST(greatest(n - 1, CASE WHEN n_pad > 0 THEN 1 ELSE 0 END) + 1 - n_pad - n AS BIGINT) AS delta FROM u""")
+def row_mask_positions(spark, sf):
+    """Left-padded masks on the row (as many pads as words modulo 5)."""
+    t = K.text_sequences(table(spark, sf, "conversations"), _vocab(spark, sf))
+    ones = F.transform("input_ids", lambda _: F.lit(1))
+    mask = F.concat(F.array_repeat(F.lit(0), F.size("input_ids") % 5), ones)
+    d = R.mask_positions_on_rows(t.select("sample_id", mask.alias("attention_mask")))
+    return d.select("sample_id", F.posexplode_outer("positions").alias("pos", "position"), "delta").where(
+        "pos is not null")
 
 
 @register("visual_mask", f"""

@@ -66,15 +66,15 @@ d AS (
   SELECT doc_id, lang,
          md5(concat_ws(':', CASE WHEN lang = 'en' THEN '{en_seed}' ELSE '{other}' END,
                        CAST(doc_id AS VARCHAR))) AS k,
-         length({norm('text')}) AS len
+         length({norm('text')}) AS len, text AS raw
   FROM documents WHERE lang IN ('en', 'fr')),
-r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY k, doc_id) - 1 AS rk FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY k, doc_id, coalesce(md5(raw), '')) - 1 AS rk FROM d),
 c AS (SELECT count(*) FILTER (WHERE lang = 'en') AS c_en,
              count(*) FILTER (WHERE lang = 'fr') AS c_fr FROM d),
 e AS (SELECT least((c_en // 2) * 3 + CASE WHEN c_en % 2 = 0 THEN 0 ELSE 2 END,
                    c_fr * 3 + 1) AS end_key FROM c),
 keyed AS (
-  SELECT doc_id, lang, rk, len,
+  SELECT doc_id, lang, rk, len, raw,
          CASE WHEN lang = 'en' THEN (rk // 2) * 3 + CASE WHEN rk % 2 = 0 THEN 0 ELSE 2 END
               ELSE rk * 3 + 1 END AS mix_key
   FROM r),
@@ -85,9 +85,9 @@ kept AS (
 
 def _rr_sql(n: int) -> str:
     return f"""WITH {rr_ctes(n).strip()}
-SELECT CAST(row_number() OVER (ORDER BY mix_key) - 1 AS BIGINT) AS seq, kept.doc_id, kept.lang,
-       '{TEXT_SOURCE_PREFIX}' || kept.lang AS source, mix_key, rk AS lang_rank, {norm('documents.text')} AS text
-FROM kept JOIN documents ON documents.doc_id = kept.doc_id"""
+SELECT CAST(row_number() OVER (ORDER BY mix_key) - 1 AS BIGINT) AS seq, doc_id, lang,
+       '{TEXT_SOURCE_PREFIX}' || lang AS source, mix_key, rk AS lang_rank, {norm('raw')} AS text
+FROM kept"""
 
 
 @register("round_robin_mix", _rr_sql(NUM_CALIB))

@@ -27,12 +27,17 @@ def scan_optional_columns(df: DataFrame, wanted: Sequence[str] = WANTED) -> Data
     return df.select(*[c for c in wanted if c in df.columns])
 
 
+def item_key() -> Column:
+    """``(conv_id, turn)`` packed into one long."""
+    return (F.col("conv_id") * F.lit(ITEM_STRIDE) + F.col("turn")).cast("bigint")
+
+
 def captioned_images(conversations: DataFrame, pages: DataFrame) -> DataFrame:
     """Captioned-image rows derived from ``conversations`` and ``pages`` (see module doc)."""
     a = conversations.where(F.col("role") == "assistant").select("conv_id", "turn", "text")
     prev = conversations.select("conv_id", (F.col("turn") + 1).alias("turn"),
                                 F.col("role").alias("prev_role"), F.col("text").alias("prev_text"))
-    item_id = (F.col("conv_id") * F.lit(ITEM_STRIDE) + F.col("turn")).cast("bigint")
+    item_id = item_key()
     page_id = (F.col("conv_id") * PAGE_STRIDE + F.col("turn")).cast("bigint")
     rows = (a.join(prev, ["conv_id", "turn"], "left")
             .select(item_id.alias("item_id"), page_id.alias("_page"), "conv_id", "turn",

@@ -75,9 +75,11 @@ def _grid_hw(conversations_cols=None):
     return h, w
 
 
-def mm_sequences(conversations: DataFrame, vocab: int = VOCAB, fps: float = 2.0) -> DataFrame:
+def mm_sequences(conversations: DataFrame, vocab: int = VOCAB, fps: float = 2.0, keep: tuple = (),
+                 more: dict | None = None) -> DataFrame:
     """(sample_id, input_ids): ``[image run] + words + [video runs]`` with
-    the grids of :func:`vision_grids` (row-level, no grouping)."""
+    the grids of :func:`vision_grids` (row-level, no grouping); ``keep``, ``more``: columns
+    kept and added."""
     from ..operators.sequence import media_tokens
     h, w = _grid_hw()
     user = F.col("role") == "user"
@@ -87,4 +89,15 @@ def mm_sequences(conversations: DataFrame, vocab: int = VOCAB, fps: float = 2.0)
                    word_ids("text", vocab),
                    F.when(video, media_tokens(F.lit("video"), F.lit(2), h, w, F.lit(fps), vocab=vocab))
                    .otherwise(empty))
-    return conversations.select(sample_id().alias("sample_id"), ids.alias("input_ids"))
+    return conversations.select(*keep, sample_id().alias("sample_id"), ids.alias("input_ids"),
+                                *[c.alias(n) for n, c in (more or {}).items()])
+
+
+def mm_rows(conversations: DataFrame, vocab: int = VOCAB, fps: float = 2.0) -> DataFrame:
+    """(conv_id, turn, sample_id, input_ids, image_grids, video_grids): the sequences of
+    :func:`mm_sequences` with each sample's grids on its own row."""
+    h, w = _grid_hw()
+    user = F.col("role") == "user"
+    grid = lambda t: F.array(F.struct(F.lit(t).alias("t"), h.alias("h"), w.alias("w")))
+    return mm_sequences(conversations, vocab, fps, keep=("conv_id", "turn"), more={
+        "image_grids": F.when(user, grid(1)), "video_grids": F.when(user & (F.col("turn") >= 2), grid(2))})
