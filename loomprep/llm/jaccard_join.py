@@ -64,7 +64,7 @@ def shingle_sets(texts: list, n: int) -> list[np.ndarray]:
     out = []
     for a, b in chunks(texts):
         w = Words(texts[a:b])
-        h = w.hashes()
+        h = w.digests()
         g = grams(h, n)
         for lo, hi in zip(w.first[:-1].tolist(), w.first[1:].tolist()):
             if hi - lo >= n:

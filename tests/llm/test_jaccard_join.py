@@ -129,3 +129,14 @@ def test_components(spark):
             label[a] = label[b] = min(label[a], label[b])
     assert got == label
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_words_that_collide_in_a_polynomial_hash_stay_apart(spark):
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    rows = [(1, f"one two three four {a}"), (2, f"one two three four {b}"), (3, f"one two three four {a}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    from loomprep.llm import jaccard_join as J
+    got = {r.doc_id: (r.class_id, r.n_links, r.copy_of) for r in J.jaccard_join(df).collect()}
+    assert got[1][0] == got[3][0] == 1 and got[2] == (2, 0, 2)
