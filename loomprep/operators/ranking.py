@@ -56,7 +56,7 @@ def hash_bucket(hash_col: str, digits: int = 3) -> Column:
 SIDE = 40               # range_bucket uses SIDE * SIDE quantile ranges
 
 
-def range_bucket(df: DataFrame, id_col: str, side: int = SIDE) -> Column:
+def range_bucket(df: DataFrame, id_col: str, side: int = SIDE, key: Column | None = None) -> Column:
     """Ordered bucket for a numeric key: ``side * side`` ranges between the
     key's approximate quantiles over ``df``, so outlying or clustered keys fill
     the buckets evenly.  Any ``df`` that is distributed like the ranked rows
@@ -64,11 +64,11 @@ def range_bucket(df: DataFrame, id_col: str, side: int = SIDE) -> Column:
     aggregate over the keys, run when the query is built, and become one array
     literal that each row searches by halving; their number, and with it the
     offset table, stays fixed however large the input grows.  A null key has the
-    bucket null."""
+    bucket null.  ``key``: what to search for, if not the column ``id_col``."""
     n = side * side
     fractions = ",".join(f"{k / n!r}D" for k in range(1, n))
     points = df.agg(F.expr(f"percentile_approx(`{id_col}`, array({fractions}), {5 * n})")).first()[0]
-    k = F.col(id_col)
+    k = F.col(id_col) if key is None else key
     if not points:
         return F.when(k.isNotNull(), F.lit(0))
     if isinstance(points[0], (int, float)):                 # one parsed expression instead of n literals

@@ -275,8 +275,38 @@ def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
     return counts.where(F.col("_n") >= total * float(fraction)).select(key)
 
 
+TRACKED = 4096           # ids that the frequency sketch tracks
+
+
+def frequent_ways(tokens: DataFrame, key: str, ways: int) -> DataFrame:
+    """(_hot, _ways): how many ways the rows of each frequent key are to be split so that
+    no part holds more than one ``ways``-th of all rows.
+
+    One pass of a frequent-items sketch (its error is at most some rows in ``TRACKED``);
+    a key that needs splitting holds a ``ways``-th of the rows, so there are at most
+    ``ways`` of them and the result may be broadcast."""
+    top = tokens.agg(F.expr(f"approx_top_k(`{key}`, {int(ways)}, {max(TRACKED, 4 * int(ways))})").alias("k"),
+                     F.count(F.lit(1)).alias("n"))
+    each = top.select("n", F.explode("k").alias("k")).where("k.item is not null")
+    return each.select(F.col("k.item").alias("_hot"),
+                       F.ceil(F.col("k.count") * int(ways) / F.col("n")).cast("int").alias("_ways")).where("_ways > 1")
+
+
+def _split_frequent(tokens: DataFrame, v: DataFrame, ways: int) -> DataFrame:
+    """The gather's join with each frequent id split (and its vector copied) as often as
+    its share of the rows asks for."""
+    hot = frequent_ways(tokens, "token_id", ways)                       # at most ``ways`` rows
+    t = tokens.join(F.broadcast(hot), tokens["token_id"] == F.col("_hot"), "left")
+    part = F.pmod(F.xxhash64("sample_id", "pos"), F.col("_ways")).cast("int")
+    t = t.withColumn("_part", F.coalesce(part, F.lit(0))).drop("_hot", "_ways")
+    h = F.broadcast(hot.select(F.col("_hot").alias("_h"), F.col("_ways").alias("_w")))
+    v = v.join(h, v["_vid"] == F.col("_h"), "left").select(
+        "_vid", "embedding", F.explode(F.sequence(F.lit(0), F.coalesce("_w", F.lit(1)) - 1)).alias("_vpart"))
+    return t.join(v, (t["token_id"] == v["_vid"]) & (t["_part"] == v["_vpart"]), "left").drop("_part", "_vpart")
+
+
 def embedding_gather(tokens: DataFrame, vectors: DataFrame, id_col: str = "vec_id",
-                     vec_col: str = "embedding", salt: int = 1,
+                     vec_col: str = "embedding", salt: int | str = 1,
                      hot_fraction: float | None = None) -> DataFrame:
     """``take(vectors, token_ids)``: equi-join on ``token_id = vec_id`` (a
     left join; unknown ids get ``status = 'unknown_id'`` instead of failing).
@@ -288,9 +318,14 @@ def embedding_gather(tokens: DataFrame, vectors: DataFrame, id_col: str = "vec_i
     every id when ``hot_fraction`` is None, otherwise only the ids holding at
     least ``hot_fraction`` of the token rows (found by a partial aggregation;
     at most ``1/hot_fraction`` ids, broadcast), so only hot vectors are
-    replicated."""
+    replicated.  ``salt="auto"`` finds the frequent ids by a sketch and splits each by
+    its share of the rows, four ways for every shuffle partition it would fill; the
+    tokens are scanned once more for the sketch."""
     v = vectors.select(F.col(id_col).alias("_vid"), F.col(vec_col).alias("embedding"))
-    if salt > 1:
+    if salt == "auto":
+        partitions = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        j = _split_frequent(tokens, v, 4 * partitions)
+    elif salt > 1:
         ways = F.sequence(F.lit(0), F.lit(salt - 1))
         t = tokens
         if hot_fraction is None:

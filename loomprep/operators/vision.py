@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import (IMAGE_MAX_PIXELS, IMAGE_MIN_PIXELS, MERGE_SIZE, PATCH_SIZE,
                                    PIXEL_MEAN, PIXEL_STD, TEMPORAL_PATCH)
-from .ranking import bucketed_rank
+from .ranking import bucketed_rank, range_bucket
 
 
 def _c(x) -> Column:
@@ -121,14 +121,23 @@ def patch_vectors(patches: DataFrame, key: str) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("elem", "c", "v"))), lambda s: s["v"]).alias("values"))
 
 
+def _order_bucket(frames: DataFrame, order: str) -> Column:
+    kind = frames.schema[order].dataType.typeName()
+    if kind not in ("timestamp", "timestamp_ntz", "date"):
+        return range_bucket(frames, order)
+    whole = F.unix_micros(F.col(order).cast("timestamp"))
+    return range_bucket(frames.select(whole.alias("_at")), "_at", key=whole)
+
+
 def temporal_groups(frames: DataFrame, video: str, order: list[str], temporal: int = TEMPORAL_PATCH,
                     bucket: Column | None = None) -> DataFrame:
     """Ordered frames of each video -> ``frame_idx``, temporal group
     ``frame_idx div tp`` and slot; the last group is filled by repeating the
     last frame (``(-frames) mod tp`` copies, flagged ``is_pad``).  The frame
-    rank uses buckets (by default the hour of the first order column), so a
-    very long video is ranked by many tasks."""
-    b = bucket if bucket is not None else F.date_trunc("hour", F.col(order[0]))
+    rank uses buckets (by default quantile ranges of the first order column, a
+    number or a time), so a very long video, or one with most of its frames in a
+    short time, is ranked by many tasks."""
+    b = bucket if bucket is not None else _order_bucket(frames, order[0])
     r = bucketed_rank(frames, order, b, partition_by=[video], out="frame_idx")
     counts = frames.groupBy(F.col(video).alias("_video")).agg(F.count(F.lit(1)).alias("_n"))
     r = r.join(counts, F.col(video).eqNullSafe(F.col("_video"))).drop("_video")

@@ -297,18 +297,31 @@ tt AS (SELECT sample_id, CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS pos,
               {hashed_id('unnest(ws)', V)} AS token_id FROM tw)"""
 
 
-@register("embedding_gather", f"""
+GATHER = f"""
 WITH {TEXT_TOK.strip()}
 SELECT sample_id, pos, token_id, {ESUM.format('e.embedding')} AS emb_sum,
        CASE WHEN e.vec_id IS NULL THEN 'unknown_id' END AS status
-FROM tt LEFT JOIN embeddings e ON e.vec_id = tt.token_id""")
-def embedding_gather(spark, sf):
+FROM tt LEFT JOIN embeddings e ON e.vec_id = tt.token_id"""
+
+
+def _gather(spark, sf, vectors, **how):
     toks = K.token_rows(K.text_sequences(table(spark, sf, "conversations", spread_small=True),
                                           _vocab(spark, sf)))
-    g = Q.embedding_gather(toks, table(spark, sf, "embeddings"))
+    g = Q.embedding_gather(toks, vectors, **how)
     return g.select("sample_id", "pos", "token_id", _esum(F.col("embedding")).alias("emb_sum"), "status")
 
 
+@register("embedding_gather", GATHER)
+def embedding_gather(spark, sf):
+    return _gather(spark, sf, table(spark, sf, "embeddings"))
+
+
+@register("embedding_gather_split", GATHER)
+def embedding_gather_split(spark, sf):
+    """As for a vector table too large to broadcast: a shuffled join, frequent ids split."""
+    return _gather(spark, sf, table(spark, sf, "embeddings").hint("shuffle_hash"), salt="auto")
+
+
 def _vision_vectors(spark, sf, seqs, layer: int):
     """Vision rows (sample_id, vis_idx, embedding) derived from embeddings:
     the k-th visual slot of a sample takes vector ``(7*sample + k + 100*layer)
