@@ -24,7 +24,7 @@ import pyarrow as pa
 from .hashing import Words, chunks, distinct_ranges
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_PARTS = 400_000    # distinct parts in each of the two generations a worker remembers
+CACHE_PARTS = 200_000    # distinct parts in each of the two generations a worker remembers
 JOINED = 512             # new parts encoded as one text
 
 _SPACE, _LETTER, _DIGIT, _MARK, _OTHER = range(5)
