@@ -26,6 +26,7 @@ from .sql import cjk, md5key, norm
 
 K, QUOTA = 50, 150
 BUFFER, LANGUAGES = 64, ("en", "fr", "de", "es")
+BATCH_BYTES = 64 << 20
 
 
 def _stream(spark, sf):
@@ -84,10 +85,11 @@ r AS (SELECT doc_id, lang, row_number() OVER (
         PARTITION BY lang ORDER BY block, {md5key(SEED, 'doc_id')}, doc_id) - 1 AS arrival_index FROM idx)
 SELECT doc_id, lang, arrival_index FROM r WHERE arrival_index < {QUOTA}""")
 def stream_shuffle_buffer(spark, sf):
-    """Each language's first QUOTA clean texts in the order of its shuffle buffer;
-    files are read one at a time until every language has them."""
+    """Each language's first QUOTA clean texts in the order of its shuffle buffer; files
+    are read some BATCH_BYTES at a time until every language has them."""
     schema = table(spark, sf, "documents").schema
-    docs = ST.text_stream(spark, f"{sf.rstrip('/')}/documents.parque[t]", schema, max_files_per_trigger=1)
+    docs = ST.text_stream(spark, f"{sf.rstrip('/')}/documents.parque[t]", schema,
+                          max_bytes_per_trigger=BATCH_BYTES)
     rows, _ = SB.shuffled_until_quota(
         spark, ST.clean_texts(docs).select("doc_id", "lang"), "lang", "doc_id", arrival=["doc_id"],
         buffer=BUFFER, quota=QUOTA, keys=LANGUAGES)

@@ -35,9 +35,12 @@ def clean_texts(df: DataFrame, text: str = "text", lang: str = "lang", min_chars
                     text_sample_messages("text_norm").alias("messages"))
 
 
-def text_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A parquet ``readStream`` with a fixed schema (optionally files per trigger)."""
+def text_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """A parquet ``readStream`` with a fixed schema (optionally files or bytes per trigger)."""
     r = spark.readStream.schema(schema)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return r.parquet(path)
