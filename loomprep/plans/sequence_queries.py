@@ -110,6 +110,13 @@ def _position_rows(d):
 
 @register("sequence_positions", POSITIONS)
 def sequence_positions(spark, sf):
+    """Token rows and grid rows, as they come from other operators."""
+    seqs, grids = _mm(spark, sf)
+    return Q.sequence_positions(K.token_rows(seqs), grids)
+
+
+@register("row_positions", POSITIONS)
+def row_positions(spark, sf):
     """The sequences arrive as arrays with their grids: positions of the row, no shuffle."""
     conv = table(spark, sf, "conversations", spread_small=True)
     return _position_rows(R.positions_on_rows(K.mm_rows(conv, _vocab(spark, sf))))

@@ -6,14 +6,12 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from loomprep.operators import calibration as C
 from loomprep.operators import ranking as R
 from loomprep.operators import sampling as S
 from loomprep.operators import sequence as Q
 from loomprep.operators import vision as Z
 from loomprep.plans import text_queries as T
 from loomprep.plans.compare import compare
-from loomprep.sources.captioned import normalize_captioned
 
 
 def test_round_robin_takes_each_row_once(spark):
@@ -42,16 +40,6 @@ def test_repeated_and_null_ids_match_the_sql(spark, tmp_path):
     assert r["match"] and r["spark_rows"] > 30, r
 
 
-def test_sampled_images_take_each_row_once(spark):
-    image = "struct<bytes:binary,path:string>"
-    rows = [(1, "q1", ["a"], (b"x", None)), (1, "q2", ["b"], (b"x", None)), (1, "q3", ["c"], (b"", None)),
-            (None, "q4", ["d"], (b"x", None)), (None, "q5", ["e"], (b"x", None)), (2, "q6", ["f"], None)]
-    df = normalize_captioned(spark.createDataFrame(
-        rows, f"item_id long, question string, answer array<string>, image {image}"))
-    got = C.sampled_images(df, 10, 10, mode="source").collect()
-    assert Counter(r.text for r in got) == Counter(["q1", "q2", "q4", "q5"])
-
-
 def test_frequent_ids_are_split_by_their_share(spark):
     n = 60_000
     tokens = spark.range(n).select(F.col("id").alias("sample_id"), F.lit(0).alias("pos"), F.when(
