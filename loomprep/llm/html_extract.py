@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from functools import lru_cache
 from math import log
 
 import pyarrow as pa
@@ -70,65 +71,163 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
         "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
         "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"})}
 
-_MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>|<[!?/][^>]*(?:>|\Z)"""
-    r"""|<[a-zA-Z][^>]*\Z""", re.S)
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_TAG_STOP = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"[ \t\n\r\f\v\x1c-\x1f\x85\xa0  -     　]+")
 _NAME = re.compile(r"[a-z]+")
+_ZEROS, _HUGE = re.compile("&#0+(?=[0-9])"), re.compile("&#[0-9]{8,};?")
+
+
+class Scanner:
+    """Markup of a source from left to right, in linear time.
+
+    A tag ends at the first ``>`` outside quotes.  Where a quote is never closed
+    there is no tag, and its ``<`` is text; such quotes are remembered, so that
+    no later tag runs into them again."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = source.rfind(">")
+        self.open_quotes: set[int] = set()      # quotes from which no tag end is reached
+        self.free = (0, 0)                      # a stretch without > and quotes
+
+    def _stop(self, at: int) -> int:
+        """Place of the next > or quote; the length of the source if there is none."""
+        lo, hi = self.free
+        if not lo <= at <= hi:
+            m = _TAG_STOP.search(self.source, at)
+            lo, hi = self.free = at, m.start() if m else len(self.source)
+        return hi
+
+    def _tag_end(self, at: int) -> int:
+        """Place of the > that ends a tag whose attributes start at ``at``, or -1."""
+        source, passed = self.source, []
+        k = self._stop(at)
+        while k < len(source) and k not in self.open_quotes:
+            if source[k] == ">":
+                return k
+            passed.append(k)
+            close = source.find(source[k], k + 1)
+            m = _TAG_STOP.search(source, close + 1) if close >= 0 else None
+            if m is None:
+                break
+            k = m.start()
+        self.open_quotes.update(passed)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """The next markup: start, end, tag ('' for comments and the like), whether it
+        closes, attributes."""
+        source = self.source
+        while (start := source.find("<", at)) >= 0:
+            at = start + 1
+            if source.startswith("!--", at):
+                end = source.find("-->", at + 3)
+                return start, len(source) if end < 0 else end + 3, "", False, ""
+            closes = source.startswith("/", at)
+            name = _TAG_NAME.match(source, at + closes)
+            if name:
+                end = self._tag_end(name.end())
+                if end >= 0:
+                    return start, end + 1, name[0].lower(), closes, source[name.end():end]
+            if source[at:at + 1] in ("!", "?", "/") or name and start > self.last:
+                end = source.find(">", at + 1)
+                return start, len(source) if end < 0 or start > self.last else end + 1, "", False, ""
+        return None
+
+
+def decoded(text: str) -> str:
+    """Text with its character references decoded, however long their numbers."""
+    if "&#" in text:
+        text = _HUGE.sub("\ufffd", _ZEROS.sub("&#", text))
+    return html_lib.unescape(text)
+
+
+@lru_cache(maxsize=20_000)
+def _traits(tag: str, attributes: str) -> tuple[int, bool, bool, bool, str]:
+    """What an element says by itself: its rank as main part, whether part of a name
+    marks one, whether it is dropped, whether a name drops it, its style."""
+    found: dict = {}
+    if attributes and not attributes.isspace():
+        for m in _ATTRIBUTE.finditer(attributes):
+            found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    kind, name = found.get("class", ""), found.get("id", "")
+    names = [_NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", n).lower())
+             for n in f"{kind} {name}".split()]
+    role = found.get("role", "").lower()
+    main = 0
+    if tag == "article" or role == "article":
+        main = 3
+    elif tag == "main" or role == "main":
+        main = 2
+    elif any(len(n) == 1 and n[0] in MAIN_NAMES or "".join(n) == "articlebody" for n in names):
+        main = 1
+    marked = any(w in MAIN_NAMES for n in names for w in n)
+    drop = tag in DROP_TAGS or role in DROP_ROLES or "hidden" in found
+    allowed = ("header", "related") if tag in ("article", "main") else ()
+    by_name = tag not in ("html", "body") and any(
+        w in DROP_NAMES and w not in allowed for n in names if n[:1] and not (
+            len(n) > 1 and n[0] in ABOUT) for w in n)
+    # running numbers in names do not make another node
+    kind, name = re.sub("[0-9]{3,}", "0", kind), re.sub("[0-9]+", "0", name)
+    return main, marked, drop, by_name, f"{tag} {kind}#{name}"
 
 
 class Element:
-    """An open element: its node in the style tree and what its names say."""
-
-    __slots__ = ("tag", "node", "drop", "named", "main", "marked", "children")
-
-    def __init__(self, tag: str, attributes: str, parent: Element | None):
-        found = {}
-        if attributes and not attributes.isspace():
-            for m in _ATTRIBUTE.finditer(attributes):
-                found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-        kind, name = found.get("class", ""), found.get("id", "")
-        names = [_NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", n).lower())
-                 for n in f"{kind} {name}".split()]
-        role = found.get("role", "").lower()
-        self.tag = tag
-        self.main = parent.main if parent else 0
-        if tag == "article" or role == "article":
-            self.main = 3
-        elif tag == "main" or role == "main":
-            self.main = max(self.main, 2)
-        elif any(len(n) == 1 and n[0] in MAIN_NAMES or "".join(n) == "articlebody" for n in names):
-            self.main = max(self.main, 1)
+    """An open element: its node in the style tree and what its names say.
+
+    ``block``: the nearest element, this one included, that is not inline, at place
+    ``depth`` of the open elements; ``named`` and ``marked``: the nearest element, this
+    one included, whose names say that it is dropped or the main part."""
+
+    __slots__ = ("tag", "node", "drop", "parent", "block", "depth", "named", "named_above",
+                 "main", "marked", "marked_above", "children")
+
+    def __init__(self, tag: str, attributes: str, parent: Element | None, depth: int):
+        traits = _traits if len(attributes) <= 200 else _traits.__wrapped__   # only short ones are kept
+        main, marked, drop, by_name, style = traits(tag, attributes)
+        self.tag, self.parent = tag, parent
+        if tag in INLINE:
+            self.block, self.depth = parent.block, parent.depth
+        else:
+            self.block, self.depth = self, depth
+        self.main = max(parent.main, main) if parent else 0
         # part of a name marks the main part only where most of the text stands
-        self.marked = (parent.marked if parent else ()) + (
-            (self,) if any(w in MAIN_NAMES for n in names for w in n) else ())
-        self.drop = (parent.drop if parent else False) or tag in DROP_TAGS or role in DROP_ROLES or (
-            "hidden" in found or tag == "header" and self.main < 2)
-        allowed = ("header", "related") if tag in ("article", "main") else ()
-        by_name = tag not in ("html", "body") and any(
-            w in DROP_NAMES and w not in allowed for n in names if n[:1] and not (
-                len(n) > 1 and n[0] in ABOUT) for w in n)
-        self.named = (parent.named if parent else ()) + ((self,) if by_name else ())
-        # running numbers in names do not make another node
-        kind, name = re.sub("[0-9]{3,}", "0", kind), re.sub("[0-9]+", "0", name)
-        style = f"{parent.node if parent else 0}>{tag} {kind}#{name}"
-        self.node = xxh3_64_intdigest(style) >> 1
+        self.marked_above = parent.marked if parent else None
+        self.marked = self if marked else self.marked_above
+        self.drop = bool(parent and parent.drop) or drop or tag == "header" and self.main < 2
+        self.named_above = parent.named if parent else None
+        self.named = self if by_name else self.named_above
+        self.node = xxh3_64_intdigest(f"{parent.node if parent else 0}>{style}") >> 1
         self.children: list[str] = []
 
     @property
     def apart(self) -> bool:
-        return self.drop or bool(self.named)
+        return self.drop or self.named is not None
+
+
+def _above(blocks, first: str, onward: str) -> list[Element]:
+    """The elements that blocks stand under by the links, outer ones first."""
+    known: dict = {}
+    for b in blocks:
+        chain, e = [], getattr(b[2], first)
+        while e is not None and e not in known:
+            chain.append(e)
+            e = getattr(e, onward)
+        known.update(dict.fromkeys(reversed(chain)))
+    return list(known)
 
 
 class Page:
     """Text blocks in page order, and every element of a page."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, tuple, bool, Element]] = []   # text, nodes, drop, element
+        self.blocks: list[tuple[str, bool, Element]] = []      # text, drop, innermost element
         self.elements: list[tuple[int, int, list]] = []        # node, parent's node, child tags
-        self.root = Element("#page", "", None)
+        self.root = Element("#page", "", None, 0)
         self.stack = [self.root]
+        self.open_tags: dict[str, int] = {}
         self.text: list[str] = []
         self._read(source)
         while self.stack:
@@ -137,102 +236,112 @@ class Page:
 
     def _spare(self) -> None:
         """Blocks under a dropping name go, unless what it names holds the main part."""
-        open_blocks = [b for b in self.blocks if not b[2]]
-        if any(b[3].named for b in open_blocks):
+        open_blocks = [b for b in self.blocks if not b[1]]
+        if any(b[2].named for b in open_blocks):
             total = sum(len(b[0]) for b in open_blocks)
-            plain = [(b[3].main, len(b[0])) for b in open_blocks if b[3].main >= 2 and not b[3].named]
-            held: dict = {}                     # text in all, in an article or main further in
-            for text, _, _, at in open_blocks:
-                for e in at.named:
-                    n = held.setdefault(e, [0, 0])
-                    n[0] += len(text)
-                    n[1] += len(text) if at.main > max(e.main, 1) else 0
-            spared: set = set()
-            if sum(n for _, n in plain) < SMALL * total:
-                article = any(main == 3 for main, _ in plain)
-                spared = {e for e, (n, part) in held.items()
-                          if n > MOST * total and not article or part and part >= SMALL * total}
-            self.blocks = [(t, nodes, drop or any(e not in spared for e in at.named), at)
-                           for t, nodes, drop, at in self.blocks]
+            plain = [(b[2].main, len(b[0])) for b in open_blocks if b[2].main >= 2 and not b[2].named]
+            above = _above(self.blocks, "named", "named_above")
+            held = {e: [0] * 4 for e in above}              # text by the main part that it stands in
+            for text, _, at in open_blocks:
+                if at.named:
+                    held[at.named][at.main] += len(text)
+            for e in reversed(above):
+                if e.named_above:
+                    outer = held[e.named_above]
+                    outer[:] = [x + y for x, y in zip(outer, held[e])]
+            article = any(main == 3 for main, _ in plain)
+            kept = sum(n for _, n in plain) >= SMALL * total
+            gone: dict = {}
+            for e in above:
+                n, part = sum(held[e]), sum(held[e][max(e.main, 1) + 1:])   # in all, further in
+                spared = not kept and (n > MOST * total and not article
+                                       or part and part >= SMALL * total)
+                gone[e] = not spared or gone.get(e.named_above, False)
+            self.blocks = [(t, drop or gone.get(at.named, False), at) for t, drop, at in self.blocks]
 
     def _flush(self) -> None:
         if self.text:
-            block = _SPACE.sub(" ", html_lib.unescape("".join(self.text))).strip(" ")
+            block = _SPACE.sub(" ", decoded("".join(self.text))).strip(" ")
             self.text = []
             if block:
-                own = self.stack
-                last = next(e for e in reversed(own) if e.tag not in INLINE)
-                nodes = tuple(e.node for e in own[:own.index(last) + 1])
-                self.blocks.append((block, nodes, own[-1].drop, own[-1]))
+                self.blocks.append((block, self.stack[-1].drop, self.stack[-1]))
 
     def _close(self) -> None:
         top = self.stack[-1]
         if top.tag not in INLINE or top.apart:
             self._flush()
         self.stack.pop()
+        self.open_tags[top.tag] = self.open_tags.get(top.tag, 0) - 1
         if top.tag not in INLINE:
             self.elements.append((top.node, self.stack[-1].node if self.stack else 0, top.children))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in ENDS or tag not in INLINE:
             ended, scope = ENDS.get(tag, ((), ()))
-            for k in range(len(self.stack) - 1, 0, -1):
+            while (k := self.stack[-1].depth) > 0:      # inline elements end with what holds them
                 t = self.stack[k].tag
-                if t in ended or t == "p":
-                    while len(self.stack) > k:
-                        self._close()
-                    if t != "p":
-                        break
-                elif t in scope or t not in INLINE:
+                if t not in ended and t != "p":
+                    break
+                while len(self.stack) > k:
+                    self._close()
+                if t != "p":
                     break
         if tag == "br":
             self.text.append(" ")
             return
-        element = Element(tag, attributes, self.stack[-1])
+        element = Element(tag, attributes, self.stack[-1], len(self.stack))
         if tag not in INLINE or element.apart and not self.stack[-1].apart:
             self._flush()
-            block = next(e for e in reversed(self.stack) if e.tag not in INLINE)
-            block.children.append(tag)
+            self.stack[-1].block.children.append(tag)
         if tag not in VOID:
             self.stack.append(element)
+            self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
 
     def _read(self, source: str) -> None:
-        at = 0
-        while True:
-            m = _MARKUP.search(source, at)
-            if m is None:
-                self.text.append(source[at:])
-                return
-            self.text.append(source[at:m.start()])
-            at = m.end()
-            tag = (m[2] or "").lower()
+        at, scanner = 0, Scanner(source)
+        while found := scanner.next(at):
+            start, end, tag, closes, attributes = found
+            self.text.append(source[at:start])
+            at = end
             if not tag:
                 continue
-            if m[1]:
+            if closes:
                 if tag == "br":
                     self.text.append(" ")
-                elif any(e.tag == tag for e in self.stack[1:]):
+                elif self.open_tags.get(tag):
                     while self.stack[-1].tag != tag:
                         self._close()
                     self._close()
                 continue
             if tag in RAW:
-                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(source, at)
-                at = end.end()
+                stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I).search(source, at)
+                at = stop.end()
                 if tag == "textarea" and not self.stack[-1].apart:
                     self._flush()
                 continue
-            self._open(tag, m[3])
+            self._open(tag, attributes)
+        self.text.append(source[at:])
 
     def main_text(self, low=frozenset()) -> str:
-        kept = [(t, at) for t, nodes, drop, at in self.blocks
-                if not drop and not any(n in low for n in nodes)]
+        branch: dict = {None: False}            # element: whether it is in a low branch
+        if low:
+            for e in _above(self.blocks, "block", "parent"):
+                branch[e] = branch[e.parent] or e.node in low
+        kept = [(t, at) for t, drop, at in self.blocks if not drop and not branch.get(at.block)]
         total = sum(len(t) for t, _ in kept)
-        held: dict = {}
+        above = _above(self.blocks, "marked", "marked_above")
+        held = dict.fromkeys(above, 0)
         for t, at in kept:
-            for e in at.marked:
-                held[e] = held.get(e, 0) + len(t)
-        levels = [at.main or int(any(held[e] > MOST * total for e in at.marked)) for _, at in kept]
+            if at.marked:
+                held[at.marked] += len(t)
+        for e in reversed(above):
+            if e.marked_above:
+                held[e.marked_above] += held[e]
+        # what an element holds stands in those around it too: the outermost one decides
+        most: dict = {None: False}
+        for e in above:
+            most[e] = most[e.marked_above] or held[e] > MOST * total
+        levels = [at.main or int(most[at.marked]) for _, at in kept]
         size = [sum(len(t) for (t, _), level in zip(kept, levels) if level >= k) for k in range(4)]
         # articles that hold less than what else stands in a main part are cards in it
         best = 3 if size[3] and size[3] >= max(SMALL * total, MOST * size[2]) else next(
@@ -247,14 +356,15 @@ def _observe(batches):
         rows: list[list] = [[] for _ in range(6)]
         for host, source in zip(hosts, sources):
             page = Page(source or "")
-            shown = xxh3_64_intdigest("\0".join(b[0] for b in page.blocks if not b[2])) >> 1
+            shown = xxh3_64_intdigest("\0".join(b[0] for b in page.blocks if not b[1])) >> 1
             for node, parent, children in page.elements:
                 value = xxh3_64_intdigest(" ".join(children)) >> 1
                 for column, x in zip(rows, (host, node, parent, 0, value, shown)):
                     column.append(x)
-            for text, nodes, _, _ in page.blocks:
-                parent = nodes[-2] if len(nodes) > 1 else 0
-                for column, x in zip(rows, (host, nodes[-1], parent, 1,
+            for text, _, at in page.blocks:
+                block = at.block
+                parent = block.parent.node if block.parent else 0
+                for column, x in zip(rows, (host, block.node, parent, 1,
                                             xxh3_64_intdigest(text) >> 1, shown)):
                     column.append(x)
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -115,3 +116,40 @@ def test_query_on_a_table(spark):
     for r in got:
         assert r.url == pages[r.page_id].url
         assert r.text == plain(pages[r.page_id].html) and r.n_chars == len(r.text)
+
+
+HOSTILE = {
+    "unclosed quote": lambda n: "<a " * n + '">',
+    "mixed quotes": lambda n: "<a \"' " * n + '">',
+    "unclosed inline": lambda n: "<font>" * n + "<p>ab" * n,
+    "nested adverts": lambda n: '<div class="ad">x' * n,
+    "nested main": lambda n: '<div class="main">x' * n,
+    "unclosed blocks": lambda n: "<div>x" * n,
+    "unclosed script": lambda n: "<script>" + "</script " * n,
+    "closing tags without opening": lambda n: "<div>x" * n + "</b>" * n,
+    "lone brackets": lambda n: "<" * n}
+
+
+@pytest.mark.parametrize("kind", HOSTILE)
+def test_hostile_pages_take_linear_time(kind):
+    def seconds(n):
+        source, start = HOSTILE[kind](n), time.process_time()
+        H.Page(source).main_text(frozenset([1]))
+        return time.process_time() - start
+    assert seconds(64_000) < 16 * max(seconds(8_000), 0.05)
+
+
+@pytest.mark.parametrize("source,want", [
+    ("<a <b>x", "x"), ("a <b \"> c", "a <b \"> c"), ("<p <q 'z'>t", "t"), ("k <i 'x' \"y", "k"),
+    ("a <b '> c <b>d", "a <b '> c d"),
+    ("&#" + "9" * 6000 + ";x", "\ufffdx"), ("&#" + "0" * 6000 + "65;x", "Ax"),
+    ("<script>a</script b", ""), ("<!-- a", ""), ("x</>y<?z?>w", "xyw")])
+def test_odd_markup(source, want):
+    assert text(source) == want
+
+
+def test_a_very_long_page(spark):
+    body = " ".join(f"w{k}" for k in range(300_000))
+    df = spark.createDataFrame([(1, "http://a", f"<nav>m</nav><article><p>{body}</p></article>")],
+                               "page_id long, url string, html string")
+    assert H.extract(df).first().text == body
