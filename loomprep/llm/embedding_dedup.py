@@ -14,7 +14,7 @@ Pairs in a bucket are verified on the vectors in double precision; a pair that
 shares several buckets is counted in the smallest one only.  A bucket of more
 than ``BLOCK`` vectors is cut into blocks and each pair of blocks is a group of
 its own; only counts of links and the local components leave a group, never
-pairs.
+pairs, and a task holds the pairs of a few rows at a time.
 
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite
 component link with nothing, nor do rows without label or vec_id; vectors of
@@ -42,6 +42,7 @@ from .hashing import mix
 THRESHOLD, MISS = 0.93, 0.002
 BLOCK = 2048             # members of a bucket in one block
 GROUP_ROWS = 20_000      # rows verified together, about
+PENDING = 200_000        # linked pairs held before they are counted and merged
 SEED = 20240601
 
 
@@ -131,56 +132,68 @@ def _hash(tables: int, k: int, kind: str):
     return run
 
 
+class _Links:
+    """Counts of links and local components of a task's vectors."""
+
+    def __init__(self, rows, tables: int, k: int):
+        self.nodes, self.node = np.unique(rows["rep"].to_numpy(), return_inverse=True)
+        self.size, self.label, self.bucket = (rows[c].to_numpy() for c in ("n", "label", "bucket"))
+        self.tables, self.k = tables, k
+        self.total = np.zeros(len(self.nodes), np.int64)
+        self.root = np.arange(len(self.nodes))
+
+    def add(self, idx: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """Linked rows a and b of the vectors x, which are rows idx of the table."""
+        touched, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+        held = buckets(x[touched], self.label[idx[touched]], self.tables, self.k)
+        at_a, at_b = at[:len(a)], at[len(a):]
+        step = max(1, 8_000_000 // held.shape[1] ** 2)
+        for lo in range(0, len(a), step):
+            left, right = held[at_a[lo:lo + step]], held[at_b[lo:lo + step]]
+            common = (left[:, :, None] == right[:, None, :]).any(2)
+            least = np.where(common, left, np.iinfo(np.int64).max).min(1)
+            # a pair is counted in the smallest bucket that it shares
+            here = least == self.bucket[idx[a[lo:lo + step]]]
+            ca, cb = idx[a[lo:lo + step][here]], idx[b[lo:lo + step][here]]
+            np.add.at(self.total, self.node[ca], self.size[cb])
+            np.add.at(self.total, self.node[cb], self.size[ca])
+        ends = np.stack((self.root[self.node[idx[a]]], self.root[self.node[idx[b]]]))
+        ends = ends[:, ends[0] != ends[1]]
+        if ends.size:
+            self.root = local_roots(len(self.nodes), *ends)[self.root]
+
+
 def _verify(tables: int, k: int, threshold: float, kind: str):
     def run(key, rows):
-        rep = rows["rep"].to_numpy()
-        nodes, node = np.unique(rep, return_inverse=True)
-        size, label = rows["n"].to_numpy(), rows["label"].to_numpy()
+        links = _Links(rows, tables, k)
         bucket, bi, bj, own = (rows[c].to_numpy() for c in ("bucket", "block_a", "block_b", "block"))
-        links = np.zeros(len(nodes), np.int64)
-        ends = []
-        vectors = _vectors(rows["vector"], kind)
-        for idx, x in _by_dimension(vectors):
+        for idx, x in _by_dimension(_vectors(rows["vector"], kind)):
             unit = x / np.linalg.norm(x, axis=1)[:, None]
             order = np.lexsort((bj[idx], bi[idx], bucket[idx]))
             keys = np.stack((bucket[idx], bi[idx], bj[idx]))[:, order]
             cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-            pairs_a, pairs_b = [], []
+            pairs, held = [], 0
             for group in np.split(order, cuts):
                 if len(group) < 2:
                     continue
                 first = own[idx[group]] == bi[idx[group]]
                 same = bi[idx[group[0]]] == bj[idx[group[0]]]
                 left, right = (group, group) if same else (group[first], group[~first])
-                for at in range(0, len(left), 512):
-                    a, b = np.nonzero(unit[left[at:at + 512]] @ unit[right].T >= threshold)
+                for at in range(0, len(left), 128):
+                    a, b = np.nonzero(unit[left[at:at + 128]] @ unit[right].T >= threshold)
                     if same:
                         a, b = a[a + at < b], b[a + at < b]
-                    pairs_a.append(left[a + at])
-                    pairs_b.append(right[b])
-            if not pairs_a:
-                continue
-            a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
-            touched, at = np.unique(np.concatenate((a, b)), return_inverse=True)
-            if not len(touched):
-                continue
-            held = buckets(x[touched], label[idx[touched]], tables, k)
-            at_a, at_b = at[:len(a)], at[len(a):]
-            for lo in range(0, len(a), 20_000):
-                pa_, pb_ = at_a[lo:lo + 20_000], at_b[lo:lo + 20_000]
-                common = (held[pa_][:, :, None] == held[pb_][:, None, :]).any(2)
-                least = np.where(common, held[pa_], np.iinfo(np.int64).max).min(1)
-                here = least == bucket[idx[a[lo:lo + 20_000]]]
-                ca, cb = idx[a[lo:lo + 20_000][here]], idx[b[lo:lo + 20_000][here]]
-                np.add.at(links, node[ca], size[cb])
-                np.add.at(links, node[cb], size[ca])
-            ends.append((node[idx[a]], node[idx[b]]))
-        if not ends:
-            return pa.table({"rep": pa.array([], pa.int64()), "links": pa.array([], pa.int64()),
-                             "root": pa.array([], pa.int64())})
-        root = nodes[local_roots(len(nodes), *map(np.concatenate, zip(*ends)))]
-        keep = (links > 0) | (root != nodes)
-        return pa.table({"rep": nodes[keep], "links": links[keep], "root": root[keep]})
+                    if len(a):
+                        pairs.append(np.stack((left[a + at], right[b])))
+                        held += len(a)
+                    if held > PENDING:
+                        links.add(idx, x, *np.concatenate(pairs, 1))
+                        pairs, held = [], 0
+            if pairs:
+                links.add(idx, x, *np.concatenate(pairs, 1))
+        root = links.nodes[links.root]
+        keep = (links.total > 0) | (root != links.nodes)
+        return pa.table({"rep": links.nodes[keep], "links": links.total[keep], "root": root[keep]})
     return run
 
 
@@ -203,23 +216,25 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, miss: float =
     kind = "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     as_bytes = classes.select("label", "rep", "n", _packed(F.col("embedding"), kind).alias("vector"))
     facts = good.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")
-                                      ).agg(F.max("n"), F.max("d"), F.sum("n")).first()
-    most, dimension, total = (x or 1 for x in facts)
+                                      ).agg(F.max("n"), F.max("d")).first()
+    most, dimension = (x or 1 for x in facts)
     width = 2 << max(1, math.ceil(math.log2(max(dimension, 2))))
     k = max(1, math.ceil(math.log(most) / math.log(width)))
     tables = tables_needed(dimension, k, threshold, miss)
 
     schema = "bucket long, label long, rep long, n long, vector binary"
     put = as_bytes.mapInArrow(_hash(tables, k, kind), schema)
-    crowd = put.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    shared = put.join(crowd, "bucket")
+    crowd = materialize(put.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"),
+                        "vector-buckets")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    # every member of a bucket arrives once for each of its blocks
+    groups = int((crowd.agg(F.sum(F.col("members") * blocks)).first()[0] or 0) // GROUP_ROWS) + 1
+    shared = put.join(crowd, "bucket")
     shared = shared.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     shared = shared.select("bucket", "label", "rep", "n", "vector", "block",
                            F.least("block", "other").alias("block_a"),
                            F.greatest("block", "other").alias("block_b"))
-    groups = int(total * tables * 2 ** k // GROUP_ROWS) + 1
     shard = F.pmod(F.xxhash64("bucket", "block_a", "block_b"), F.lit(groups)).alias("shard")
     found = shared.withColumn("shard", shard).groupBy("shard").applyInArrow(
         _verify(tables, k, threshold, kind), "rep long, links long, root long")

@@ -96,3 +96,28 @@ def test_query_matches_all_pairs_on_a_table(spark):
     x /= np.linalg.norm(x, axis=1)[:, None]
     link = (x @ x.T >= 0.93) & (labels[:, None] == labels) & ~np.eye(len(x), dtype=bool)
     assert {r[0]: r[1] for r in got} == {r[0]: int(n) for r, n in zip(rows, link.sum(1))}
+
+
+def test_memory_follows_the_rows_of_a_block(monkeypatch):
+    """Many near vectors in one bucket: all pairs are linked, few are held at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+    monkeypatch.setattr(E, "PENDING", 20_000)
+    rng = np.random.default_rng(2)
+    n, d = 3000, 16
+    x = (np.ones(d) + rng.normal(size=(n, d)) * 1e-3).astype("<f4")
+    label = np.zeros(n, np.int64)
+    at = E.buckets(x.astype(np.float64), label, 2, 1)
+    bucket, count = np.unique(at, return_counts=True)
+    everywhere = bucket[count == n]
+    assert len(everywhere)
+    zero = [0] * n
+    rows = pa.table({"bucket": [int(everywhere[0])] * n, "label": label, "rep": range(n), "n": [1] * n,
+                     "vector": [v.tobytes() for v in x], "block": zero, "block_a": zero, "block_b": zero})
+    tracemalloc.start()
+    got = E._verify(2, 1, 0.93, "<f4")(None, rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(got["links"].to_pylist()) == {n - 1} and set(got["root"].to_pylist()) == {0}
+    assert peak < 128 << 20                  # all 4,498,500 pairs at once take several times as much
