@@ -2,8 +2,8 @@
 
 Fixed patterns find assignments, access keys and long hex strings.  The
 battery judges every other token of ``MIN_LENGTH`` characters or more: its
-encoding (hex, base32, base36, base62, base64) is inferred from its
-characters; a chi-squared test of the alphabet's uniformity, a runs test about
+encoding (hex, base32, base36, base62, base64, or letters, in which capitals count
+as small letters) is inferred from its characters; a chi-squared test of the alphabet's uniformity, a runs test about
 the alphabet's middle and a lag-1 serial-correlation test are combined by
 Fisher's method into the evidence against a random string.  The null of a
 natural token has two parts, again combined by Fisher's method: ordinary words
@@ -11,11 +11,13 @@ of the corpus (letters only) go through the same battery, and their evidence
 for each character says how random a natural token of that length looks; and
 natural tokens change between digits, capitals and small letters at a rate of
 ``CHANGES`` a character at most.  Both depend on the length, so longer tokens
-are told apart more surely.  Over the whole corpus the Benjamini-Hochberg rule
+are told apart more surely.  Tokens of letters only are judged like all others, against
+the same words; what tells a key of mixed letters from a word is mostly its changes
+between capitals and small letters.  Over the whole corpus the Benjamini-Hochberg rule
 at ``Q`` sets the p-value below which tokens are reported, provided that they
 also look random themselves (``RANDOM_P``).
 
-Only binned counts leave the tasks, at most ``5 * MAX_LENGTH * BINS *
+Only binned counts leave the tasks, at most ``7 * MAX_LENGTH * BINS *
 CHANGE_BINS`` rows whatever the corpus (in practice some hundreds).  Every text is scanned whole, twice: once for counts, once for spans.
 
 Defined cases: null and empty texts have no spans; a found token inside a
@@ -79,17 +81,18 @@ def _encoding(alphabet: bytes, same: dict[bytes, bytes] | None = None) -> Encodi
 
 ENCODINGS = {
     "hex": _encoding(_DIGIT + b"abcdef", {b"ABCDEF": b"abcdef"}),
+    "letters": _encoding(_LOWER, {_UPPER: _LOWER}),
     "base32": _encoding(_UPPER + b"234567"),
     "base36": _encoding(_DIGIT + _LOWER, {_UPPER: _LOWER}),
     "base62": _encoding(_DIGIT + _UPPER + _LOWER),
     "base64": _encoding(_UPPER + _LOWER + _DIGIT + b"+/", {b"-_": b"+/"}),
 }
-NULL_OF = {"hex": "base36", "base32": "base36", "base36": "base36",
+NULL_OF = {"letters": "letters", "hex": "base36", "base32": "base36", "base36": "base36",
            "base62": "base62", "base64": "base62"}
 
 
 def infer(token: str) -> str | None:
-    """Encoding of a token; ``natural`` for letters only, None for digits only."""
+    """Encoding of a token; None for digits only, and for words joined by symbols."""
     digit = upper = lower = symbol = other_hex = other32 = False
     for c in set(token):
         if c.isdigit():
@@ -104,7 +107,7 @@ def infer(token: str) -> str | None:
                 lower = True
             other_hex |= c.lower() > "f"
     if not digit:
-        return "base64" if symbol and upper and lower else None if symbol else "natural"
+        return "base64" if symbol and upper and lower else None if symbol else "letters"
     if symbol:
         return "base64"
     if not upper and not lower:
@@ -182,17 +185,23 @@ def _judge(tokens: list[str]):
     by: dict = {}
     for k, t in enumerate(tokens):
         e = infer(t)
-        if e is not None and (e == "natural" or len(t) >= MIN_LENGTH):
+        if e is not None and (e == "letters" or len(t) >= MIN_LENGTH):
             by.setdefault(e, []).append(k)
     for e, numbers in by.items():
         raw = [tokens[k].encode() for k in numbers]
+        numbers, length = np.array(numbers), len_of(raw)
         changes = np.minimum(change_evidence(raw), CHANGE_BINS - 1).astype(np.int64)
-        for name in ("base36", "base62") if e == "natural" else (e,):
+        words = ("letters", "base36", "base62") if e == "letters" else ()
+        for name in words or (e,):
             value = evidence(raw, name)
-            # words: steps of the evidence a character, relative to the last bin
-            wide = value / len_of(raw) / RATE_BIN if e == "natural" else value / BIN
-            yield (np.array(numbers), name, e == "natural",
-                   np.clip(wide, 0, BINS - 1).astype(np.int64), changes)
+            if words:
+                # words: steps of the evidence a character, relative to the last bin
+                yield (numbers, name, True,
+                       np.clip(value / length / RATE_BIN, 0, BINS - 1).astype(np.int64), changes)
+            if name == e:
+                long = length >= MIN_LENGTH
+                yield (numbers[long], name, False,
+                       np.clip(value[long] / BIN, 0, BINS - 1).astype(np.int64), changes[long])
 
 
 def len_of(raw: list[bytes]) -> np.ndarray:

@@ -121,3 +121,28 @@ def test_limits_follow_length():
     got = S.limits(counts)
     assert ("base62", 60, 12) in got and ("base62", 18, 0) not in got
     assert S.limits([]) == {} and np.isfinite(S.evidence([b"a" * 50], "hex")).all()
+
+
+def test_keys_of_letters_only_are_found_and_names_left(spark):
+    """Mixed letters are told from words and from names in camel case."""
+    rows, planted = corpus()
+    rng = random.Random(11)
+    keys = {}
+    out = []
+    for k, text, _ in rows:
+        text += " getElementsByClassName InternationalBusinessMachines counterrevolutionaries "
+        if k % 15 == 4:
+            keys[k] = (len(text), len(text) + 40)
+            text += "".join(rng.choices(string.ascii_letters, k=40)) + " end"
+        out.append((k, text))
+    df = spark.createDataFrame(out, "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.secrets if s.kind == "random"]
+           for r in S.scan(df, S.fit_limits(df)).collect()}
+    assert sum(keys[k] in got[k] for k in keys) >= 0.9 * len(keys)
+    wrong = [(k, s) for k, v in got.items() for s in v if s != keys.get(k) and s != planted.get(k)]
+    assert len(wrong) <= 1
+
+
+def test_infer():
+    assert [S.infer(t) for t in ("abc", "AbC", "12", "a1", "G1", "x-y", "aZ1", "A-b", "a/1")] == [
+        "letters", "letters", None, "hex", "base36", None, "base62", "base64", "base64"]
