@@ -16,10 +16,12 @@ article do not make it look like a template, and nodes seen on fewer than
 ``MIN_PAGES`` different pages of a host are not judged.
 
 Counts are summed by (host, node, content) on the map side first, then by
-(host, node): a host with a third of all pages costs its distinct contents,
-spread by node and content; only a host's distinct paths meet in one group.
-The low nodes are a short list for each host that is joined to the pages by
-Spark's own choice of join.
+(host, node).  Importance goes up the tree level by level: the nodes of a level
+are joined to the weighted sums of their children, which are summed by (host,
+parent) on the map side, so a host with a third of all pages is spread by its
+nodes.  Only what lies under one node at ``LEVELS`` + 1 elements below the top is
+judged in one task.  The low nodes without a low parent are a short list for each
+host that is joined to the pages by Spark's own choice of join.
 
 Defined cases: null and empty html give an empty text; broken markup is read
 as browsers do (unclosed paragraphs and items end at the next one, closing
@@ -32,7 +34,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import log
 
 import pyarrow as pa
@@ -45,6 +47,7 @@ from ..sources.tables import table
 
 LOW, MIN_PAGES, OWN_SHARE = 0.3, 8, 0.5
 SMALL, MOST = 0.25, 0.5  # shares of a page's text
+LEVELS = 12              # levels of the style tree that are judged one by one
 
 #: Elements and name words by their role.
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd
@@ -177,12 +180,13 @@ def _traits(tag: str, attributes: str) -> tuple[int, bool, bool, bool, str]:
 class Element:
     """An open element: its node in the style tree and what its names say.
 
-    ``block``: the nearest element, this one included, that is not inline, at place
+    ``level``: its distance from the top; ``branch``: the node of the element around it,
+    or itself, that is ``LEVELS`` + 1 below the top; ``block``: the nearest element, this one included, that is not inline, at place
     ``depth`` of the open elements; ``named`` and ``marked``: the nearest element, this
     one included, whose names say that it is dropped or the main part."""
 
     __slots__ = ("tag", "node", "drop", "parent", "block", "depth", "named", "named_above",
-                 "main", "marked", "marked_above", "children")
+                 "main", "marked", "marked_above", "children", "level", "branch")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None, depth: int):
         traits = _traits if len(attributes) <= 200 else _traits.__wrapped__   # only short ones are kept
@@ -200,6 +204,8 @@ class Element:
         self.named_above = parent.named if parent else None
         self.named = self if by_name else self.named_above
         self.node = xxh3_64_intdigest(f"{parent.node if parent else 0}>{style}") >> 1
+        self.level = parent.level + 1 if parent else 0
+        self.branch = parent.branch if self.level > LEVELS + 1 else self.node
         self.children: list[str] = []
 
     @property
@@ -224,7 +230,7 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[tuple[str, bool, Element]] = []      # text, drop, innermost element
-        self.elements: list[tuple[int, int, list]] = []        # node, parent's node, child tags
+        self.elements: list[Element] = []
         self.root = Element("#page", "", None, 0)
         self.stack = [self.root]
         self.open_tags: dict[str, int] = {}
@@ -273,7 +279,7 @@ class Page:
         self.stack.pop()
         self.open_tags[top.tag] = self.open_tags.get(top.tag, 0) - 1
         if top.tag not in INLINE:
-            self.elements.append((top.node, self.stack[-1].node if self.stack else 0, top.children))
+            self.elements.append(top)
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in ENDS or tag not in INLINE:
@@ -350,64 +356,58 @@ class Page:
 
 
 def _observe(batches):
-    """(host, node, parent, kind, value): what each different page shows at its nodes."""
+    """(host, node, parent, level, branch, kind, value): what each different page shows at
+    its nodes; kind 0: child elements, 1: text."""
     for batch in batches:
         hosts, sources = batch.column("host").to_pylist(), batch.column("html").to_pylist()
-        rows: list[list] = [[] for _ in range(6)]
+        rows: list[list] = [[] for _ in range(8)]
         for host, source in zip(hosts, sources):
             page = Page(source or "")
             shown = xxh3_64_intdigest("\0".join(b[0] for b in page.blocks if not b[1])) >> 1
-            for node, parent, children in page.elements:
-                value = xxh3_64_intdigest(" ".join(children)) >> 1
-                for column, x in zip(rows, (host, node, parent, 0, value, shown)):
+            values = [(e, 0, " ".join(e.children)) for e in page.elements]
+            values += [(at.block, 1, text) for text, _, at in page.blocks]
+            for e, kind, value in values:
+                parent = e.parent.node if e.parent else 0
+                for column, x in zip(rows, (host, e.node, parent, e.level, e.branch, kind,
+                                            xxh3_64_intdigest(value) >> 1, shown)):
                     column.append(x)
-            for text, _, at in page.blocks:
-                block = at.block
-                parent = block.parent.node if block.parent else 0
-                for column, x in zip(rows, (host, block.node, parent, 1,
-                                            xxh3_64_intdigest(text) >> 1, shown)):
-                    column.append(x)
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(),
+                 pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(rows, kinds)],
-            names=["host", "node", "parent", "kind", "value", "page"])
-
-
-def _importance(key, rows):
-    """Low branches of one host: its nodes' own importance, mixed from the leaves up."""
-    own: dict = {}
-    parent_of: dict = {}
-    pages: dict = {}
-    for node, parent, kind, n, m, entropy in zip(*(rows[c].to_pylist() for c in (
-            "node", "parent", "kind", "shown", "pages", "entropy"))):
-        parent_of[node] = parent
-        pages[node] = max(pages.get(node, 0), m)
-        if n > 1:
-            own.setdefault(node, {})[kind] = max(0.0, min(1.0, entropy / log(n)))
-    children: dict = {}
-    for node, parent in parent_of.items():
-        children.setdefault(parent, []).append(node)
-    total: dict = {}
-    todo = [n for n in parent_of if parent_of[n] not in parent_of]
-    order = []
-    while todo:
-        n = todo.pop()
-        order.append(n)
-        todo += children.get(n, [])
-    for n in reversed(order):
-        mine = own.get(n, {})
-        below = [(total[c], pages[c]) for c in children.get(n, [])]
-        content = mine.get(1)
-        parts = ([content] if content is not None else []) + (
-            [sum(i * w for i, w in below) / sum(w for _, w in below)] if below else [])
-        if not parts:                                 # no text here or below: presentation only
-            total[n] = mine.get(0, 1.0)
-            continue
-        inner = max(parts)
-        total[n] = inner if 0 not in mine else max(inner, OWN_SHARE * mine[0] + (1 - OWN_SHARE) * inner)
-    low = [n for n in order if total[n] < LOW and pages[n] >= MIN_PAGES]
-    return pa.table({"host": pa.array([key[0].as_py()], pa.string()),
-                     "low": pa.array([low], pa.list_(pa.int64()))})
+            names=["host", "node", "parent", "level", "branch", "kind", "value", "page"])
+
+
+def _mixed(own: float | None, content: float | None, below: float | None) -> float:
+    """Importance of a branch by its node's presentation and content and what is below."""
+    parts = [x for x in (content, below) if x is not None]
+    if not parts:                                     # no text here or below: presentation only
+        return 1.0 if own is None else own
+    inner = max(parts)
+    return inner if own is None else max(inner, OWN_SHARE * own + (1 - OWN_SHARE) * inner)
+
+
+def _mixed_column() -> Column:
+    """``_mixed`` of the columns own, content and below."""
+    inner = F.greatest("content", "below")            # nulls are left out
+    return F.when(inner.isNull(), F.coalesce("own", F.lit(1.0))).when(
+        F.col("own").isNull(), inner).otherwise(
+        F.greatest(inner, OWN_SHARE * F.col("own") + (1 - OWN_SHARE) * inner))
+
+
+def _deep(key, rows):
+    """Importance of the nodes under one branch, from the leaves up."""
+    at = {c: rows[c].to_pylist() for c in ("node", "parent", "level", "own", "content", "pages")}
+    sums: dict = {}                                   # parent: weighted importance, weight
+    total = [0.0] * rows.num_rows
+    for i in sorted(range(rows.num_rows), key=lambda i: (-at["level"][i], at["node"][i])):
+        weighted, weight = sums.get(at["node"][i], (0.0, 0))
+        total[i] = _mixed(at["own"][i], at["content"][i], weighted / weight if weight else None)
+        weighted, weight = sums.get(at["parent"][i], (0.0, 0))
+        pages = at["pages"][i]
+        sums[at["parent"][i]] = weighted + total[i] * pages, weight + pages
+    return pa.table({**{c: rows[c] for c in ("host", "node", "parent", "level", "pages")},
+                     "total": pa.array(total, pa.float64())})
 
 
 def host_of(url: str = "url") -> Column:
@@ -415,18 +415,49 @@ def host_of(url: str = "url") -> Column:
                               F.lit("")))
 
 
-def low_branches(pages: DataFrame) -> DataFrame:
-    """host, low (nodes of low importance); one row for each host."""
+def importance(pages: DataFrame) -> DataFrame:
+    """host, node, parent, level, pages, total (importance of the branch)."""
     seen = pages.select(host_of().alias("host"), "html").mapInArrow(
-        _observe, "host string, node long, parent long, kind int, value long, page long").distinct()
-    contents = seen.groupBy("host", "node", "parent", "kind", "value").agg(
-        F.count("*").alias("n"))
-    nodes = contents.groupBy("host", "node", "parent", "kind").agg(
+        _observe, "host string, node long, parent long, level int, branch long, kind int, "
+                  "value long, page long").distinct()
+    path = ["host", "node", "parent", "level", "branch"]
+    contents = seen.groupBy(*path, "kind", "value").agg(F.count("*").alias("n"))
+    shown = contents.groupBy(*path, "kind").agg(
         F.sum("n").alias("shown"), F.sum(F.col("n") * F.log("n")).alias("repeats"))
-    nodes = nodes.select("host", "node", "parent", "kind", "shown", F.col("shown").alias("pages"),
-                         (F.log("shown") - F.col("repeats") / F.col("shown")).alias("entropy"))
-    return materialize(nodes.groupBy("host").applyInArrow(
-        _importance, "host string, low array<long>"), "low-branches")
+    entropy = (F.log("shown") - F.col("repeats") / F.col("shown")) / F.log("shown")
+    shown = shown.withColumn("own", F.when(F.col("shown") > 1, F.least(F.lit(1.0), F.greatest(
+        F.lit(0.0), entropy))))
+    nodes = materialize(shown.groupBy(*path).agg(
+        F.max(F.when(F.col("kind") == 0, F.col("own"))).alias("own"),
+        F.max(F.when(F.col("kind") == 1, F.col("own"))).alias("content"),
+        F.max("shown").alias("pages")), "style-nodes")
+
+    names = ["host", "node", "parent", "level", "pages", "total"]
+    deepest = nodes.agg(F.max("level")).first()[0] or 0
+    rated = [materialize(nodes.where(F.col("level") > LEVELS).groupBy("host", "branch").applyInArrow(
+        _deep, "host string, node long, parent long, level int, pages long, total double"
+    ).select(names), "style-deep")] if deepest > LEVELS else []
+    for level in range(min(deepest, LEVELS), -1, -1):
+        here = nodes.where(F.col("level") == level)
+        if rated:
+            below = rated[-1].where(F.col("level") == level + 1).groupBy(
+                F.col("host").alias("up_host"), F.col("parent").alias("up")).agg(
+                (F.sum(F.col("total") * F.col("pages")) / F.sum("pages")).alias("below"))
+            here = here.join(below, (F.col("host") == F.col("up_host")) & (F.col("node") == F.col("up")),
+                             "left")
+        else:
+            here = here.withColumn("below", F.lit(None).cast("double"))
+        rated.append(materialize(here.withColumn("total", _mixed_column()).select(names), "style-level"))
+    return reduce(DataFrame.unionByName, rated)
+
+
+def low_branches(pages: DataFrame) -> DataFrame:
+    """host, low (nodes of low importance whose parents are not); hosts without any are left out."""
+    low = importance(pages).where((F.col("total") < LOW) & (F.col("pages") >= MIN_PAGES))
+    above = low.select(F.col("host").alias("up_host"), F.col("node").alias("up"))
+    top = low.join(above, (F.col("host") == F.col("up_host")) & (F.col("parent") == F.col("up")),
+                   "left_anti")
+    return materialize(top.groupBy("host").agg(F.collect_list("node").alias("low")), "low-branches")
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -1,6 +1,9 @@
 import html
+import math
+import random
 import re
 import time
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -153,3 +156,72 @@ def test_a_very_long_page(spark):
     df = spark.createDataFrame([(1, "http://a", f"<nav>m</nav><article><p>{body}</p></article>")],
                                "page_id long, url string, html string")
     assert H.extract(df).first().text == body
+
+
+def random_tree(rng, depth):
+    """(name, text, children) of nested div elements."""
+    text = rng.choice(["", "", "same", f"own {rng.randint(0, 10 ** 6)}"])
+    children = [random_tree(rng, depth - 1) for _ in range(rng.randint(0, 2))] if depth else []
+    return rng.choice("ab"), text, children
+
+
+def markup(tree):
+    name, text, children = tree
+    return f"<div class='x{name}'>{text}{''.join(map(markup, children))}</div>"
+
+
+def plain_importance(pages):
+    """A style tree of nested dicts, read from the trees that the pages were made of."""
+    shows, texts = defaultdict(set), defaultdict(set)
+
+    def visit(tree, path, page):
+        path += (tree[0],)
+        shows[path].add((len(tree[2]), page))
+        if tree[1]:
+            texts[path].add((tree[1], page))
+        for c in tree[2]:
+            visit(c, path, page)
+
+    # equal pages count once
+    def words(tree):
+        return ([tree[1]] if tree[1] else []) + [w for c in tree[2] for w in words(c)]
+    for trees in pages:
+        for t in trees:
+            visit(t, (), tuple(w for t in trees for w in words(t)))
+        shows[()].add((len(trees), tuple(w for t in trees for w in words(t))))
+
+    def entropy(seen):
+        n = Counter(v for v, _ in seen)
+        total = sum(n.values())
+        return -sum(c / total * math.log(c / total) for c in n.values()) / math.log(total) if total > 1 else None
+
+    def rate(path):
+        own, content = entropy(shows[path]), entropy(texts[path]) if path in texts else None
+        weight = {p: max(len(shows[p]), len(texts.get(p, ()))) for p in shows if p[:-1] == path and p}
+        below = sum(result.setdefault(p, rate(p)) * w for p, w in weight.items()) / sum(
+            weight.values()) if weight else None
+        parts = [x for x in (content, below) if x is not None]
+        if not parts:
+            return 1.0 if own is None else own
+        return max(parts) if own is None else max(max(parts), (own + max(parts)) / 2)
+
+    result: dict = {}
+    result[()] = rate(())
+    return sorted((len(p), max(len(shows[p]), len(texts.get(p, ()))), round(v, 9)) for p, v in result.items())
+
+
+@pytest.mark.parametrize("depth", [3, 18])
+def test_importance_is_that_of_a_plain_style_tree(spark, depth):
+    rng = random.Random(depth)
+    pages = [[random_tree(rng, min(depth, 4)) for _ in range(rng.randint(1, 3))] for _ in range(60)]
+    if depth > 4:                           # the lower levels are judged branch by branch
+        for trees in pages:
+            for _ in range(depth - 4):
+                trees[:] = [("d", rng.choice(["", "same"]), list(trees))]
+    pages += pages[:5]
+    rows = [(k, "http://a.example.com/x", "".join(map(markup, t))) for k, t in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.level, r.pages, round(r.total, 9)) for r in H.importance(df).collect())
+    want = plain_importance(pages)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(abs(g[2] - w[2]) < 1e-6 for g, w in zip(got, want))
