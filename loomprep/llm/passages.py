@@ -20,6 +20,9 @@ hold are sent as single windows dealt by the window's own hash, so that no
 bucket gathers all contexts of a frequent phrase.  Only chunk- and
 bucket-sized arrays are held by a task, the driver sees none of them, and all
 of it is one plan: a lost executor's part is computed again from its inputs.
+Long texts are looked at in overlapping segments, and each distinct piece is
+kept once, so a long run of one letter, of which every window is a piece, takes
+a few numbers for each window.
 """
 
 from __future__ import annotations
@@ -32,28 +35,47 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import BYTE_VALUE, Words, chunks, grams, window_min
+from .hashing import BYTE_VALUE, Words, chunks, grams, prefix_sums, range_hash, window_min
 
 CHUNK = 4 << 20          # bytes of text in a chunk, about
 BUCKET = 1 << 20         # bytes of text for each bucket
 HOT = 256                # chunks that may hold an anchor before its pieces are cut up
+SEGMENT = 1 << 20        # windows whose anchors are found at a time
 _MESSAGE = "chunk int, kind int, bucket int, payload binary"
 NO_DOC = np.iinfo(np.int64).max
 
 
 @dataclass
 class Part:
-    """Units and pieces of some texts: piece ``k`` has the windows
-    ``first[k] .. first[k] + count[k] - 1`` (unit numbers) of text ``doc[k]``."""
+    """Units (words or bytes) of some texts, in one buffer."""
 
     buffer: bytes
-    start: np.ndarray        # byte range of each unit in the buffer
-    end: np.ndarray
-    text_first: np.ndarray   # first unit of each text, then the total
-    anchor: np.ndarray
-    doc: np.ndarray
-    first: np.ndarray
-    count: np.ndarray
+    text_first: np.ndarray              # first unit of each text, then the total
+    start: np.ndarray | None = None     # byte range of each unit (None: each byte is one)
+    end: np.ndarray | None = None
+
+    def begins(self, unit: np.ndarray) -> np.ndarray:
+        return unit if self.start is None else self.start[unit]
+
+    def ends(self, unit: np.ndarray) -> np.ndarray:
+        return unit + 1 if self.end is None else self.end[unit]
+
+    def values(self, lo: int, hi: int) -> np.ndarray:
+        """A hash of each of the units lo .. hi - 1."""
+        if self.start is None:
+            return BYTE_VALUE[np.frombuffer(self.buffer, np.uint8, hi - lo, lo)]
+        a, b = int(self.start[lo]), int(self.end[hi - 1])
+        sums = prefix_sums(BYTE_VALUE[np.frombuffer(self.buffer, np.uint8, b - a, a)])
+        return range_hash(sums, self.start[lo:hi] - a, self.end[lo:hi] - a)
+
+    def texts_of(self, unit: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.text_first, unit, "right") - 1
+
+    def texts(self, lo: int, hi: int) -> np.ndarray:
+        """The text of each of the units lo .. hi - 1."""
+        a, b = self.texts_of(np.array([lo, hi - 1])).tolist()
+        return np.repeat(np.arange(a, b + 1),
+                         np.diff(np.clip(self.text_first[a:b + 2], lo, hi)))
 
 
 @dataclass
@@ -75,30 +97,29 @@ class Scheme:
     def part(self, texts: list) -> Part:
         if self.words:
             w = Words(texts)
-            buffer, start, end, first, doc = w.buffer, w.start, w.end, w.first, w.doc
-            values = w.hashes()
-        else:
-            buffer = b"".join(texts)
-            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            first = np.concatenate(([0], np.cumsum(sizes)))
-            doc = np.repeat(np.arange(len(texts)), sizes)
-            start = np.arange(len(buffer))
-            end = start + 1
-            values = BYTE_VALUE[np.frombuffer(buffer, np.uint8)]
-        g = grams(values, self.gram)
-        m = window_min(g, self.window - self.gram + 1)
-        n = len(m)
-        valid = doc[:n] == doc[self.window - 1:self.window - 1 + n]
-        new = ~valid
-        if n:
+            return Part(w.buffer, w.first, w.start, w.end)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        return Part(b"".join(texts), np.concatenate(([0], np.cumsum(sizes))))
+
+    def pieces(self, part: Part):
+        """(anchor, text, first window, windows) of the pieces, as arrays for
+        ``SEGMENT`` windows at a time; a piece ends where its segment ends."""
+        windows = int(part.text_first[-1]) - self.window + 1
+        for lo in range(0, windows, SEGMENT):
+            n = min(SEGMENT, windows - lo)
+            hi = lo + n + self.window - 1
+            g = grams(part.values(lo, hi), self.gram)
+            m = window_min(g, self.window - self.gram + 1)
+            doc = part.texts(lo, hi)
+            valid = doc[:n] == doc[self.window - 1:]
+            new = ~valid
             new[0] = True
-        # a new piece where the smallest hash changes or its leftmost place is left
-        new[1:] |= (m[1:] != m[:-1]) | (g[:n - 1] == m[:-1]) | ~valid[:-1]
-        breaks = np.flatnonzero(new)
-        length = np.diff(np.concatenate((breaks, [n])))
-        ok = valid[breaks]
-        return Part(buffer, start, end, first, m[breaks[ok]], doc[breaks[ok]],
-                    breaks[ok], length[ok])
+            # a new piece where the smallest hash changes or its leftmost place is left
+            new[1:] |= (m[1:] != m[:-1]) | (g[:n - 1] == m[:-1]) | ~valid[:-1]
+            breaks = np.flatnonzero(new)
+            length = np.diff(np.concatenate((breaks, [n])))
+            ok = valid[breaks]
+            yield m[breaks[ok]], doc[breaks[ok]], lo + breaks[ok], length[ok]
 
     def windows(self, text: bytes) -> int:
         units = text.count(b" ") + 1 if self.words else len(text)
@@ -144,24 +165,29 @@ def _unpack(payload: bytes):
     return routes, values, [payload[e - s:e] for s, e in zip(sizes.tolist(), ends.tolist())]
 
 
+def _distinct(h: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """Distinct hashes with their smallest ``low`` and largest ``high``."""
+    if not len(h):
+        return h, low, high
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    return h[at], np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at)
+
+
 def _anchors(scheme: Scheme, buckets: int):
     def run(key, table):
         ids, _, texts = _rows(table)
-        found, owner = [], []
+        found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        seen = 0
         for a, b in chunks(texts):
-            part = scheme.part(texts[a:b])
-            found.append(part.anchor)
-            owner.append(ids[a:b][part.doc])
-        h = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-        order = np.argsort(h, kind="stable")
-        h, owner = h[order], owner[order]
-        at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else h.astype(int)
-        if len(at) and scheme.by_doc:
-            several = np.minimum.reduceat(owner, at) < np.maximum.reduceat(owner, at)
-        else:
-            several = np.diff(np.concatenate((at, [len(h)]))) > 1
-        h = h[at]
+            for anchor, doc, _, _ in scheme.pieces(scheme.part(texts[a:b])):
+                # whose it is: the document, or each piece on its own
+                owner = ids[a:b][doc] if scheme.by_doc else np.arange(seen, seen + len(doc))
+                seen += len(doc)
+                found.append(_distinct(anchor, owner, owner))
+        h, low, high = _distinct(*map(np.concatenate, zip(*found)))
+        several = low < high
         rows = [(key[0].as_py(), 0, b, h[i].tobytes() + several[i].astype(np.uint8).tobytes())
                 for b, i in _split((h % np.uint64(buckets)).astype(np.int64))]
         return _table(rows)
@@ -200,23 +226,36 @@ def _known(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pieces(scheme: Scheme, part: Part, known: np.ndarray, hot: np.ndarray):
-    """(route, text number, first window, windows, piece) of the shared pieces."""
-    if not len(known) or not len(part.anchor):
+    """(text, first window, windows) of the shared pieces, as arrays for each
+    segment, and an iterator over their (route, bytes)."""
+    if not len(known):
         return
-    at = np.minimum(np.searchsorted(known, part.anchor), len(known) - 1)
-    picked = np.flatnonzero(known[at] == part.anchor)
-    start, end, buffer, span = part.start, part.end, part.buffer, scheme.window - 1
-    first, count = part.first[picked], part.count[picked]
-    a, b = start[first].tolist(), end[first + count - 1 + span].tolist()
-    for k, (h, d, f, c, is_hot) in enumerate(zip(
-            part.anchor[picked].tolist(), part.doc[picked].tolist(), first.tolist(),
-            count.tolist(), hot[at[picked]].tolist())):
-        if not is_hot:
-            yield h, d, f, c, buffer[a[k]:b[k]]
-            continue
-        for i in range(f, f + c):
-            text = buffer[start[i]:end[i + span]]
-            yield hash_bytes(text), d, i, 1, text
+    for anchor, doc, first, count in scheme.pieces(part):
+        at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
+        picked = np.flatnonzero(known[at] == anchor)
+        single = hot[at[picked]]
+        times = np.where(single, count[picked], 1)      # hot pieces go window by window
+        within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        first = np.repeat(first[picked], times) + within
+        count = np.repeat(np.where(single, 1, count[picked]), times)
+        yield (np.repeat(doc[picked], times), first, count,
+               _routes(part, np.repeat(anchor[picked], times), np.repeat(single, times),
+                       part.begins(first), part.ends(first + count + scheme.window - 2)))
+
+
+def _routes(part: Part, anchor, single, begin, end):
+    buffer = part.buffer
+    for at in range(0, len(anchor), 1 << 16):
+        block = slice(at, at + (1 << 16))
+        for h, alone, a, b in zip(anchor[block].tolist(), single[block].tolist(),
+                                  begin[block].tolist(), end[block].tolist()):
+            text = buffer[a:b]
+            yield (hash_bytes(text) if alone else h), text
+
+
+def _numbers(index: dict, keys, n: int) -> np.ndarray:
+    """The number of each key in ``index``; new ones are added."""
+    return np.fromiter((index.setdefault(k, len(index)) for k in keys), np.int32, n)
 
 
 def hash_bytes(text: bytes) -> int:
@@ -228,19 +267,21 @@ def _send(scheme: Scheme, buckets: int):
     def run(key, table, answers):
         ids, _, texts = _rows(table)
         known, hot = _known(answers)
-        merged: dict = {}
+        index: dict = {}
+        merged = np.zeros(0, np.int64)
         for a, b in chunks(texts):
-            own = ids[a:b].tolist()
-            for route, d, _, _, text in _pieces(scheme, scheme.part(texts[a:b]), known, hot):
-                at = (route, text)
+            for doc, first, _, keys in _pieces(scheme, scheme.part(texts[a:b]), known, hot):
+                number = _numbers(index, keys, len(first))
+                fresh = np.full(len(index) - len(merged), NO_DOC if scheme.by_doc else 0, np.int64)
+                merged = np.concatenate((merged, fresh))
                 if scheme.by_doc:
-                    merged[at] = min(merged.get(at, NO_DOC), own[d])
+                    np.minimum.at(merged, number, ids[a:b][doc])
                 else:
-                    merged[at] = merged.get(at, 0) + 1
-        order = sorted(merged)
+                    merged += np.bincount(number, minlength=len(merged))
+        order = sorted(index)
         routes = np.fromiter((r for r, _ in order), np.uint64, len(order))
-        values = np.fromiter((merged[p] for p in order), np.int64, len(order))
-        merged.clear()
+        values = merged[np.fromiter(map(index.__getitem__, order), np.int64, len(order))]
+        index.clear()
         chunk = (answers["chunk"] if len(answers) else table["chunk"])[0].as_py()
         return _table([(chunk, 0, b, _pack(routes[i], [order[k][1] for k in i], values[i]))
                        for b, i in _split((routes % np.uint64(buckets)).astype(np.int64))])
@@ -288,37 +329,45 @@ def _apply(scheme: Scheme, buckets: int, finish):
         ids, given, texts = _rows(table)
         known, hot = _known(answers)
         parts = []
+        index: dict = {}
         for a, b in chunks(texts):
-            part = scheme.part(texts[a:b])
-            parts.append((a, b, part, list(_pieces(scheme, part, known, hot))))
-        order = sorted({(p[0], p[4]) for _, _, _, pieces in parts for p in pieces})
-        values: dict = {}
+            part, found = scheme.part(texts[a:b]), []
+            for _, first, count, keys in _pieces(scheme, part, known, hot):
+                number = _numbers(index, keys, len(first))
+                found.append((first.astype(np.int32), count.astype(np.int32), number))
+            parts.append((a, b, part, found))
+        values: list = [None] * len(index)
         payload = {b: p for k, b, p in zip(answers["kind"].to_pylist(),
                                            answers["bucket"].to_pylist(),
                                            answers["payload"].to_pylist()) if k == 2}
         at: dict = {b: 0 for b in payload}
         width = np.dtype(scheme.answer).itemsize
-        for p in order:                    # as they were sent
+        for p in sorted(index):            # as they were sent
             b = p[0] % buckets
             end = at[b] + scheme.windows(p[1]) * width
-            values[p] = payload[b][at[b]:end]
+            values[index[p]] = payload[b][at[b]:end]
             at[b] = end
+        index.clear()
         out = []
-        for a, b, part, pieces in parts:
+        for a, b, part, found in parts:
             edge = np.zeros(int(part.text_first[-1]) + 1, np.int32)
-            if pieces:
-                value = np.frombuffer(b"".join([values[p[0], p[4]] for p in pieces]), scheme.answer)
-                doc, first, count = np.array([p[1:4] for p in pieces], np.int64).T
-                window = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count)
+            while found:
+                first, count, number = found.pop()
+                if not len(first):
+                    continue
+                value = np.frombuffer(b"".join([values[k] for k in number.tolist()]), scheme.answer)
+                window = np.repeat(first - (np.cumsum(count) - count), count)
                 window += np.arange(len(window))
                 if scheme.by_doc:
-                    doc = np.repeat(doc, count) + a
+                    doc = np.repeat(part.texts_of(first), count) + a
                     window = window[(value < ids[doc]) & given[doc]]
                 else:
                     window = window[value > 1]
-                edge[:-1] = np.bincount(window, minlength=len(edge) - 1)
-                np.subtract.at(edge, window + scheme.window, 1)
-            gone = np.cumsum(edge[:-1]) > 0
+                lo = int(first[0])
+                times = np.bincount(window - lo)
+                edge[lo:lo + len(times)] += times
+                edge[lo + scheme.window:lo + scheme.window + len(times)] -= times
+            gone = np.cumsum(edge, out=edge)[:-1] > 0
             for d in range(b - a):
                 lo, hi = int(part.text_first[d]), int(part.text_first[d + 1])
                 out.append(finish(part, lo, hi, gone[lo:hi]))
@@ -334,8 +383,9 @@ def _apply(scheme: Scheme, buckets: int, finish):
 
 def gone_spans(gone: np.ndarray) -> list:
     """Maximal runs of removed units as [start, end)."""
-    step = np.diff(np.concatenate(([0], gone.view(np.int8), [0])))
-    return np.stack((np.flatnonzero(step == 1), np.flatnonzero(step == -1)), 1).tolist()
+    whole = np.zeros(len(gone) + 2, np.int8)
+    whole[1:-1] = gone
+    return np.flatnonzero(np.diff(whole)).reshape(-1, 2).tolist()
 
 
 def remove_repeats(docs: DataFrame, scheme: Scheme, finish) -> DataFrame:

@@ -3,9 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from loomprep.llm import passages, substring_dedup as sd, suffix_array_dedup as sa
@@ -67,9 +70,10 @@ def small_chunks(monkeypatch):
     monkeypatch.setattr(passages, "BUCKET", 5000)
 
 
-@pytest.mark.parametrize("hot", [256, 1])
-def test_substring_dedup_matches_brute_force(spark, small_chunks, monkeypatch, hot):
+@pytest.mark.parametrize("hot,segment", [(256, 1 << 20), (1, 1 << 20), (256, 7)])
+def test_substring_dedup_matches_brute_force(spark, small_chunks, monkeypatch, hot, segment):
     monkeypatch.setattr(passages, "HOT", hot)
+    monkeypatch.setattr(passages, "SEGMENT", segment)
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
         "*", "'c' chunk", "1 kind", "2 bucket")
@@ -80,9 +84,12 @@ def test_substring_dedup_matches_brute_force(spark, small_chunks, monkeypatch, h
     assert sum(r[2] for r in have) > 300
 
 
-@pytest.mark.parametrize("hot,window,gram", [(256, 200, 16), (1, 40, 8)])
-def test_suffix_array_dedup_matches_brute_force(spark, small_chunks, monkeypatch, hot, window, gram):
+@pytest.mark.parametrize("hot,window,gram,segment", [(256, 200, 16, 1 << 20), (1, 40, 8, 1 << 20),
+                                                     (256, 40, 8, 100), (1, 200, 16, 64)])
+def test_suffix_array_dedup_matches_brute_force(spark, small_chunks, monkeypatch, hot, window, gram,
+                                                segment):
     monkeypatch.setattr(passages, "HOT", hot)
+    monkeypatch.setattr(passages, "SEGMENT", segment)
     rows = corpus(2)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sa.suffix_array_dedup(df, window, gram).collect()
@@ -124,3 +131,32 @@ def test_two_stage_sort_orders_all_suffixes():
             x, y = data[order[k]:][:50], data[order[k + 1]:][:50]
             n = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
             assert lcp[k] == n or n == len(y)
+
+
+def by_bucket(messages, step):
+    return pa.concat_tables([step([pa.scalar(b)], messages.filter(pc.equal(messages["bucket"], b)))
+                             for b in sorted(set(messages["bucket"].to_pylist()))])
+
+
+@pytest.mark.parametrize("unit,scheme,finish", [("z", sa.scheme(), sa._finish),
+                                                ("a ", sd.scheme(), sd._finish)])
+def test_long_run_takes_little_memory(unit, scheme, finish):
+    """The steps of one chunk on a run of 2 million units: every window is a piece of its own."""
+    n, key = 2 << 20, [pa.scalar(0)]
+    rows = pa.table({"doc_id": pa.array([5, 7], pa.int64()), "text": [unit * n, unit * 300],
+                     "chunk": pa.array([0, 0], pa.int32())})
+    tracemalloc.start()
+    shared = by_bucket(passages._anchors(scheme, 2)(key, rows), passages._shared)
+    pieces = passages._send(scheme, 2)(key, rows, shared)
+    answers = by_bucket(pieces, passages._resolve(scheme))
+    out = passages._apply(scheme, 2, finish)(key, rows, pa.concat_tables([shared, answers]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 * n
+    assert out["n_units"].to_pylist() == [n, 300]
+    if scheme.by_doc:      # the smaller document keeps its words
+        assert [len(k) for k in out["kept"].to_pylist()] == [2 * n - 1, 0]
+        assert out["spans"].to_pylist() == [[], [[0, 300]]]
+    else:
+        assert out["kept"].to_pylist() == [b"", b""]
+        assert out["spans"].to_pylist() == [[[0, n]], [[0, 300]]]
