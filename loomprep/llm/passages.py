@@ -40,7 +40,7 @@ from .hashing import BYTE_VALUE, Words, chunks, grams, prefix_sums, range_hash,
 CHUNK = 4 << 20          # bytes of text in a chunk, about
 BUCKET = 1 << 20         # bytes of text for each bucket
 HOT = 256                # chunks that may hold an anchor before its pieces are cut up
-SEGMENT = 1 << 20        # windows whose anchors are found at a time
+SEGMENT = 1 << 20        # windows of a long text whose anchors are found at a time
 _MESSAGE = "chunk int, kind int, bucket int, payload binary"
 NO_DOC = np.iinfo(np.int64).max
 
@@ -102,11 +102,20 @@ class Scheme:
         return Part(b"".join(texts), np.concatenate(([0], np.cumsum(sizes))))
 
     def pieces(self, part: Part):
-        """(anchor, text, first window, windows) of the pieces, as arrays for
-        ``SEGMENT`` windows at a time; a piece ends where its segment ends."""
+        """(anchor, text, first window, windows) of the pieces, as arrays for one
+        segment at a time.  Only texts longer than ``SEGMENT`` are cut, at places
+        counted from their own start: the order of the texts, which may differ
+        from one run of a task to the next, changes no piece."""
+        sizes = np.diff(part.text_first)
+        cuts = [0]
+        for k in np.flatnonzero(sizes > SEGMENT).tolist():
+            begin = int(part.text_first[k])
+            cuts += range(begin, begin + int(sizes[k]), SEGMENT)
         windows = int(part.text_first[-1]) - self.window + 1
-        for lo in range(0, windows, SEGMENT):
-            n = min(SEGMENT, windows - lo)
+        for lo, end in zip(cuts, [*cuts[1:], windows]):
+            n = min(end, windows) - lo
+            if n <= 0:
+                continue
             hi = lo + n + self.window - 1
             g = grams(part.values(lo, hi), self.gram)
             m = window_min(g, self.window - self.gram + 1)

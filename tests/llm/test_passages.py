@@ -133,6 +133,26 @@ def test_two_stage_sort_orders_all_suffixes():
             assert lcp[k] == n or n == len(y)
 
 
+@pytest.mark.parametrize("scheme", [sa.scheme(40, 8), sd.scheme()])
+def test_pieces_do_not_depend_on_the_order_of_texts(monkeypatch, scheme):
+    """Each step reads a chunk anew, and a shuffle gives its rows in any order."""
+    monkeypatch.setattr(passages, "SEGMENT", 50)
+    texts = [(t or "").encode() for _, t in corpus(4)]
+
+    def pieces(texts):
+        out = Counter()
+        for a, b in passages.chunks(texts, 3000):
+            part = scheme.part(texts[a:b])
+            for anchor, doc, first, count in scheme.pieces(part):
+                ends = part.ends(first + count + scheme.window - 2)
+                out.update(zip(anchor.tolist(), count.tolist(),
+                               [part.buffer[x:y] for x, y in zip(part.begins(first), ends)]))
+        return out
+
+    have = pieces(texts)
+    assert have and have == pieces(texts[::-1]) == pieces(sorted(texts))
+
+
 def by_bucket(messages, step):
     return pa.concat_tables([step([pa.scalar(b)], messages.filter(pc.equal(messages["bucket"], b)))
                              for b in sorted(set(messages["bucket"].to_pylist()))])
