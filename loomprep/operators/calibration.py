@@ -40,23 +40,33 @@ def sampled_images(captioned: DataFrame, target, bound: int, *, seed: int = SEED
     seeded shuffle key.  Ranks and the bottom-k run on keys only; question and
     answer are joined back for the kept items (at most ``bound`` keys, whose
     size Spark checks); image payloads never move -- messages refer to images by
-    ``item:<id>``."""
+    ``item:<id>``.  Each row is taken once: rows that share an item_id, or have
+    none, are told apart by the digest of their texts, equal rows by their rank."""
     keys = M.valid_image_keys(captioned, use_assistant=use_assistant, seed=seed, bounds=bounds)
     # keys only.  The keys come out of the rank's shuffle, so the ordered take
     # merges (shuffle partitions x bound) rows at most, whatever the input size
-    top = bottomk_sample(keys, bound, "item_id", seed=seed)
-    top = top.withColumn("_r", F.row_number().over(Window.orderBy("sample_key", "item_id")) - 1) \
-        .where(F.col("_r") < target).drop("_r")
-    # question and answer are joined back for the kept (<= bound) items only
-    payload = captioned.select("item_id", "question", "answer")
-    top = payload.join(top, "item_id", "inner") \
+    top = bottomk_sample(keys, bound, "item_id", seed=seed, ties=["valid_rank"])
+    top = top.withColumn("_r", F.row_number().over(Window.orderBy("sample_key", "item_id", "valid_rank")) - 1) \
+        .where(F.col("_r") < target)
+    top = top.groupBy(F.col("item_id").alias("_id"), F.col("item_digest").alias("_digest")) \
+        .agg(F.sort_array(F.collect_list("valid_rank")).alias("_ranks"))     # <= bound in all
+    # question and answer are joined back for the kept (<= bound) items only; equal
+    # rows are merged by a partial aggregation, then given out once for each rank
+    payload = captioned.select("item_id", "question", "answer", M.caption_digest().alias("item_digest"))
+    same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("item_digest") == F.col("_digest"))
+    kept = payload.join(top, same, "inner").groupBy("item_id", "item_digest").agg(
+        F.max(F.struct("question", "answer")).alias("_row"), F.max("_ranks").alias("_ranks"))
+    top = kept.select("item_id", "_row.question", "_row.answer", F.explode("_ranks").alias("valid_rank")) \
+        .withColumn("sample_key", seeded_key(seed, "item_id")) \
         .withColumn("caption", M.pick_caption("answer", "item_id", seed=seed)).drop("answer")
     top = M.with_image_messages(top, mode=mode, use_assistant=use_assistant,
                                 require_lang_match=require_lang_match, system=system,
                                 system_override=system_override)
-    top = top.select("item_id", "source", F.col("prompt").alias("text"), "messages", "sample_key")
     sseed = seed + 1 if shuffle_seed is None else shuffle_seed
-    return top.withColumn("shuffle_key", seeded_key(sseed, "item_id"))
+    # rows that share an item_id keep the order of their ranks
+    key = F.concat_ws(":", seeded_key(sseed, "item_id"), F.lpad(F.col("valid_rank").cast("string"), 19, "0"))
+    return top.select("item_id", "source", F.col("prompt").alias("text"), "messages", "sample_key",
+                      key.alias("shuffle_key"))
 
 
 def calibration_mix(docs: DataFrame, captioned: DataFrame, n: int = NUM_CALIB, *,

@@ -308,14 +308,21 @@ def ranked_valid_images(captioned: DataFrame, *, use_assistant: bool = False, se
 
 def valid_image_keys(captioned: DataFrame, *, use_assistant: bool = False, seed=SEED,
                      bounds: DataFrame | None = None) -> DataFrame:
-    """Keys only, ``(item_id, valid_rank)``: validity is evaluated on the
-    scan side and no text travels through the rank shuffle."""
+    """Keys only, ``(item_id, item_digest, valid_rank)``: validity is evaluated on the
+    scan side and no text travels through the rank shuffle.  Rows that share an
+    item_id are ranked by the digest of their texts."""
     from ..sources.captioned import has_payload
     from .ranking import valid_rank
     has = F.col("has_image") if "has_image" in captioned.columns else has_payload("image")
     ok = valid_image_sample(has, pick_caption("answer", "item_id", seed=seed), use_assistant)
-    d = captioned.select("item_id", ok.alias("_ok"))
-    return valid_rank(d, "_ok", "item_id", out="valid_rank", bounds=bounds).drop("_ok")
+    d = captioned.select("item_id", caption_digest().alias("item_digest"), ok.alias("_ok"))
+    return valid_rank(d, "_ok", "item_id", out="valid_rank", bounds=bounds,
+                      ties=["item_digest"]).drop("_ok")
+
+
+def caption_digest() -> Column:
+    """md5 of a captioned row's question and answer (nulls count)."""
+    return F.md5(F.to_json(F.struct("question", "answer")))
 
 
 def with_image_messages(ranked: DataFrame, *, mode: str = "mixed", use_assistant: bool = False,

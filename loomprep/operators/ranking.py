@@ -84,10 +84,11 @@ def range_bucket(df: DataFrame, id_col: str, side: int = SIDE, key: Column | Non
 
 
 def valid_rank(df: DataFrame, valid: Column | str, order_col: str, out: str = "valid_rank",
-               bounds: DataFrame | None = None) -> DataFrame:
+               bounds: DataFrame | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Rank among valid rows in input order (``valid_seen`` before the row).
-    Invalid rows are dropped; ``order_col`` is the numeric input order.
+    Invalid rows are dropped; ``order_col`` is the numeric input order, rows equal
+    in it go by ``ties``.
     ``bounds``: a cheaper frame whose ``order_col`` is distributed alike."""
     v = F.col(valid) if isinstance(valid, str) else valid
     bounds = df.select(order_col) if bounds is None else bounds
-    return bucketed_rank(df.where(v), [order_col], range_bucket(bounds, order_col), out=out)
+    return bucketed_rank(df.where(v), [order_col, *ties], range_bucket(bounds, order_col), out=out)

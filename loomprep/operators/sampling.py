@@ -21,10 +21,11 @@ from .ranking import bucketed_rank, hash_bucket
 
 def bottomk_sample(df: DataFrame, n: int, id_cols: Sequence[str] | str, seed=SEED,
                    key_col: str = "sample_key", method: str = "take_ordered",
-                   digits: int = 4) -> DataFrame:
+                   digits: int = 4, ties: Sequence[str] = ()) -> DataFrame:
     """Uniform sample of ``n`` rows without replacement (all rows if fewer):
     the ``n`` smallest ``md5(seed:id)``; bottom-k samples of parts merge
-    exactly, so the result does not depend on partitioning.
+    exactly, so the result does not depend on partitioning.  Rows that share
+    an id go by the columns ``ties``.
 
     ``take_ordered``: ``TakeOrderedAndProject`` -- every task keeps its own
     bottom-n and partitions x n rows meet in one final merge.
@@ -41,7 +42,7 @@ def bottomk_sample(df: DataFrame, n: int, id_cols: Sequence[str] | str, seed=SEE
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     keyed = df.withColumn(key_col, seeded_key(seed, *ids))
     if method == "ranked":
-        r = bucketed_rank(keyed, [key_col, *ids], hash_bucket(key_col, digits), out="_bk_rank")
+        r = bucketed_rank(keyed, [key_col, *ids, *ties], hash_bucket(key_col, digits), out="_bk_rank")
         return r.where(F.col("_bk_rank") < int(n)).drop("_bk_rank")
     if method == "threshold":
         b = hash_bucket(key_col, digits)
@@ -52,7 +53,7 @@ def bottomk_sample(df: DataFrame, n: int, id_cols: Sequence[str] | str, seed=SEE
         last = cum.agg(F.coalesce(F.min(F.when(F.col("_c") >= int(n), F.col("_b"))),
                                   F.max("_b")).alias("_last")).scalar()
         keyed = keyed.where(b <= last)
-    return keyed.orderBy(key_col, *ids).limit(int(n))
+    return keyed.orderBy(key_col, *ids, *ties).limit(int(n))
 
 
 def seeded_shuffle(df: DataFrame, id_cols: Sequence[str] | str, seed=SEED,

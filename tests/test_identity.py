@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from loomprep.operators import calibration as C
 from loomprep.operators import ranking as R
 from loomprep.operators import sampling as S
 from loomprep.operators import sequence as Q
@@ -40,6 +41,22 @@ def test_repeated_and_null_ids_match_the_sql(spark, tmp_path):
     assert r["match"] and r["spark_rows"] > 30, r
 
 
+def test_each_image_sample_is_taken_once(spark):
+    rows = [(5, "q1", ["a"], True), (5, "q1", ["a"], True), (5, "q2", ["b"], True), (None, "q3", ["c"], True),
+            (None, "q3", ["d"], True), (6, None, None, True), (7, "q4", ["e"], False), (8, "", [None], True),
+            (8, None, [None], True), (9, "q5", ["f", "g"], True)]
+    df = spark.createDataFrame(rows, "item_id long, question string, answer array<string>, has_image boolean")
+    valid = [r for r in rows if r[3]]
+    got = C.sampled_images(df, F.lit(100), 100, use_assistant=False).collect()
+    assert Counter(r.item_id for r in got) == Counter(r[0] for r in valid)
+    assert len(got) == len(valid) and len({r.shuffle_key for r in got}) == len(valid)
+    for n in (1, 3, 6):          # a smaller sample is a part of the larger one
+        less = C.sampled_images(df, F.lit(n), 100).collect()
+        assert len(less) == n and not Counter(map(repr, less)) - Counter(map(repr, got))
+    again = C.sampled_images(df.repartition(5, "question"), F.lit(100), 100, use_assistant=False).collect()
+    assert Counter(map(repr, again)) == Counter(map(repr, got))
+
+
 def test_frequent_ids_are_split_by_their_share(spark):
     n = 60_000
     tokens = spark.range(n).select(F.col("id").alias("sample_id"), F.lit(0).alias("pos"), F.when(
