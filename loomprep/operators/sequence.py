@@ -176,15 +176,17 @@ def mask_positions(tokens: DataFrame, row: Sequence[str] = ()) -> DataFrame:
     """``cumsum(mask) - 1`` with masked tokens at 1 and ``delta = max + 1 -
     len``; without a mask column, ``0..n-1`` and delta 0.  ``row`` names the
     columns that tell rows of one sample_id apart (repeated or null ids):
-    positions and len are each row's own, the maximum is the sample_id's."""
-    wr = Window.partitionBy("sample_id", *row)
-    w = wr.orderBy("pos")
+    positions and len are each row's own, the maximum is the sample_id's.
+    Tokens that come partitioned by sample_id are not shuffled and are sorted
+    once: what follows the first window needs a prefix of its order."""
+    w = Window.partitionBy("sample_id", *row).orderBy("pos")
     ws = Window.partitionBy("sample_id")
     if "mask" not in tokens.columns:
         return tokens.withColumn("position", F.col("pos").cast("bigint")).withColumn("delta", F.lit(0).cast("bigint"))
     p = F.sum(F.col("mask").cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1
-    d = tokens.withColumn("position", F.when(F.col("mask") == 0, F.lit(1).cast("bigint")).otherwise(p))
-    return d.withColumn("delta", (F.max("position").over(ws) + 1 - F.count(F.lit(1)).over(wr)).cast("bigint"))
+    n = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    d = tokens.withColumns({"position": F.when(F.col("mask") == 0, F.lit(1).cast("bigint")).otherwise(p), "_len": n})
+    return d.withColumn("delta", (F.max("position").over(ws) + 1 - F.col("_len")).cast("bigint")).drop("_len")
 
 
 # ---- P15 / W9: visual mask and chunks ----------------------------------------
@@ -241,17 +243,19 @@ def capacity_reason(n_tokens, prefill_len: int = PREFILL_LEN, context_len: int =
 # ---- P19: batch padding -----------------------------------------------------
 
 def pad_batches(samples: DataFrame, batch_size: int, order: str = "sample_id", ids: str = "input_ids",
-                pad_id: int = 0, side: str = "left") -> DataFrame:
+                pad_id: int = 0, side: str = "left", tasks: int | None = None) -> DataFrame:
     """Batch = rank div size (bucketed rank, no single partition), padded to
     the longest sequence of its batch, with an attention mask and the row's
     ``slot`` in its batch.  Every row is ranked as it is: rows that share a key
-    follow each other (by their ids), rows with a null key come last."""
+    follow each other (by their ids), rows with a null key come last.  ``tasks``:
+    how many the batches are dealt to, where Spark's own number is not to hold."""
     from .ranking import SIDE, bucketed_rank, range_bucket
     bucket = F.coalesce(range_bucket(samples, order), F.lit(SIDE * SIDE))
     r = bucketed_rank(samples, [F.col(order).asc_nulls_last(), ids], bucket, out="_rk")
     r = r.withColumns({"batch_id": F.floor(F.col("_rk") / batch_size).cast("bigint"),
                        "slot": (F.col("_rk") % batch_size).cast("int")}).drop("_rk")
     # a batch is bounded by its size, so the arrays move once more and the rank is made once
+    r = r.repartition(tasks, "batch_id") if tasks else r
     r = r.withColumn("padded_len", F.max(F.size(ids)).over(Window.partitionBy("batch_id")))
     n_pad = (F.col("padded_len") - F.size(ids)).cast("int")
     pad = F.array_repeat(F.lit(pad_id), n_pad)

@@ -282,7 +282,10 @@ p AS (SELECT sample_id, CAST(pos AS INTEGER) AS pos, CAST(CASE WHEN pos < n_pad
 SELECT sample_id, pos, position, CAST(max(position) OVER (PARTITION BY sample_id) + 1 - padded_len AS BIGINT) AS delta
 FROM p""")
 def mask_positions(spark, sf):
-    p = Q.pad_batches(K.text_sequences(table(spark, sf, "conversations"), _vocab(spark, sf)), 4)
+    conv = table(spark, sf, "conversations")
+    tasks = K.row_tasks(conv, 4)         # a batch's samples are padded to its longest
+    p = Q.pad_batches(K.text_sequences(conv, _vocab(spark, sf)), 4, tasks=tasks)
+    p = p.repartition(tasks, "sample_id")    # as arrays: the token rows keep the partitioning
     rows = K.token_rows(p, mask="attention_mask", carry=("batch_id", "slot"))
     return Q.mask_positions(rows, ("batch_id", "slot")).select("sample_id", "pos", "position", "delta")
 

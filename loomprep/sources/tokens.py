@@ -12,6 +12,7 @@ after it.  Everything is row-level (``posexplode``); nothing is grouped.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from ..functions.text import whitespace_tokens
 
 SAMPLE_STRIDE = 1 << 32
 VOCAB = 500          # hash range where the caller names none
+ROWS_PER_TASK = 1 << 23    # most token rows that a task is meant to get
 
 
 def sample_id() -> Column:
@@ -52,6 +54,19 @@ def token_rows(sequences: DataFrame, ids: str = "input_ids", mask: str | None =
             .select("sample_id", *carry, "pos", F.col("tm.t").alias("token_id"), F.col("tm.m").alias("mask")))
 
 
+def row_tasks(conversations: DataFrame, copies: int = 1) -> int:
+    """Tasks to deal the texts' token rows to, so that a task gets ``ROWS_PER_TASK`` of them at
+    most on average, however large the table (at least the default parallelism): a text of n
+    bytes has (n + 1) / 2 words at most, and padding makes at most ``copies`` rows of a word.
+    One aggregate over the bytes of the texts, run when the query is built."""
+    most = conversations.agg(F.sum(F.floor((F.octet_length("text") + 1) / 2))).first()[0] or 0
+    try:
+        least = conversations.sparkSession.sparkContext.defaultParallelism
+    except (PySparkAttributeError, PySparkNotImplementedError):   # sessions without an RDD view
+        least = 1
+    return max(least, -(-copies * most // ROWS_PER_TASK))
+
+
 def vision_grids(conversations: DataFrame) -> DataFrame:
     """Grid rows ``(sample_id, modality, ordinal, t, h, w)`` in patch units:
     user turns get an image ``(1, h, w)``; user turns from the third turn on
