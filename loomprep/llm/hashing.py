@@ -61,11 +61,15 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 
 def grams(values: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of ``k`` consecutive values."""
-    if len(values) < k:
+    return gram_hashes(prefix_sums(values), k)
+
+
+def gram_hashes(sums: np.ndarray, k: int) -> np.ndarray:
+    """The same, of values whose prefix sums are given."""
+    if len(sums) <= k:
         return np.zeros(0, np.uint64)
-    sums = prefix_sums(values)
     _, down = powers(len(sums))
-    return mix((sums[k:] - sums[:-k]) * down[:len(values) - k + 1])
+    return mix((sums[k:] - sums[:-k]) * down[:len(sums) - k])
 
 
 def window_min(values: np.ndarray, width: int) -> np.ndarray:

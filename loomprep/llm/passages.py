@@ -1,7 +1,8 @@
 """Shared search for passages that occur more than once in a corpus.
 
-Used by the substring and the suffix-array dedup.  A passage is a window of a
-fixed number of units (words or bytes).  Every window is anchored at the
+Used by the substring dedup; the suffix-array dedup shares the pieces, and
+sends them in another way (see ``distinct_passages``).  A passage is a window
+of a fixed number of units (words or bytes).  Every window is anchored at the
 smallest hash among the grams it contains, so equal windows have equal
 anchors; consecutive windows with one anchor form a *piece*, and every
 occurrence of a window lies in pieces of the same anchor.  The corpus is
@@ -35,7 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import BYTE_VALUE, Words, chunks, grams, prefix_sums, range_hash, window_min
+from .hashing import (BYTE_VALUE, Words, chunks, gram_hashes, prefix_sums, range_hash,
+                      window_min)
 
 CHUNK = 4 << 20          # bytes of text in a chunk, about
 BUCKET = 1 << 20         # bytes of text for each bucket
@@ -106,6 +108,12 @@ class Scheme:
         segment at a time.  Only texts longer than ``SEGMENT`` are cut, at places
         counted from their own start: the order of the texts, which may differ
         from one run of a task to the next, changes no piece."""
+        for _, _, _, *piece in self.segments(part):
+            yield tuple(piece)
+
+    def segments(self, part: Part):
+        """For each segment its first unit, prefix sums of its units' hashes, hashes
+        of its grams, and the arrays of :meth:`pieces`."""
         sizes = np.diff(part.text_first)
         cuts = [0]
         for k in np.flatnonzero(sizes > SEGMENT).tolist():
@@ -117,7 +125,8 @@ class Scheme:
             if n <= 0:
                 continue
             hi = lo + n + self.window - 1
-            g = grams(part.values(lo, hi), self.gram)
+            sums = prefix_sums(part.values(lo, hi))
+            g = gram_hashes(sums, self.gram)
             m = window_min(g, self.window - self.gram + 1)
             doc = part.texts(lo, hi)
             valid = doc[:n] == doc[self.window - 1:]
@@ -128,7 +137,7 @@ class Scheme:
             breaks = np.flatnonzero(new)
             length = np.diff(np.concatenate((breaks, [n])))
             ok = valid[breaks]
-            yield m[breaks[ok]], doc[breaks[ok]], lo + breaks[ok], length[ok]
+            yield lo, sums, g, m[breaks[ok]], doc[breaks[ok]], lo + breaks[ok], length[ok]
 
     def windows(self, text: bytes) -> int:
         units = text.count(b" ") + 1 if self.words else len(text)

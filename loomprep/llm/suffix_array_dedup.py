@@ -1,8 +1,8 @@
 """Suffix-array dedup: two-stage sorting of the suffixes of shared passages.
 
 Bytes that lie in a string of ``window`` bytes which also starts anywhere else
-are removed.  Shared passages (see ``passages``) of one bucket are sorted in
-two stages: suffixes that are smaller than their successors are sorted
+are removed.  Shared passages (see ``distinct_passages``) of one bucket are sorted
+in two stages: suffixes that are smaller than their successors are sorted
 directly; every other suffix starts with a byte that is not smaller than the
 next one, so it is placed by scanning the byte buckets in ascending order,
 after the place of its successor.  Common prefixes of adjacent suffixes then
@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from .passages import Scheme, gone_spans, remove_repeats
+from .distinct_passages import remove_repeats
+from .passages import Scheme, gone_spans
 
 WINDOW = 200
 GRAM = 16
